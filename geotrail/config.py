@@ -57,8 +57,11 @@ class Params:
 DEFAULT = Params()
 # driver tables are sparse (hours between fixes), so their queries use a one-day timeout
 EVENTS_PARAMS = Params(trip_timeout_ms=86_400_000)
-# 2024-02-01T00:00:00Z, the evaluation time of the driver-table queries
+# 2024-02-01T00:00:00Z, the evaluation time of the driver-table run chain
 EVENTS_AS_OF_MS = 1_706_745_600_000
+# 2024-01-31T00:00:00Z, the evaluation time of the history split: the driver
+# data ends on 2024-01-30, so with a one-day timeout some trips are still open
+HISTORY_AS_OF_MS = 1_706_659_200_000
 
 
 def session_conf() -> dict[str, str]:

@@ -8,7 +8,7 @@ bounded, against the plain definition.
 
 from __future__ import annotations
 
-from geotrail.config import EVENTS_AS_OF_MS, EVENTS_PARAMS
+from geotrail.config import EVENTS_AS_OF_MS, EVENTS_PARAMS, HISTORY_AS_OF_MS
 
 K = "0.017453292519943295"
 T = EVENTS_PARAMS
@@ -57,6 +57,19 @@ POS_COLUMNS = """
     event_id AS arrival_seq"""
 
 POS = f"pos AS (SELECT {POS_COLUMNS}, false AS processed FROM events)"
+POSX = (
+    f"posx AS (SELECT {POS_COLUMNS}, false AS processed, "
+    "ts < TIMESTAMP '2024-01-16 00:00:00' AS early FROM events)"
+)
+RESEND_COLUMNS = (
+    POS_COLUMNS.replace("AS latitude", "+ 1.0 AS latitude").replace(
+        "event_id AS arrival_seq", "event_id + 1000000000 AS arrival_seq"
+    )
+)
+RAW = (
+    f"raw AS (SELECT {POS_COLUMNS} FROM events UNION ALL "
+    f"SELECT {RESEND_COLUMNS} FROM events WHERE event_id % 50 = 0)"
+)
 
 
 def segments_cte(src: str, name: str = "seg", gap_ms: int | None = None, bridge: bool = False) -> str:
@@ -104,7 +117,9 @@ def rollup_select(src: str, group: str = "vin", seeded: bool = False) -> str:
     last_lat = f"coalesce(last(lat {o}) FILTER (WHERE acc), first(lat {o}))"
     last_lon = f"coalesce(last(lon {o}) FILTER (WHERE acc), first(lon {o}))"
     speeds = f"coalesce(list(seg_kph {o}) FILTER (WHERE acc), []::DOUBLE[])"
+    extra = ""
     if seeded:
+        extra = "bool_or(is_bridge) AS has_bridge,"
         sn, sa = "coalesce(max(seed_n), 0)", "coalesce(max(seed_avg), 0.0)"
         start_ts = f"coalesce(max(seed_start_ts), {first_ts})"
         start_lat = f"coalesce(max(seed_start_lat), first(lat {o}))"
@@ -116,7 +131,7 @@ def rollup_select(src: str, group: str = "vin", seeded: bool = False) -> str:
         dist0, max0 = "0.0", "0.0"
     return f"""
   SELECT {group},
-    count(*) AS n_rows,
+    count(*) AS n_rows, {extra}
     {start_ts} AS trip_start_timestamp,
     {last_ts} AS last_update_timestamp,
     {start_lat} AS start_lat, {start_lon} AS start_lon,
@@ -166,3 +181,350 @@ def q_trip_rollup() -> str:
     return f"""WITH {POS}, {fix_rows_cte()}, {segments_cte('fx')},
 roll AS ({rollup_select('seg')})
 SELECT {rounded(TRIP_COLS, R3_TRIP)} FROM roll WHERE n_rows >= 2"""
+
+
+# ---- helpers for the registered statements --------------------------------------------------
+
+
+def final(src: str, cols: list[str], doubles: list[str], where: str = "") -> str:
+    sel = ", ".join(f"{r3(c)} AS {c}" if c in doubles else c for c in cols)
+    return f"SELECT {sel} FROM {src}" + (f" WHERE {where}" if where else "")
+
+
+SEG_TABLE = """seg_table AS (
+  SELECT vin, pts AS from_ts, ts AS to_ts, plat AS from_lat, plon AS from_lon, lat AS to_lat, lon AS to_lon,
+         seg_m AS distance_m, dt AS dt_s, seg_kph AS speed_kph, is_anomaly, is_jump, acc AS accepted
+  FROM seg WHERE has_segment)"""
+
+SINGLE_RUN = f"WITH {POS}, {fix_rows_cte()}, {segments_cte('fx')}, {SEG_TABLE}"
+
+
+def q_segments() -> str:
+    cols = ["vin", "from_ts", "to_ts", "from_lat", "from_lon", "to_lat", "to_lon", "distance_m", "dt_s",
+            "speed_kph", "is_anomaly", "is_jump", "accepted"]
+    return f"{SINGLE_RUN}\n{final('seg_table', cols, ['from_lat', 'from_lon', 'to_lat', 'to_lon', 'distance_m', 'dt_s', 'speed_kph'])}"
+
+
+def q_haversine() -> str:
+    return f"{SINGLE_RUN}\n{final('seg_table', ['vin', 'from_ts', 'to_ts', 'distance_m'], ['distance_m'])}"
+
+
+def q_segment_speed() -> str:
+    return f"{SINGLE_RUN}\n{final('seg_table', ['vin', 'to_ts', 'dt_s', 'speed_kph'], ['dt_s', 'speed_kph'])}"
+
+
+def q_gps_anomalies() -> str:
+    return f"{SINGLE_RUN}\n" + final(
+        "seg_table", ["vin", "from_ts", "to_ts", "distance_m", "speed_kph"], ["distance_m", "speed_kph"], "is_anomaly"
+    )
+
+
+def q_position_jumps() -> str:
+    return (
+        f"WITH {RAW}, {fix_rows_cte('raw')}, {segments_cte('fx')}, {SEG_TABLE}\n"
+        + final("seg_table", ["vin", "from_ts", "to_ts", "distance_m", "dt_s"], ["distance_m", "dt_s"], "is_jump")
+    )
+
+
+def alerts_cte(seg: str, name: str) -> str:
+    return (
+        f"{name} AS (SELECT vin, ts AS timestamp, lat AS latitude, lon AS longitude, "
+        f"{r2('seg_kph')} AS computed_speed_kph, {T.speed_limit_kph} AS speed_limit_kph "
+        f"FROM {seg} WHERE acc AND seg_kph > {T.speed_limit_kph})"
+    )
+
+
+ALERT_COLS = ["vin", "timestamp", "latitude", "longitude", "computed_speed_kph", "speed_limit_kph"]
+ALERT_DOUBLES = ["latitude", "longitude", "computed_speed_kph", "speed_limit_kph"]
+
+
+def q_speed_alerts() -> str:
+    return f"{SINGLE_RUN}, {alerts_cte('seg', 'al')}\n{final('al', ALERT_COLS, ALERT_DOUBLES)}"
+
+
+def q_running_average() -> str:
+    return f"""{SINGLE_RUN},
+roll AS ({rollup_select('seg')}),
+plain AS (SELECT vin, avg(seg_kph) AS plain_average_kph FROM seg WHERE acc GROUP BY vin),
+j AS (SELECT r.vin, r.total_readings, r.average_speed_kph, p.plain_average_kph
+      FROM roll r LEFT JOIN plain p ON r.vin = p.vin WHERE r.n_rows >= 2)
+{final('j', ['vin', 'total_readings', 'average_speed_kph', 'plain_average_kph'], ['average_speed_kph', 'plain_average_kph'])}"""
+
+
+POSITION_COLS = ["vin", "timestamp", "latitude", "longitude", "speed", "engine_temp", "gas_tank_level",
+                 "obd2_error_code", "processed", "arrival_seq"]
+POSITION_DOUBLES = ["latitude", "longitude", "speed", "engine_temp", "gas_tank_level"]
+
+
+def q_ingest_normalize() -> str:
+    return f"WITH {POS}\n{final('pos', POSITION_COLS, POSITION_DOUBLES)}"
+
+
+def q_ingest_dedupe() -> str:
+    return f"""WITH {RAW},
+d AS (SELECT *, false AS processed FROM raw
+      QUALIFY row_number() OVER (PARTITION BY vin, timestamp ORDER BY arrival_seq) = 1)
+{final('d', POSITION_COLS, POSITION_DOUBLES)}"""
+
+
+def q_ingest_outcomes() -> str:
+    return f"""WITH {RAW},
+o AS (SELECT vin, timestamp, arrival_seq,
+             arrival_seq = min(arrival_seq) OVER (PARTITION BY vin, timestamp) AS success FROM raw)
+SELECT vin, timestamp, arrival_seq, success,
+       CASE WHEN success THEN 'Saved successfully' ELSE 'Duplicate position ignored' END AS message FROM o"""
+
+
+# ---- the incremental run, three times ---------------------------------------------------------
+
+STATE0 = (
+    "s1 AS (SELECT * FROM (VALUES (NULL::VARCHAR, NULL::BIGINT, NULL::BIGINT, NULL::DOUBLE, NULL::DOUBLE, "
+    "NULL::DOUBLE, NULL::DOUBLE, NULL::DOUBLE, NULL::DOUBLE, NULL::DOUBLE, NULL::INTEGER)) "
+    "t(vin, trip_start_timestamp, last_update_timestamp, start_lat, start_lon, last_lat, last_lon, "
+    "total_distance_meters, average_speed_kph, max_speed_kph, total_readings) WHERE false)"
+)
+
+
+def run_ctes(k: int, pos: str, state: str, as_of: int) -> str:
+    """CTEs of run ``k``: r{k}_lu (rows + is_late), r{k}_seg, r{k}_trip, r{k}_cur, r{k}_done,
+    r{k}_alerts, r{k}_marks."""
+    to = T.trip_timeout_ms
+    trip_cols = ", ".join(TRIP_COLS)
+    return f"""
+r{k}_rows AS (
+  SELECT vin, timestamp AS ts, arrival_seq AS seq, latitude AS lat, longitude AS lon, false AS is_bridge,
+         NULL::BIGINT AS seed_start_ts, NULL::DOUBLE AS seed_start_lat, NULL::DOUBLE AS seed_start_lon,
+         NULL::DOUBLE AS seed_distance, NULL::DOUBLE AS seed_avg, NULL::DOUBLE AS seed_max, NULL::BIGINT AS seed_n
+  FROM {pos} WHERE NOT processed
+  UNION ALL
+  SELECT vin, last_update_timestamp, -1, last_lat, last_lon, true, trip_start_timestamp, start_lat, start_lon,
+         total_distance_meters, average_speed_kph, max_speed_kph, total_readings::BIGINT
+  FROM {state}),
+r{k}_lu AS (
+  SELECT r.*, (NOT r.is_bridge AND s.last_update_timestamp IS NOT NULL AND r.ts <= s.last_update_timestamp) AS is_late
+  FROM r{k}_rows r LEFT JOIN {state} s ON r.vin = s.vin),
+r{k}_kept AS (SELECT * EXCLUDE (is_late) FROM r{k}_lu WHERE NOT is_late),
+{segments_cte(f'r{k}_kept', f'r{k}_seg')},
+r{k}_trip AS ({rollup_select(f'r{k}_seg', seeded=True)}),
+r{k}_cur AS (
+  SELECT {trip_cols} FROM r{k}_trip
+  WHERE n_rows >= 2 OR (has_bridge AND NOT ({as_of} - last_update_timestamp > {to}))),
+r{k}_done AS (
+  SELECT vin, trip_start_timestamp, last_update_timestamp AS trip_end_timestamp, start_lat, start_lon,
+         last_lat AS end_lat, last_lon AS end_lon, total_distance_meters, average_speed_kph, max_speed_kph,
+         total_readings, (last_update_timestamp - trip_start_timestamp) // 60000 AS duration_minutes
+  FROM r{k}_trip WHERE n_rows < 2 AND has_bridge AND {as_of} - last_update_timestamp > {to}),
+{alerts_cte(f'r{k}_seg', f'r{k}_alerts')},
+r{k}_marks AS (
+  SELECT DISTINCT vin, ts AS timestamp, true AS hit FROM r{k}_seg
+  WHERE NOT is_bridge AND key_rows >= 2 AND (nts IS NULL OR next_accepted)),
+p{k + 1} AS (
+  SELECT a.vin, a.timestamp, a.latitude, a.longitude, a.arrival_seq, (a.processed OR coalesce(m.hit, false)) AS processed
+  FROM {'pall' if k == 1 else f'p{k}'} a LEFT JOIN r{k}_marks m ON a.vin = m.vin AND a.timestamp = m.timestamp)"""
+
+
+RUN2_AS_OF_MS = EVENTS_AS_OF_MS
+RUN3_AS_OF_MS = 1_709_251_200_000
+
+
+def chain(upto: int = 3) -> str:
+    parts = [
+        POSX,
+        "pall AS (SELECT vin, timestamp, latitude, longitude, arrival_seq, processed FROM posx)",
+        "p1 AS (SELECT vin, timestamp, latitude, longitude, arrival_seq, processed FROM posx "
+        "WHERE early AND arrival_seq % 13 <> 0)",
+        STATE0,
+        run_ctes(1, "p1", "s1", RUN1_AS_OF_MS),
+    ]
+    if upto >= 2:
+        parts.append(run_ctes(2, "p2", "r1_cur", RUN2_AS_OF_MS))
+    if upto >= 3:
+        parts.append(run_ctes(3, "p3", "r2_cur", RUN3_AS_OF_MS))
+    return "WITH " + ",\n".join(parts)
+
+
+def q_processed_flags() -> str:
+    return f"{chain(1)}\nSELECT vin, timestamp FROM r1_marks"
+
+
+def q_unprocessed_positions() -> str:
+    return f"{chain(1)}\n" + final(
+        "p2", ["vin", "timestamp", "latitude", "longitude"], ["latitude", "longitude"], "NOT processed"
+    )
+
+
+def q_late_discard() -> str:
+    return f"{chain(2)}\nSELECT vin, ts AS timestamp FROM r2_lu WHERE is_late"
+
+
+def q_segments_with_bridge() -> str:
+    return f"""{chain(2)},
+sb AS (SELECT vin, pts AS from_ts, ts AS to_ts, (lag(seq) OVER (PARTITION BY vin ORDER BY ts, seq) = -1) AS from_bridge,
+              seg_m AS distance_m, seg_kph AS speed_kph, acc AS accepted, has_segment FROM r2_seg)
+{final('sb', ['vin', 'from_ts', 'to_ts', 'from_bridge', 'distance_m', 'speed_kph', 'accepted'], ['distance_m', 'speed_kph'], 'has_segment')}"""
+
+
+def q_run_gate() -> str:
+    return f"{chain(2)}\nSELECT vin, n_rows AS kept_rows, n_rows >= 2 AS gated_in FROM r2_trip"
+
+
+def q_run_current_trips() -> str:
+    return f"{chain(2)}\n{final('r2_cur', TRIP_COLS, R3_TRIP)}"
+
+
+def q_run_alerts() -> str:
+    return f"""{chain(2)},
+al AS (SELECT * FROM r1_alerts UNION ALL SELECT * FROM r2_alerts)
+{final('al', ALERT_COLS, ALERT_DOUBLES)}"""
+
+
+def q_trip_timeouts() -> str:
+    return f"""{chain(3)}
+SELECT vin, last_update_timestamp, {RUN3_AS_OF_MS} - last_update_timestamp AS idle_ms
+FROM r3_trip WHERE n_rows < 2 AND has_bridge AND {RUN3_AS_OF_MS} - last_update_timestamp > {T.trip_timeout_ms}"""
+
+
+COMPLETED_COLS = ["vin", "trip_start_timestamp", "trip_end_timestamp", "start_lat", "start_lon", "end_lat", "end_lon",
+                  "total_distance_meters", "average_speed_kph", "max_speed_kph", "total_readings", "duration_minutes"]
+COMPLETED_DOUBLES = ["start_lat", "start_lon", "end_lat", "end_lon", "total_distance_meters", "average_speed_kph",
+                     "max_speed_kph"]
+
+
+def q_run_completed_trips() -> str:
+    return f"{chain(3)}\n{final('r3_done', COMPLETED_COLS, COMPLETED_DOUBLES)}"
+
+
+# ---- history split into trips, and the read views ----------------------------------------------
+
+
+def history() -> str:
+    return f"""WITH {POS}, {fix_rows_cte()}, {segments_cte('fx', 'hs', gap_ms=T.trip_timeout_ms)},
+ht AS ({rollup_select('hs', group='vin, trip_no')}),
+htl AS (SELECT *, trip_no = max(trip_no) OVER (PARTITION BY vin) AS is_last FROM ht),
+trips AS (
+  SELECT vin, trip_no, trip_start_timestamp, last_update_timestamp AS trip_end_timestamp, start_lat, start_lon,
+         last_lat AS end_lat, last_lon AS end_lon, total_distance_meters, average_speed_kph, max_speed_kph,
+         total_readings, (last_update_timestamp - trip_start_timestamp) // 60000 AS duration_minutes,
+         (is_last AND {HISTORY_AS_OF_MS} - last_update_timestamp <= {T.trip_timeout_ms}) AS is_open
+  FROM htl WHERE n_rows >= 2),
+cur AS (
+  SELECT vin, trip_start_timestamp, trip_end_timestamp AS last_update_timestamp, start_lat, start_lon,
+         end_lat AS last_lat, end_lon AS last_lon, total_distance_meters, average_speed_kph, max_speed_kph,
+         total_readings FROM trips WHERE is_open),
+done AS (SELECT * EXCLUDE (is_open, trip_no) FROM trips WHERE NOT is_open),
+{alerts_cte('hs', 'halerts')},
+stats AS (SELECT vin, count(*) AS completed_trips_count, sum(total_distance_meters) AS total_distance_meters,
+                 sum(round(average_speed_kph * 100.0)::BIGINT) / (count(average_speed_kph) * 100.0) AS average_speed_kph
+          FROM done GROUP BY vin),
+acounts AS (SELECT vin, count(*) AS speed_alerts_count FROM halerts GROUP BY vin)"""
+
+
+def q_trip_segmentation() -> str:
+    return f"{history()}\n" + final(
+        "trips", ["vin", "trip_no"] + COMPLETED_COLS[1:] + ["is_open"], COMPLETED_DOUBLES
+    )
+
+
+def q_vehicles() -> str:
+    return f"WITH {POS}\nSELECT DISTINCT vin FROM pos"
+
+
+def q_current_trip() -> str:
+    return f"{history()}\n{final('cur', TRIP_COLS, R3_TRIP)}"
+
+
+def q_completed_trips() -> str:
+    return f"{history()}\n{final('done', COMPLETED_COLS, COMPLETED_DOUBLES)}"
+
+
+def q_alerts_recent() -> str:
+    return f"{history()}\n{final('halerts', ALERT_COLS, ALERT_DOUBLES)}"
+
+
+def q_recent_positions(n: int = 10) -> str:
+    return f"""WITH {POS},
+rk AS (SELECT vin, timestamp, latitude, longitude,
+              row_number() OVER (PARTITION BY vin ORDER BY timestamp DESC) AS rank FROM pos)
+{final('rk', ['vin', 'timestamp', 'latitude', 'longitude', 'rank'], ['latitude', 'longitude'], f'rank <= {n}')}"""
+
+
+def q_alert_counts() -> str:
+    return f"{history()}\nSELECT vin, speed_alerts_count FROM acounts"
+
+
+def q_trip_stats_by_vin() -> str:
+    return f"{history()}\n" + final(
+        "stats", ["vin", "completed_trips_count", "total_distance_meters", "average_speed_kph"],
+        ["total_distance_meters", "average_speed_kph"],
+    )
+
+
+def q_vehicle_summary() -> str:
+    return f"""{history()},
+vs AS (
+  SELECT v.vin,
+         coalesce(s.completed_trips_count, 0)::INTEGER AS completed_trips_count,
+         coalesce(s.total_distance_meters, 0.0) AS total_distance_meters,
+         s.average_speed_kph,
+         coalesce(a.speed_alerts_count, 0)::INTEGER AS speed_alerts_count,
+         {HISTORY_AS_OF_MS}::BIGINT AS last_computed_at,
+         c.trip_start_timestamp AS current_trip_start_timestamp,
+         c.last_update_timestamp AS current_last_update_timestamp,
+         c.total_distance_meters AS current_total_distance_meters,
+         c.total_readings AS current_total_readings
+  FROM (SELECT DISTINCT vin FROM pos) v
+  LEFT JOIN cur c ON v.vin = c.vin
+  LEFT JOIN stats s ON v.vin = s.vin
+  LEFT JOIN acounts a ON v.vin = a.vin)
+{final('vs', ['vin', 'completed_trips_count', 'total_distance_meters', 'average_speed_kph', 'speed_alerts_count', 'last_computed_at', 'current_trip_start_timestamp', 'current_last_update_timestamp', 'current_total_distance_meters', 'current_total_readings'], ['total_distance_meters', 'average_speed_kph', 'current_total_distance_meters'])}"""
+
+
+def q_fleet_summary() -> str:
+    return f"""{history()}
+SELECT (SELECT count(DISTINCT vin) FROM pos)::INTEGER AS total_vehicles,
+       (SELECT count(*) FROM cur)::INTEGER AS active_trips,
+       (SELECT count(*) FROM done)::INTEGER AS completed_trips,
+       (SELECT count(*) FROM halerts)::INTEGER AS total_speed_alerts,
+       {HISTORY_AS_OF_MS}::BIGINT AS last_computed_at"""
+
+
+def q_unknown_vins() -> str:
+    return f"""WITH {POS}
+SELECT DISTINCT printf('VIN%06d', c_custkey) AS vin FROM customer
+WHERE printf('VIN%06d', c_custkey) NOT IN (SELECT vin FROM pos)"""
+
+
+def statements() -> dict[str, str]:
+    return {
+        "trip_rollup": q_trip_rollup(),
+        "haversine": q_haversine(),
+        "segment_speed": q_segment_speed(),
+        "segments": q_segments(),
+        "gps_anomalies": q_gps_anomalies(),
+        "position_jumps": q_position_jumps(),
+        "speed_alerts": q_speed_alerts(),
+        "running_average": q_running_average(),
+        "ingest_normalize": q_ingest_normalize(),
+        "ingest_dedupe": q_ingest_dedupe(),
+        "ingest_outcomes": q_ingest_outcomes(),
+        "processed_flags": q_processed_flags(),
+        "unprocessed_positions": q_unprocessed_positions(),
+        "late_discard": q_late_discard(),
+        "segments_with_bridge": q_segments_with_bridge(),
+        "run_gate": q_run_gate(),
+        "run_current_trips": q_run_current_trips(),
+        "run_alerts": q_run_alerts(),
+        "trip_timeouts": q_trip_timeouts(),
+        "run_completed_trips": q_run_completed_trips(),
+        "trip_segmentation": q_trip_segmentation(),
+        "vehicles": q_vehicles(),
+        "current_trip": q_current_trip(),
+        "completed_trips": q_completed_trips(),
+        "alerts_recent": q_alerts_recent(),
+        "recent_positions": q_recent_positions(),
+        "alert_counts": q_alert_counts(),
+        "trip_stats_by_vin": q_trip_stats_by_vin(),
+        "vehicle_summary": q_vehicle_summary(),
+        "fleet_summary": q_fleet_summary(),
+        "unknown_vins": q_unknown_vins(),
+    }
