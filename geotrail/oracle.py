@@ -497,6 +497,7 @@ WHERE printf('VIN%06d', c_custkey) NOT IN (SELECT vin FROM pos)"""
 def statements() -> dict[str, str]:
     return {
         "trip_rollup": q_trip_rollup(),
+        "stream_trip_rollup": q_trip_rollup(),
         "haversine": q_haversine(),
         "segment_speed": q_segment_speed(),
         "segments": q_segments(),

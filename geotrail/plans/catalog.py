@@ -93,6 +93,22 @@ def running_average(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r3(t.join(plain, "vin", "left"))
 
 
+def stream_trip_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 stream form: the events table as a file stream through the keyed-state fold.
+
+    One micro-batch from empty state is one run, so the open trips must equal
+    the flagship roll-up. Outputs go to the shared checkpoint folder and are
+    read back once the available data is processed.
+    """
+    from geotrail.sources.store import scratch_path
+    from geotrail.streaming.stateful import open_trips, trip_stream, write_trip_stream
+
+    root = scratch_path(spark, "stream")
+    q = write_trip_stream(trip_stream(events.events_positions_stream(spark, sf_dir), P), f"{root}/out", f"{root}/ckpt")
+    q.awaitTermination()
+    return r3(open_trips(spark.read.parquet(f"{root}/out")))
+
+
 # ---- ingest -----------------------------------------------------------------------------------
 
 
@@ -261,6 +277,7 @@ QUERIES = {
     f.__name__: f
     for f in [
         trip_rollup,
+        stream_trip_rollup,
         haversine,
         segment_speed,
         segments,

@@ -114,6 +114,45 @@ def run_batch(
     )
 
 
+OUTPUT_KINDS = ("current_trips", "completed_trips", "speed_alerts", "processed")
+
+
+def multiplexed(result: RunResult) -> DataFrame:
+    """All outputs of a run as one frame with a ``kind`` column.
+
+    Writing this once computes the run once (the four outputs share the
+    shuffled rows) and lands every output of the run in the same job, so a
+    run is committed whole or not at all.
+    """
+    frames = {
+        "current_trips": result.current_trips,
+        "completed_trips": result.completed_trips,
+        "speed_alerts": result.speed_alerts,
+        "processed": result.processed,
+    }
+    fields: dict[str, object] = {}
+    for df in frames.values():
+        for f in df.schema.fields:
+            fields.setdefault(f.name, f.dataType)
+    out = None
+    for kind, df in frames.items():
+        cols = [F.col(n) if n in df.columns else F.lit(None).cast(t).alias(n) for n, t in fields.items()]
+        part = df.select(*cols, F.lit(kind).alias("kind"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def split_multiplexed(df: DataFrame, like: RunResult) -> dict[str, DataFrame]:
+    """Inverse of :func:`multiplexed` (reads each kind with its own columns)."""
+    src = {
+        "current_trips": like.current_trips,
+        "completed_trips": like.completed_trips,
+        "speed_alerts": like.speed_alerts,
+        "processed": like.processed,
+    }
+    return {k: df.filter(F.col("kind") == k).select(*src[k].columns) for k in OUTPUT_KINDS}
+
+
 def apply_processed(positions: DataFrame, marks: DataFrame) -> DataFrame:
     """Positions with this run's processed marks applied (join on the full key)."""
     m = marks.select("vin", "timestamp", F.lit(True).alias("_m")).distinct()

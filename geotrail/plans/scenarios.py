@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from geotrail.config import EVENTS_AS_OF_MS, EVENTS_PARAMS, HISTORY_AS_OF_MS, Params
 from geotrail.operators import trips
-from geotrail.plans.run import RunResult, apply_processed, run_batch
+from geotrail.plans.run import RunResult, apply_processed, multiplexed, run_batch, split_multiplexed
 from geotrail.schema import CURRENT_TRIPS, empty
 from geotrail.sources import events
 from geotrail.sources.store import persist, scratch_path
@@ -66,10 +66,15 @@ class Chain:
 
 
 def _persisted(r: RunResult, base: str, k: int) -> RunResult:
+    """Write the run's outputs in one job and continue from the written tables."""
+    written = persist(multiplexed(r), f"{base}/run{k}")
+    parts = split_multiplexed(written, r)
     return replace(
         r,
-        current_trips=persist(r.current_trips, f"{base}/run{k}/current_trips"),
-        processed=persist(r.processed, f"{base}/run{k}/processed"),
+        current_trips=parts["current_trips"],
+        completed_trips=parts["completed_trips"],
+        speed_alerts=parts["speed_alerts"],
+        processed=parts["processed"],
     )
 
 

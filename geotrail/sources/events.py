@@ -53,6 +53,13 @@ def events_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select(*_position_columns(ev), F.lit(False).alias("processed"))
 
 
+def events_positions_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same fixes as a file stream over the events table (one file, one micro-batch)."""
+    schema = read_events(spark, sf_dir).schema
+    ev = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    return ev.select(*_position_columns(ev), F.lit(False).alias("processed"))
+
+
 def events_positions_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Inbound messages (nested location), before ingest normalisation."""
     p = events_positions(spark, sf_dir)

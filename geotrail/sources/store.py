@@ -110,13 +110,12 @@ class TripStore:
         append_positions(dedupe(new_positions, stored), path)
 
     def commit(self, result, run_id: str) -> None:
-        """Write all outputs of one run, then its commit marker."""
-        for name, df in (
-            ("processed", result.processed),
-            ("completed_trips", result.completed_trips),
-            ("speed_alerts", result.speed_alerts),
-            ("current_trips", result.current_trips),
-        ):
+        """Write all outputs of one run in one job, then its commit marker."""
+        from geotrail.plans.run import multiplexed, split_multiplexed
+
+        staged = f"{self._p('_staging')}/run_id={run_id}"
+        written = persist(multiplexed(result), staged)
+        for name, df in split_multiplexed(written, result).items():
             df.write.mode("overwrite").parquet(f"{self._p(name)}/run_id={run_id}")
         self.spark.createDataFrame([(run_id,)], "run_id string").write.mode("overwrite").text(
             f"{self._p('_runs')}/{run_id}"
