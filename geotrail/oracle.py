@@ -89,7 +89,7 @@ def segments_cte(src: str, name: str = "seg", gap_ms: int | None = None, bridge:
 {name}_b AS (
   SELECT *, {brk} AS is_break FROM {name}_l),
 {name}_t AS (
-  SELECT *, sum(CASE WHEN is_break THEN 1 ELSE 0 END) OVER ({w} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS trip_no,
+  SELECT *, (sum(CASE WHEN is_break THEN 1 ELSE 0 END) OVER ({w} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))::BIGINT AS trip_no,
          {hav('plat', 'plon', 'lat', 'lon')} AS seg_m,
          (ts - pts) / 1000.0 AS dt,
          {hav('lat', 'lon', 'nlat', 'nlon')} AS nseg_m,
@@ -444,7 +444,7 @@ def q_alerts_recent() -> str:
 def q_recent_positions(n: int = 10) -> str:
     return f"""WITH {POS},
 rk AS (SELECT vin, timestamp, latitude, longitude,
-              row_number() OVER (PARTITION BY vin ORDER BY timestamp DESC) AS rank FROM pos)
+              (row_number() OVER (PARTITION BY vin ORDER BY timestamp DESC))::INTEGER AS rank FROM pos)
 {final('rk', ['vin', 'timestamp', 'latitude', 'longitude', 'rank'], ['latitude', 'longitude'], f'rank <= {n}')}"""
 
 

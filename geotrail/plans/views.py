@@ -79,13 +79,18 @@ def trip_stats_by_vin(completed: DataFrame) -> DataFrame:
 
 
 def unknown_vins(requested: DataFrame, positions: DataFrame) -> DataFrame:
-    """requested vehicles without any stored fix (the not-found answers)."""
-    return requested.select("vin").distinct().join(positions.select("vin"), "vin", "left_anti")
+    """requested vehicles without any stored fix (the not-found answers).
+
+    The fixes side is reduced to distinct vehicles first (combined map-side),
+    so a vehicle with billions of fixes contributes one row per task to the
+    join's shuffle rather than all of them.
+    """
+    return requested.select("vin").distinct().join(vehicles(positions), "vin", "left_anti")
 
 
 def known_vins(requested: DataFrame, positions: DataFrame) -> DataFrame:
     """requested vehicles that exist."""
-    return requested.select("vin").distinct().join(positions.select("vin"), "vin", "left_semi")
+    return requested.select("vin").distinct().join(vehicles(positions), "vin", "left_semi")
 
 
 def _trip_struct(prefix: str = "") -> Column:

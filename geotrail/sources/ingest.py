@@ -62,7 +62,14 @@ def dedupe(positions: DataFrame, stored: DataFrame | None = None) -> DataFrame:
         .select(*KEY, *[F.col("_r")[c].alias(c) for c in cols])
     )
     if stored is not None:
-        first = first.join(stored.select(*KEY), KEY, "left_anti")
+        if "event_date" in stored.columns:
+            # only the stored date partitions the batch touches are read (dynamic pruning)
+            first = with_event_date(first)
+            dates = first.select("event_date").distinct()
+            old = stored.join(dates, "event_date", "left_semi").select(*KEY, "event_date")
+            first = first.join(old, [*KEY, "event_date"], "left_anti")
+        else:
+            first = first.join(stored.select(*KEY), KEY, "left_anti")
     return first.select(*positions.columns)
 
 
@@ -105,11 +112,16 @@ def with_event_date(positions: DataFrame) -> DataFrame:
 
 
 def append_positions(new_positions: DataFrame, path: str) -> None:
-    """Append deduped fixes, partitioned by event date and sorted for min/max skipping."""
+    """Append deduped fixes, partitioned by event date and sorted for min/max skipping.
+
+    Range partitioning on (date, vin, timestamp) samples the keys, so one busy
+    vehicle-day is split over several files instead of one task, and every
+    file holds a narrow (vin, timestamp) range that Parquet statistics can skip.
+    """
     (
         with_event_date(new_positions)
-        .repartition("event_date", "vin")
-        .sortWithinPartitions("vin", "timestamp")
+        .repartitionByRange("event_date", "vin", "timestamp")
+        .sortWithinPartitions("event_date", "vin", "timestamp")
         .write.mode("append")
         .partitionBy("event_date")
         .parquet(path)

@@ -63,7 +63,10 @@ class TripStore:
         path = self._p(name)
         if not runs or not _exists(self.spark, path):
             return self.spark.createDataFrame([], schema)
-        df = self.spark.read.schema(schema.add("run_id", "string")).parquet(path)
+        from pyspark.sql import types as T
+
+        with_run = T.StructType([*schema.fields, T.StructField("run_id", T.StringType())])
+        df = self.spark.read.schema(with_run).parquet(path)
         return df.filter(F.col("run_id").isin(runs)).drop("run_id")
 
     def positions(self) -> DataFrame:

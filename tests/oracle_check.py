@@ -41,6 +41,26 @@ def _norm(v):
     return v
 
 
+SPARK_TO_DUCK = {
+    "LongType": "BIGINT",
+    "IntegerType": "INTEGER",
+    "DoubleType": "DOUBLE",
+    "StringType": "VARCHAR",
+    "BooleanType": "BOOLEAN",
+}
+
+
+def type_diffs(sdf, rel) -> list:
+    duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    out = []
+    for f in sdf.schema.fields:
+        want = SPARK_TO_DUCK.get(type(f.dataType).__name__, type(f.dataType).__name__)
+        got = duck_types.get(f.name)
+        if got != want:
+            out.append((f.name, want, got))
+    return out
+
+
 def compare(spark, con, name, fn, sql, sf_dir):
     t0 = time.time()
     sdf = fn(spark, sf_dir)
@@ -56,9 +76,10 @@ def compare(spark, con, name, fn, sql, sf_dir):
         drows = [tuple(r[i] for i in idx) for r in drows]
     key = lambda r: tuple((x is None, str(type(x)), str(x)) for x in r)
     s_sorted, d_sorted = sorted(srows, key=key), sorted(drows, key=key)
-    same = ok_cols and s_sorted == d_sorted
+    tdiff = type_diffs(sdf, rel) if ok_cols else []
+    same = ok_cols and s_sorted == d_sorted and not tdiff
     print(f"{name:28s} spark={len(srows):6d} duck={len(drows):6d} cols={'ok' if ok_cols else 'DIFF'} "
-          f"values={'ok' if same else 'DIFF'} ({t1 - t0:.1f}s)")
+          f"types={'ok' if not tdiff else tdiff} values={'ok' if s_sorted == d_sorted else 'DIFF'} ({t1 - t0:.1f}s)")
     if not ok_cols:
         print("   spark cols", scols, "\n   duck cols ", dcols)
     elif not same:
