@@ -18,7 +18,7 @@ ties, e.g. arrival order) plus anything else, which is carried along.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,8 +42,14 @@ def add_chunk(rows: DataFrame, chunk_ms: int) -> DataFrame:
     return rows.withColumn("chunk", ((F.col("ts") - F.pmod(F.col("ts"), c)) / c).cast("long"))
 
 
-def link(rows: DataFrame, gap_ms: int | None = None, key_max: Sequence[str] = ()) -> DataFrame:
-    """Attach each row's neighbours across chunk boundaries, and trip numbers.
+def link(
+    rows: DataFrame,
+    gap_ms: int | None = None,
+    key_max: Sequence[str] = (),
+    accept: Callable[[Column, Column, Column, Column], Column] | None = None,
+    seed: str | None = None,
+) -> DataFrame:
+    """Attach each row's neighbours across chunk boundaries, trip numbers and ranks.
 
     Adds ``prev`` / ``next`` (struct ts, seq, lat, lon, or null at the ends of
     the vehicle), ``key_rows`` (rows of the vehicle), ``trip_no`` (number of
@@ -51,28 +57,48 @@ def link(rows: DataFrame, gap_ms: int | None = None, key_max: Sequence[str] = ()
     predecessor, never when ``gap_ms`` is None), ``is_break``, ``trip_in``
     (trip number entering the chunk) and, for each name in ``key_max``, the
     vehicle-wide maximum of that column as ``key_<name>``.
+
+    With ``accept(prev, ts, lat, lon)`` (a boolean verdict on the segment
+    from ``prev`` to the row) it also adds ``trip_rank``: for a row whose
+    incoming segment lies in its trip and is accepted, the number of such
+    rows of the trip up to it, plus the vehicle's ``key_<seed>`` (readings an
+    open trip already had). Segments inside a chunk are judged before the
+    join; each chunk's first segment is judged on the summary, where both of
+    its ends are known, so the running counts need no second pass.
     """
     w = Window.partitionBy(KEY, "chunk").orderBy(*ORDER)
+    wrun = w.rowsBetween(UNB, CUR)
     r = rows.withColumn("_pi", F.lag(point()).over(w)).withColumn("_ni", F.lead(point()).over(w))
     if gap_ms is not None:
         r = r.withColumn(
             "_ib", (F.col("_pi").isNotNull() & (F.col("ts") - F.col("_pi.ts") > F.lit(gap_ms))).cast("int")
-        ).withColumn("_ibr", F.sum("_ib").over(w.rowsBetween(UNB, CUR)))
+        ).withColumn("_ibr", F.sum("_ib").over(wrun))
     else:
         r = r.withColumn("_ib", F.lit(0)).withColumn("_ibr", F.lit(0).cast("long"))
-
-    summary = r.groupBy(KEY, "chunk").agg(
+    if accept is not None:
+        ok = F.coalesce(accept(F.col("_pi"), F.col("ts"), F.col("lat"), F.col("lon")), F.lit(False))
+        r = r.withColumn("_fi", F.when(F.col("_pi").isNotNull() & (F.col("_ib") == 0) & ok, 1).otherwise(0))
+        r = r.withColumn("_fr", F.sum("_fi").over(wrun))
+        # accepted count before the last break at or before the row (null: no break yet)
+        r = r.withColumn("_lbr", F.last(F.when(F.col("_ib") == 1, F.col("_fr") - F.col("_fi")), True).over(wrun))
+
+    aggs = [
         F.min(point()).alias("_first"),
         F.max(point()).alias("_last"),
         F.count(F.lit(1)).alias("_n"),
         F.sum("_ib").alias("_nib"),
         *[F.max(c).alias(f"_km_{c}") for c in key_max],
-    )
+    ]
+    if accept is not None:
+        aggs += [F.sum("_fi").alias("_tot"), F.max(F.when(F.col("_ib") == 1, F.col("_fr"))).alias("_fr_lb")]
+    summary = r.groupBy(KEY, "chunk").agg(*aggs)
     wk = Window.partitionBy(KEY).orderBy("chunk")
     wall = Window.partitionBy(KEY)
     s = summary.withColumn("_prev_last", F.lag("_last").over(wk)).withColumn(
         "_next_first", F.lead("_first").over(wk)
     )
+    for c in key_max:
+        s = s.withColumn(f"key_{c}", F.max(f"_km_{c}").over(wall))
     if gap_ms is not None:
         bb = (F.col("_prev_last").isNotNull() & (F.col("_first.ts") - F.col("_prev_last.ts") > F.lit(gap_ms))).cast(
             "int"
@@ -80,22 +106,51 @@ def link(rows: DataFrame, gap_ms: int | None = None, key_max: Sequence[str] = ()
     else:
         bb = F.lit(0)
     s = s.withColumn("_bb", bb)
-    ctx = s.select(
-        KEY,
-        "chunk",
-        "_prev_last",
-        "_next_first",
-        "_bb",
-        F.coalesce(F.sum(F.col("_bb") + F.col("_nib")).over(wk.rowsBetween(UNB, -1)), F.lit(0))
-        .cast("long")
-        .alias("trip_in"),
-        F.sum("_n").over(wall).alias("key_rows"),
-        *[F.max(f"_km_{c}").over(wall).alias(f"key_{c}") for c in key_max],
-    )
+    s = s.withColumn(
+        "trip_in",
+        F.coalesce(F.sum(F.col("_bb") + F.col("_nib")).over(wk.rowsBetween(UNB, -1)), F.lit(0)).cast("long"),
+    ).withColumn("key_rows", F.sum("_n").over(wall))
+    ctx_cols = ["_prev_last", "_next_first", "_bb", "trip_in", "key_rows", *[f"key_{c}" for c in key_max]]
+    if accept is not None:
+        first = F.col("_first")
+        fb_ok = F.coalesce(accept(F.col("_prev_last"), first["ts"], first["lat"], first["lon"]), F.lit(False))
+        s = s.withColumn("_fb", F.when(F.col("_prev_last").isNotNull() & (F.col("_bb") == 0) & fb_ok, 1).otherwise(0))
+        s = s.withColumn("_T", F.col("_fb") + F.col("_tot"))
+        # accepted count of the chunk's last trip piece (used when the chunk holds a break)
+        s = s.withColumn(
+            "_tail",
+            F.when(F.col("_nib") > 0, F.col("_tot") - F.col("_fr_lb")).otherwise(F.col("_T")),
+        ).withColumn("_hb", (F.col("_bb") == 1) | (F.col("_nib") > 0))
+        s = s.withColumn("_pt", F.sum("_T").over(wk.rowsBetween(UNB, CUR)))
+        s = s.withColumn(
+            "_lb",
+            F.last(F.when(F.col("_hb"), F.struct(F.col("_pt").alias("pt"), F.col("_tail").alias("tail"))), True).over(
+                wk.rowsBetween(UNB, CUR)
+            ),
+        )
+        seed_col = F.coalesce(F.col(f"key_{seed}"), F.lit(0)).cast("long") if seed else F.lit(0).cast("long")
+        s = s.withColumn("_seed", seed_col).withColumn(
+            "_out",
+            F.when(F.col("_lb").isNotNull(), F.col("_lb.tail") + F.col("_pt") - F.col("_lb.pt")).otherwise(
+                F.col("_seed") + F.col("_pt")
+            ),
+        )
+        s = s.withColumn("_carry", F.coalesce(F.lag("_out").over(wk), F.col("_seed")))
+        ctx_cols += ["_fb", "_carry"]
+    ctx = s.select(KEY, "chunk", *ctx_cols)
     out = r.join(ctx, [KEY, "chunk"], "inner")
     prev = F.coalesce(F.col("_pi"), F.col("_prev_last"))
     nxt = F.coalesce(F.col("_ni"), F.col("_next_first"))
     brk = F.when(F.col("_pi").isNull(), F.col("_bb")).otherwise(F.col("_ib")) == 1
+    extra = []
+    if accept is not None:
+        flag = F.when(F.col("_pi").isNull(), F.col("_fb")).otherwise(F.col("_fi"))
+        rank = (
+            F.when(F.col("_lbr").isNotNull(), F.col("_fr") - F.col("_lbr"))
+            .when(F.col("_bb") == 1, F.col("_fr"))
+            .otherwise(F.col("_carry") + F.col("_fb") + F.col("_fr"))
+        )
+        extra = [F.when(flag == 1, rank).cast("long").alias("trip_rank")]
     return out.select(
         *[c for c in r.columns if not c.startswith("_")],
         prev.alias("prev"),
@@ -105,43 +160,5 @@ def link(rows: DataFrame, gap_ms: int | None = None, key_max: Sequence[str] = ()
         "trip_in",
         "key_rows",
         *[f"key_{c}" for c in key_max],
+        *extra,
     )
-
-
-def rank_in_trip(linked: DataFrame, flag: str, seed: str | None = None) -> DataFrame:
-    """Running count of ``flag == 1`` rows within ``(vin, trip_no)`` in time order.
-
-    Adds ``trip_rank``: for a flagged row, the number of flagged rows of its
-    trip up to and including it, plus the per-vehicle ``seed`` column (the
-    readings an open trip already had). Counts from earlier chunks arrive as a
-    per-chunk carry computed on the chunk summary.
-    """
-    seed_col = F.col(seed) if seed else F.lit(0).cast("long")
-    wl = Window.partitionBy(KEY, "chunk", "trip_no").orderBy(*ORDER).rowsBetween(UNB, CUR)
-    d = linked.withColumn("_loc", F.sum(F.col(flag)).over(wl)).withColumn("_seed", F.coalesce(seed_col, F.lit(0)))
-    pieces = d.groupBy(KEY, "chunk", "trip_no").agg(
-        F.sum(F.col(flag)).alias("_cnt"), F.max("trip_in").alias("_ti"), F.max("_seed").alias("_sd")
-    )
-    per_chunk = pieces.groupBy(KEY, "chunk").agg(
-        F.sum("_cnt").alias("_tot"),
-        F.max_by("_cnt", "trip_no").alias("_tail"),
-        (F.max("trip_no") > F.max("_ti")).alias("_hb"),
-        F.max("_sd").alias("_sd"),
-    )
-    wk = Window.partitionBy(KEY).orderBy("chunk")
-    c1 = per_chunk.withColumn("_pt", F.sum("_tot").over(wk.rowsBetween(UNB, CUR)))
-    c2 = c1.withColumn(
-        "_lb",
-        F.last(F.when(F.col("_hb"), F.struct(F.col("_pt").alias("pt"), F.col("_tail").alias("tail"))), True).over(
-            wk.rowsBetween(UNB, CUR)
-        ),
-    ).withColumn(
-        "_out",
-        F.when(F.col("_lb").isNotNull(), F.col("_lb.tail") + F.col("_pt") - F.col("_lb.pt")).otherwise(
-            F.col("_sd") + F.col("_pt")
-        ),
-    )
-    ctx = c2.select(KEY, "chunk", F.coalesce(F.lag("_out").over(wk), F.col("_sd")).alias("_carry"))
-    j = d.join(ctx, [KEY, "chunk"], "inner")
-    rank = F.when(F.col("trip_no") == F.col("trip_in"), F.col("_carry") + F.col("_loc")).otherwise(F.col("_loc"))
-    return j.withColumn("trip_rank", rank.cast("long")).drop("_loc", "_seed", "_carry")

@@ -57,6 +57,18 @@ def bridge_rows(current_trips: DataFrame) -> DataFrame:
     )
 
 
+def segment_verdict(p: Params):
+    """``accept(prev, ts, lat, lon)``: the segment from ``prev`` passes both rejection rules."""
+
+    def accept(prev: Column, ts: Column, lat: Column, lon: Column) -> Column:
+        dist = haversine_m(prev["lat"], prev["lon"], lat, lon, p.earth_radius_m)
+        kph = speed_kph(dist, prev["ts"], ts)
+        anomaly, jump = _rejections(dist, kph, dt_seconds(prev["ts"], ts), p)
+        return ~anomaly & ~jump
+
+    return accept
+
+
 def _rejections(dist: Column, kph: Column, dt: Column, p: Params) -> tuple[Column, Column]:
     anomaly = kph > F.lit(p.anomaly_speed_kph)  # NaN compares greater: rejected too
     jump = (~anomaly) & (dist > F.lit(p.jump_distance_m)) & (dt < F.lit(p.jump_window_s))
@@ -88,8 +100,15 @@ def with_segments(linked: DataFrame, p: Params) -> DataFrame:
 
 
 def linked_segments(rows: DataFrame, p: Params, gap_ms: int | None = None) -> DataFrame:
-    """Chunk, link and measure: one row per fix with its incoming segment."""
-    linked = chunked.link(chunked.add_chunk(rows, p.chunk_ms), gap_ms=gap_ms, key_max=["seed_n"])
+    """Chunk, link and measure: one row per fix with its incoming segment and its
+    ``trip_rank`` among the trip's accepted segments (seeded by an open trip)."""
+    linked = chunked.link(
+        chunked.add_chunk(rows, p.chunk_ms),
+        gap_ms=gap_ms,
+        key_max=["seed_n"],
+        accept=segment_verdict(p),
+        seed="seed_n",
+    )
     return with_segments(linked, p)
 
 

@@ -85,8 +85,7 @@ def trip_columns(agg: DataFrame) -> DataFrame:
 def rolled_trips(rows: DataFrame, p: Params, gap_ms: int | None) -> tuple[DataFrame, DataFrame]:
     """(per-fix segments, per-trip roll-ups) for rows in the :mod:`chunked` contract."""
     segs = linked_segments(rows, p, gap_ms=gap_ms)
-    ranked = chunked.rank_in_trip(segs, "accepted", seed="key_seed_n")
-    return segs, trip_columns(trip_aggregates(ranked, p))
+    return segs, trip_columns(trip_aggregates(segs, p))
 
 
 def trip_rollup(positions: DataFrame, p: Params) -> DataFrame:

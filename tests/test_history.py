@@ -105,3 +105,19 @@ def test_fleet_helper_runs_are_deterministic(spark):
     f.send(k(0, 1000), k(1, 2000), k(3, 3000))
     f.run(4000)
     assert f.trip()["total_readings"] == 2
+
+
+@pytest.mark.parametrize("chunk_ms", [1, 3_600_000, 86_400_000, 86_400_000 * 400])
+def test_trip_rank_matches_brute_force(spark, chunk_ms):
+    """trip_rank (carried across chunks, reset at gap breaks) = running count per trip."""
+    from pyspark.sql import Window
+
+    pos = events.events_positions(spark, SF)
+    p = Params(trip_timeout_ms=6 * 3_600_000, chunk_ms=chunk_ms)  # many breaks inside and between chunks
+    segs = trips.linked_segments(trips.fix_rows(pos), p, gap_ms=p.trip_timeout_ms)
+    w = Window.partitionBy("vin", "trip_no").orderBy("ts", "seq").rowsBetween(Window.unboundedPreceding, 0)
+    brute = segs.withColumn("b", F.sum("accepted").over(w))
+    bad = brute.filter((F.col("accepted") == 1) & ~F.col("trip_rank").eqNullSafe(F.col("b"))).count()
+    assert bad == 0
+    assert brute.filter((F.col("accepted") == 0) & F.col("trip_rank").isNotNull()).count() == 0
+    assert segs.select("trip_no").distinct().count() > 5
