@@ -133,3 +133,21 @@ def test_trip_rank_matches_brute_force(spark, chunk_ms):
     assert bad == 0
     assert brute.filter((F.col("accepted") == 0) & F.col("trip_rank").isNotNull()).count() == 0
     assert segs.select("trip_no").distinct().count() > 5
+
+
+def test_one_vehicle_spreads_over_tasks(spark):
+    """All rows of one vehicle (a hot key) land in many partitions after the row shuffle."""
+    fixes = [k(i % 50, i * 60_000) for i in range(2000)]  # 2000 fixes over ~33 hours
+    pos = _positions(spark, fixes)
+    segs = trips.linked_segments(trips.fix_rows(pos), Params(chunk_ms=3_600_000), gap_ms=None)
+    key = "spark.sql.adaptive.coalescePartitions.enabled"  # AQE would merge a tiny shuffle into one task
+    spark.conf.set(key, "false")
+    try:
+        parts = segs.select(F.spark_partition_id().alias("p")).distinct().count()
+    finally:
+        spark.conf.set(key, "true")
+    assert parts >= 4
+    # and the answer is the same as with everything in one chunk
+    one = trips.trip_rollup(pos, Params(chunk_ms=10**13)).collect()
+    many = trips.trip_rollup(pos, Params(chunk_ms=3_600_000)).collect()
+    assert same_rows([tuple(r) for r in one], [tuple(r) for r in many])
