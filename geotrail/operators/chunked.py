@@ -47,7 +47,7 @@ def link(
     gap_ms: int | None = None,
     key_max: Sequence[str] = (),
     accept: Callable[[Column, Column, Column, Column], Column] | None = None,
-    seed: str | None = None,
+    seed_counts: DataFrame | None = None,
 ) -> DataFrame:
     """Attach each row's neighbours across chunk boundaries, trip numbers and ranks.
 
@@ -61,11 +61,16 @@ def link(
     With ``accept(prev, ts, lat, lon)`` (a boolean verdict on the segment
     from ``prev`` to the row) it also adds ``trip_rank``: for a row whose
     incoming segment lies in its trip and is accepted, the number of such
-    rows of the trip up to it, plus the vehicle's ``key_<seed>`` (readings an
-    open trip already had). Segments inside a chunk are judged before the
+    rows of the trip up to it, plus the vehicle's ``seed_n`` from
+    ``seed_counts`` (vin, seed_n: readings an open trip already had; joined to
+    the summary, one row per vehicle). Segments inside a chunk are judged before the
     join; each chunk's first segment is judged on the summary, where both of
     its ends are known, so the running counts need no second pass.
     """
+    # Stated explicitly so both uses of ``r`` below (the summary and the rows it
+    # is joined back to) have identical plans and share one shuffle; the inner
+    # join would otherwise add this filter to one side only.
+    rows = rows.filter(F.col(KEY).isNotNull() & F.col("chunk").isNotNull())
     w = Window.partitionBy(KEY, "chunk").orderBy(*ORDER)
     wrun = w.rowsBetween(UNB, CUR)
     r = rows.withColumn("_pi", F.lag(point()).over(w)).withColumn("_ni", F.lead(point()).over(w))
@@ -128,7 +133,11 @@ def link(
                 wk.rowsBetween(UNB, CUR)
             ),
         )
-        seed_col = F.coalesce(F.col(f"key_{seed}"), F.lit(0)).cast("long") if seed else F.lit(0).cast("long")
+        if seed_counts is not None:
+            s = s.join(seed_counts.select(KEY, F.col("seed_n").alias("_sn")), KEY, "left")
+            seed_col = F.coalesce(F.col("_sn"), F.lit(0)).cast("long")
+        else:
+            seed_col = F.lit(0).cast("long")
         s = s.withColumn("_seed", seed_col).withColumn(
             "_out",
             F.when(F.col("_lb").isNotNull(), F.col("_lb.tail") + F.col("_pt") - F.col("_lb.pt")).otherwise(

@@ -9,17 +9,6 @@ from geotrail.config import Params
 from geotrail.functions.geo import dt_seconds, haversine_m, java_round2, speed_kph
 from geotrail.operators import chunked
 
-SEED_COLUMNS = [
-    "seed_start_ts",
-    "seed_start_lat",
-    "seed_start_lon",
-    "seed_distance",
-    "seed_avg",
-    "seed_max",
-    "seed_n",
-]
-
-
 def fix_rows(positions: DataFrame) -> DataFrame:
     """Stored fixes in the row contract of :mod:`chunked` (not bridge rows)."""
     seq = F.col("arrival_seq") if "arrival_seq" in positions.columns else F.lit(0).cast("long")
@@ -30,16 +19,11 @@ def fix_rows(positions: DataFrame) -> DataFrame:
         F.col("latitude").alias("lat"),
         F.col("longitude").alias("lon"),
         F.lit(False).alias("is_bridge"),
-        *[F.lit(None).cast("double" if c not in ("seed_start_ts", "seed_n") else "long").alias(c) for c in SEED_COLUMNS],
     )
 
 
 def bridge_rows(current_trips: DataFrame) -> DataFrame:
-    """Each open trip's last accepted point as a leading, already-processed fix.
-
-    The row also carries the trip's running totals (``seed_*``) so the roll-up
-    needs no join with the trip table.
-    """
+    """Each open trip's last accepted point as a leading, already-processed fix."""
     return current_trips.select(
         F.col("vin"),
         F.col("last_update_timestamp").alias("ts"),
@@ -47,6 +31,18 @@ def bridge_rows(current_trips: DataFrame) -> DataFrame:
         F.col("last_lat").alias("lat"),
         F.col("last_lon").alias("lon"),
         F.lit(True).alias("is_bridge"),
+    )
+
+
+def seed_table(current_trips: DataFrame) -> DataFrame:
+    """The open trips' running totals, one row per vehicle, that seed the roll-up.
+
+    They join the per-chunk summary (reading count, for ranks) and the
+    per-trip result, never the rows: the rows stay narrow and identical in
+    every branch of the plan, so their shuffle is shared.
+    """
+    return current_trips.select(
+        F.col("vin"),
         F.col("trip_start_timestamp").alias("seed_start_ts"),
         F.col("start_lat").alias("seed_start_lat"),
         F.col("start_lon").alias("seed_start_lon"),
@@ -99,22 +95,28 @@ def with_segments(linked: DataFrame, p: Params) -> DataFrame:
     return d.withColumn("next_accepted", F.when(nxt.isNotNull(), ~n_anom & ~n_jump))
 
 
-def linked_segments(rows: DataFrame, p: Params, gap_ms: int | None = None) -> DataFrame:
+def linked_segments(
+    rows: DataFrame, p: Params, gap_ms: int | None = None, seeds: DataFrame | None = None
+) -> DataFrame:
     """Chunk, link and measure: one row per fix with its incoming segment and its
-    ``trip_rank`` among the trip's accepted segments (seeded by an open trip)."""
+    ``trip_rank`` among the trip's accepted segments (after the open trip's
+    readings, from ``seeds``)."""
     linked = chunked.link(
         chunked.add_chunk(rows, p.chunk_ms),
         gap_ms=gap_ms,
-        key_max=["seed_n"],
         accept=segment_verdict(p),
-        seed="seed_n",
+        seed_counts=None if seeds is None else seeds.select("vin", "seed_n"),
     )
     return with_segments(linked, p)
 
 
 def alerts_from_segments(segs: DataFrame, p: Params) -> DataFrame:
     """Speed alerts: accepted segments faster than the limit, at the segment's end fix."""
-    return segs.filter((F.col("accepted") == 1) & (F.col("seg_kph") > F.lit(p.speed_limit_kph))).select(
+    # (bridge rows never end a segment; naming the column keeps the row columns
+    # of every plan branch identical, so one shuffle of the rows serves all)
+    return segs.filter(
+        (F.col("accepted") == 1) & (F.col("seg_kph") > F.lit(p.speed_limit_kph)) & ~F.col("is_bridge")
+    ).select(
         "vin",
         F.col("ts").alias("timestamp"),
         F.col("lat").alias("latitude"),

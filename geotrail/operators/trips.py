@@ -10,7 +10,7 @@ from geotrail.config import Params
 from geotrail.functions.fold import rounded_mean_fold
 from geotrail.functions.geo import duration_minutes, java_round2
 from geotrail.operators import chunked
-from geotrail.operators.segments import SEED_COLUMNS, fix_rows, linked_segments
+from geotrail.operators.segments import fix_rows, linked_segments
 
 TRIP_COLUMNS = [
     "vin",
@@ -49,12 +49,30 @@ def trip_aggregates(ranked: DataFrame, p: Params) -> DataFrame:
         F.collect_list(F.when(cand, F.struct(F.col("ts"), F.col("seq"), F.col("seg_kph").alias("v")))).alias(
             "fold_in"
         ),
-        *[F.max(c).alias(c) for c in SEED_COLUMNS],
     )
 
 
-def trip_columns(agg: DataFrame) -> DataFrame:
-    """Apply the roll-up rules to the aggregates (seeded from an open trip if any)."""
+SEED_NAMES = [
+    "seed_start_ts",
+    "seed_start_lat",
+    "seed_start_lon",
+    "seed_distance",
+    "seed_avg",
+    "seed_max",
+    "seed_n",
+]
+
+
+def trip_columns(agg: DataFrame, seeds: DataFrame | None = None) -> DataFrame:
+    """Apply the roll-up rules to the aggregates, seeded by the open trip (if any).
+
+    ``seeds`` has one row per vehicle (see ``segments.seed_table``); the join
+    is between two per-vehicle tables.
+    """
+    if seeds is not None:
+        agg = agg.join(seeds, "vin", "left")
+    else:
+        agg = agg.select("*", *[F.lit(None).cast("long" if c in ("seed_start_ts", "seed_n") else "double").alias(c) for c in SEED_NAMES])
     first = F.col("first")
     last = F.coalesce(F.col("last_acc"), first)
     seed_n = F.coalesce(F.col("seed_n"), F.lit(0).cast("long"))

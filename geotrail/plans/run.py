@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from geotrail.config import DEFAULT, Params
 from geotrail.functions.geo import duration_minutes
 from geotrail.operators import chunked
-from geotrail.operators.segments import alerts_from_segments, bridge_rows, fix_rows, linked_segments
+from geotrail.operators.segments import alerts_from_segments, bridge_rows, fix_rows, linked_segments, seed_table
 from geotrail.operators.trips import TRIP_COLUMNS, trip_aggregates, trip_columns
 from geotrail.schema import COMPLETED_TRIP_COLUMNS
 
@@ -69,8 +69,9 @@ def run_batch(
 ) -> RunResult:
     rows = late_discard(positions, current_trips, p)
     kept = rows.filter(~F.col("is_late")).drop("is_late")
-    segs = linked_segments(kept, p, gap_ms=None).withColumn("gated_in", F.col("key_rows") >= 2)
-    t = trip_columns(trip_aggregates(segs, p))
+    seeds = seed_table(current_trips)
+    segs = linked_segments(kept, p, gap_ms=None, seeds=seeds).withColumn("gated_in", F.col("key_rows") >= 2)
+    t = trip_columns(trip_aggregates(segs, p), seeds)
 
     gated_in = F.col("n_rows") >= 2
     timed_out = ~gated_in & F.col("has_bridge") & (

@@ -58,7 +58,10 @@ def test_jump_rule_g13(spark):
 
 @pytest.mark.parametrize("kph, alert", [(120.0, None), (120.001, 120.0), (300.0, 300.0)])
 def test_alert_threshold_g14(spark, kph, alert):
-    segs = spark.createDataFrame([("V", 1, 1.0, 2.0, 1, kph)], "vin string, ts long, lat double, lon double, accepted int, seg_kph double")
+    segs = spark.createDataFrame(
+        [("V", 1, 1.0, 2.0, 1, kph, False)],
+        "vin string, ts long, lat double, lon double, accepted int, seg_kph double, is_bridge boolean",
+    )
     got = [r.computed_speed_kph for r in alerts_from_segments(segs, Params()).collect()]
     assert got == ([] if alert is None else [alert])
 
