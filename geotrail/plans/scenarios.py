@@ -79,17 +79,20 @@ def _persisted(r: RunResult, base: str, k: int) -> RunResult:
 
 
 def run_chain(spark: SparkSession, sf_dir: str, p: Params = EVENTS_PARAMS, upto: int = 3) -> Chain:
-    """Runs 1..``upto``; each run's open trips and processed marks are written to
-    the shared checkpoint folder and read back, as the next run would read them
-    from the store."""
+    """Runs 1..``upto``. A run that feeds a later run has its outputs written to the
+    shared checkpoint folder and read back, as the next run would read them from
+    the store; the last run stays lazy."""
     base = scratch_path(spark, "chain")
     first, everything = events.events_run_split(spark, sf_dir)
-    r1 = _persisted(run_batch(first, empty(spark, CURRENT_TRIPS), RUN1_AS_OF_MS, p), base, 1)
-    pos2 = apply_processed(everything, r1.processed)
+    r1 = run_batch(first, empty(spark, CURRENT_TRIPS), RUN1_AS_OF_MS, p)
     r2 = r3 = pos3 = None
     if upto >= 2:
-        r2 = _persisted(run_batch(pos2, r1.current_trips, RUN2_AS_OF_MS, p), base, 2)
-        pos3 = apply_processed(everything, r1.processed.unionByName(r2.processed))
+        r1 = _persisted(r1, base, 1)
+    pos2 = apply_processed(everything, r1.processed)
+    if upto >= 2:
+        r2 = run_batch(pos2, r1.current_trips, RUN2_AS_OF_MS, p)
     if upto >= 3:
+        r2 = _persisted(r2, base, 2)
+        pos3 = apply_processed(everything, r1.processed.unionByName(r2.processed))
         r3 = run_batch(pos3, r2.current_trips, RUN3_AS_OF_MS, p)
     return Chain(r1, r2, r3, pos2, pos3)
