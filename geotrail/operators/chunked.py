@@ -48,6 +48,7 @@ def link(
     key_max: Sequence[str] = (),
     accept: Callable[[Column, Column, Column, Column], Column] | None = None,
     seed_counts: DataFrame | None = None,
+    drop_before_bridge: bool = False,
 ) -> DataFrame:
     """Attach each row's neighbours across chunk boundaries, trip numbers and ranks.
 
@@ -66,6 +67,11 @@ def link(
     the summary, one row per vehicle). Segments inside a chunk are judged before the
     join; each chunk's first segment is judged on the summary, where both of
     its ends are known, so the running counts need no second pass.
+
+    With ``drop_before_bridge`` rows that sort before their vehicle's bridge
+    row (``is_bridge``) are left out: inside the bridge's chunk by a running
+    window, earlier chunks on the summary (their rows then find no match in
+    the join back). This is the late-data rule without a join against state.
     """
     # Stated explicitly so both uses of ``r`` below (the summary and the rows it
     # is joined back to) have identical plans and share one shuffle; the inner
@@ -73,6 +79,14 @@ def link(
     rows = rows.filter(F.col(KEY).isNotNull() & F.col("chunk").isNotNull())
     w = Window.partitionBy(KEY, "chunk").orderBy(*ORDER)
     wrun = w.rowsBetween(UNB, CUR)
+    if drop_before_bridge:
+        b = F.col("is_bridge").cast("int")
+        rows = (
+            rows.withColumn("_seen_b", F.max(b).over(wrun))
+            .withColumn("_chunk_b", F.max(b).over(w.rowsBetween(UNB, Window.unboundedFollowing)))
+            .filter((F.col("_chunk_b") == 0) | (F.col("_seen_b") == 1))
+            .drop("_seen_b", "_chunk_b")
+        )
     r = rows.withColumn("_pi", F.lag(point()).over(w)).withColumn("_ni", F.lead(point()).over(w))
     if gap_ms is not None:
         r = r.withColumn(
@@ -94,11 +108,16 @@ def link(
         F.sum("_ib").alias("_nib"),
         *[F.max(c).alias(f"_km_{c}") for c in key_max],
     ]
+    if drop_before_bridge:
+        aggs.append(F.max(F.col("is_bridge").cast("int")).alias("_has_b"))
     if accept is not None:
         aggs += [F.sum("_fi").alias("_tot"), F.max(F.when(F.col("_ib") == 1, F.col("_fr"))).alias("_fr_lb")]
     summary = r.groupBy(KEY, "chunk").agg(*aggs)
     wk = Window.partitionBy(KEY).orderBy("chunk")
     wall = Window.partitionBy(KEY)
+    if drop_before_bridge:
+        bc = F.max(F.when(F.col("_has_b") == 1, F.col("chunk"))).over(wall)
+        summary = summary.withColumn("_bc", bc).filter(F.col("_bc").isNull() | (F.col("chunk") >= F.col("_bc")))
     s = summary.withColumn("_prev_last", F.lag("_last").over(wk)).withColumn(
         "_next_first", F.lead("_first").over(wk)
     )

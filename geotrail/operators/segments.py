@@ -22,12 +22,17 @@ def fix_rows(positions: DataFrame) -> DataFrame:
     )
 
 
+# A bridge row sorts after every fix with its timestamp: fixes at or before
+# the open trip's last update (late ones) are then exactly those before it.
+BRIDGE_SEQ = 9223372036854775807
+
+
 def bridge_rows(current_trips: DataFrame) -> DataFrame:
     """Each open trip's last accepted point as a leading, already-processed fix."""
     return current_trips.select(
         F.col("vin"),
         F.col("last_update_timestamp").alias("ts"),
-        F.lit(-1).cast("long").alias("seq"),
+        F.lit(BRIDGE_SEQ).cast("long").alias("seq"),
         F.col("last_lat").alias("lat"),
         F.col("last_lon").alias("lon"),
         F.lit(True).alias("is_bridge"),
@@ -96,7 +101,11 @@ def with_segments(linked: DataFrame, p: Params) -> DataFrame:
 
 
 def linked_segments(
-    rows: DataFrame, p: Params, gap_ms: int | None = None, seeds: DataFrame | None = None
+    rows: DataFrame,
+    p: Params,
+    gap_ms: int | None = None,
+    seeds: DataFrame | None = None,
+    drop_late: bool = False,
 ) -> DataFrame:
     """Chunk, link and measure: one row per fix with its incoming segment and its
     ``trip_rank`` among the trip's accepted segments (after the open trip's
@@ -106,6 +115,7 @@ def linked_segments(
         gap_ms=gap_ms,
         accept=segment_verdict(p),
         seed_counts=None if seeds is None else seeds.select("vin", "seed_n"),
+        drop_before_bridge=drop_late,
     )
     return with_segments(linked, p)
 

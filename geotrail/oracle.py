@@ -297,7 +297,7 @@ r{k}_rows AS (
          NULL::DOUBLE AS seed_distance, NULL::DOUBLE AS seed_avg, NULL::DOUBLE AS seed_max, NULL::BIGINT AS seed_n
   FROM {pos} WHERE NOT processed
   UNION ALL
-  SELECT vin, last_update_timestamp, -1, last_lat, last_lon, true, trip_start_timestamp, start_lat, start_lon,
+  SELECT vin, last_update_timestamp, 9223372036854775807, last_lat, last_lon, true, trip_start_timestamp, start_lat, start_lon,
          total_distance_meters, average_speed_kph, max_speed_kph, total_readings::BIGINT
   FROM {state}),
 r{k}_lu AS (
@@ -359,7 +359,7 @@ def q_late_discard() -> str:
 
 def q_segments_with_bridge() -> str:
     return f"""{chain(2)},
-sb AS (SELECT vin, pts AS from_ts, ts AS to_ts, (lag(seq) OVER (PARTITION BY vin ORDER BY ts, seq) = -1) AS from_bridge,
+sb AS (SELECT vin, pts AS from_ts, ts AS to_ts, (lag(seq) OVER (PARTITION BY vin ORDER BY ts, seq) = 9223372036854775807) AS from_bridge,
               seg_m AS distance_m, seg_kph AS speed_kph, acc AS accepted, has_segment FROM r2_seg)
 {final('sb', ['vin', 'from_ts', 'to_ts', 'from_bridge', 'distance_m', 'speed_kph', 'accepted'], ['distance_m', 'speed_kph'], 'has_segment')}"""
 

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from geotrail.config import EVENTS_PARAMS as P
 from geotrail.functions.geo import round_half_up
 from geotrail.operators import trips
-from geotrail.operators.segments import fix_rows, linked_segments, segment_table
+from geotrail.operators.segments import BRIDGE_SEQ, fix_rows, linked_segments, segment_table
 from geotrail.plans import scenarios, views
 from geotrail.plans.scenarios import RUN3_AS_OF_MS
 from geotrail.sources import events, ingest
@@ -162,7 +162,7 @@ def segments_with_bridge(spark: SparkSession, sf_dir: str) -> DataFrame:
             "vin",
             F.col("prev.ts").alias("from_ts"),
             F.col("ts").alias("to_ts"),
-            (F.col("prev.seq") == -1).alias("from_bridge"),
+            (F.col("prev.seq") == F.lit(BRIDGE_SEQ)).alias("from_bridge"),
             F.col("seg_m").alias("distance_m"),
             F.col("seg_kph").alias("speed_kph"),
             (F.col("accepted") == 1).alias("accepted"),

@@ -15,6 +15,8 @@ clock. Per vehicle it reproduces the reference's run:
 All vehicles run in one plan: fixes and bridge rows are shuffled once on
 ``(vin, time chunk)``; per-vehicle context travels through chunk summaries
 (see :mod:`geotrail.operators.chunked`), so no vehicle is confined to a task.
+Late fixes are those sorting before the vehicle's bridge row, so the late
+rule needs no join with the trip table either.
 """
 
 from __future__ import annotations
@@ -43,7 +45,9 @@ class RunResult:
 
 
 def late_discard(positions: DataFrame, current_trips: DataFrame, p: Params = DEFAULT) -> DataFrame:
-    """Unprocessed fixes plus bridge rows, with ``is_late`` set (not yet filtered).
+    """F2 / J1 as a stand-alone query: unprocessed fixes plus bridge rows with ``is_late``.
+
+    (``run_batch`` applies the same rule inside its scan, see above.)
 
     The open trip's ``last_update_timestamp`` reaches the rows through the
     distinct ``(vin, chunk)`` pairs of the fixes -- a join bounded per vehicle
@@ -67,10 +71,12 @@ def late_discard(positions: DataFrame, current_trips: DataFrame, p: Params = DEF
 def run_batch(
     positions: DataFrame, current_trips: DataFrame, as_of_ms: int, p: Params = DEFAULT
 ) -> RunResult:
-    rows = late_discard(positions, current_trips, p)
-    kept = rows.filter(~F.col("is_late")).drop("is_late")
+    fixes = fix_rows(positions.filter(~F.col("processed")))
+    rows = chunked.add_chunk(fixes.unionByName(bridge_rows(current_trips)), p.chunk_ms)
     seeds = seed_table(current_trips)
-    segs = linked_segments(kept, p, gap_ms=None, seeds=seeds).withColumn("gated_in", F.col("key_rows") >= 2)
+    segs = linked_segments(rows, p, gap_ms=None, seeds=seeds, drop_late=True).withColumn(
+        "gated_in", F.col("key_rows") >= 2
+    )
     t = trip_columns(trip_aggregates(segs, p), seeds)
 
     gated_in = F.col("n_rows") >= 2

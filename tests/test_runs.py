@@ -250,3 +250,16 @@ def test_chunk_width_does_not_change_runs(spark, chunk_ms):
     assert (t["trip_start_timestamp"], t["last_update_timestamp"], t["total_readings"]) == (10_000, 16_000, 4)
     assert t["total_distance_meters"] == approx(11.1195 * 7, 1e-2)
     assert [(a["timestamp"], a["computed_speed_kph"]) for a in out["alerts"]] == [(16_000, 160.12)]
+
+
+@pytest.mark.parametrize("chunk_ms", [1, 1500, 10**12])
+def test_late_rule_ties_and_earlier_chunks(spark, chunk_ms):
+    """Fixes at or before the open trip's last update are late, also at equal time."""
+    f = Fleet(spark, params=Params(chunk_ms=chunk_ms))
+    f.set_trip(**{**state_e(10_000), "last_lat": 30.266, "last_lon": -97.73})
+    f.send(k(0, 5000), k(3, 10_000), k(1, 10_500), k(2, 11_000))
+    f.run(12_000)
+    t = f.trip()
+    assert f.unprocessed() == {5000, 10_000}
+    assert (t["last_update_timestamp"], t["total_readings"]) == (11_000, 5)
+    assert t["total_distance_meters"] == approx(10_000 + 2 * 11.1195, 1e-2)
