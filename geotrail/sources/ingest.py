@@ -94,8 +94,15 @@ def ingest_outcomes(positions: DataFrame, stored: DataFrame | None = None) -> Da
     first_seq = F.min("arrival_seq").over(w)
     marked = positions.select(*KEY, "arrival_seq", (F.col("arrival_seq") == first_seq).alias("_first"))
     if stored is not None:
-        known = stored.select(*KEY).distinct().withColumn("_known", F.lit(True))
-        marked = marked.join(known, KEY, "left")
+        if "event_date" in stored.columns:
+            # read only the stored date partitions this batch touches (dynamic pruning)
+            marked = with_event_date(marked)
+            dates = marked.select("event_date").distinct()
+            known = stored.join(dates, "event_date", "left_semi").select(*KEY, "event_date").distinct()
+            marked = marked.join(known.withColumn("_known", F.lit(True)), [*KEY, "event_date"], "left")
+        else:
+            known = stored.select(*KEY).distinct().withColumn("_known", F.lit(True))
+            marked = marked.join(known, KEY, "left")
         ok = F.col("_first") & F.col("_known").isNull()
     else:
         ok = F.col("_first")
