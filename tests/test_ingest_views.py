@@ -1,14 +1,13 @@
 """Ingest (I1-I3), rejection thresholds, read views."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from geotrail.config import Params
 from geotrail.operators.segments import alerts_from_segments, fix_rows, linked_segments, segment_table
 from geotrail.plans import views
 from geotrail.schema import CAR_POSITIONS, COMPLETED_TRIPS, CURRENT_TRIPS, POSITIONS_RAW, SPEED_ALERTS, empty
 from geotrail.sources import ingest
-from tests.helpers import Fleet, k
+from tests.helpers import Fleet
 
 
 def raw(spark, rows):

@@ -67,3 +67,24 @@ def test_stream_event_time_timeout_and_pending(spark):
         ("VIN000001", 1000, 2000, 1)
     ]
     assert open_trips(out).count() == 0
+
+
+def test_stream_dedupe_keeps_first_arrival(spark):
+    from geotrail.sources import ingest
+
+    base = tempfile.mkdtemp(prefix="geotrail-stream-", dir="/tmp")
+    src, out_dir, ckpt = (os.path.join(base, x) for x in ("src", "out", "ckpt"))
+    _write_batch(spark, src, [k(0, 1000), k(1, 2000)])
+    _write_batch(spark, src, [(1000, 31.0, -97.73), k(2, 3000)], seq0=10)  # 1000 re-sent later
+    df = spark.readStream.schema(CAR_POSITIONS).option("maxFilesPerTrigger", 1).parquet(src)
+    q = (
+        ingest.dedupe_stream(df, "1 hour")
+        .writeStream.format("parquet")
+        .option("path", out_dir)
+        .option("checkpointLocation", ckpt)
+        .trigger(availableNow=True)
+        .start()
+    )
+    assert q.awaitTermination(180)
+    got = sorted((r.timestamp, round(r.latitude, 6)) for r in spark.read.parquet(out_dir).collect())
+    assert got == [(1000, 30.266), (2000, 30.2661), (3000, 30.2662)]
