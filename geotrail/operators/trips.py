@@ -121,11 +121,16 @@ def trip_segmentation(positions: DataFrame, p: Params, as_of_ms: int) -> DataFra
     Each trip is rolled up like one run; trips of a single fix yield no row.
     The vehicle's last trip is open while ``as_of_ms - last update <= timeout``.
     """
-    _, trips = rolled_trips(fix_rows(positions), p, gap_ms=p.trip_timeout_ms)
+    return history(positions, p, as_of_ms)[1]
+
+
+def history(positions: DataFrame, p: Params, as_of_ms: int) -> tuple[DataFrame, DataFrame]:
+    """(in-trip segments, trips) of the whole history from one linking pass."""
+    segs, trips = rolled_trips(fix_rows(positions), p, gap_ms=p.trip_timeout_ms)
     last_trip = F.max("trip_no").over(Window.partitionBy("vin"))
     t = trips.withColumn("_last", F.col("trip_no") == last_trip).filter(F.col("n_rows") >= 2)
     is_open = F.col("_last") & (F.lit(as_of_ms) - F.col("last_update_timestamp") <= F.lit(p.trip_timeout_ms))
-    return t.select(
+    out = t.select(
         "vin",
         "trip_no",
         "trip_start_timestamp",
@@ -141,6 +146,7 @@ def trip_segmentation(positions: DataFrame, p: Params, as_of_ms: int) -> DataFra
         duration_minutes("trip_start_timestamp", "last_update_timestamp").alias("duration_minutes"),
         is_open.alias("is_open"),
     )
+    return segs, out
 
 
 def history_alerts(positions: DataFrame, p: Params) -> DataFrame:
