@@ -23,6 +23,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -80,22 +81,6 @@ def _r2(x: float) -> float:
     return (f + (1 if y - f >= 0.5 else 0)) / 100.0
 
 
-def _haversine(lat1, lon1, lat2, lon2, radius):
-    hd = ((lat2 - lat1) * DEG_TO_RAD) / 2
-    hl = ((lon2 - lon1) * DEG_TO_RAD) / 2
-    a = math.sin(hd) * math.sin(hd) + (math.cos(lat1 * DEG_TO_RAD) * math.cos(lat2 * DEG_TO_RAD)) * math.sin(
-        hl
-    ) * math.sin(hl)
-    if a > 1.0:  # antipodal rounding: treat as NaN like the column expression would
-        return float("nan")
-    return radius * 2 * math.atan2(math.sqrt(a), math.sqrt(1.0 - a))
-
-
-def _speed(m, t1, t2):
-    dt = (t2 - t1) / 1000.0
-    return 0.0 if dt <= 0 else (m / dt) * 3.6
-
-
 def _row(kind: str, vin: str, **kw) -> dict:
     r = {n: None for n in OUT_NAMES}
     r.update(kind=kind, vin=vin, **kw)
@@ -108,28 +93,51 @@ def _completed(vin: str, trip: dict) -> dict:
 
 
 def _fold(vin: str, trip: dict, pts: list[tuple], p: Params) -> list[dict]:
-    """Fold consecutive points into ``trip`` (in place); returns alert rows."""
-    alerts = []
-    for (t1, _, la1, lo1), (t2, _, la2, lo2) in zip(pts, pts[1:]):
-        m = _haversine(la1, lo1, la2, lo2, p.earth_radius_m)
-        v = _speed(m, t1, t2)
-        if math.isnan(v) or v > p.anomaly_speed_kph:
-            continue
-        if m > p.jump_distance_m and (t2 - t1) / 1000.0 < p.jump_window_s:
-            continue
-        trip["total_distance_meters"] += m
-        trip["total_readings"] += 1
-        n = trip["total_readings"]
-        trip["last_update_timestamp"], trip["last_lat"], trip["last_lon"] = t2, la2, lo2
-        if v > trip["max_speed_kph"]:
-            trip["max_speed_kph"] = _r2(v)
-        trip["average_speed_kph"] = _r2((trip["average_speed_kph"] * (n - 1) + v) / n)
-        if v > p.speed_limit_kph:
-            alerts.append(
-                _row("alert", vin, timestamp=t2, latitude=la2, longitude=lo2, computed_speed_kph=_r2(v),
-                     speed_limit_kph=float(p.speed_limit_kph))
-            )
-    return alerts
+    """Fold consecutive points into ``trip`` (in place); returns alert rows.
+
+    Distances, speeds and verdicts of all segments are computed as NumPy
+    arrays; only the rounded running mean is a loop, and it stops at the
+    fold horizon (after that many readings the mean cannot move).
+    """
+    if len(pts) < 2:
+        return []
+    arr = np.asarray([(t, la, lo) for t, _, la, lo in pts], dtype=np.float64)
+    ts = np.asarray([t for t, _, _, _ in pts], dtype=np.int64)
+    la1, la2 = arr[:-1, 1], arr[1:, 1]
+    lo1, lo2 = arr[:-1, 2], arr[1:, 2]
+    hd = ((la2 - la1) * DEG_TO_RAD) / 2
+    hl = ((lo2 - lo1) * DEG_TO_RAD) / 2
+    a = np.sin(hd) * np.sin(hd) + (np.cos(la1 * DEG_TO_RAD) * np.cos(la2 * DEG_TO_RAD)) * np.sin(hl) * np.sin(hl)
+    with np.errstate(invalid="ignore"):
+        m = (p.earth_radius_m * 2) * np.arctan2(np.sqrt(a), np.sqrt(1.0 - a))
+        dt = (ts[1:] - ts[:-1]) / 1000.0
+        v = np.where(dt <= 0, 0.0, (m / np.where(dt <= 0, 1.0, dt)) * 3.6)
+        anomaly = np.isnan(v) | (v > p.anomaly_speed_kph)
+        jump = (m > p.jump_distance_m) & (dt < p.jump_window_s)
+    acc = ~anomaly & ~jump
+    idx = np.flatnonzero(acc)
+    if idx.size == 0:
+        return []
+    n0 = trip["total_readings"]
+    trip["total_distance_meters"] += float(m[idx].sum())
+    trip["total_readings"] = n0 + int(idx.size)
+    last = idx[-1] + 1
+    trip["last_update_timestamp"], trip["last_lat"], trip["last_lon"] = int(ts[last]), float(arr[last, 1]), float(arr[last, 2])
+    vmax = float(v[idx].max())
+    if vmax > trip["max_speed_kph"]:
+        trip["max_speed_kph"] = _r2(vmax)
+    avg, n = trip["average_speed_kph"], n0
+    horizon = p.fold_horizon
+    for x in v[idx][: None if horizon is None else max(horizon - n0, 0)]:
+        n += 1
+        avg = _r2((avg * (n - 1) + float(x)) / n)
+    trip["average_speed_kph"] = avg
+    fast = idx[v[idx] > p.speed_limit_kph]
+    return [
+        _row("alert", vin, timestamp=int(ts[i + 1]), latitude=float(arr[i + 1, 1]), longitude=float(arr[i + 1, 2]),
+             computed_speed_kph=_r2(float(v[i])), speed_limit_kph=float(p.speed_limit_kph))
+        for i in fast
+    ]
 
 
 def _make_func(p: Params, event_time: bool):

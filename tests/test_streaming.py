@@ -88,3 +88,56 @@ def test_stream_dedupe_keeps_first_arrival(spark):
     assert q.awaitTermination(180)
     got = sorted((r.timestamp, round(r.latitude, 6)) for r in spark.read.parquet(out_dir).collect())
     assert got == [(1000, 30.266), (2000, 30.2661), (3000, 30.2662)]
+
+
+def _naive(trip, pts, p):
+    import math
+
+    def r2(x):
+        y = x * 100.0
+        f = math.floor(y)
+        return (f + (1 if y - f >= 0.5 else 0)) / 100.0
+
+    k = 0.017453292519943295
+    alerts = []
+    for (t1, _, a1, o1), (t2, _, a2, o2) in zip(pts, pts[1:]):
+        hd, hl = ((a2 - a1) * k) / 2, ((o2 - o1) * k) / 2
+        a = math.sin(hd) * math.sin(hd) + (math.cos(a1 * k) * math.cos(a2 * k)) * math.sin(hl) * math.sin(hl)
+        m = p.earth_radius_m * 2 * math.atan2(math.sqrt(a), math.sqrt(1 - a))
+        dt = (t2 - t1) / 1000.0
+        v = 0.0 if dt <= 0 else m / dt * 3.6
+        if v > p.anomaly_speed_kph or (m > p.jump_distance_m and dt < p.jump_window_s):
+            continue
+        trip["total_distance_meters"] += m
+        trip["total_readings"] += 1
+        n = trip["total_readings"]
+        trip["last_update_timestamp"], trip["last_lat"], trip["last_lon"] = t2, a2, o2
+        if v > trip["max_speed_kph"]:
+            trip["max_speed_kph"] = r2(v)
+        trip["average_speed_kph"] = r2((trip["average_speed_kph"] * (n - 1) + v) / n)
+        if v > p.speed_limit_kph:
+            alerts.append((t2, r2(v)))
+    return alerts
+
+
+@pytest.mark.parametrize("anomaly", [2.0, 300.0])
+def test_vectorized_step_equals_naive_loop(anomaly):
+    import random
+
+    from geotrail.streaming.stateful import _fold
+
+    p = Params(anomaly_speed_kph=anomaly, speed_limit_kph=1.0)
+    rnd = random.Random(5)
+    pts, t, lat = [], 0, 30.0
+    for i in range(3000):
+        pts.append((t, i, lat, -97.0))
+        t += rnd.choice([0, 1000, 1000, 2000])
+        lat += rnd.choice([0.0, 0.000002, 0.000004, 0.00001, 0.5])
+    start = dict(trip_start_timestamp=0, last_update_timestamp=0, start_lat=30.0, start_lon=-97.0, last_lat=30.0,
+                 last_lon=-97.0, total_distance_meters=0.0, average_speed_kph=0.0, max_speed_kph=0.0, total_readings=0)
+    a, b = dict(start), dict(start)
+    got_alerts = [(r["timestamp"], r["computed_speed_kph"]) for r in _fold("V", a, pts, p)]
+    want_alerts = _naive(b, pts, p)
+    assert got_alerts == want_alerts
+    for c in a:
+        assert a[c] == pytest.approx(b[c], rel=1e-12, abs=1e-9), c
