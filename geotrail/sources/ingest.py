@@ -7,7 +7,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from geotrail.config import DUPLICATE_MESSAGE, SAVED_MESSAGE
 
@@ -89,10 +88,17 @@ def dedupe_stream(positions: DataFrame, watermark: str = "1 hour") -> DataFrame:
 
 
 def ingest_outcomes(positions: DataFrame, stored: DataFrame | None = None) -> DataFrame:
-    """Per inbound row: saved (first arrival of a new key) or duplicate ignored."""
-    w = Window.partitionBy(*KEY)
-    first_seq = F.min("arrival_seq").over(w)
-    marked = positions.select(*KEY, "arrival_seq", (F.col("arrival_seq") == first_seq).alias("_first"))
+    """Per inbound row: saved (first arrival of a new key) or duplicate ignored.
+
+    The first arrival per key is a map-side-combined aggregate joined back on
+    the key: a key re-sent millions of times is reduced per task before the
+    shuffle, and its rows in the join are split by AQE's skew handling (the
+    other side has one row per key), never buffered as one window group.
+    """
+    first = positions.groupBy(*KEY).agg(F.min("arrival_seq").alias("_first_seq"))
+    marked = positions.select(*KEY, "arrival_seq").join(first, KEY, "inner").select(
+        *KEY, "arrival_seq", (F.col("arrival_seq") == F.col("_first_seq")).alias("_first")
+    )
     if stored is not None:
         if "event_date" in stored.columns:
             # read only the stored date partitions this batch touches (dynamic pruning)
