@@ -19,8 +19,10 @@ RUN_INTERVAL_MS = 600_000        # default analytics cadence
 DUPLICATE_MESSAGE = "Duplicate position ignored"
 SAVED_MESSAGE = "Saved successfully"
 
-# Default width of the time chunks that split one vehicle's rows over tasks.
+# Default width of the time chunks that split one vehicle's rows over tasks,
+# and the row count above which a vehicle-chunk is split further.
 DEFAULT_CHUNK_MS = 3_600_000
+DEFAULT_MAX_CHUNK_ROWS = 4_000_000
 
 
 @dataclass(frozen=True)
@@ -36,6 +38,9 @@ class Params:
     # rows of one vehicle are processed in time chunks of this width; the
     # cross-chunk context travels through a per-chunk summary (see operators.chunked)
     chunk_ms: int = DEFAULT_CHUNK_MS
+    # a vehicle-chunk with more rows than this is split into narrower sub-chunks
+    # (None: fixed-width chunks only, no counting pass)
+    max_chunk_rows: int | None = DEFAULT_MAX_CHUNK_ROWS
 
     def with_(self, **kw) -> "Params":
         return replace(self, **kw)

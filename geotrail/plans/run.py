@@ -54,8 +54,8 @@ def late_discard(positions: DataFrame, current_trips: DataFrame, p: Params = DEF
     by its time span, not its row count -- and then a join on
     ``(vin, chunk)``, the key the rows are shuffled on for the scans anyway.
     """
-    fixes = chunked.add_chunk(fix_rows(positions.filter(~F.col("processed"))), p.chunk_ms)
-    bridges = chunked.add_chunk(bridge_rows(current_trips), p.chunk_ms)
+    fixes = chunked.add_chunk(fix_rows(positions.filter(~F.col("processed"))), p.chunk_ms, p.max_chunk_rows)
+    bridges = chunked.add_chunk(bridge_rows(current_trips), p.chunk_ms, p.max_chunk_rows)
     pairs = fixes.select("vin", "chunk").distinct()
     lu = current_trips.select("vin", F.col("last_update_timestamp").alias("_lu"))
     pair_lu = pairs.join(lu, "vin", "inner")
@@ -72,7 +72,7 @@ def run_batch(
     positions: DataFrame, current_trips: DataFrame, as_of_ms: int, p: Params = DEFAULT
 ) -> RunResult:
     fixes = fix_rows(positions.filter(~F.col("processed")))
-    rows = chunked.add_chunk(fixes.unionByName(bridge_rows(current_trips)), p.chunk_ms)
+    rows = chunked.add_chunk(fixes.unionByName(bridge_rows(current_trips)), p.chunk_ms, p.max_chunk_rows)
     seeds = seed_table(current_trips)
     segs = linked_segments(rows, p, gap_ms=None, seeds=seeds, drop_late=True).withColumn(
         "gated_in", F.col("key_rows") >= 2
