@@ -122,19 +122,22 @@ def run_batch(
 OUTPUT_KINDS = ("current_trips", "completed_trips", "speed_alerts", "processed")
 
 
-def multiplexed(result: RunResult) -> DataFrame:
-    """All outputs of a run as one frame with a ``kind`` column.
-
-    Writing this once computes the run once (the four outputs share the
-    shuffled rows) and lands every output of the run in the same job, so a
-    run is committed whole or not at all.
-    """
-    frames = {
+def _frames(result: RunResult) -> dict[str, DataFrame]:
+    return {
         "current_trips": result.current_trips,
         "completed_trips": result.completed_trips,
         "speed_alerts": result.speed_alerts,
         "processed": result.processed,
     }
+
+
+def multiplexed(result: RunResult, extra: dict[str, DataFrame] | None = None) -> DataFrame:
+    """All outputs of a run (plus ``extra`` frames) as one frame with a ``kind`` column.
+
+    Writing this once lands every output of the run in the same job, so a
+    run is committed whole or not at all.
+    """
+    frames = {**_frames(result), **(extra or {})}
     fields: dict[str, object] = {}
     for df in frames.values():
         for f in df.schema.fields:
@@ -147,15 +150,12 @@ def multiplexed(result: RunResult) -> DataFrame:
     return out
 
 
-def split_multiplexed(df: DataFrame, like: RunResult) -> dict[str, DataFrame]:
+def split_multiplexed(
+    df: DataFrame, like: RunResult, extra: dict[str, DataFrame] | None = None
+) -> dict[str, DataFrame]:
     """Inverse of :func:`multiplexed` (reads each kind with its own columns)."""
-    src = {
-        "current_trips": like.current_trips,
-        "completed_trips": like.completed_trips,
-        "speed_alerts": like.speed_alerts,
-        "processed": like.processed,
-    }
-    return {k: df.filter(F.col("kind") == k).select(*src[k].columns) for k in OUTPUT_KINDS}
+    src = {**_frames(like), **(extra or {})}
+    return {k: df.filter(F.col("kind") == k).select(*src[k].columns) for k in src}
 
 
 def apply_processed(positions: DataFrame, marks: DataFrame) -> DataFrame:

@@ -4,10 +4,11 @@ Layout under one root folder (on a cluster: a shared file system path)::
 
     positions/event_date=.../       append-only fixes (I4)
     processed/run_id=.../           (vin, timestamp) marked processed by a run (W2)
+    pending/run_id=.../             fixes a run left unprocessed (read by the next run)
     current_trips/run_id=.../       full open-trip snapshot after a run (I5)
     completed_trips/run_id=.../     trips closed by a run (I6)
     speed_alerts/run_id=.../        alerts raised by a run (I7)
-    _runs/<run_id>                  commit marker, written last
+    _runs/<run_id>                  commit marker (holds the consumed arrival watermark), written last
 
 A run's outputs land under its ``run_id`` and become visible only when the
 marker exists, so a failed or repeated run never leaves half its rows
@@ -43,6 +44,15 @@ def persist(df: DataFrame, path: str) -> DataFrame:
 
 
 class TripStore:
+    """Run-by-run trip tables under one root folder.
+
+    Runs are incremental: a run reads the fixes that arrived since the last
+    committed run (``arrival_seq`` above its watermark -- Parquet statistics
+    skip older files) plus that run's leftover unprocessed fixes, never the
+    whole history. ``arrival_seq`` must increase with arrival (a source
+    offset or ingest sequence).
+    """
+
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
@@ -58,28 +68,30 @@ class TripStore:
             return []
         return sorted(s.getPath().getName() for s in fs.listStatus(jvm_path))
 
-    def _read_runs(self, name: str, schema) -> DataFrame:
-        runs = self._committed()
+    def _read_runs(self, name: str, schema, only: list[str] | None = None) -> DataFrame:
+        from pyspark.sql import types as T
+
+        runs = self._committed() if only is None else only
         path = self._p(name)
         if not runs or not _exists(self.spark, path):
             return self.spark.createDataFrame([], schema)
-        from pyspark.sql import types as T
-
         with_run = T.StructType([*schema.fields, T.StructField("run_id", T.StringType())])
         df = self.spark.read.schema(with_run).parquet(path)
         return df.filter(F.col("run_id").isin(runs)).drop("run_id")
 
-    def positions(self) -> DataFrame:
+    def _stored_fixes(self) -> DataFrame:
         from geotrail.schema import CAR_POSITIONS
 
         path = self._p("positions")
         if not _exists(self.spark, path):
             return self.spark.createDataFrame([], CAR_POSITIONS)
-        pos = self.spark.read.parquet(path).drop("event_date")
-        marks = self.processed_marks()
+        return self.spark.read.parquet(path).select(*CAR_POSITIONS.fieldNames())
+
+    def positions(self) -> DataFrame:
+        """All stored fixes with their processed flags (for reads, not for runs)."""
         from geotrail.plans.run import apply_processed
 
-        return apply_processed(pos, marks)
+        return apply_processed(self._stored_fixes(), self.processed_marks())
 
     def processed_marks(self) -> DataFrame:
         from pyspark.sql import types as T
@@ -105,6 +117,28 @@ class TripStore:
 
         return self._read_runs("speed_alerts", SPEED_ALERTS)
 
+    def _watermark(self) -> int | None:
+        """Highest ``arrival_seq`` consumed by the newest committed run."""
+        runs = self._committed()
+        if not runs:
+            return None
+        row = self.spark.read.text(f"{self._p('_runs')}/{runs[-1]}").first()
+        return int(row.value) if row and row.value not in ("", "None") else None
+
+    def pending(self) -> DataFrame:
+        """Fixes the newest committed run left unprocessed (retried by the next run)."""
+        from geotrail.schema import CAR_POSITIONS
+
+        runs = self._committed()
+        return self._read_runs("pending", CAR_POSITIONS, runs[-1:])
+
+    def unprocessed(self) -> DataFrame:
+        """What the next run reads: new arrivals plus the last run's leftovers."""
+        wm = self._watermark()
+        fixes = self._stored_fixes()
+        new = fixes if wm is None else fixes.filter(F.col("arrival_seq") > F.lit(wm))
+        return new.unionByName(self.pending()).withColumn("processed", F.lit(False))
+
     def append_positions(self, new_positions: DataFrame) -> None:
         from geotrail.sources.ingest import append_positions, dedupe
 
@@ -112,26 +146,32 @@ class TripStore:
         stored = self.spark.read.parquet(path) if _exists(self.spark, path) else None
         append_positions(dedupe(new_positions, stored), path)
 
-    def commit(self, result, run_id: str) -> None:
+    def commit(self, result, run_id: str, pending: DataFrame | None = None, watermark: int | None = None) -> None:
         """Write all outputs of one run in one job, then its commit marker."""
         from geotrail.plans.run import multiplexed, split_multiplexed
 
+        extra = {"pending": pending} if pending is not None else {}
         staged = f"{self._p('_staging')}/run_id={run_id}"
-        written = persist(multiplexed(result), staged)
-        for name, df in split_multiplexed(written, result).items():
+        written = persist(multiplexed(result, extra), staged)
+        for name, df in split_multiplexed(written, result, extra).items():
             df.write.mode("overwrite").parquet(f"{self._p(name)}/run_id={run_id}")
-        self.spark.createDataFrame([(run_id,)], "run_id string").write.mode("overwrite").text(
+        self.spark.createDataFrame([(str(watermark),)], "value string").coalesce(1).write.mode("overwrite").text(
             f"{self._p('_runs')}/{run_id}"
         )
 
-    def run(self, as_of_ms: int, params=None, run_id: str | None = None):
-        """Run the analytics once over the stored tables and commit the result."""
+    def run(self, as_of_ms: int, params=None, run_id: str | None = None) -> str:
+        """Run the analytics once over the new and leftover fixes and commit the result."""
         from geotrail.config import DEFAULT
         from geotrail.plans.run import run_batch
 
         rid = run_id or f"{as_of_ms:016d}"
-        result = run_batch(self.positions(), self.current_trips(), as_of_ms, params or DEFAULT)
-        self.commit(result, rid)
+        wm = self._watermark()
+        todo = self.unprocessed()
+        top = todo.agg(F.max("arrival_seq")).first()[0]  # one number to the driver
+        watermark = max(x for x in (wm, top) if x is not None) if (wm is not None or top is not None) else None
+        result = run_batch(todo, self.current_trips(), as_of_ms, params or DEFAULT)
+        left = todo.join(result.processed.select("vin", "timestamp"), ["vin", "timestamp"], "left_anti")
+        self.commit(result, rid, left, watermark)
         return rid
 
 

@@ -55,3 +55,28 @@ def test_uncommitted_run_is_invisible(spark):
     assert store.current_trips().count() == 0
     store.commit(res, "0000000000003000")
     assert store.current_trips().count() == 1
+
+
+def test_incremental_store_keeps_leftovers_g7(spark):
+    """Leftover (late/rejected) fixes are carried run to run, so ghost trips appear as in a full re-read."""
+    root = tempfile.mkdtemp(prefix="geotrail-store-", dir="/tmp")
+    store = TripStore(spark, root)
+    f = Fleet(spark, params=Params())
+    plan = [
+        ([k(0, 10_000), k(1, 11_000)], 12_000),
+        ([k(0, 5000), k(1, 6000)], 13_000),
+        ([], 400_000),
+        ([], 1_000_000),
+        ([], 1_600_000),
+    ]
+    for i, (fixes, as_of) in enumerate(plan):
+        if fixes:
+            store.append_positions(_raw(spark, fixes, seq0=10 * i))
+            f.send(*fixes)
+        store.run(as_of, Params())
+        f.run(as_of)
+        cur = [r.asDict() for r in store.current_trips().collect()]
+        assert cur == f.trips, as_of
+        assert {r.timestamp for r in store.pending().collect()} == f.unprocessed(), as_of
+    got = sorted((r.trip_start_timestamp, r.trip_end_timestamp) for r in store.completed_trips().collect())
+    assert got == [(5000, 6000), (10_000, 11_000)]
