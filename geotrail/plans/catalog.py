@@ -136,7 +136,7 @@ def _chain(spark, sf_dir, upto=3):
 
 def processed_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fixes run 1 marks processed."""
-    return _chain(spark, sf_dir, 1).run1.processed
+    return _chain(spark, sf_dir, 1).run1.processed.select("vin", "timestamp")
 
 
 def unprocessed_positions(spark: SparkSession, sf_dir: str) -> DataFrame:

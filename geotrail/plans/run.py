@@ -39,7 +39,7 @@ class RunResult:
     current_trips: DataFrame     # open trips after the run (full snapshot)
     completed_trips: DataFrame   # trips closed by this run (to append)
     speed_alerts: DataFrame      # alerts raised by this run (to append)
-    processed: DataFrame         # (vin, timestamp) of fixes this run marks processed
+    processed: DataFrame         # (vin, timestamp, arrival_seq) of fixes this run marks processed
     rows: DataFrame              # per-row diagnostics: late discard, gate, segments
     trips: DataFrame             # per-vehicle outcome with its class
 
@@ -106,9 +106,11 @@ def run_batch(
         "total_readings",
         duration_minutes("trip_start_timestamp", "last_update_timestamp").alias("duration_minutes"),
     ).select(*COMPLETED_TRIP_COLUMNS)
+    # a mark names one stored fix: (vin, timestamp) and its arrival (copies of a
+    # key are told apart when the input was not deduplicated)
     marks = segs.filter(
         ~F.col("is_bridge") & F.col("gated_in") & (F.col("next").isNull() | F.col("next_accepted"))
-    ).select("vin", F.col("ts").alias("timestamp"))
+    ).select("vin", F.col("ts").alias("timestamp"), F.col("seq").alias("arrival_seq"))
     return RunResult(
         current_trips=current,
         completed_trips=completed,
@@ -158,10 +160,14 @@ def split_multiplexed(
     return {k: df.filter(F.col("kind") == k).select(*src[k].columns) for k in src}
 
 
+MARK_KEY = ["vin", "timestamp", "arrival_seq"]
+
+
 def apply_processed(positions: DataFrame, marks: DataFrame) -> DataFrame:
-    """Positions with this run's processed marks applied (join on the full key)."""
-    m = marks.select("vin", "timestamp", F.lit(True).alias("_m")).distinct()
-    return positions.join(m, ["vin", "timestamp"], "left").select(
+    """Positions with processed marks applied (join on vin, timestamp and arrival)."""
+    key = MARK_KEY if "arrival_seq" in positions.columns and "arrival_seq" in marks.columns else MARK_KEY[:2]
+    m = marks.select(*key, F.lit(True).alias("_m")).distinct()
+    return positions.join(m, key, "left").select(
         *[
             (F.col("processed") | F.coalesce(F.col("_m"), F.lit(False))).alias("processed") if c == "processed" else c
             for c in positions.columns

@@ -3,7 +3,7 @@
 Layout under one root folder (on a cluster: a shared file system path)::
 
     positions/event_date=.../       append-only fixes (I4)
-    processed/run_id=.../           (vin, timestamp) marked processed by a run (W2)
+    processed/run_id=.../           (vin, timestamp, arrival_seq) marked processed by a run (W2)
     pending/run_id=.../             fixes a run left unprocessed (read by the next run)
     current_trips/run_id=.../       full open-trip snapshot after a run (I5)
     completed_trips/run_id=.../     trips closed by a run (I6)
@@ -96,7 +96,13 @@ class TripStore:
     def processed_marks(self) -> DataFrame:
         from pyspark.sql import types as T
 
-        schema = T.StructType([T.StructField("vin", T.StringType()), T.StructField("timestamp", T.LongType())])
+        schema = T.StructType(
+            [
+                T.StructField("vin", T.StringType()),
+                T.StructField("timestamp", T.LongType()),
+                T.StructField("arrival_seq", T.LongType()),
+            ]
+        )
         return self._read_runs("processed", schema)
 
     def current_trips(self) -> DataFrame:
@@ -170,7 +176,7 @@ class TripStore:
         top = todo.agg(F.max("arrival_seq")).first()[0]  # one number to the driver
         watermark = max(x for x in (wm, top) if x is not None) if (wm is not None or top is not None) else None
         result = run_batch(todo, self.current_trips(), as_of_ms, params or DEFAULT)
-        left = todo.join(result.processed.select("vin", "timestamp"), ["vin", "timestamp"], "left_anti")
+        left = todo.join(result.processed, ["vin", "timestamp", "arrival_seq"], "left_anti")
         self.commit(result, rid, left, watermark)
         return rid
 

@@ -48,9 +48,9 @@ class Fleet:
         pos = sp.createDataFrame([tuple(r[f.name] for f in CAR_POSITIONS) for r in self.positions], CAR_POSITIONS)
         cur = sp.createDataFrame([tuple(r[f.name] for f in CURRENT_TRIPS) for r in self.trips], CURRENT_TRIPS)
         res = run_batch(pos, cur, as_of, self.params)
-        marks = {(r.vin, r.timestamp) for r in res.processed.collect()}
+        marks = {(r.vin, r.timestamp, r.arrival_seq) for r in res.processed.collect()}
         for r in self.positions:
-            if (r["vin"], r["timestamp"]) in marks:
+            if (r["vin"], r["timestamp"], r["arrival_seq"]) in marks:
                 r["processed"] = True
         self.trips = [r.asDict() for r in res.current_trips.collect()]
         done = [r.asDict() for r in res.completed_trips.collect()]
