@@ -262,3 +262,13 @@ def open_trips(outputs: DataFrame) -> DataFrame:
     ev = outputs.filter(F.col("kind").isin("trip", "completed"))
     last = ev.groupBy("vin").agg(F.max_by(F.struct(*[F.col(c) for c in ["kind"] + TRIP_NAMES]), F.struct("batch_id", F.col("kind") == "completed")).alias("l"))
     return last.filter(F.col("l.kind") == "trip").select("vin", *[F.col(f"l.{c}").alias(c) for c in TRIP_NAMES])
+
+
+def pipeline(raw: DataFrame, root: str, checkpoint: str, p: Params = DEFAULT, dedupe_horizon: str = "1 hour",
+             trigger: dict | None = None):
+    """Inbound messages -> normalise (I1) -> first-arrival dedupe within ``dedupe_horizon``
+    -> keyed trip fold (S1-S3) -> multiplexed sink. Returns the started query."""
+    from geotrail.sources.ingest import dedupe_stream, normalize
+
+    fixes = dedupe_stream(normalize(raw), dedupe_horizon)
+    return write_trip_stream(trip_stream(fixes, p), root, checkpoint, trigger)
