@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from geotrail.config import DEFAULT, Params
 
@@ -140,86 +141,177 @@ def _fold(vin: str, trip: dict, pts: list[tuple], p: Params) -> list[dict]:
     ]
 
 
+def _state_tuple(trip: dict | None, pending: tuple | None) -> tuple | None:
+    if trip is None and pending is None:
+        return None
+    return (
+        trip is not None,
+        *[(trip or {}).get(n) for n in TRIP_NAMES],
+        pending is not None,
+        *(pending if pending is not None else (None, None, None, None)),
+    )
+
+
+def _from_state(st) -> tuple[dict | None, tuple | None]:
+    if st is None:
+        return None, None
+    d = dict(zip(STATE_SCHEMA.fieldNames(), tuple(st)))
+    trip = {n: d[n] for n in TRIP_NAMES} if d["has_trip"] else None
+    pending = (d["pending_ts"], d["pending_seq"], d["pending_lat"], d["pending_lon"]) if d["has_pending"] else None
+    return trip, pending
+
+
+def _step(vin: str, st, batch: pd.DataFrame | None, now: int, p: Params) -> tuple[tuple | None, list[dict]]:
+    """One vehicle, one micro-batch (``batch``) or one timer (``batch`` None): new state, output rows.
+
+    The same rules as one batch run: late fixes dropped, the open trip's last
+    point bridges to the new ones, a lone fix without trip waits, a trip with
+    no new segment closes once ``now - last update > timeout``.
+    """
+    timeout = int(p.trip_timeout_ms)
+    trip, pending = _from_state(st)
+    out: list[dict] = []
+    if batch is None:
+        if trip is not None and now - trip["last_update_timestamp"] > timeout:
+            out.append(_completed(vin, trip))
+            trip = None
+        return _state_tuple(trip, pending), out
+    pts = list(
+        batch.sort_values(["timestamp", "arrival_seq"])[["timestamp", "arrival_seq", "latitude", "longitude"]]
+        .itertuples(index=False, name=None)
+    )
+    had_trip = trip is not None
+    if had_trip:
+        lu = trip["last_update_timestamp"]
+        pts = [(lu, -1, trip["last_lat"], trip["last_lon"])] + [x for x in pts if x[0] > lu]
+    elif pending is not None:
+        pts = sorted([pending] + pts, key=lambda x: (x[0], x[1]))
+    if len(pts) <= 1:
+        if had_trip:
+            if now - trip["last_update_timestamp"] > timeout:
+                out.append(_completed(vin, trip))
+                trip = None
+            pending = None
+        else:
+            pending = pts[0] if pts else None
+        return _state_tuple(trip, pending), out
+    if trip is None:
+        t0, _, la, lo = pts[0]
+        trip = dict(trip_start_timestamp=t0, last_update_timestamp=t0, start_lat=la, start_lon=lo,
+                    last_lat=la, last_lon=lo, total_distance_meters=0.0, average_speed_kph=0.0,
+                    max_speed_kph=0.0, total_readings=0)
+    out += _fold(vin, trip, pts, p)
+    out.append(_row("trip", vin, **trip))
+    return _state_tuple(trip, None), out
+
+
 def _make_func(p: Params, event_time: bool):
+    """Per-group function for ``applyInPandasWithState``."""
     timeout = int(p.trip_timeout_ms)
 
     def now_ms(state: GroupState) -> int:
         return int(state.getCurrentWatermarkMs() if event_time else state.getCurrentProcessingTimeMs())
 
-    def arm(state: GroupState, trip: dict | None):
-        if trip is None:
-            return
-        if event_time:
-            state.setTimeoutTimestamp(max(trip["last_update_timestamp"] + timeout + 1, now_ms(state) + 1))
-        else:
-            state.setTimeoutDuration(timeout + 1)
-
     def func(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        vin = key[0]
-        st = dict(zip(STATE_SCHEMA.fieldNames(), state.get)) if state.exists else None
-        trip = {n: st[n] for n in TRIP_NAMES} if st and st["has_trip"] else None
-        pending = (st["pending_ts"], st["pending_seq"], st["pending_lat"], st["pending_lon"]) if st and st["has_pending"] else None
-        out: list[dict] = []
-
-        if state.hasTimedOut:
-            if trip is not None and now_ms(state) - trip["last_update_timestamp"] > timeout:
-                out.append(_completed(vin, trip))
-                trip = None
-        else:
-            batch = pd.concat(list(pdfs), ignore_index=True)
-            pts = list(
-                batch.sort_values(["timestamp", "arrival_seq"])[["timestamp", "arrival_seq", "latitude", "longitude"]]
-                .itertuples(index=False, name=None)
-            )
-            if trip is not None:
-                lu = trip["last_update_timestamp"]
-                pts = [(lu, -1, trip["last_lat"], trip["last_lon"])] + [x for x in pts if x[0] > lu]
-            elif pending is not None:
-                pts = sorted([pending] + pts, key=lambda x: (x[0], x[1]))
-            if len(pts) <= 1:
-                if trip is not None and now_ms(state) - trip["last_update_timestamp"] > timeout:
-                    out.append(_completed(vin, trip))
-                    trip = None
-                pending = pts[0] if trip is None and pts else None
-            else:
-                if trip is None:
-                    t0, _, la, lo = pts[0]
-                    trip = dict(trip_start_timestamp=t0, last_update_timestamp=t0, start_lat=la, start_lon=lo,
-                                last_lat=la, last_lon=lo, total_distance_meters=0.0, average_speed_kph=0.0,
-                                max_speed_kph=0.0, total_readings=0)
-                out += _fold(vin, trip, pts, p)
-                pending = None
-                out.append(_row("trip", vin, **trip))
-
-        if trip is None and pending is None:
+        st = state.get if state.exists else None
+        batch = None if state.hasTimedOut else pd.concat(list(pdfs), ignore_index=True)
+        new, out = _step(key[0], st, batch, now_ms(state), p)
+        if new is None:
             state.remove()
         else:
-            state.update(
-                (trip is not None, *[(trip or {}).get(n) for n in TRIP_NAMES], pending is not None,
-                 *(pending if pending is not None else (None, None, None, None)))
-            )
-            arm(state, trip)
+            state.update(new)
+            if new[0]:  # an open trip: check again once it may have timed out
+                lu = new[1 + TRIP_NAMES.index("last_update_timestamp")]
+                if event_time:
+                    state.setTimeoutTimestamp(max(lu + timeout + 1, now_ms(state) + 1))
+                else:
+                    state.setTimeoutDuration(timeout + 1)
         if out:
             yield pd.DataFrame(out, columns=OUT_NAMES)
 
     return func
 
 
-def trip_stream(fixes: DataFrame, p: Params = DEFAULT, event_time: bool = False, watermark: str = "10 minutes") -> DataFrame:
-    """Streaming (or batch) fixes in ``car_positions`` shape -> multiplexed trip outputs.
+class TripProcessor(StatefulProcessor):
+    """``transformWithStateInPandas`` form: one value state per vehicle and one timer.
+
+    The timer is due when the open trip may have timed out: at
+    ``last update + timeout + 1`` on the watermark in event-time mode, and
+    in processing-time mode at that instant or the next batch, whichever is
+    later (the clock and the event times are unrelated, as in the original).
+    """
+
+    def __init__(self, p: Params, event_time: bool):
+        self.p = p
+        self.event_time = event_time
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("trip", STATE_SCHEMA)
+
+    def _now(self, tv) -> int:
+        return int(tv.getCurrentWatermarkInMs() if self.event_time else tv.getCurrentProcessingTimeInMs())
+
+    def _save(self, new, now: int) -> None:
+        for t in list(self.handle.listTimers()):
+            self.handle.deleteTimer(t)
+        if new is None:
+            self.state.clear()
+            return
+        self.state.update(new)
+        if new[0]:
+            lu = new[1 + TRIP_NAMES.index("last_update_timestamp")]
+            self.handle.registerTimer(max(lu + int(self.p.trip_timeout_ms) + 1, now + 1))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        now = self._now(timerValues)
+        st = self.state.get() if self.state.exists() else None
+        new, out = _step(key[0], st, pd.concat(list(rows), ignore_index=True), now, self.p)
+        self._save(new, now)
+        if out:
+            yield pd.DataFrame(out, columns=OUT_NAMES)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        now = self._now(timerValues)
+        st = self.state.get() if self.state.exists() else None
+        new, out = _step(key[0], st, None, now, self.p)
+        self._save(new, now)
+        if out:
+            yield pd.DataFrame(out, columns=OUT_NAMES)
+
+    def close(self) -> None:
+        pass
+
+
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def trip_stream(
+    fixes: DataFrame,
+    p: Params = DEFAULT,
+    event_time: bool = False,
+    watermark: str = "10 minutes",
+    api: str = "transformWithState",
+) -> DataFrame:
+    """Streaming fixes in ``car_positions`` shape -> multiplexed trip outputs.
 
     Keyed by ``vin``: Spark hash-partitions the stream on the key and keeps
-    the state in the configured state store (RocksDB on a cluster).
+    one small state per vehicle. ``api`` picks ``transformWithState`` (value
+    state + timers; needs the RocksDB state store, see :func:`write_trip_stream`)
+    or the older ``applyInPandasWithState`` (state timeouts).
     """
     cols = fixes.select("vin", "timestamp", "latitude", "longitude", F.coalesce(F.col("arrival_seq"), F.lit(0)).alias("arrival_seq"))
     if event_time:
         cols = cols.withColumn("_et", F.timestamp_millis("timestamp")).withWatermark("_et", watermark)
-        conf = GroupStateTimeout.EventTimeTimeout
-    else:
-        conf = GroupStateTimeout.ProcessingTimeTimeout
-    return cols.groupBy("vin").applyInPandasWithState(
-        _make_func(p, event_time), OUTPUT_SCHEMA, STATE_SCHEMA, "append", conf
-    )
+    if api == "transformWithState":
+        return cols.groupBy("vin").transformWithStateInPandas(
+            statefulProcessor=TripProcessor(p, event_time),
+            outputStructType=OUTPUT_SCHEMA,
+            outputMode="Append",
+            timeMode="EventTime" if event_time else "ProcessingTime",
+        )
+    conf = GroupStateTimeout.EventTimeTimeout if event_time else GroupStateTimeout.ProcessingTimeTimeout
+    return cols.groupBy("vin").applyInPandasWithState(_make_func(p, event_time), OUTPUT_SCHEMA, STATE_SCHEMA, "append", conf)
 
 
 def write_trip_stream(out: DataFrame, root: str, checkpoint: str, trigger: dict | None = None):
@@ -240,21 +332,26 @@ def write_trip_stream(out: DataFrame, root: str, checkpoint: str, trigger: dict
 
     trig = trigger or {"availableNow": True}
     w = out.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(**trig)
-    if "availableNow" not in trig and "once" not in trig:
-        return w.start()
-    # A bounded run: processing-time timers would otherwise schedule empty
-    # micro-batches forever. The setting is read when the query starts.
     spark = out.sparkSession
-    key = "spark.sql.streaming.noDataMicroBatches.enabled"
-    old = spark.conf.get(key, None)
-    spark.conf.set(key, "false")
+    settings = {}
+    # transformWithState keeps its state in RocksDB; the provider is fixed when
+    # the query starts (and recorded in its checkpoint)
+    settings["spark.sql.streaming.stateStore.providerClass"] = ROCKSDB
+    if "availableNow" in trig or "once" in trig:
+        # a bounded run: processing-time timers would otherwise schedule empty
+        # micro-batches forever
+        settings["spark.sql.streaming.noDataMicroBatches.enabled"] = "false"
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
     try:
         return w.start()
     finally:
-        if old is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, old)
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
 
 
 def open_trips(outputs: DataFrame) -> DataFrame:

@@ -17,9 +17,9 @@ def _write_batch(spark, folder, fixes, vin="VIN000001", seq0=0):
     spark.createDataFrame(rows, CAR_POSITIONS).coalesce(1).write.mode("append").parquet(folder)
 
 
-def _run_stream(spark, src, root, ckpt, p, event_time=False):
+def _run_stream(spark, src, root, ckpt, p, event_time=False, api="transformWithState"):
     df = spark.readStream.schema(CAR_POSITIONS).option("maxFilesPerTrigger", 1).parquet(src)
-    q = write_trip_stream(trip_stream(df, p, event_time=event_time, watermark="0 seconds"), root, ckpt)
+    q = write_trip_stream(trip_stream(df, p, event_time=event_time, watermark="0 seconds", api=api), root, ckpt)
     finished = q.awaitTermination(180)
     if not finished:
         q.stop()
@@ -27,7 +27,8 @@ def _run_stream(spark, src, root, ckpt, p, event_time=False):
     return spark.read.parquet(root)
 
 
-def test_stream_matches_batch_runs(spark):
+@pytest.mark.parametrize("api", ["transformWithState", "applyInPandasWithState"])
+def test_stream_matches_batch_runs(spark, api):
     base = tempfile.mkdtemp(prefix="geotrail-stream-", dir="/tmp")
     src, root, ckpt = (os.path.join(base, x) for x in ("src", "out", "ckpt"))
     runs = [
@@ -38,7 +39,7 @@ def test_stream_matches_batch_runs(spark):
     for i, fx in enumerate(runs):
         _write_batch(spark, src, fx, seq0=100 * i)
     p = Params()
-    out = _run_stream(spark, src, root, ckpt, p)
+    out = _run_stream(spark, src, root, ckpt, p, api=api)
     cur = open_trips(out).collect()
     f = Fleet(spark, params=p)
     for i, fx in enumerate(runs):
@@ -54,14 +55,15 @@ def test_stream_matches_batch_runs(spark):
     assert alerts == sorted((a["timestamp"], a["computed_speed_kph"]) for a in f.alerts)
 
 
-def test_stream_event_time_timeout_and_pending(spark):
+@pytest.mark.parametrize("api", ["transformWithState", "applyInPandasWithState"])
+def test_stream_event_time_timeout_and_pending(spark, api):
     base = tempfile.mkdtemp(prefix="geotrail-stream-", dir="/tmp")
     src, root, ckpt = (os.path.join(base, x) for x in ("src", "out", "ckpt"))
     _write_batch(spark, src, [k(0, 1000), k(1, 2000)])                 # trip for VIN 1
     _write_batch(spark, src, [k(0, 1500)], vin="VIN000002", seq0=50)  # lone fix waits
     _write_batch(spark, src, [k(0, 10_000_000)], vin="VIN000003", seq0=90)  # moves the watermark far ahead
     _write_batch(spark, src, [k(0, 10_000_001)], vin="VIN000004", seq0=95)  # one more batch: timers fire
-    out = _run_stream(spark, src, root, ckpt, Params(), event_time=True)
+    out = _run_stream(spark, src, root, ckpt, Params(), event_time=True, api=api)
     done = out.filter(F.col("kind") == "completed").collect()
     assert [(r.vin, r.trip_start_timestamp, r.last_update_timestamp, r.total_readings) for r in done] == [
         ("VIN000001", 1000, 2000, 1)
