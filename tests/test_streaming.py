@@ -159,3 +159,21 @@ def test_stream_pipeline_from_raw_messages(spark):
     assert q.awaitTermination(180)
     cur = open_trips(spark.read.parquet(root)).collect()
     assert len(cur) == 1 and cur[0].total_readings == 2 and cur[0].last_update_timestamp == 3000
+
+
+def test_step_all_late_after_timeout_leaves_no_pending():
+    import pandas as pd
+
+    from geotrail.streaming.stateful import _state_tuple, _step
+
+    trip = dict(trip_start_timestamp=0, last_update_timestamp=10_000, start_lat=30.0, start_lon=-97.0,
+                last_lat=30.1, last_lon=-97.0, total_distance_meters=5.0, average_speed_kph=1.0,
+                max_speed_kph=1.0, total_readings=1)
+    late = pd.DataFrame([dict(timestamp=9000, arrival_seq=1, latitude=30.0, longitude=-97.0)])
+    new, out = _step("V", _state_tuple(trip, None), late, 10_000 + 300_001, Params())
+    assert new is None and [r["kind"] for r in out] == ["completed"]
+    new, out = _step("V", _state_tuple(trip, None), late, 10_000 + 300_000, Params())
+    assert new == _state_tuple(trip, None) and out == []
+    lone = pd.DataFrame([dict(timestamp=50_000, arrival_seq=2, latitude=30.0, longitude=-97.0)])
+    new, out = _step("V", None, lone, 60_000, Params())
+    assert new == _state_tuple(None, (50_000, 2, 30.0, -97.0)) and out == []
