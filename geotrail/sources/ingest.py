@@ -75,9 +75,12 @@ def dedupe(positions: DataFrame, stored: DataFrame | None = None) -> DataFrame:
 def dedupe_stream(positions: DataFrame, watermark: str = "1 hour") -> DataFrame:
     """Streaming dedupe: state is bounded by the watermark on event time.
 
-    The reference's unique index is unbounded; beyond the watermark horizon the
+    The original's unique index is unbounded; beyond the watermark horizon the
     late-data rule of the trip fold (``timestamp <= last update``) rejects
-    repeats while a trip is open.
+    repeats while a trip is open. Within one micro-batch the copy met first
+    survives, which need not be the lowest ``arrival_seq``; for the exact
+    first-arrival rule use ``streaming.stateful.ingest_to_store`` (the batch
+    :func:`dedupe` per micro-batch against the stored keys).
     """
     return (
         positions.withColumn("_event_time", F.timestamp_millis(F.col("timestamp")))

@@ -369,3 +369,19 @@ def pipeline(raw: DataFrame, root: str, checkpoint: str, p: Params = DEFAULT, de
 
     fixes = dedupe_stream(normalize(raw), dedupe_horizon)
     return write_trip_stream(trip_stream(fixes, p), root, checkpoint, trigger)
+
+
+def ingest_to_store(raw: DataFrame, store, checkpoint: str, trigger: dict | None = None):
+    """Inbound messages -> normalise -> exact first-arrival dedupe -> the store's fixes.
+
+    Each micro-batch is deduplicated by arrival order and anti-joined with the
+    stored keys of the dates it touches, then appended; a replayed batch finds
+    its rows already stored, so the sink is idempotent.
+    """
+    from geotrail.sources.ingest import normalize
+
+    def sink(batch: DataFrame, batch_id: int):
+        store.append_positions(normalize(batch))
+
+    w = raw.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+    return w.trigger(**(trigger or {"availableNow": True})).start()

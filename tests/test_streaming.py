@@ -177,3 +177,26 @@ def test_step_all_late_after_timeout_leaves_no_pending():
     lone = pd.DataFrame([dict(timestamp=50_000, arrival_seq=2, latitude=30.0, longitude=-97.0)])
     new, out = _step("V", None, lone, 60_000, Params())
     assert new == _state_tuple(None, (50_000, 2, 30.0, -97.0)) and out == []
+
+
+def test_ingest_to_store_keeps_lowest_arrival(spark):
+    from geotrail.schema import POSITIONS_RAW
+    from geotrail.sources.store import TripStore
+    from geotrail.streaming.stateful import ingest_to_store
+
+    base = tempfile.mkdtemp(prefix="geotrail-stream-", dir="/tmp")
+    src, ckpt = os.path.join(base, "src"), os.path.join(base, "ckpt")
+    rows = [
+        ("V", 2000, (31.0, -97.73), 0.0, 0.0, 0.0, "", 7),   # later arrival, first in the file
+        ("V", 1000, (30.266, -97.73), 0.0, 0.0, 0.0, "", 1),
+        ("V", 2000, (30.2661, -97.73), 0.0, 0.0, 0.0, "", 2),  # first arrival of key 2000
+    ]
+    spark.createDataFrame(rows, POSITIONS_RAW).coalesce(1).write.parquet(src)
+    later = [("V", 1000, (35.0, -97.73), 0.0, 0.0, 0.0, "", 9)]  # re-sent in a later batch
+    spark.createDataFrame(later, POSITIONS_RAW).coalesce(1).write.mode("append").parquet(src)
+    store = TripStore(spark, os.path.join(base, "store"))
+    raw = spark.readStream.schema(POSITIONS_RAW).option("maxFilesPerTrigger", 1).parquet(src)
+    q = ingest_to_store(raw, store, ckpt)
+    assert q.awaitTermination(180)
+    got = sorted((r.timestamp, round(r.latitude, 6), r.arrival_seq) for r in store.positions().collect())
+    assert got == [(1000, 30.266, 1), (2000, 30.2661, 2)]
