@@ -361,7 +361,7 @@ def open_trips(outputs: DataFrame) -> DataFrame:
     return last.filter(F.col("l.kind") == "trip").select("vin", *[F.col(f"l.{c}").alias(c) for c in TRIP_NAMES])
 
 
-def pipeline(raw: DataFrame, root: str, checkpoint: str, p: Params = DEFAULT, dedupe_horizon: str = "1 hour",
+def trip_stream_from_raw(raw: DataFrame, root: str, checkpoint: str, p: Params = DEFAULT, dedupe_horizon: str = "1 hour",
              trigger: dict | None = None):
     """Inbound messages -> normalise (I1) -> first-arrival dedupe within ``dedupe_horizon``
     -> keyed trip fold (S1-S3) -> multiplexed sink. Returns the started query."""

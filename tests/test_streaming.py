@@ -145,9 +145,9 @@ def test_vectorized_step_equals_naive_loop(anomaly):
         assert a[c] == pytest.approx(b[c], rel=1e-12, abs=1e-9), c
 
 
-def test_stream_pipeline_from_raw_messages(spark):
+def test_stream_from_raw_messages(spark):
     from geotrail.schema import POSITIONS_RAW
-    from geotrail.streaming.stateful import pipeline
+    from geotrail.streaming.stateful import trip_stream_from_raw
 
     base = tempfile.mkdtemp(prefix="geotrail-stream-", dir="/tmp")
     src, root, ckpt = (os.path.join(base, x) for x in ("src", "out", "ckpt"))
@@ -155,7 +155,7 @@ def test_stream_pipeline_from_raw_messages(spark):
     rows.append(("VIN000001", 2000, (31.0, -97.73), 0.0, 0.0, 0.0, "", 9))  # re-sent copy, ignored
     spark.createDataFrame(rows, POSITIONS_RAW).coalesce(1).write.parquet(src)
     raw = spark.readStream.schema(POSITIONS_RAW).parquet(src)
-    q = pipeline(raw, root, ckpt, Params())
+    q = trip_stream_from_raw(raw, root, ckpt, Params())
     assert q.awaitTermination(180)
     cur = open_trips(spark.read.parquet(root)).collect()
     assert len(cur) == 1 and cur[0].total_readings == 2 and cur[0].last_update_timestamp == 3000
