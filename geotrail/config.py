@@ -104,6 +104,9 @@ def ensure_checkpoint_dir(spark) -> str:
     if not cur:
         cur = spark.sparkContext.getCheckpointDir()
     if not cur:
+        if not spark.sparkContext.master.startswith("local"):
+            # a machine-local folder would not survive executor loss on a cluster
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS or object storage)")
         cur = tempfile.mkdtemp(prefix="geotrail-ckpt-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", cur)
         spark.sparkContext.setCheckpointDir(cur)
