@@ -89,13 +89,13 @@ def text_column(batch: pa.RecordBatch, name: str = "text") -> pa.Array:
     return col.cast(pa.string()) if col.type != pa.string() else col
 
 
-def sum_vectors(partials: DataFrame, column: str, size: int) -> np.ndarray:
-    """Element-wise sum of one fixed-size float64 vector (binary) per task.
+def sum_vectors(partials: DataFrame, column: str, size: int, dtype=np.float64) -> np.ndarray:
+    """Element-wise sum of one fixed-size vector (binary) per task.
 
     Partial sums meet pairwise on executors (``treeReduce``); the driver
     receives a single vector whose size does not depend on the data.
     """
-    vectors = partials.select(column).rdd.map(lambda r: np.frombuffer(bytes(r[0]), dtype=np.float64))
+    vectors = partials.select(column).rdd.map(lambda r: np.frombuffer(bytes(r[0]), dtype=dtype))
     if vectors.isEmpty():
-        return np.zeros(size)
+        return np.zeros(size, dtype)
     return np.array(vectors.treeReduce(lambda a, b: a + b, depth=3))

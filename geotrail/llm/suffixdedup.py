@@ -9,7 +9,7 @@ the windows (all ``length``-byte strings) are dealt to tasks by content:
    one *context* row (key, hash of its bytes, document, position). Every window of the
    corpus lies in exactly one context.
 2. One aggregate per key (map-side combined) tells keys with one context
-   occurrence (nothing repeats), keys whose contexts are all the same bytes
+   occurrence (nothing repeats, unless the key's gram occurs in it twice), keys whose contexts are all the same bytes
    (everything repeats) and mixed keys.
 3. The distinct contexts of mixed keys are fetched and dealt by key. Each task
    builds run-length indexes (:mod:`geotrail.llm.runindex`) over blocks of whole keys and
@@ -86,12 +86,16 @@ def window_minimum(h: np.ndarray, width: int) -> np.ndarray:
 
 
 def contexts_of(data: np.ndarray, off: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
-    """(segment, key, first window in the segment, windows) of every context; segments lie between the offsets."""
-    least = window_minimum(gram_hashes(data), length - GRAM + 1)
+    """(segment, key, first window in the segment, windows, periodic) of every context; segments lie between the offsets.
+
+    ``periodic``: the key's gram occurs twice in the context, so a window may repeat inside it.
+    """
+    grams = gram_hashes(data)
+    least = window_minimum(grams, length - GRAM + 1)
     n = len(least)
     if not n:
         z = np.zeros(0, np.int64)
-        return z, z.astype(np.uint64), z, z
+        return z, z.astype(np.uint64), z, z, z.astype(bool)
     size = np.diff(off)
     valid = np.zeros(n + 1, np.int8)
     some = size >= length
@@ -114,7 +118,10 @@ def contexts_of(data: np.ndarray, off: np.ndarray, length: int) -> tuple[np.ndar
     first = np.repeat(begin, pieces) + inner * MAX_RUN
     count = np.minimum(MAX_RUN, np.repeat(begin + count, pieces) - first)
     segment = np.searchsorted(off, first, side="right") - 1
-    return segment, least[first], first - off[segment], count
+    # the least gram starts a window, and the next window still has that least value: it occurs again
+    leads = np.concatenate([[0], np.cumsum(grams[:n] == least)])
+    periodic = leads[first + count - 1] > leads[first]
+    return segment, least[first], first - off[segment], count, periodic
 
 
 def _pieces(texts: list[bytes], length: int) -> Iterator[list[tuple[int, int, bytes]]]:
@@ -149,7 +156,7 @@ def _context_table(docs: DataFrame, length: int) -> DataFrame:
             for group in _pieces(texts, length):
                 off = np.concatenate([[0], np.cumsum([len(p) for _, _, p in group])]).astype(np.int64)
                 data = np.frombuffer(b"".join(p for _, _, p in group), np.uint8)
-                segment, key, first, count = contexts_of(data, off, length)
+                segment, key, first, count, periodic = contexts_of(data, off, length)
                 raw = data.tobytes()
                 lo = (off[segment] + first).tolist()
                 hi = (off[segment] + first + count + length - 1).tolist()
@@ -159,11 +166,11 @@ def _context_table(docs: DataFrame, length: int) -> DataFrame:
                 at = np.array([p for _, p, _ in group], np.int64)[segment] + first
                 take = pa.array(row)
                 yield pa.RecordBatch.from_arrays(
-                    [ids.take(take), hashes.take(take), pa.array(key.astype(np.int64)), pa.array(content), pa.array(at), pa.array(count.astype(np.int32))],
-                    names=["doc_id", "text_hash", "key", "content", "at", "windows"],
+                    [ids.take(take), hashes.take(take), pa.array(key.astype(np.int64)), pa.array(content), pa.array(at), pa.array(count.astype(np.int32)), pa.array(periodic)],
+                    names=["doc_id", "text_hash", "key", "content", "at", "windows", "periodic"],
                 )
 
-    return docs.mapInArrow(run, "doc_id long, text_hash long, key long, content long, at long, windows int")
+    return docs.mapInArrow(run, "doc_id long, text_hash long, key long, content long, at long, windows int, periodic boolean")
 
 
 def _fetch(wanted: DataFrame, docs: DataFrame, length: int) -> DataFrame:
@@ -269,9 +276,9 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, max_contexts: int = M
     small_batches(docs.sparkSession)
     d = _documents(docs)
     table = materialize(_context_table(d, length), "dedup-contexts")
-    keys = table.groupBy("key").agg(F.count("*").alias("n"), F.min("content").alias("low"), F.max("content").alias("high"))
-    known = keys.where("n > 1").select("key", (F.col("low") != F.col("high")).alias("mixed"))
-    occurrences = materialize(table.join(known, "key"), "dedup-occurrences")
+    keys = table.groupBy("key").agg(F.count("*").alias("n"), F.min("content").alias("low"), F.max("content").alias("high"), F.max("periodic").alias("periodic"))
+    known = keys.where("n > 1 or periodic").select("key", ((F.col("low") != F.col("high")) | (F.col("n") == 1)).alias("mixed"))
+    occurrences = materialize(table.drop("periodic").join(known, "key"), "dedup-occurrences")
     whole = occurrences.where("not mixed").select(
         "doc_id", "text_hash", F.col("at").alias("lo"), (F.col("at") + F.col("windows") + (length - 1)).alias("hi")
     )
