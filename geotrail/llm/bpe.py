@@ -35,6 +35,7 @@ import codecs
 import hashlib
 import json
 import unicodedata
+from array import array
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -92,6 +93,7 @@ class MergeTable:
         self.rank = {(self.vocab[x], self.vocab[y]): (k, self.vocab[x + y]) for k, (x, y) in enumerate(merges)}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.strings = {i: t for t, i in self.vocab.items()} | {i: t for t, i in self.special.items()}
+        self.token_bytes = {i: t.encode() for i, t in self.strings.items()}
         self.size = [0] * (max(self.strings) + 1)
         for i, s in self.strings.items():
             self.size[i] = _symbols(s)
@@ -105,6 +107,22 @@ class MergeTable:
         """Plain BPE: lowest rank first, leftmost among equals."""
         rank = self.rank
         ids = list(ids)
+        if len(ids) <= 48:
+            # short runs: one merge at a time, only its neighbours' ranks change
+            get = rank.get
+            ranks = [get(pair, NO_MERGE) for pair in zip(ids, ids[1:])]
+            while ranks:
+                best = min(ranks)
+                if best is NO_MERGE:
+                    break
+                k = ranks.index(best)
+                ids[k : k + 2] = (best[1],)
+                del ranks[k]
+                if k:
+                    ranks[k - 1] = get((ids[k - 1], ids[k]), NO_MERGE)
+                if k < len(ranks):
+                    ranks[k] = get((ids[k], ids[k + 1]), NO_MERGE)
+            return ids
         while len(ids) > 1:
             best = min((rank.get(pair, NO_MERGE) for pair in zip(ids, ids[1:])))
             if best is NO_MERGE:
@@ -271,17 +289,20 @@ class StreamDecoder:
 
     def _bytes(self, token: int) -> bytes:
         s = self.table.strings.get(token)
-        if s is None:
-            return b""
-        if not self.byte_level or token in self.table.special.values():
-            lead = b" " if self.started and not self.byte_level else b""
-            self.started = True
-            return lead + s.encode()
+        if s is None or token in self.table.special.values():
+            return (s or "").encode()
         body, end = (s[: -len(END)], b" ") if s.endswith(END) else (s, b"")
         return bytes(self.byte_of[c] for c in body) + end
 
     def feed(self, ids) -> str:
-        return "".join(self.machine.decode(self._bytes(int(i))) for i in ids)
+        if self.byte_level:
+            return "".join(self.machine.decode(self._bytes(int(i))) for i in ids)
+        known = [self.table.token_bytes[i] for i in ids if i in self.table.token_bytes]
+        if not known:
+            return ""
+        lead = b" " if self.started else b""
+        self.started = True
+        return self.machine.decode(lead + b" ".join(known))
 
     def finish(self) -> str:
         return self.machine.decode(b"", True)
@@ -311,8 +332,6 @@ def decode_ids(ids, table: MergeTable, byte_level: bool = False) -> str:
 
 def _memo(path: str) -> wordcache.WordMemo:
     if ("transducer", path) not in wordcache._MEMOS:
-        import numpy as np
-
         table = merge_table(path)
         runs: dict[str, list[int]] = {}
 
@@ -329,11 +348,13 @@ def _memo(path: str) -> wordcache.WordMemo:
         def encode_new(words: list[bytes]) -> list[tuple[bytes, bytes]]:
             out = []
             for w in words:
-                if len(w) > wordcache.MAX_WORD_BYTES or b"<|" in w or not w.isascii():
+                if len(w) > wordcache.MAX_WORD_BYTES or b"<|" in w:
                     ids = encode_text(w.decode(), table)
                 else:
-                    ids = [i for run in table.pattern.findall(w.decode().lower()) for i in encode_run(run)]
-                out.append((np.array(ids, "<u4").tobytes(), decode_ids(ids, table).encode()))
+                    text = w.decode()
+                    text = text.lower() if w.isascii() else _lower(SPACES.sub(" ", unicodedata.normalize("NFC", text)))
+                    ids = [i for run in table.pattern.findall(text) for i in encode_run(run)]
+                out.append((array("I", ids).tobytes(), decode_ids(ids, table).encode()))
             return out
 
         wordcache._MEMOS["transducer", path] = wordcache.WordMemo(encode_new)
