@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import os
+import re
 import tempfile
 from dataclasses import dataclass, replace
 
@@ -19,10 +20,11 @@ RUN_INTERVAL_MS = 600_000        # default analytics cadence
 DUPLICATE_MESSAGE = "Duplicate position ignored"
 SAVED_MESSAGE = "Saved successfully"
 
-# Default width of the time chunks that split one vehicle's rows over tasks,
-# and the row count above which a vehicle-chunk is split further.
+# Default width of the time chunks that split one vehicle's rows over tasks. It should
+# hold some thousand fixes: one hour for 1 Hz data, weeks for sparse data (a width
+# near the fix interval makes the per-chunk summary as large as the data).
 DEFAULT_CHUNK_MS = 3_600_000
-DEFAULT_MAX_CHUNK_ROWS = 4_000_000
+SPARSE_CHUNK_MS = 60 * 86_400_000
 
 
 @dataclass(frozen=True)
@@ -38,30 +40,31 @@ class Params:
     # rows of one vehicle are processed in time chunks of this width; the
     # cross-chunk context travels through a per-chunk summary (see operators.chunked)
     chunk_ms: int = DEFAULT_CHUNK_MS
-    # a vehicle-chunk with more rows than this is split into narrower sub-chunks
-    # (None: fixed-width chunks only, no counting pass)
-    max_chunk_rows: int | None = DEFAULT_MAX_CHUNK_ROWS
+
+    def __post_init__(self) -> None:
+        if not math.isfinite(self.anomaly_speed_kph):
+            # the running mean is folded over an array that this limit bounds
+            raise ValueError("anomaly_speed_kph must be finite")
 
     def with_(self, **kw) -> "Params":
         return replace(self, **kw)
 
     @property
-    def fold_horizon(self) -> int | None:
+    def fold_horizon(self) -> int:
         """Reading count after which the rounded running mean cannot move.
 
         Accepted speeds lie in [0, anomaly_speed_kph] and so does the mean, so
         the step (v - avg) / n is below 0.005 in magnitude once
         n > 200 * anomaly_speed_kph, and rounding to 2 decimals returns the old
-        mean. Folding the readings up to this count is therefore exact.
+        mean. Folding the readings up to this count is therefore exact. (A seed
+        mean above the limit widens the interval; see ``trips.trip_horizon``.)
         """
-        if self.anomaly_speed_kph is None or not math.isfinite(self.anomaly_speed_kph):
-            return None
         return int(math.floor(200.0 * max(self.anomaly_speed_kph, 0.0))) + 1
 
 
 DEFAULT = Params()
 # driver tables are sparse (hours between fixes), so their queries use a one-day timeout
-EVENTS_PARAMS = Params(trip_timeout_ms=86_400_000)
+EVENTS_PARAMS = Params(trip_timeout_ms=86_400_000, chunk_ms=SPARSE_CHUNK_MS)
 # 2024-02-01T00:00:00Z, the evaluation time of the driver-table run chain
 EVENTS_AS_OF_MS = 1_706_745_600_000
 # 2024-01-31T00:00:00Z, the evaluation time of the history split: the driver
@@ -104,7 +107,7 @@ def ensure_checkpoint_dir(spark) -> str:
     if not cur:
         cur = spark.sparkContext.getCheckpointDir()
     if not cur:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             # a machine-local folder would not survive executor loss on a cluster
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS or object storage)")
         cur = tempfile.mkdtemp(prefix="geotrail-ckpt-", dir="/tmp")

@@ -12,9 +12,6 @@ on ``(vin, chunk)``. The rows are shuffled once, on ``(vin, chunk)``; the
 later windows, aggregates and joins reuse that partitioning and only the
 small summaries move (broadcast by AQE when their measured size allows).
 
-Chunks are ``chunk_ms`` wide; a vehicle-chunk holding more than
-``max_chunk_rows`` rows is split further (see :func:`add_chunk`).
-
 Row contract: columns ``vin, ts, seq, lat, lon`` (``seq`` breaks timestamp
 ties, e.g. arrival order) plus anything else, which is carried along.
 """
@@ -38,48 +35,15 @@ def point() -> Column:
     return F.struct(F.col("ts"), F.col("seq"), F.col("lat"), F.col("lon"))
 
 
-def add_chunk(rows: DataFrame, chunk_ms: int, max_rows: int | None = None) -> DataFrame:
-    """Add ``chunk``: the start (epoch ms) of the row's time chunk.
+def add_chunk(rows: DataFrame, chunk_ms: int) -> DataFrame:
+    """Add ``chunk``: the start (epoch ms) of the row's time chunk of ``chunk_ms``.
 
-    Chunks are ``chunk_ms`` wide. With ``max_rows``, a chunk of one vehicle
-    holding more rows than that (a burst, or a device flooding fixes) is cut
-    into ``ceil(rows / max_rows)`` equal sub-chunks, so no task sorts much
-    more than ``max_rows`` rows of one vehicle. Finding them costs one scan
-    with a map-side combined count per ``(vin, chunk)``; the list of hot
-    chunks is broadcast: every entry stands for more than ``max_rows`` rows,
-    so it has at most ``rows / max_rows`` entries (e.g. 1e12 rows, 4e6 per
-    chunk: 250 000 entries, a few MB).
+    Fixes are unique per vehicle and millisecond once deduplicated, so the
+    width alone bounds the rows of a vehicle-chunk.
     """
     if "chunk" in rows.columns:
         return rows
-    c = F.lit(int(chunk_ms))
-    base = (F.col("ts") - F.pmod(F.col("ts"), c)).cast("long")
-    if not max_rows:
-        return rows.withColumn("chunk", base)
-    rows = rows.withColumn("_base", base)
-    hot = (
-        rows.groupBy(KEY, "_base")
-        .agg(F.count(F.lit(1)).alias("_cnt"), F.min("ts").alias("_t0"), F.max("ts").alias("_t1"))
-        .filter(F.col("_cnt") > F.lit(int(max_rows)))
-        .select(
-            KEY,
-            "_base",
-            "_t0",
-            # the rows' own time extent is cut into equal parts
-            F.greatest(
-                F.lit(1).cast("long"),
-                F.ceil((F.col("_t1") - F.col("_t0") + 1) / F.ceil(F.col("_cnt") / F.lit(int(max_rows)))).cast("long"),
-            ).alias("_width"),
-        )
-    )
-    sub = F.when(F.col("_width").isNull(), F.col("_base")).otherwise(
-        F.col("_t0") + ((F.col("ts") - F.col("_t0")) / F.col("_width")).cast("long") * F.col("_width")
-    )
-    return (
-        rows.join(F.broadcast(hot), [KEY, "_base"], "left")
-        .withColumn("chunk", sub)
-        .drop("_base", "_t0", "_width")
-    )
+    return rows.withColumn("chunk", (F.col("ts") - F.pmod(F.col("ts"), F.lit(int(chunk_ms)))).cast("long"))
 
 
 def link(
@@ -103,8 +67,8 @@ def link(
     from ``prev`` to the row) it also adds ``trip_rank``: for a row whose
     incoming segment lies in its trip and is accepted, the number of such
     rows of the trip up to it, plus the vehicle's ``seed_n`` from
-    ``seed_counts`` (vin, seed_n: readings an open trip already had; joined to
-    the summary, one row per vehicle). Segments inside a chunk are judged before the
+    ``seed_counts`` (vin, seed_n, seed_avg: readings and mean an open trip already had;
+    joined to the summary, one row per vehicle; ``seed_avg`` is handed to the rows). Segments inside a chunk are judged before the
     join; each chunk's first segment is judged on the summary, where both of
     its ends are known, so the running counts need no second pass.
 
@@ -193,7 +157,8 @@ def link(
             ),
         )
         if seed_counts is not None:
-            s = s.join(seed_counts.select(KEY, F.col("seed_n").alias("_sn")), KEY, "left")
+            s = s.join(seed_counts.select(KEY, F.col("seed_n").alias("_sn"), F.col("seed_avg").alias("_sa")), KEY, "left")
+            ctx_cols.append("_sa")
             seed_col = F.coalesce(F.col("_sn"), F.lit(0)).cast("long")
         else:
             seed_col = F.lit(0).cast("long")
@@ -218,7 +183,8 @@ def link(
             .when(F.col("_bb") == 1, F.col("_fr"))
             .otherwise(F.col("_carry") + F.col("_fb") + F.col("_fr"))
         )
-        extra = [F.when(flag == 1, rank).cast("long").alias("trip_rank")]
+        seed_avg = F.col("_sa") if seed_counts is not None else F.lit(None).cast("double")
+        extra = [F.when(flag == 1, rank).cast("long").alias("trip_rank"), seed_avg.alias("trip_seed_avg")]
     return out.select(
         *[c for c in r.columns if not c.startswith("_")],
         prev.alias("prev"),

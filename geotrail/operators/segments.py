@@ -111,10 +111,10 @@ def linked_segments(
     ``trip_rank`` among the trip's accepted segments (after the open trip's
     readings, from ``seeds``)."""
     linked = chunked.link(
-        chunked.add_chunk(rows, p.chunk_ms, p.max_chunk_rows),
+        chunked.add_chunk(rows, p.chunk_ms),
         gap_ms=gap_ms,
         accept=segment_verdict(p),
-        seed_counts=None if seeds is None else seeds.select("vin", "seed_n"),
+        seed_counts=None if seeds is None else seeds.select("vin", "seed_n", "seed_avg"),
         drop_before_bridge=drop_late,
     )
     return with_segments(linked, p)

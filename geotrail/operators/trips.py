@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
@@ -27,6 +27,16 @@ TRIP_COLUMNS = [
 ]
 
 
+def trip_horizon(p: Params) -> Column:
+    """Reading count after which the trip's rounded mean cannot move (see ``Params.fold_horizon``).
+
+    Speeds and mean lie below the larger of the anomaly limit and the seed's mean, which
+    exceeds the limit when that was lowered between runs.
+    """
+    top = F.greatest(F.lit(float(max(p.anomaly_speed_kph, 0.0))), F.coalesce(F.col("trip_seed_avg"), F.lit(0.0)))
+    return F.floor(top * 200.0) + 1
+
+
 def trip_aggregates(ranked: DataFrame, p: Params) -> DataFrame:
     """One row per ``(vin, trip_no)``; every part combines map-side.
 
@@ -36,8 +46,7 @@ def trip_aggregates(ranked: DataFrame, p: Params) -> DataFrame:
     array per trip is bounded however long the trip is.
     """
     acc = F.col("accepted") == 1
-    horizon = p.fold_horizon
-    cand = acc & (F.col("trip_rank") <= F.lit(horizon)) if horizon is not None else acc
+    cand = acc & (F.col("trip_rank") <= trip_horizon(p))
     return ranked.groupBy("vin", "trip_no").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.max(F.col("is_bridge").cast("int")).alias("has_bridge"),

@@ -344,7 +344,8 @@ def chain(upto: int = 3) -> str:
 
 
 def q_processed_flags() -> str:
-    return f"{chain(1)}\nSELECT vin, timestamp FROM r1_marks"
+    marks = " UNION ALL ".join(f"SELECT vin, timestamp FROM r{k}_marks" for k in (1, 2, 3))
+    return f"{chain(3)}\n{marks}"
 
 
 def q_unprocessed_positions() -> str:
@@ -414,7 +415,7 @@ cur AS (
 done AS (SELECT * EXCLUDE (is_open, trip_no) FROM trips WHERE NOT is_open),
 {alerts_cte('hs', 'halerts')},
 stats AS (SELECT vin, count(*) AS completed_trips_count, sum(total_distance_meters) AS total_distance_meters,
-                 sum(round(average_speed_kph * 100.0)::BIGINT) / (count(average_speed_kph) * 100.0) AS average_speed_kph
+                 avg(average_speed_kph) AS average_speed_kph
           FROM done GROUP BY vin),
 acounts AS (SELECT vin, count(*) AS speed_alerts_count FROM halerts GROUP BY vin)"""
 
@@ -441,7 +442,7 @@ def q_alerts_recent() -> str:
     return f"{history()}\n{final('halerts', ALERT_COLS, ALERT_DOUBLES)}"
 
 
-def q_recent_positions(n: int = 10) -> str:
+def q_recent_positions(n: int = 100) -> str:
     return f"""WITH {POS},
 rk AS (SELECT vin, timestamp, latitude, longitude,
               (row_number() OVER (PARTITION BY vin ORDER BY timestamp DESC))::INTEGER AS rank FROM pos)
@@ -463,10 +464,10 @@ def q_vehicle_summary() -> str:
     return f"""{history()},
 vs AS (
   SELECT v.vin,
-         coalesce(s.completed_trips_count, 0)::INTEGER AS completed_trips_count,
+         coalesce(s.completed_trips_count, 0)::BIGINT AS completed_trips_count,
          coalesce(s.total_distance_meters, 0.0) AS total_distance_meters,
          s.average_speed_kph,
-         coalesce(a.speed_alerts_count, 0)::INTEGER AS speed_alerts_count,
+         coalesce(a.speed_alerts_count, 0)::BIGINT AS speed_alerts_count,
          {HISTORY_AS_OF_MS}::BIGINT AS last_computed_at,
          c.trip_start_timestamp AS current_trip_start_timestamp,
          c.last_update_timestamp AS current_last_update_timestamp,
@@ -481,10 +482,10 @@ vs AS (
 
 def q_fleet_summary() -> str:
     return f"""{history()}
-SELECT (SELECT count(DISTINCT vin) FROM pos)::INTEGER AS total_vehicles,
-       (SELECT count(*) FROM cur)::INTEGER AS active_trips,
-       (SELECT count(*) FROM done)::INTEGER AS completed_trips,
-       (SELECT count(*) FROM halerts)::INTEGER AS total_speed_alerts,
+SELECT (SELECT count(DISTINCT vin) FROM pos)::BIGINT AS total_vehicles,
+       (SELECT count(*) FROM cur)::BIGINT AS active_trips,
+       (SELECT count(*) FROM done)::BIGINT AS completed_trips,
+       (SELECT count(*) FROM halerts)::BIGINT AS total_speed_alerts,
        {HISTORY_AS_OF_MS}::BIGINT AS last_computed_at"""
 
 
@@ -498,6 +499,7 @@ def statements() -> dict[str, str]:
     return {
         "trip_rollup": q_trip_rollup(),
         "stream_trip_rollup": q_trip_rollup(),
+        "stream_ingest_rollup": q_trip_rollup(),
         "haversine": q_haversine(),
         "segment_speed": q_segment_speed(),
         "segments": q_segments(),

@@ -19,7 +19,7 @@ from geotrail.plans import scenarios, views
 from geotrail.plans.scenarios import RUN3_AS_OF_MS
 from geotrail.sources import events, ingest
 
-RECENT_N = 10  # page size of the latest-positions report on driver data
+RECENT_N = 100  # the default page size of the latest-positions read
 
 
 def r3(df: DataFrame) -> DataFrame:
@@ -109,6 +109,17 @@ def stream_trip_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r3(open_trips(spark.read.parquet(f"{root}/out")))
 
 
+def stream_ingest_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I1 + I2 + S1 stream form: raw messages with re-sent copies -> open trips."""
+    from geotrail.sources.store import scratch_path
+    from geotrail.streaming.stateful import open_trips, trip_stream_from_raw
+
+    root = scratch_path(spark, "stream")
+    q = trip_stream_from_raw(events.events_raw_stream_with_resends(spark, sf_dir), f"{root}/out", f"{root}/ckpt", P)
+    q.awaitTermination()
+    return r3(open_trips(spark.read.parquet(f"{root}/out")))
+
+
 # ---- ingest -----------------------------------------------------------------------------------
 
 
@@ -135,8 +146,10 @@ def _chain(spark, sf_dir, upto=3):
 
 
 def processed_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fixes run 1 marks processed."""
-    return _chain(spark, sf_dir, 1).run1.processed.select("vin", "timestamp")
+    """Fixes marked processed by the three runs over all events."""
+    c = _chain(spark, sf_dir)
+    marks = [r.processed.select("vin", "timestamp") for r in (c.run1, c.run2, c.run3)]
+    return marks[0].unionByName(marks[1]).unionByName(marks[2])
 
 
 def unprocessed_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -278,6 +291,7 @@ QUERIES = {
     for f in [
         trip_rollup,
         stream_trip_rollup,
+        stream_ingest_rollup,
         haversine,
         segment_speed,
         segments,

@@ -64,17 +64,11 @@ def alert_counts(alerts: DataFrame) -> DataFrame:
 
 
 def trip_stats_by_vin(completed: DataFrame) -> DataFrame:
-    """A5: completed-trip count, distance sum and *unweighted* mean of trip means.
-
-    Trip means are two-decimal values, so their mean is taken exactly from
-    integer cents: the result is the double nearest to the true mean whatever
-    order the partitions are summed in (a double sum is not associative).
-    """
-    cents = F.round(F.col("average_speed_kph") * 100.0).cast("long")
+    """A5: completed-trip count, distance sum and *unweighted* mean of trip means."""
     return completed.groupBy("vin").agg(
         F.count(F.lit(1)).alias("completed_trips_count"),
         F.sum("total_distance_meters").alias("total_distance_meters"),
-        (F.sum(cents) / (F.count("average_speed_kph") * 100.0)).alias("average_speed_kph"),
+        F.avg("average_speed_kph").alias("average_speed_kph"),
     )
 
 
@@ -122,10 +116,10 @@ def vehicle_summary(
         .select(
             "vin",
             "current_trip",
-            F.coalesce(F.col("completed_trips_count"), F.lit(0)).cast("int").alias("completed_trips_count"),
+            F.coalesce(F.col("completed_trips_count"), F.lit(0)).cast("long").alias("completed_trips_count"),
             F.coalesce(F.col("total_distance_meters"), F.lit(0.0)).alias("total_distance_meters"),
             F.col("average_speed_kph"),
-            F.coalesce(F.col("speed_alerts_count"), F.lit(0)).cast("int").alias("speed_alerts_count"),
+            F.coalesce(F.col("speed_alerts_count"), F.lit(0)).cast("long").alias("speed_alerts_count"),
             F.lit(int(last_computed_at)).cast("long").alias("last_computed_at"),
         )
     )
@@ -154,5 +148,5 @@ def fleet_summary(
     for q in parts[1:]:
         stacked = stacked.unionByName(q)
     return stacked.agg(
-        *[F.max(F.when(F.col("_k") == i, F.col("_v"))).cast("int").alias(n) for i, n in enumerate(names)]
+        *[F.max(F.when(F.col("_k") == i, F.col("_v"))).cast("long").alias(n) for i, n in enumerate(names)]
     ).withColumn("last_computed_at", F.lit(int(last_computed_at)).cast("long"))

@@ -62,7 +62,10 @@ def events_positions_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def events_positions_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Inbound messages (nested location), before ingest normalisation."""
-    p = events_positions(spark, sf_dir)
+    return _as_messages(events_positions(spark, sf_dir))
+
+
+def _as_messages(p: DataFrame) -> DataFrame:
     return p.select(
         "vin",
         "timestamp",
@@ -77,7 +80,15 @@ def events_positions_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def events_positions_with_resends(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Inbound messages plus a re-sent, altered copy of every 50th event."""
-    raw = events_positions_raw(spark, sf_dir)
+    return _with_resends(events_positions_raw(spark, sf_dir))
+
+
+def events_raw_stream_with_resends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same messages and copies as a file stream."""
+    return _with_resends(_as_messages(events_positions_stream(spark, sf_dir)))
+
+
+def _with_resends(raw: DataFrame) -> DataFrame:
     resent = raw.filter(F.col("arrival_seq") % RESEND_EVERY == 0).select(
         "vin",
         "timestamp",

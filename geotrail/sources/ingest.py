@@ -29,9 +29,14 @@ def normalize(raw: DataFrame) -> DataFrame:
     """Flatten ``location``, apply wire defaults for absent fields, mark unprocessed.
 
     Absent scalars of the wire format decode as 0 / 0.0 / "" and are stored
-    as such, so nulls are replaced by those defaults here.
+    as such, so nulls are replaced by those defaults here. Without an
+    ``arrival_seq`` column rows are numbered in scan order (a stream's rows get
+    theirs when the store appends them).
     """
-    seq = F.col("arrival_seq") if "arrival_seq" in raw.columns else F.lit(0).cast("long")
+    if "arrival_seq" in raw.columns:
+        seq = F.coalesce(F.col("arrival_seq").cast("long"), F.lit(0).cast("long"))
+    else:
+        seq = F.lit(0).cast("long") if raw.isStreaming else F.monotonically_increasing_id()
     return raw.select(
         F.coalesce(F.col("vin"), F.lit("")).alias("vin"),
         F.coalesce(F.col("timestamp").cast("long"), F.lit(0).cast("long")).alias("timestamp"),
@@ -72,32 +77,19 @@ def dedupe(positions: DataFrame, stored: DataFrame | None = None) -> DataFrame:
     return first.select(*positions.columns)
 
 
-def dedupe_stream(positions: DataFrame, watermark: str = "1 hour") -> DataFrame:
-    """Streaming dedupe: state is bounded by the watermark on event time.
-
-    The original's unique index is unbounded; beyond the watermark horizon the
-    late-data rule of the trip fold (``timestamp <= last update``) rejects
-    repeats while a trip is open. Within one micro-batch the copy met first
-    survives, which need not be the lowest ``arrival_seq``; for the exact
-    first-arrival rule use ``streaming.stateful.ingest_to_store`` (the batch
-    :func:`dedupe` per micro-batch against the stored keys).
-    """
-    return (
-        positions.withColumn("_event_time", F.timestamp_millis(F.col("timestamp")))
-        .withWatermark("_event_time", watermark)
-        .dropDuplicatesWithinWatermark(KEY)
-        .drop("_event_time")
-    )
-
-
 def ingest_outcomes(positions: DataFrame, stored: DataFrame | None = None) -> DataFrame:
     """Per inbound row: saved (first arrival of a new key) or duplicate ignored.
 
+    Raw messages are normalised first, so a message with an absent key field has its
+    outcome too: every input row has exactly one.
+
     The first arrival per key is a map-side-combined aggregate joined back on
     the key: a key re-sent millions of times is reduced per task before the
     shuffle, and its rows in the join are split by AQE's skew handling (the
     other side has one row per key), never buffered as one window group.
     """
+    if "location" in positions.columns:
+        positions = normalize(positions)
     first = positions.groupBy(*KEY).agg(F.min("arrival_seq").alias("_first_seq"))
     marked = positions.select(*KEY, "arrival_seq").join(first, KEY, "inner").select(
         *KEY, "arrival_seq", (F.col("arrival_seq") == F.col("_first_seq")).alias("_first")
@@ -127,7 +119,7 @@ def with_event_date(positions: DataFrame) -> DataFrame:
     return positions.withColumn("event_date", F.to_date(F.timestamp_millis(F.col("timestamp"))))
 
 
-def append_positions(new_positions: DataFrame, path: str) -> None:
+def append_positions(new_positions: DataFrame, path: str, mode: str = "append") -> None:
     """Append deduped fixes, partitioned by event date and sorted for min/max skipping.
 
     Range partitioning on (date, vin, timestamp) samples the keys, so one busy
@@ -138,7 +130,7 @@ def append_positions(new_positions: DataFrame, path: str) -> None:
         with_event_date(new_positions)
         .repartitionByRange("event_date", "vin", "timestamp")
         .sortWithinPartitions("event_date", "vin", "timestamp")
-        .write.mode("append")
+        .write.mode(mode)
         .partitionBy("event_date")
         .parquet(path)
     )

@@ -1,25 +1,26 @@
-"""Parquet tables of the trip analytics, written run by run.
+"""Parquet tables of the trip analytics, written append by append and run by run.
 
 Layout under one root folder (on a cluster: a shared file system path)::
 
-    positions/event_date=.../       append-only fixes (I4)
-    processed/run_id=.../           (vin, timestamp, arrival_seq) marked processed by a run (W2)
-    pending/run_id=.../             fixes a run left unprocessed (read by the next run)
-    current_trips/run_id=.../       full open-trip snapshot after a run (I5)
-    completed_trips/run_id=.../     trips closed by a run (I6)
-    speed_alerts/run_id=.../        alerts raised by a run (I7)
-    _runs/<run_id>                  commit marker (holds the consumed arrival watermark), written last
-
-A run's outputs land under its ``run_id`` and become visible only when the
-marker exists, so a failed or repeated run never leaves half its rows
-behind (a retried run id simply overwrites its own folders). Readers take
-the newest committed run's snapshot and the committed appends.
+    positions/append=<n>/event_date=.../    fixes of one append (I4)
+    runs/run=<n>/kind=.../                  all outputs of one run, written in one job:
+        current_trips (full snapshot, I5), completed_trips (I6), speed_alerts (I7),
+        processed (marks, W2), pending (fixes left unprocessed, read by the next run)
+    _appends/<n>, _runs/<n>                 commit markers, numbered without gaps
+
+Numbers are taken when a commit marker is created: creation fails if the number
+exists, and a marker's content is in place before its name is (written aside, then
+renamed), so a number is committed whole or not at all. What lies in a folder without
+its marker is invisible and overwritten by the next attempt. A run's marker holds
+its id, its clock (``as_of_ms``) and the last append it has read: a fix that lands later, whatever
+its ``arrival_seq``, belongs to a later append and is read by a later run.
 """
 
 from __future__ import annotations
 
-import os
+import json
 import uuid
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,147 +44,224 @@ def persist(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+class Folder:
+    """The few file operations that commits need, on whatever file system Spark uses for the path."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.jvm = spark.sparkContext._jvm.org.apache.hadoop.fs
+        self.path = path
+        self.fs = self.jvm.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def exists(self, name: str = "") -> bool:
+        return self.fs.exists(self.jvm.Path(f"{self.path}/{name}" if name else self.path))
+
+    def names(self) -> list[str]:
+        if not self.exists():
+            return []
+        found = (s.getPath().getName() for s in self.fs.listStatus(self.jvm.Path(self.path)))
+        return sorted(n for n in found if n[0] not in "._")
+
+    def read(self, name: str) -> str:
+        stream = self.fs.open(self.jvm.Path(f"{self.path}/{name}"))
+        try:
+            return bytes(stream.readAllBytes()).decode()
+        finally:
+            stream.close()
+
+    def create(self, name: str, text: str) -> None:
+        """Put a file in place whole; an existing name is an error."""
+        aside = self.jvm.Path(f"{self.path}/.{name}-{uuid.uuid4().hex}")
+        out = self.fs.create(aside, False)
+        try:
+            out.write(bytearray(text.encode()))
+        finally:
+            out.close()
+        if self.exists(name) or not self.fs.rename(aside, self.jvm.Path(f"{self.path}/{name}")):
+            self.fs.delete(aside, False)
+            raise RuntimeError(f"{name} is already committed in {self.path}")
+
+
+@dataclass(frozen=True)
+class RunInfo:
+    """What a run's commit marker holds."""
+
+    number: int
+    run_id: str
+    as_of_ms: int | None
+    appends: int        # number of appends it and its predecessors have read
+
+
+@dataclass(frozen=True)
+class Snapshot:
+    """All tables as of one committed run."""
+
+    positions: DataFrame
+    current_trips: DataFrame
+    completed_trips: DataFrame
+    speed_alerts: DataFrame
+    last_computed_at: int | None
+
+
 class TripStore:
     """Run-by-run trip tables under one root folder.
 
-    Runs are incremental: a run reads the fixes that arrived since the last
-    committed run (``arrival_seq`` above its watermark -- Parquet statistics
-    skip older files) plus that run's leftover unprocessed fixes, never the
-    whole history. ``arrival_seq`` must increase with arrival (a source
-    offset or ingest sequence).
+    Runs are incremental: a run reads the appends committed since the last
+    committed run (a partition filter) plus that run's leftover unprocessed fixes, never
+    the whole history.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
 
-    def _p(self, name: str) -> str:
-        return f"{self.root}/{name}"
+    def _folder(self, name: str) -> Folder:
+        return Folder(self.spark, f"{self.root}/{name}")
 
-    def _committed(self) -> list[str]:
-        path = self._p("_runs")
-        jvm_path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        fs = jvm_path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        if not fs.exists(jvm_path):
-            return []
-        return sorted(s.getPath().getName() for s in fs.listStatus(jvm_path))
+    def _count(self, markers: str) -> int:
+        names = self._folder(markers).names()
+        return int(names[-1].split("-")[0]) if names else 0
 
-    def _read_runs(self, name: str, schema, only: list[str] | None = None) -> DataFrame:
-        from pyspark.sql import types as T
+    # ---- runs
 
-        runs = self._committed() if only is None else only
-        path = self._p(name)
-        if not runs or not _exists(self.spark, path):
-            return self.spark.createDataFrame([], schema)
-        with_run = T.StructType([*schema.fields, T.StructField("run_id", T.StringType())])
-        df = self.spark.read.schema(with_run).parquet(path)
-        return df.filter(F.col("run_id").isin(runs)).drop("run_id")
+    def last_run(self) -> RunInfo | None:
+        folder = self._folder("_runs")
+        names = folder.names()
+        return RunInfo(int(names[-1]), **json.loads(folder.read(names[-1]))) if names else None
 
-    def _stored_fixes(self) -> DataFrame:
-        from geotrail.schema import CAR_POSITIONS
-
-        path = self._p("positions")
-        if not _exists(self.spark, path):
-            return self.spark.createDataFrame([], CAR_POSITIONS)
-        return self.spark.read.parquet(path).select(*CAR_POSITIONS.fieldNames())
+    def run_ids(self) -> set[str]:
+        folder = self._folder("_run_ids")
+        return {json.loads(f'"{n}"') for n in folder.names()}
 
-    def positions(self) -> DataFrame:
-        """All stored fixes with their processed flags (for reads, not for runs)."""
-        from geotrail.plans.run import apply_processed
+    def _table(self, kind: str, schema, number: int | None = None, only_last: bool = False) -> DataFrame:
+        """One output kind of the committed runs up to ``number`` (or of that run alone)."""
+        from pyspark.sql import types as T
 
-        return apply_processed(self._stored_fixes(), self.processed_marks())
+        last = self._count("_runs") if number is None else number
+        if not last:
+            return self.spark.createDataFrame([], schema)
+        keys = [T.StructField("run", T.LongType()), T.StructField("kind", T.StringType())]
+        df = self.spark.read.schema(T.StructType([*schema.fields, *keys])).parquet(f"{self.root}/runs")
+        runs = F.col("run") == last if only_last else F.col("run") <= last
+        return df.filter(runs & (F.col("kind") == kind)).drop("run", "kind")
 
-    def processed_marks(self) -> DataFrame:
+    def processed_marks(self, number: int | None = None) -> DataFrame:
         from pyspark.sql import types as T
 
-        schema = T.StructType(
-            [
-                T.StructField("vin", T.StringType()),
-                T.StructField("timestamp", T.LongType()),
-                T.StructField("arrival_seq", T.LongType()),
-            ]
-        )
-        return self._read_runs("processed", schema)
+        names = [("vin", T.StringType()), ("timestamp", T.LongType()), ("arrival_seq", T.LongType())]
+        return self._table("processed", T.StructType([T.StructField(n, t) for n, t in names]), number)
 
-    def current_trips(self) -> DataFrame:
+    def current_trips(self, number: int | None = None) -> DataFrame:
         from geotrail.schema import CURRENT_TRIPS
 
-        runs = self._committed()
-        if not runs:
-            return self.spark.createDataFrame([], CURRENT_TRIPS)
-        return self.spark.read.schema(CURRENT_TRIPS).parquet(f"{self._p('current_trips')}/run_id={runs[-1]}")
+        return self._table("current_trips", CURRENT_TRIPS, number, only_last=True)
 
-    def completed_trips(self) -> DataFrame:
+    def completed_trips(self, number: int | None = None) -> DataFrame:
         from geotrail.schema import COMPLETED_TRIPS
 
-        return self._read_runs("completed_trips", COMPLETED_TRIPS)
+        return self._table("completed_trips", COMPLETED_TRIPS, number)
 
-    def speed_alerts(self) -> DataFrame:
+    def speed_alerts(self, number: int | None = None) -> DataFrame:
         from geotrail.schema import SPEED_ALERTS
 
-        return self._read_runs("speed_alerts", SPEED_ALERTS)
+        return self._table("speed_alerts", SPEED_ALERTS, number)
 
-    def _watermark(self) -> int | None:
-        """Highest ``arrival_seq`` consumed by the newest committed run."""
-        runs = self._committed()
-        if not runs:
-            return None
-        row = self.spark.read.text(f"{self._p('_runs')}/{runs[-1]}").first()
-        return int(row.value) if row and row.value not in ("", "None") else None
-
-    def pending(self) -> DataFrame:
+    def pending(self, number: int | None = None) -> DataFrame:
         """Fixes the newest committed run left unprocessed (retried by the next run)."""
         from geotrail.schema import CAR_POSITIONS
 
-        runs = self._committed()
-        return self._read_runs("pending", CAR_POSITIONS, runs[-1:])
+        return self._table("pending", CAR_POSITIONS, number, only_last=True)
+
+    def snapshot(self, number: int | None = None) -> Snapshot:
+        """Every table as of one run (default: the newest), with that run's clock."""
+        last = self.last_run()
+        if last is None:
+            return Snapshot(self.positions(), self.current_trips(0), self.completed_trips(0), self.speed_alerts(0), None)
+        n = last.number if number is None else number
+        info = last if n == last.number else RunInfo(n, **json.loads(self._folder("_runs").read(f"{n:012d}")))
+        return Snapshot(
+            self.positions(n, info.appends), self.current_trips(n), self.completed_trips(n), self.speed_alerts(n), info.as_of_ms
+        )
+
+    # ---- fixes
+
+    def _fixes(self, after: int = 0, upto: int | None = None) -> DataFrame:
+        from geotrail.schema import CAR_POSITIONS
+
+        last = self._count("_appends") if upto is None else upto
+        if last <= after:
+            return self.spark.createDataFrame([], CAR_POSITIONS)
+        df = self.spark.read.parquet(f"{self.root}/positions")
+        return df.filter((F.col("append") > after) & (F.col("append") <= last)).select(*CAR_POSITIONS.fieldNames())
+
+    def positions(self, number: int | None = None, upto: int | None = None) -> DataFrame:
+        """All stored fixes with their processed flags (for reads, not for runs)."""
+        from geotrail.plans.run import apply_processed
+
+        return apply_processed(self._fixes(upto=upto), self.processed_marks(number))
 
     def unprocessed(self) -> DataFrame:
-        """What the next run reads: new arrivals plus the last run's leftovers."""
-        wm = self._watermark()
-        fixes = self._stored_fixes()
-        new = fixes if wm is None else fixes.filter(F.col("arrival_seq") > F.lit(wm))
+        """What the next run reads: new appends plus the last run's leftovers."""
+        last = self.last_run()
+        new = self._fixes(after=last.appends if last else 0)
         return new.unionByName(self.pending()).withColumn("processed", F.lit(False))
 
-    def append_positions(self, new_positions: DataFrame) -> None:
-        from geotrail.sources.ingest import append_positions, dedupe
+    def append_positions(self, messages: DataFrame) -> DataFrame:
+        """Store the first arrival of every new key; returns the outcome of every message.
+
+        Raw messages are normalised first. Messages without an ``arrival_seq`` are numbered here, after
+        all that is stored.
+        """
+        from geotrail.sources.ingest import append_positions, dedupe, ingest_outcomes, normalize
+
+        number = self._count("_appends") + 1
+        numbered = "arrival_seq" in messages.columns
+        batch = normalize(messages) if "location" in messages.columns else messages
+        if not numbered:
+            batch = batch.withColumn("arrival_seq", F.lit(number << 40) + F.monotonically_increasing_id())
+        # read twice below: fixed numbers, and one normalisation
+        batch = persist(batch, scratch_path(self.spark, "append"))
+        stored = self._dated() if number > 1 else None
+        path = f"{self.root}/positions/append={number}"
+        append_positions(dedupe(batch, stored), path, mode="overwrite")
+        # an append of nothing new has no files; the marker alone keeps the numbers without gaps
+        outcomes = persist(ingest_outcomes(batch, stored), scratch_path(self.spark, "outcomes"))
+        self._folder("_appends").create(f"{number:012d}", "")
+        return outcomes
+
+    def _dated(self) -> DataFrame | None:
+        last = self._count("_appends")
+        if not last or not self._folder("positions").exists():
+            return None
+        return self.spark.read.parquet(f"{self.root}/positions").filter(F.col("append") <= last).drop("append")
 
-        path = self._p("positions")
-        stored = self.spark.read.parquet(path) if _exists(self.spark, path) else None
-        append_positions(dedupe(new_positions, stored), path)
+    # ---- committing runs
 
-    def commit(self, result, run_id: str, pending: DataFrame | None = None, watermark: int | None = None) -> None:
-        """Write all outputs of one run in one job, then its commit marker."""
-        from geotrail.plans.run import multiplexed, split_multiplexed
+    def commit(self, result, run_id: str, pending: DataFrame | None = None, as_of_ms: int | None = None, appends: int | None = None) -> int:
+        """Write all outputs of one run in one job, partitioned by kind, then its commit marker."""
+        from geotrail.plans.run import multiplexed
 
+        ids, runs = self._folder("_run_ids"), self._folder("_runs")
+        name = json.dumps(run_id)[1:-1].replace("/", "\\u002f")
+        if ids.exists(name):
+            raise ValueError(f"run {run_id!r} is already committed")
+        number = self._count("_runs") + 1
         extra = {"pending": pending} if pending is not None else {}
-        staged = f"{self._p('_staging')}/run_id={run_id}"
-        written = persist(multiplexed(result, extra), staged)
-        for name, df in split_multiplexed(written, result, extra).items():
-            df.write.mode("overwrite").parquet(f"{self._p(name)}/run_id={run_id}")
-        self.spark.createDataFrame([(str(watermark),)], "value string").coalesce(1).write.mode("overwrite").text(
-            f"{self._p('_runs')}/{run_id}"
-        )
+        frame = multiplexed(result, extra)
+        frame.write.mode("overwrite").partitionBy("kind").parquet(f"{self.root}/runs/run={number}")
+        marker = {"run_id": run_id, "as_of_ms": as_of_ms, "appends": self._count("_appends") if appends is None else appends}
+        runs.create(f"{number:012d}", json.dumps(marker))
+        ids.create(name, "")
+        return number
 
     def run(self, as_of_ms: int, params=None, run_id: str | None = None) -> str:
         """Run the analytics once over the new and leftover fixes and commit the result."""
         from geotrail.config import DEFAULT
         from geotrail.plans.run import run_batch
 
-        rid = run_id or f"{as_of_ms:016d}"
-        wm = self._watermark()
+        appends = self._count("_appends")
+        rid = run_id or f"{self._count('_runs') + 1:06d}-{as_of_ms:016d}"
         todo = self.unprocessed()
-        top = todo.agg(F.max("arrival_seq")).first()[0]  # one number to the driver
-        watermark = max(x for x in (wm, top) if x is not None) if (wm is not None or top is not None) else None
         result = run_batch(todo, self.current_trips(), as_of_ms, params or DEFAULT)
         left = todo.join(result.processed, ["vin", "timestamp", "arrival_seq"], "left_anti")
-        self.commit(result, rid, left, watermark)
+        self.commit(result, rid, left, as_of_ms, appends)
         return rid
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    if path.startswith("/") and not path.startswith("//"):
-        return os.path.exists(path)
-    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(jvm_path)

@@ -128,8 +128,9 @@ def _fold(vin: str, trip: dict, pts: list[tuple], p: Params) -> list[dict]:
     if vmax > trip["max_speed_kph"]:
         trip["max_speed_kph"] = _r2(vmax)
     avg, n = trip["average_speed_kph"], n0
-    horizon = p.fold_horizon
-    for x in v[idx][: None if horizon is None else max(horizon - n0, 0)]:
+    # a seed mean above the limit widens the horizon
+    horizon = int(200.0 * max(p.anomaly_speed_kph, avg, 0.0)) + 1
+    for x in v[idx][: max(horizon - n0, 0)]:
         n += 1
         avg = _r2((avg * (n - 1) + float(x)) / n)
     trip["average_speed_kph"] = avg
@@ -161,12 +162,14 @@ def _from_state(st) -> tuple[dict | None, tuple | None]:
     return trip, pending
 
 
-def _step(vin: str, st, batch: pd.DataFrame | None, now: int, p: Params) -> tuple[tuple | None, list[dict]]:
+def _step(vin: str, st, batch: pd.DataFrame | None, now: int, p: Params, dedupe: bool = False) -> tuple[tuple | None, list[dict]]:
     """One vehicle, one micro-batch (``batch``) or one timer (``batch`` None): new state, output rows.
 
     The same rules as one batch run: late fixes dropped, the open trip's last
     point bridges to the new ones, a lone fix without trip waits, a trip with
-    no new segment closes once ``now - last update > timeout``.
+    no new segment closes once ``now - last update > timeout``. With ``dedupe``
+    the first arrival of each timestamp counts; copies of earlier fixes are late
+    by the same rule as everything at or before the last update.
     """
     timeout = int(p.trip_timeout_ms)
     trip, pending = _from_state(st)
@@ -186,6 +189,8 @@ def _step(vin: str, st, batch: pd.DataFrame | None, now: int, p: Params) -> tupl
         pts = [(lu, -1, trip["last_lat"], trip["last_lon"])] + [x for x in pts if x[0] > lu]
     elif pending is not None:
         pts = sorted([pending] + pts, key=lambda x: (x[0], x[1]))
+    if dedupe:
+        pts = [x for i, x in enumerate(pts) if i == 0 or x[0] != pts[i - 1][0]]
     if len(pts) <= 1:
         if had_trip:
             if now - trip["last_update_timestamp"] > timeout:
@@ -205,17 +210,17 @@ def _step(vin: str, st, batch: pd.DataFrame | None, now: int, p: Params) -> tupl
     return _state_tuple(trip, None), out
 
 
-def _make_func(p: Params, event_time: bool):
+def _make_func(p: Params, event_time: bool, grace: int, dedupe: bool):
     """Per-group function for ``applyInPandasWithState``."""
     timeout = int(p.trip_timeout_ms)
 
     def now_ms(state: GroupState) -> int:
-        return int(state.getCurrentWatermarkMs() if event_time else state.getCurrentProcessingTimeMs())
+        return int(state.getCurrentWatermarkMs() - grace if event_time else state.getCurrentProcessingTimeMs())
 
     def func(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         st = state.get if state.exists else None
         batch = None if state.hasTimedOut else pd.concat(list(pdfs), ignore_index=True)
-        new, out = _step(key[0], st, batch, now_ms(state), p)
+        new, out = _step(key[0], st, batch, now_ms(state), p, dedupe)
         if new is None:
             state.remove()
         else:
@@ -223,9 +228,10 @@ def _make_func(p: Params, event_time: bool):
             if new[0]:  # an open trip: check again once it may have timed out
                 lu = new[1 + TRIP_NAMES.index("last_update_timestamp")]
                 if event_time:
-                    state.setTimeoutTimestamp(max(lu + timeout + 1, now_ms(state) + 1))
+                    state.setTimeoutTimestamp(max(lu + timeout + 1, now_ms(state) + 1) + grace)
                 else:
-                    state.setTimeoutDuration(timeout + 1)
+                    # due at the same instant as the timer form: after the last update, not after this batch
+                    state.setTimeoutDuration(max(1, lu + timeout + 1 - now_ms(state)))
         if out:
             yield pd.DataFrame(out, columns=OUT_NAMES)
 
@@ -241,16 +247,18 @@ class TripProcessor(StatefulProcessor):
     later (the clock and the event times are unrelated, as in the original).
     """
 
-    def __init__(self, p: Params, event_time: bool):
+    def __init__(self, p: Params, event_time: bool, grace: int, dedupe: bool):
         self.p = p
         self.event_time = event_time
+        self.grace = grace
+        self.dedupe = dedupe
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.state = handle.getValueState("trip", STATE_SCHEMA)
 
     def _now(self, tv) -> int:
-        return int(tv.getCurrentWatermarkInMs() if self.event_time else tv.getCurrentProcessingTimeInMs())
+        return int(tv.getCurrentWatermarkInMs() - self.grace if self.event_time else tv.getCurrentProcessingTimeInMs())
 
     def _save(self, new, now: int) -> None:
         for t in list(self.handle.listTimers()):
@@ -261,12 +269,13 @@ class TripProcessor(StatefulProcessor):
         self.state.update(new)
         if new[0]:
             lu = new[1 + TRIP_NAMES.index("last_update_timestamp")]
-            self.handle.registerTimer(max(lu + int(self.p.trip_timeout_ms) + 1, now + 1))
+            due = max(lu + int(self.p.trip_timeout_ms) + 1, now + 1)
+            self.handle.registerTimer(due + (self.grace if self.event_time else 0))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         now = self._now(timerValues)
         st = self.state.get() if self.state.exists() else None
-        new, out = _step(key[0], st, pd.concat(list(rows), ignore_index=True), now, self.p)
+        new, out = _step(key[0], st, pd.concat(list(rows), ignore_index=True), now, self.p, self.dedupe)
         self._save(new, now)
         if out:
             yield pd.DataFrame(out, columns=OUT_NAMES)
@@ -283,6 +292,9 @@ class TripProcessor(StatefulProcessor):
         pass
 
 
+# how far a vehicle's event time may lie behind the fleet's: ten years
+MAX_LAG_DAYS = 3650
+MAX_LAG_MS = MAX_LAG_DAYS * 86_400_000
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -292,6 +304,7 @@ def trip_stream(
     event_time: bool = False,
     watermark: str = "10 minutes",
     api: str = "transformWithState",
+    dedupe: bool = False,
 ) -> DataFrame:
     """Streaming fixes in ``car_positions`` shape -> multiplexed trip outputs.
 
@@ -299,19 +312,26 @@ def trip_stream(
     one small state per vehicle. ``api`` picks ``transformWithState`` (value
     state + timers; needs the RocksDB state store, see :func:`write_trip_stream`)
     or the older ``applyInPandasWithState`` (state timeouts).
+
+    In event-time mode the fleet's newest event time, less ``watermark``, is the
+    clock of the timers and nothing else: Spark's own watermark trails so far behind
+    (``MAX_LAG_DAYS``) that a vehicle whose clock or connection lags the
+    fleet keeps all its fixes; late is only what lies at or before its own last update.
     """
+    grace = int(pd.Timedelta(watermark).total_seconds() * 1000)
     cols = fixes.select("vin", "timestamp", "latitude", "longitude", F.coalesce(F.col("arrival_seq"), F.lit(0)).alias("arrival_seq"))
     if event_time:
-        cols = cols.withColumn("_et", F.timestamp_millis("timestamp")).withWatermark("_et", watermark)
+        # shifted ahead by the same delay, so the watermark's value is the newest event time
+        cols = cols.withColumn("_et", F.timestamp_millis(F.col("timestamp") + F.lit(MAX_LAG_MS))).withWatermark("_et", f"{MAX_LAG_DAYS} days")
     if api == "transformWithState":
         return cols.groupBy("vin").transformWithStateInPandas(
-            statefulProcessor=TripProcessor(p, event_time),
+            statefulProcessor=TripProcessor(p, event_time, grace, dedupe),
             outputStructType=OUTPUT_SCHEMA,
             outputMode="Append",
             timeMode="EventTime" if event_time else "ProcessingTime",
         )
     conf = GroupStateTimeout.EventTimeTimeout if event_time else GroupStateTimeout.ProcessingTimeTimeout
-    return cols.groupBy("vin").applyInPandasWithState(_make_func(p, event_time), OUTPUT_SCHEMA, STATE_SCHEMA, "append", conf)
+    return cols.groupBy("vin").applyInPandasWithState(_make_func(p, event_time, grace, dedupe), OUTPUT_SCHEMA, STATE_SCHEMA, "append", conf)
 
 
 def write_trip_stream(out: DataFrame, root: str, checkpoint: str, trigger: dict | None = None):
@@ -361,14 +381,16 @@ def open_trips(outputs: DataFrame) -> DataFrame:
     return last.filter(F.col("l.kind") == "trip").select("vin", *[F.col(f"l.{c}").alias(c) for c in TRIP_NAMES])
 
 
-def trip_stream_from_raw(raw: DataFrame, root: str, checkpoint: str, p: Params = DEFAULT, dedupe_horizon: str = "1 hour",
-             trigger: dict | None = None):
-    """Inbound messages -> normalise (I1) -> first-arrival dedupe within ``dedupe_horizon``
-    -> keyed trip fold (S1-S3) -> multiplexed sink. Returns the started query."""
-    from geotrail.sources.ingest import dedupe_stream, normalize
+def trip_stream_from_raw(raw: DataFrame, root: str, checkpoint: str, p: Params = DEFAULT, trigger: dict | None = None, **options):
+    """Inbound messages -> normalise (I1) -> keyed first-arrival dedupe and trip fold
+    -> multiplexed sink. Returns the started query.
+
+    There is no fleet-wide watermark on the data: copies are told apart per vehicle, within a
+    micro-batch by timestamp and arrival, later by the vehicle's own last update.
+    """
+    from geotrail.sources.ingest import normalize
 
-    fixes = dedupe_stream(normalize(raw), dedupe_horizon)
-    return write_trip_stream(trip_stream(fixes, p), root, checkpoint, trigger)
+    return write_trip_stream(trip_stream(normalize(raw), p, dedupe=True, **options), root, checkpoint, trigger)
 
 
 def ingest_to_store(raw: DataFrame, store, checkpoint: str, trigger: dict | None = None):
@@ -378,10 +400,8 @@ def ingest_to_store(raw: DataFrame, store, checkpoint: str, trigger: dict | None
     stored keys of the dates it touches, then appended; a replayed batch finds
     its rows already stored, so the sink is idempotent.
     """
-    from geotrail.sources.ingest import normalize
-
     def sink(batch: DataFrame, batch_id: int):
-        store.append_positions(normalize(batch))
+        store.append_positions(batch)
 
     w = raw.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     return w.trigger(**(trigger or {"availableNow": True})).start()

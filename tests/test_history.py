@@ -151,24 +151,3 @@ def test_one_vehicle_spreads_over_tasks(spark):
     one = trips.trip_rollup(pos, Params(chunk_ms=10**13)).collect()
     many = trips.trip_rollup(pos, Params(chunk_ms=3_600_000)).collect()
     assert same_rows([tuple(r) for r in one], [tuple(r) for r in many])
-
-
-@pytest.mark.parametrize("max_rows", [None, 50, 7])
-def test_dense_burst_is_split_into_sub_chunks(spark, max_rows):
-    """2 000 fixes inside one hour: with max_chunk_rows they spread over sub-chunks, same result."""
-    fixes = [k(i % 40, 1_000_000 + i * 1000) for i in range(2000)]
-    pos = _positions(spark, fixes)
-    p = Params(chunk_ms=3_600_000, max_chunk_rows=max_rows)
-    chunks = trips.chunked.add_chunk(trips.fix_rows(pos), p.chunk_ms, p.max_chunk_rows)
-    n_chunks = chunks.select("chunk").distinct().count()
-    biggest = chunks.groupBy("chunk").count().agg(F.max("count")).collect()[0][0]
-    if max_rows is None:
-        assert n_chunks == 1
-    else:
-        assert n_chunks >= 2000 // max_rows and biggest <= max_rows + 1
-    base = trips.trip_rollup(pos, Params(chunk_ms=10**13, max_chunk_rows=None)).collect()
-    got = trips.trip_rollup(pos, p).collect()
-    assert same_rows([tuple(r) for r in base], [tuple(r) for r in got])
-    hs = trips.trip_segmentation(pos, p.with_(trip_timeout_ms=1500), 10**13).collect()
-    hb = trips.trip_segmentation(pos, Params(chunk_ms=10**13, max_chunk_rows=None, trip_timeout_ms=1500), 10**13).collect()
-    assert same_rows(sorted(tuple(r) for r in hs), sorted(tuple(r) for r in hb))

@@ -1,7 +1,11 @@
 """Table store: ingest appends with dedupe (I2, I4), committed runs (I5-I7), reads."""
 
+import os
 import tempfile
 
+import pytest
+from pyspark.sql import types as T
+
 from geotrail.config import Params
 from geotrail.plans import views
 from geotrail.schema import POSITIONS_RAW
@@ -51,7 +55,7 @@ def test_uncommitted_run_is_invisible(spark):
 
     res = run_batch(store.positions(), store.current_trips(), 3000, Params())
     # outputs written without the commit marker (a crash before the marker)
-    res.current_trips.write.parquet(f"{root}/current_trips/run_id=0000000000003000")
+    res.current_trips.write.parquet(f"{root}/runs/run=1/kind=current_trips")
     assert store.current_trips().count() == 0
     store.commit(res, "0000000000003000")
     assert store.current_trips().count() == 1
@@ -80,3 +84,46 @@ def test_incremental_store_keeps_leftovers_g7(spark):
         assert {r.timestamp for r in store.pending().collect()} == f.unprocessed(), as_of
     got = sorted((r.trip_start_timestamp, r.trip_end_timestamp) for r in store.completed_trips().collect())
     assert got == [(5000, 6000), (10_000, 11_000)]
+
+
+def test_runs_are_ordered_by_commit_and_ids_are_refused(spark):
+    root = tempfile.mkdtemp(prefix="geotrail-store-", dir="/tmp")
+    store = TripStore(spark, root)
+    store.append_positions(_raw(spark, [k(0, 1000), k(1, 2000)]))
+    store.run(3000, Params(), run_id="run9")
+    store.append_positions(_raw(spark, [k(2, 3000)], seq0=5))
+    store.run(2500, Params(), run_id="run10")     # a clock that goes back, an id that sorts before
+    assert [r.total_readings for r in store.current_trips().collect()] == [2]
+    with pytest.raises(ValueError):
+        store.run(9000, Params(), run_id="run9")
+    one = store.snapshot(1)
+    assert [r.total_readings for r in one.current_trips.collect()] == [1]
+    assert (one.last_computed_at, store.snapshot().last_computed_at) == (3000, 2500)
+    assert one.positions.count() == 2 and store.processed_marks().count() == 3
+
+
+def test_half_written_marker_is_not_a_commit(spark):
+    root = tempfile.mkdtemp(prefix="geotrail-store-", dir="/tmp")
+    store = TripStore(spark, root)
+    store.append_positions(_raw(spark, [k(0, 1000), k(1, 2000)]))
+    os.makedirs(f"{root}/_runs")
+    open(f"{root}/_runs/.000000000001-abc", "w").close()     # a crash before the rename
+    assert store.last_run() is None and store.unprocessed().count() == 2
+    store.run(3000, Params())
+    assert store.last_run().number == 1 and store.current_trips().count() == 1
+
+
+def test_messages_without_arrival_numbers(spark):
+    root = tempfile.mkdtemp(prefix="geotrail-store-", dir="/tmp")
+    store = TripStore(spark, root)
+    schema = T.StructType([f for f in POSITIONS_RAW.fields if f.name != "arrival_seq"])
+    msg = lambda t, lat, lon, vin="V": (vin, t, (lat, lon), 0.0, 0.0, 0.0, "")
+    first = [msg(*k(0, 1000)), msg(*k(0, 1000)), msg(*k(1, 2000)), msg(5, 1.0, 1.0, None)]
+    out = store.append_positions(spark.createDataFrame(first, schema)).collect()
+    assert sorted((r.vin, r.timestamp, r.success) for r in out) == [("", 5, True), ("V", 1000, False), ("V", 1000, True), ("V", 2000, True)]
+    store.run(3000, Params())
+    again = store.append_positions(spark.createDataFrame([msg(*k(1, 2000)), msg(*k(2, 3000)), msg(*k(3, 4000))], schema)).collect()
+    assert sorted((r.timestamp, r.success) for r in again) == [(2000, False), (3000, True), (4000, True)]
+    store.run(5000, Params())
+    assert [r.total_readings for r in store.current_trips().collect()] == [3]
+    assert store.unprocessed().filter("vin = 'V'").count() == 0

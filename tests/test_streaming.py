@@ -71,25 +71,35 @@ def test_stream_event_time_timeout_and_pending(spark, api):
     assert open_trips(out).count() == 0
 
 
-def test_stream_dedupe_keeps_first_arrival(spark):
-    from geotrail.sources import ingest
-
+@pytest.mark.parametrize("event_time", [False, True])
+def test_vehicle_behind_the_fleet_keeps_its_fixes(spark, event_time):
+    """Vehicle 2 sends fresh fixes 10 h behind vehicle 1; re-sent copies count once."""
     base = tempfile.mkdtemp(prefix="geotrail-stream-", dir="/tmp")
-    src, out_dir, ckpt = (os.path.join(base, x) for x in ("src", "out", "ckpt"))
-    _write_batch(spark, src, [k(0, 1000), k(1, 2000)])
-    _write_batch(spark, src, [(1000, 31.0, -97.73), k(2, 3000)], seq0=10)  # 1000 re-sent later
-    df = spark.readStream.schema(CAR_POSITIONS).option("maxFilesPerTrigger", 1).parquet(src)
-    q = (
-        ingest.dedupe_stream(df, "1 hour")
-        .writeStream.format("parquet")
-        .option("path", out_dir)
-        .option("checkpointLocation", ckpt)
-        .trigger(availableNow=True)
-        .start()
-    )
+    src, root, ckpt = (os.path.join(base, x) for x in ("src", "out", "ckpt"))
+    ahead = 36_000_000
+    runs = [
+        ([k(0, ahead + 1000), k(1, ahead + 2000)], [k(0, 1000), k(1, 2000)]),
+        ([k(2, ahead + 3000)], [k(1, 2000), k(2, 3000), k(5, 4000)]),
+    ]
+    from geotrail.schema import POSITIONS_RAW
+    from geotrail.streaming.stateful import trip_stream_from_raw
+
+    f1, f2 = Fleet(spark, params=Params()), Fleet(spark, params=Params())
+    for i, (one, two) in enumerate(runs):
+        rows = [(v, t, (la, lo), 0.0, 0.0, 0.0, "", 10 * i + n) for v, x in (("VIN000001", one), ("VIN000002", two)) for n, (t, la, lo) in enumerate(x)]
+        spark.createDataFrame(rows, POSITIONS_RAW).coalesce(1).write.mode("append").parquet(src)
+        f1.send(*one)
+        f2.send(*[x for x in two if x[0] not in {r["timestamp"] for r in f2.positions}])
+        f1.run(ahead + 5000)
+        f2.run(5000)
+    raw = spark.readStream.schema(POSITIONS_RAW).option("maxFilesPerTrigger", 1).parquet(src)
+    q = trip_stream_from_raw(raw, root, ckpt, Params(trip_timeout_ms=10**9), event_time=event_time)
     assert q.awaitTermination(180)
-    got = sorted((r.timestamp, round(r.latitude, 6)) for r in spark.read.parquet(out_dir).collect())
-    assert got == [(1000, 30.266), (2000, 30.2661), (3000, 30.2662)]
+    out = spark.read.parquet(root)
+    got = {r.vin: (r.total_readings, r.last_update_timestamp, round(r.total_distance_meters, 6)) for r in open_trips(out).collect()}
+    want = {v: (f.trip()["total_readings"], f.trip()["last_update_timestamp"], round(f.trip()["total_distance_meters"], 6)) for v, f in (("VIN000001", f1), ("VIN000002", f2))}
+    assert got == want
+    assert sorted(r.timestamp for r in out.filter("kind = 'alert' and vin = 'VIN000002'").collect()) == sorted(a["timestamp"] for a in f2.alerts)
 
 
 def _naive(trip, pts, p):
