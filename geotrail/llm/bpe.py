@@ -47,6 +47,7 @@ from geotrail.llm.common import select_docs, small_batches, text_column
 
 END = "</w>"
 PIECE_CHARS = 1 << 16
+MEMO_RUNS = 200_000     # words remembered per generation and worker process
 # white space of the vocabulary's \s class (fixed values: the code points with Unicode White_Space)
 SPACE_POINTS = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 SPACES = regex.compile("[" + "".join(map(chr, SPACE_POINTS)) + "]+")
@@ -340,7 +341,7 @@ def _memo(path: str) -> wordcache.WordMemo:
             if ids is None:
                 t = RunTransducer(table)
                 ids = t.feed(run.encode()) + t.finish()
-                if len(runs) >= wordcache.MAX_WORDS:
+                if len(runs) >= MEMO_RUNS:
                     runs.clear()
                 runs[run] = ids
             return ids
@@ -357,7 +358,7 @@ def _memo(path: str) -> wordcache.WordMemo:
                 out.append((array("I", ids).tobytes(), decode_ids(ids, table).encode()))
             return out
 
-        wordcache._MEMOS["transducer", path] = wordcache.WordMemo(encode_new)
+        wordcache._MEMOS["transducer", path] = wordcache.WordMemo(encode_new, MEMO_RUNS)
     return wordcache._MEMOS["transducer", path]
 
 
