@@ -19,6 +19,8 @@ WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 BLOCK_BYTES = 2_000_000
 #: rows per Arrow batch handed to Python: bounds a task's memory when texts are long
 BATCH_ROWS = 512
+#: a key with more than one in so many rows is hot; there are fewer hot keys than this
+HOT_KEYS = 1024
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,6 +51,20 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def join_classes(rows: DataFrame, classes: DataFrame, key: str) -> DataFrame:
+    """Inner join of ``rows`` with ``classes`` (one row per ``key``, ``n_rows``: its rows), safe from hot keys.
+
+    Keys with more than one ``HOT_KEYS``-th of all rows are fewer than ``HOT_KEYS``: their
+    classes are broadcast, so their rows stay where they are; all others meet in a
+    shuffled join, where no key holds more than that share. ``n_rows`` is not returned.
+    """
+    total = classes.agg(F.sum("n_rows")).first()[0] or 0
+    is_hot = F.col("n_rows") * HOT_KEYS > F.lit(total)
+    hot, rest = classes.where(is_hot).drop("n_rows"), classes.where(~is_hot).drop("n_rows")
+    usual = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(rest, key)
+    return rows.join(F.broadcast(hot), key).unionByName(usual)
+
+
 def fold_of(id_col: Column, mod: int) -> Column:
     """crc32 of the id as text, modulo ``mod`` (a null id counts as empty text)."""
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % mod

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geotrail.llm.common import materialize, select_docs, small_batches, text_column
+from geotrail.llm.common import join_classes, materialize, select_docs, small_batches, text_column
 from geotrail.llm.graph import components
 
 BITS = 64
@@ -211,13 +211,17 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> Dat
     """``doc_id, fp, fingerprint, component_id``, one row per input row."""
     by_doc = materialize(fingerprints(docs, shingle), "simhash-fp")
     # copies collapse before any join: one row per fingerprint, with its smallest document
-    distinct = materialize(by_doc.groupBy("fp").agg(F.min("doc_id").alias("low")), "simhash-distinct")
+    distinct = by_doc.groupBy("fp").agg(F.min("doc_id").alias("low"), F.count("*").alias("n_rows"))
+    distinct = materialize(distinct, "simhash-distinct")
     roots = components(link_distinct(distinct.select("fp"), max_bits))
-    linked = distinct.join(roots, distinct.fp == roots.node)
-    low = linked.groupBy("root").agg(F.min("low").alias("component_id"))
-    moved = linked.join(low, "root").select(F.col("fp").alias("linked_fp"), "component_id")
+    linked = distinct.select("fp", "low").join(roots, distinct.fp == roots.node).select("fp", "low", "root")
+    linked = materialize(linked, "simhash-linked")
+    low = linked.groupBy("root").agg(F.min("low").alias("component_id"), F.count("*").alias("n_rows"))
+    moved = join_classes(linked.select("fp", "root"), materialize(low, "simhash-roots"), "root")
+    moved = moved.select(F.col("fp").alias("linked_fp"), "component_id")
     classes = distinct.join(moved, distinct.fp == moved.linked_fp, "left").select(
-        "fp", F.when(F.col("linked_fp").isNull(), F.col("low")).otherwise(F.col("component_id")).alias("component_id")
+        "fp", F.when(F.col("linked_fp").isNull(), F.col("low")).otherwise(F.col("component_id")).alias("component_id"), "n_rows"
     )
     hexed = F.lpad(F.lower(F.hex("fp")), 16, "0")
-    return by_doc.join(classes, "fp").select("doc_id", "fp", hexed.alias("fingerprint"), "component_id")
+    out = join_classes(by_doc, materialize(classes, "simhash-classes"), "fp")
+    return out.select("doc_id", "fp", hexed.alias("fingerprint"), "component_id")

@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from geotrail.llm import bpe, contextmix, decontaminate, graph, htmltext, langid, planes, quality, rules, simhash, suffixdedup
+from geotrail.llm import bpe, common, contextmix, decontaminate, graph, htmltext, langid, planes, quality, rules, simhash, suffixdedup
 from geotrail.llm.common import fold_of
 from geotrail.llm.runindex import RunLengthIndex
 
@@ -261,6 +261,17 @@ def test_pigeonhole_finds_every_pair(spark, parts, monkeypatch):
     assert got == want
 
 
+@pytest.mark.parametrize("hot_keys", [1, 4, 1024])
+def test_classes_reach_hot_and_rare_keys(spark, hot_keys, monkeypatch):
+    monkeypatch.setattr(common, "HOT_KEYS", hot_keys)
+    rows = [(i, 0 if i % 3 else i) for i in range(90)]
+    classes = spark.createDataFrame([(k, -k, sum(r[1] == k for r in rows)) for k in {r[1] for r in rows}], "k long, c long, n_rows long")
+    got = common.join_classes(spark.createDataFrame(rows, "i long, k long"), classes, "k")
+    assert sorted((r.i, r.k, r.c) for r in got.collect()) == [(i, k, -k) for i, k in rows]
+    none = common.join_classes(spark.createDataFrame([], "i long, k long"), classes.limit(0), "k")
+    assert none.count() == 0 and none.columns == ["k", "i", "c"]
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(k, k + 1) for k in range(60)] + [(1000, k) for k in range(1001, 1100)] + [(5, 5), (1, 0)]
     got = {(r.node, r.root) for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
