@@ -46,6 +46,38 @@ def add_chunk(rows: DataFrame, chunk_ms: int) -> DataFrame:
     return rows.withColumn("chunk", (F.col("ts") - F.pmod(F.col("ts"), F.lit(int(chunk_ms)))).cast("long"))
 
 
+def keyed(rows: DataFrame) -> DataFrame:
+    """Rows that belong to a vehicle and a chunk."""
+    return rows.filter(F.col(KEY).isNotNull() & F.col("chunk").isNotNull())
+
+
+def with_previous(rows: DataFrame) -> DataFrame:
+    """Add ``prev``: the fix before each row in its chunk (null for a chunk's first)."""
+    return keyed(rows).withColumn("prev", F.lag(point()).over(Window.partitionBy(KEY, "chunk").orderBy(*ORDER)))
+
+
+def entering(summary: DataFrame) -> DataFrame:
+    """Each chunk's first fix as ``ts, seq, lat, lon`` with ``prev``, the vehicle's last fix before the chunk.
+
+    ``summary`` has ``vin, chunk, first, last`` (and more, kept), one row per chunk.
+    """
+    before = F.lag("last").over(Window.partitionBy(KEY).orderBy("chunk"))
+    return summary.select("*", *[F.col("first")[c].alias(c) for c in ("ts", "seq", "lat", "lon")], before.alias("prev"))
+
+
+def pairs(rows: DataFrame) -> DataFrame:
+    """One row ``vin, ts, seq, lat, lon, prev`` per pair of consecutive fixes of a vehicle.
+
+    Pairs inside a chunk come from the shuffled rows; the one that enters a chunk
+    comes from the chunk summary, which combines map-side. The rows never meet the
+    summary, so they are shuffled and sorted once.
+    """
+    cols = [KEY, "ts", "seq", "lat", "lon", "prev"]
+    inside = with_previous(rows).select(*cols)
+    ends = keyed(rows).groupBy(KEY, "chunk").agg(F.min(point()).alias("first"), F.max(point()).alias("last"))
+    return inside.unionByName(entering(ends).select(*cols)).filter(F.col("prev").isNotNull())
+
+
 def link(
     rows: DataFrame,
     gap_ms: int | None = None,
@@ -80,7 +112,7 @@ def link(
     # Stated explicitly so both uses of ``r`` below (the summary and the rows it
     # is joined back to) have identical plans and share one shuffle; the inner
     # join would otherwise add this filter to one side only.
-    rows = rows.filter(F.col(KEY).isNotNull() & F.col("chunk").isNotNull())
+    rows = keyed(rows)
     w = Window.partitionBy(KEY, "chunk").orderBy(*ORDER)
     wrun = w.rowsBetween(UNB, CUR)
     if drop_before_bridge:

@@ -76,6 +76,24 @@ def _rejections(dist: Column, kph: Column, dt: Column, p: Params) -> tuple[Colum
     return anomaly, jump
 
 
+def measured(rows: DataFrame, p: Params, has_seg: Column | None = None) -> DataFrame:
+    """Measure and judge the segment from ``prev`` to each row (default: wherever there is a ``prev``)."""
+    prev = F.col("prev")
+    has_seg = prev.isNotNull() if has_seg is None else has_seg
+    d = rows.withColumn("seg_m", haversine_m(prev["lat"], prev["lon"], "lat", "lon", p.earth_radius_m))
+    d = d.withColumn("seg_dt_s", dt_seconds(prev["ts"], F.col("ts")))
+    d = d.withColumn("seg_kph", speed_kph(F.col("seg_m"), prev["ts"], F.col("ts")))
+    anomaly, jump = _rejections(F.col("seg_m"), F.col("seg_kph"), F.col("seg_dt_s"), p)
+    d = d.withColumn("has_segment", has_seg)
+    d = d.withColumn("is_anomaly", has_seg & anomaly).withColumn("is_jump", has_seg & jump)
+    return d.withColumn("accepted", (has_seg & ~anomaly & ~jump).cast("int"))
+
+
+def run_segments(rows: DataFrame, p: Params) -> DataFrame:
+    """The segments of one run over all rows, one row each, without trip context."""
+    return measured(chunked.pairs(chunked.add_chunk(rows, p.chunk_ms)), p).withColumn("is_bridge", F.lit(False))
+
+
 def with_segments(linked: DataFrame, p: Params) -> DataFrame:
     """Measure the segment ending at each row (from ``prev``) and the one leaving it (to ``next``).
 
@@ -84,15 +102,7 @@ def with_segments(linked: DataFrame, p: Params) -> DataFrame:
     (0/1) and ``next_accepted`` (the segment to the next fix passes both
     rejection rules; null at the vehicle's last fix).
     """
-    prev = F.col("prev")
-    d = linked.withColumn("seg_m", haversine_m(prev["lat"], prev["lon"], "lat", "lon", p.earth_radius_m))
-    d = d.withColumn("seg_dt_s", dt_seconds(prev["ts"], F.col("ts")))
-    d = d.withColumn("seg_kph", speed_kph(F.col("seg_m"), prev["ts"], F.col("ts")))
-    anomaly, jump = _rejections(F.col("seg_m"), F.col("seg_kph"), F.col("seg_dt_s"), p)
-    has_seg = prev.isNotNull() & ~F.col("is_break")
-    d = d.withColumn("has_segment", has_seg)
-    d = d.withColumn("is_anomaly", has_seg & anomaly).withColumn("is_jump", has_seg & jump)
-    d = d.withColumn("accepted", (has_seg & ~anomaly & ~jump).cast("int"))
+    d = measured(linked, p, F.col("prev").isNotNull() & ~F.col("is_break"))
     nxt = F.col("next")
     nm = haversine_m("lat", "lon", nxt["lat"], nxt["lon"], p.earth_radius_m)
     nkph = speed_kph(nm, F.col("ts"), nxt["ts"])

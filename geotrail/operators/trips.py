@@ -10,7 +10,7 @@ from geotrail.config import Params
 from geotrail.functions.fold import rounded_mean_fold
 from geotrail.functions.geo import duration_minutes, java_round2
 from geotrail.operators import chunked
-from geotrail.operators.segments import fix_rows, linked_segments
+from geotrail.operators.segments import fix_rows, linked_segments, measured
 
 TRIP_COLUMNS = [
     "vin",
@@ -55,9 +55,65 @@ def trip_aggregates(ranked: DataFrame, p: Params) -> DataFrame:
         F.sum(F.when(acc, F.col("seg_m"))).alias("acc_m"),
         F.sum("accepted").cast("long").alias("acc_n"),
         F.max(F.when(acc, F.col("seg_kph"))).alias("acc_max_kph"),
-        F.collect_list(F.when(cand, F.struct(F.col("ts"), F.col("seq"), F.col("seg_kph").alias("v")))).alias(
-            "fold_in"
-        ),
+        _ordered_speeds(cand).alias("speeds"),
+    )
+
+
+def _ordered_speeds(wanted: Column) -> Column:
+    """The group's speeds where ``wanted`` holds, in time order, as plain doubles."""
+    found = F.collect_list(F.when(wanted, F.struct(F.col("ts"), F.col("seq"), F.col("seg_kph").alias("v"))))
+    return F.transform(F.array_sort(found), lambda x: x["v"])
+
+
+def run_aggregates(rows: DataFrame, p: Params) -> DataFrame:
+    """``trip_aggregates`` of one run from empty state, with ``acc_kph`` (sum of accepted speeds).
+
+    The rows are shuffled and sorted once, on ``(vin, chunk)``, and reduced there to one
+    row per chunk. Only these move on, to ``vin``, where the segment that enters each
+    chunk is added; the rows are never joined to anything. Accepted speeds travel
+    as doubles in chunk order; chunks that begin after the fold horizon drop theirs.
+    """
+    acc = F.col("accepted") == 1
+    inside = measured(chunked.with_previous(chunked.add_chunk(rows, p.chunk_ms)), p)
+    s = inside.groupBy("vin", "chunk").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min(chunked.point()).alias("first"),
+        F.max(chunked.point()).alias("last"),
+        F.max(F.when(acc, chunked.point())).alias("in_last"),
+        F.sum(F.when(acc, F.col("seg_m"))).alias("in_m"),
+        F.sum("accepted").cast("long").alias("in_n"),
+        F.max(F.when(acc, F.col("seg_kph"))).alias("in_max"),
+        F.sum(F.when(acc, F.col("seg_kph"))).alias("in_kph"),
+        _ordered_speeds(acc).alias("in_speeds"),
+    )
+    e = measured(chunked.entering(s), p)
+    both = lambda inner, enter: F.coalesce(F.col(inner), F.lit(0.0)) + F.when(acc, F.col(enter)).otherwise(0.0)
+    c = e.select(
+        "vin",
+        "chunk",
+        "n",
+        "first",
+        F.coalesce(F.col("in_last"), F.when(acc, F.col("first"))).alias("last_acc"),
+        both("in_m", "seg_m").alias("m"),
+        both("in_kph", "seg_kph").alias("kph"),
+        (F.col("in_n") + F.col("accepted")).alias("acc_n"),
+        F.greatest(F.col("in_max"), F.when(acc, F.col("seg_kph"))).alias("top"),
+        F.when(acc, F.concat(F.array("seg_kph"), F.col("in_speeds"))).otherwise(F.col("in_speeds")).alias("v"),
+    )
+    earlier = Window.partitionBy("vin").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    c = c.withColumn("before", F.coalesce(F.sum("acc_n").over(earlier), F.lit(0)))
+    pieces = F.collect_list(F.when(F.col("before") < p.fold_horizon, F.struct("chunk", "v")))
+    return c.groupBy("vin").agg(
+        F.lit(0).cast("long").alias("trip_no"),
+        F.sum("n").alias("n_rows"),
+        F.lit(0).alias("has_bridge"),
+        F.min("first").alias("first"),
+        F.max("last_acc").alias("last_acc"),
+        F.sum("m").alias("acc_m"),
+        F.sum("acc_n").alias("acc_n"),
+        F.max("top").alias("acc_max_kph"),
+        F.sum("kph").alias("acc_kph"),
+        F.slice(F.flatten(F.transform(F.array_sort(pieces), lambda x: x["v"])), 1, p.fold_horizon).alias("speeds"),
     )
 
 
@@ -72,11 +128,11 @@ SEED_NAMES = [
 ]
 
 
-def trip_columns(agg: DataFrame, seeds: DataFrame | None = None) -> DataFrame:
+def trip_columns(agg: DataFrame, seeds: DataFrame | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """Apply the roll-up rules to the aggregates, seeded by the open trip (if any).
 
     ``seeds`` has one row per vehicle (see ``segments.seed_table``); the join
-    is between two per-vehicle tables.
+    is between two per-vehicle tables. ``keep`` names aggregates to hand on.
     """
     if seeds is not None:
         agg = agg.join(seeds, "vin", "left")
@@ -86,7 +142,6 @@ def trip_columns(agg: DataFrame, seeds: DataFrame | None = None) -> DataFrame:
     last = F.coalesce(F.col("last_acc"), first)
     seed_n = F.coalesce(F.col("seed_n"), F.lit(0).cast("long"))
     seed_avg = F.coalesce(F.col("seed_avg"), F.lit(0.0))
-    speeds = F.transform(F.array_sort(F.col("fold_in")), lambda x: x["v"])
     return agg.select(
         "vin",
         "trip_no",
@@ -101,11 +156,12 @@ def trip_columns(agg: DataFrame, seeds: DataFrame | None = None) -> DataFrame:
         (F.coalesce(F.col("seed_distance"), F.lit(0.0)) + F.coalesce(F.col("acc_m"), F.lit(0.0))).alias(
             "total_distance_meters"
         ),
-        rounded_mean_fold(speeds, seed_n, seed_avg).alias("average_speed_kph"),
+        rounded_mean_fold(F.col("speeds"), seed_n, seed_avg).alias("average_speed_kph"),
         F.greatest(
             F.coalesce(F.col("seed_max"), F.lit(0.0)), F.coalesce(java_round2(F.col("acc_max_kph")), F.lit(0.0))
         ).alias("max_speed_kph"),
         (seed_n + F.col("acc_n")).cast("int").alias("total_readings"),
+        *keep,
     )
 
 
@@ -120,10 +176,19 @@ def trip_rollup(positions: DataFrame, p: Params) -> DataFrame:
 
     Vehicles with fewer than two fixes yield no trip (the run gate).
     """
-    _, trips = rolled_trips(fix_rows(positions), p, gap_ms=None)
+    trips = trip_columns(run_aggregates(fix_rows(positions), p))
     return trips.filter(F.col("n_rows") >= 2).select(*TRIP_COLUMNS)
 
 
+def running_average(positions: DataFrame, p: Params) -> DataFrame:
+    """A9 beside the plain mean of the same speeds (null without an accepted segment)."""
+    agg = run_aggregates(fix_rows(positions), p).withColumn(
+        "plain_average_kph", F.when(F.col("acc_n") > 0, F.col("acc_kph") / F.col("acc_n"))
+    )
+    trips = trip_columns(agg, keep=("plain_average_kph",)).filter(F.col("n_rows") >= 2)
+    return trips.select("vin", "total_readings", "average_speed_kph", "plain_average_kph")
+
+
 def trip_segmentation(positions: DataFrame, p: Params, as_of_ms: int) -> DataFrame:
     """Split each vehicle's whole history into trips at gaps > ``trip_timeout_ms``.
 

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from geotrail.config import EVENTS_PARAMS as P
 from geotrail.functions.geo import round_half_up
 from geotrail.operators import trips
-from geotrail.operators.segments import BRIDGE_SEQ, fix_rows, linked_segments, segment_table
+from geotrail.operators.segments import BRIDGE_SEQ, fix_rows, run_segments, segment_table
 from geotrail.plans import scenarios, views
 from geotrail.plans.scenarios import RUN3_AS_OF_MS
 from geotrail.sources import events, ingest
@@ -36,7 +36,7 @@ def r3(df: DataFrame) -> DataFrame:
 
 def _segments(spark, sf_dir, positions=None):
     pos = positions if positions is not None else events.events_positions(spark, sf_dir)
-    return segment_table(linked_segments(fix_rows(pos), P, gap_ms=None))
+    return segment_table(run_segments(fix_rows(pos), P))
 
 
 def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,7 +72,7 @@ def speed_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from geotrail.operators.segments import alerts_from_segments
 
     pos = events.events_positions(spark, sf_dir)
-    return r3(alerts_from_segments(linked_segments(fix_rows(pos), P, gap_ms=None), P))
+    return r3(alerts_from_segments(run_segments(fix_rows(pos), P), P))
 
 
 def trip_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,15 +82,7 @@ def trip_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def running_average(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rounded running mean next to the plain mean of the same speeds."""
-    pos = events.events_positions(spark, sf_dir)
-    segs = linked_segments(fix_rows(pos), P, gap_ms=None)
-    plain = (
-        segs.filter(F.col("accepted") == 1)
-        .groupBy("vin")
-        .agg(F.avg("seg_kph").alias("plain_average_kph"))
-    )
-    t = trips.trip_rollup(pos, P).select("vin", "total_readings", "average_speed_kph")
-    return r3(t.join(plain, "vin", "left"))
+    return r3(trips.running_average(events.events_positions(spark, sf_dir), P))
 
 
 def stream_trip_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -74,6 +74,8 @@ OUTPUT_SCHEMA = T.StructType(
 OUT_NAMES = [f.name for f in OUTPUT_SCHEMA.fields]
 
 DEG_TO_RAD = 0.017453292519943295
+# one fix inside a task: time, arrival, latitude, longitude
+POINT = np.dtype([("t", "i8"), ("s", "i8"), ("la", "f8"), ("lo", "f8")])
 
 
 def _r2(x: float) -> float:
@@ -93,8 +95,15 @@ def _completed(vin: str, trip: dict) -> dict:
     return _row("completed", vin, **{n: trip[n] for n in TRIP_NAMES}, duration_minutes=int(d / 60000))
 
 
-def _fold(vin: str, trip: dict, pts: list[tuple], p: Params) -> list[dict]:
-    """Fold consecutive points into ``trip`` (in place); returns alert rows.
+def _points(batch: pd.DataFrame) -> np.ndarray:
+    pts = np.empty(len(batch), POINT)
+    for field, column in zip(POINT.names, ("timestamp", "arrival_seq", "latitude", "longitude")):
+        pts[field] = batch[column].to_numpy()
+    return pts
+
+
+def _fold(vin: str, trip: dict, pts, p: Params) -> list[dict]:
+    """Fold consecutive points (``POINT`` records) into ``trip`` (in place); returns alert rows.
 
     Distances, speeds and verdicts of all segments are computed as NumPy
     arrays; only the rounded running mean is a loop, and it stops at the
@@ -102,10 +111,10 @@ def _fold(vin: str, trip: dict, pts: list[tuple], p: Params) -> list[dict]:
     """
     if len(pts) < 2:
         return []
-    arr = np.asarray([(t, la, lo) for t, _, la, lo in pts], dtype=np.float64)
-    ts = np.asarray([t for t, _, _, _ in pts], dtype=np.int64)
-    la1, la2 = arr[:-1, 1], arr[1:, 1]
-    lo1, lo2 = arr[:-1, 2], arr[1:, 2]
+    pts = np.asarray(pts, dtype=POINT)
+    ts, la, lo = pts["t"], pts["la"], pts["lo"]
+    la1, la2 = la[:-1], la[1:]
+    lo1, lo2 = lo[:-1], lo[1:]
     hd = ((la2 - la1) * DEG_TO_RAD) / 2
     hl = ((lo2 - lo1) * DEG_TO_RAD) / 2
     a = np.sin(hd) * np.sin(hd) + (np.cos(la1 * DEG_TO_RAD) * np.cos(la2 * DEG_TO_RAD)) * np.sin(hl) * np.sin(hl)
@@ -123,7 +132,7 @@ def _fold(vin: str, trip: dict, pts: list[tuple], p: Params) -> list[dict]:
     trip["total_distance_meters"] += float(m[idx].sum())
     trip["total_readings"] = n0 + int(idx.size)
     last = idx[-1] + 1
-    trip["last_update_timestamp"], trip["last_lat"], trip["last_lon"] = int(ts[last]), float(arr[last, 1]), float(arr[last, 2])
+    trip["last_update_timestamp"], trip["last_lat"], trip["last_lon"] = int(ts[last]), float(la[last]), float(lo[last])
     vmax = float(v[idx].max())
     if vmax > trip["max_speed_kph"]:
         trip["max_speed_kph"] = _r2(vmax)
@@ -136,7 +145,7 @@ def _fold(vin: str, trip: dict, pts: list[tuple], p: Params) -> list[dict]:
     trip["average_speed_kph"] = avg
     fast = idx[v[idx] > p.speed_limit_kph]
     return [
-        _row("alert", vin, timestamp=int(ts[i + 1]), latitude=float(arr[i + 1, 1]), longitude=float(arr[i + 1, 2]),
+        _row("alert", vin, timestamp=int(ts[i + 1]), latitude=float(la[i + 1]), longitude=float(lo[i + 1]),
              computed_speed_kph=_r2(float(v[i])), speed_limit_kph=float(p.speed_limit_kph))
         for i in fast
     ]
@@ -179,18 +188,17 @@ def _step(vin: str, st, batch: pd.DataFrame | None, now: int, p: Params, dedupe:
             out.append(_completed(vin, trip))
             trip = None
         return _state_tuple(trip, pending), out
-    pts = list(
-        batch.sort_values(["timestamp", "arrival_seq"])[["timestamp", "arrival_seq", "latitude", "longitude"]]
-        .itertuples(index=False, name=None)
-    )
+    pts = _points(batch)
     had_trip = trip is not None
     if had_trip:
         lu = trip["last_update_timestamp"]
-        pts = [(lu, -1, trip["last_lat"], trip["last_lon"])] + [x for x in pts if x[0] > lu]
+        bridge = np.array([(lu, -1, trip["last_lat"], trip["last_lon"])], POINT)
+        pts = np.concatenate([bridge, pts[pts["t"] > lu]])
     elif pending is not None:
-        pts = sorted([pending] + pts, key=lambda x: (x[0], x[1]))
-    if dedupe:
-        pts = [x for i, x in enumerate(pts) if i == 0 or x[0] != pts[i - 1][0]]
+        pts = np.concatenate([np.array([pending], POINT), pts])
+    pts = pts[np.lexsort((pts["s"], pts["t"]))]
+    if dedupe and len(pts):
+        pts = pts[np.append(True, pts["t"][1:] != pts["t"][:-1])]
     if len(pts) <= 1:
         if had_trip:
             if now - trip["last_update_timestamp"] > timeout:
@@ -198,10 +206,10 @@ def _step(vin: str, st, batch: pd.DataFrame | None, now: int, p: Params, dedupe:
                 trip = None
             pending = None
         else:
-            pending = pts[0] if pts else None
+            pending = pts[0].item() if len(pts) else None
         return _state_tuple(trip, pending), out
     if trip is None:
-        t0, _, la, lo = pts[0]
+        t0, _, la, lo = pts[0].item()
         trip = dict(trip_start_timestamp=t0, last_update_timestamp=t0, start_lat=la, start_lon=lo,
                     last_lat=la, last_lon=lo, total_distance_meters=0.0, average_speed_kph=0.0,
                     max_speed_kph=0.0, total_readings=0)
@@ -339,8 +347,13 @@ def write_trip_stream(out: DataFrame, root: str, checkpoint: str, trigger: dict
 
     ``trip`` rows are versions; the open-trip table is the latest version per
     vehicle not followed by a ``completed`` row. Appends are idempotent per
-    batch id (a replayed batch overwrites its own folder).
+    batch id (a replayed batch overwrites its own folder). A new checkpoint counts
+    batches from zero again, so it needs an output root of its own.
     """
+    from geotrail.sources.store import Folder
+
+    if Folder(out.sparkSession, root).names() and not Folder(out.sparkSession, checkpoint).exists("offsets"):
+        raise ValueError(f"{root} holds the output of another checkpoint")
 
     def sink(batch: DataFrame, batch_id: int):
         (

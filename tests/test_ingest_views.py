@@ -3,7 +3,7 @@
 import pytest
 
 from geotrail.config import Params
-from geotrail.operators.segments import alerts_from_segments, fix_rows, linked_segments, segment_table
+from geotrail.operators.segments import alerts_from_segments, fix_rows, linked_segments, run_segments, segment_table
 from geotrail.plans import views
 from geotrail.schema import CAR_POSITIONS, COMPLETED_TRIPS, CURRENT_TRIPS, POSITIONS_RAW, SPEED_ALERTS, empty
 from geotrail.sources import ingest
@@ -113,3 +113,23 @@ def test_trip_stats_exact_mean(spark):
         [("V", 0, 1, 0.0, 0.0, 0.0, 0.0, 10.0, x, 0.0, 1, 0) for x in (0.1, 0.2, 0.3, 83.67, 83.68)], COMPLETED_TRIPS)
     r = views.trip_stats_by_vin(done).collect()[0]
     assert r.completed_trips_count == 5 and r.average_speed_kph == 16795 / 500 and r.total_distance_meters == 50.0
+
+
+def test_completed_trips_and_alerts_newest_first(spark):
+    done = spark.createDataFrame(
+        [(v, t, t + 1, 0.0, 0.0, 0.0, 0.0, 1.0, 1.0, 1.0, 1, 0) for t in (5, 90, 30, 7) for v in ("B", "A")], COMPLETED_TRIPS)
+    assert [(r.vin, r.trip_start_timestamp) for r in views.completed_trips(done.repartition(4)).collect()] == [
+        (v, t) for v in ("A", "B") for t in (90, 30, 7, 5)]
+    alerts = spark.createDataFrame([(v, t, 0.0, 0.0, 130.0, 120.0) for t in (5, 90, 30, 7) for v in ("B", "A")], SPEED_ALERTS)
+    assert [r.timestamp for r in views.alerts_recent(alerts.repartition(4), ["B"]).collect()] == [90, 30, 7, 5]
+
+
+@pytest.mark.parametrize("chunk_ms", [1, 50, 10**9])
+def test_run_segments_equal_linked_segments(spark, chunk_ms):
+    """Pairs without the join back: ties, rows without a vehicle, single fixes, any chunk width."""
+    rows = [(v, t, 30.0 + 0.001 * (t % 7), -97.0, 0.0, 0.0, 0.0, "", False, s)
+            for v, n in (("A", 60), ("B", 1), ("C", 2), (None, 3)) for s, t in enumerate((x * 37) % 200 for x in range(n))]
+    pos = spark.createDataFrame(rows + [("A", 37, 31.0, -97.0, 0.0, 0.0, 0.0, "", False, 99)], CAR_POSITIONS)
+    p = Params(chunk_ms=chunk_ms)
+    got, want = (sorted(map(tuple, segment_table(s).collect())) for s in (run_segments(fix_rows(pos), p), linked_segments(fix_rows(pos), p, None)))
+    assert got == want and len(got) == 61
