@@ -62,7 +62,9 @@ def entering(summary: DataFrame) -> DataFrame:
     ``summary`` has ``vin, chunk, first, last`` (and more, kept), one row per chunk.
     """
     before = F.lag("last").over(Window.partitionBy(KEY).orderBy("chunk"))
-    return summary.select("*", *[F.col("first")[c].alias(c) for c in ("ts", "seq", "lat", "lon")], before.alias("prev"))
+    # the window first: what is taken out of ``first`` beside it would travel in its shuffle
+    s = summary.withColumn("prev", before)
+    return s.select("*", *[F.col("first")[c].alias(c) for c in ("ts", "seq", "lat", "lon")])
 
 
 def pairs(rows: DataFrame) -> DataFrame:
