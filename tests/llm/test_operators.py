@@ -300,6 +300,29 @@ def test_base_score_and_model(spark, docs, empty):
     assert contextmix.score_documents(empty, held).count() == 0
 
 
+def test_mix_predicts_every_core_by_occurrence(spark, monkeypatch):
+    rnd = random.Random(5)
+    words = ["w" + "".join(rnd.choice("abcde") for _ in range(4)) for _ in range(300)]
+    rows = [(0, "the", 5000)] + [(0, w, rnd.randint(1, 9)) for w in sorted(set(words))]
+    counts = spark.createDataFrame([(0, z, w, c) for z, w, c in rows] + [(1, 7, "", 9)], "kind int, cls int, item string, c long")
+    tuned = []
+    monkeypatch.setattr(contextmix, "TRAIN_CORES", 100)
+    plain = contextmix.averaged
+    monkeypatch.setattr(contextmix, "averaged", lambda x, start: tuned.append(x) or plain(x, start))
+    model = contextmix.train(counts, ["en"], np.array([1.0]))
+    # frequent words go through the mix like all others, and their occurrences count
+    frequent = model.core_costs([b"the"])
+    assert np.allclose(frequent, model.spelled([b"the"]))
+    share = 5000 / sum(c for _, _, c in rows)
+    assert abs(float(frequent[0, 0]) - math.log(share)) < 0.5
+    # all partitions take part in the learning, with every occurrence of every bit
+    bits = sum(c * int(sum(model.code.size[b] for b in w.encode() + b" ")) for _, w, c in rows)
+    assert len(tuned[0]) > 1 and sum(n.sum() for _, n in tuned[0]) % bits == 0
+    total = np.zeros((2, contextmix.CONTEXTS, 1 << 16), np.float32)
+    contextmix.gather_contexts(model.code, [b"the"], np.array([0]), np.array([7.0]), total, 16)
+    assert total.sum() == 7 * contextmix.CONTEXTS * sum(model.code.size[b] for b in b"the ")
+
+
 def test_byte_code_is_a_prefix_code():
     code = contextmix.ByteCode(np.arange(256))
     assert abs(sum(2.0 ** -int(n) for n in code.size) - 1) < 1e-9
