@@ -1,6 +1,7 @@
 """Operator 2: benchmark decontamination with CGK embeddings and bit-sampling LSH.
 
-Symbols are normalised words (lower case, runs of letters and digits). A
+Symbols are normalised words (lower case, cut at all Unicode marks and spaces; a character of a
+script written without spaces is a word). A
 document is contaminated by an item of n words when some stretch of it is
 within ``floor(edits * n)`` word edits of the item.
 
@@ -13,9 +14,13 @@ words that are rarest in the benchmark): wherever a document has an anchor word,
 item-sized window that puts the word at the anchor's place is embedded with the same
 walks, and the window becomes a candidate when all sampled positions of some
 walk agree. Anchor plus sample is one bucket key of the bit-sampling scheme;
-anchors x walks are its repetitions, chosen for the target recall (the tests
-measure it). Each candidate is verified by the exact edit distance
-between the item and the best stretch around the window.
+anchors x walks are its repetitions.
+
+The walks may miss passages whose words shift (one-sided insertions or deletions, long
+items), so a second path makes the recall complete: an item with limit e is cut into e + 1
+pieces, and a stretch within e edits holds at least one of them unchanged. Windows around such
+pieces are candidates too. Overlapping windows of one item are joined and verified by the exact edit distance
+between the item and the best stretch in them.
 
 Plan: one pass over the documents, no shuffle. The benchmark travels to the
 tasks in blocks of at most ``BLOCK_ITEMS`` items and ``BLOCK_CHARS`` characters.
@@ -26,8 +31,11 @@ repeated items or documents report each pair of rows; empty tables give no rows.
 
 from __future__ import annotations
 
+import re
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -45,13 +53,43 @@ BLOCK_ITEMS = 20_000
 BLOCK_CHARS = 50_000_000
 BLOCK_TEXT = 2_000_000  # characters per NumPy step
 SEED = 97
-# ASCII other than letters and digits separates words; other characters are kept as they are
+# scripts written without spaces: Thai, Lao, Myanmar, Khmer, kana, Han
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
+# ASCII other than letters and digits separates words
 _CUT = bytes(b if chr(b).isalnum() or b > 127 else 0x20 for b in range(256))
 PAD = -1
 
 
+_MARK_KINDS = {"Pc", "Pd", "Ps", "Pe", "Pi", "Pf", "Po", "Sm", "Sc", "Sk", "So", "Zs", "Zl", "Zp", "Cc"}
+
+
+@cache
+def _instead(char: str) -> str:
+    """What stands for a character outside ASCII when words are cut: a space for a mark, a word of its own for unspaced scripts."""
+    if unicodedata.category(char) in _MARK_KINDS:
+        return " "
+    return f" {char} " if _UNSPACED.match(char) else char
+
+
 def normal_words(text: str) -> list[bytes]:
-    return text.lower().encode().translate(_CUT).split()
+    text = text.lower()
+    if not text.isascii():
+        cut = {ord(c): x for c in set(text) if c > "\x7f" and (x := _instead(c)) != c}
+        if len(cut) > 8:
+            text = text.translate(cut)
+        else:
+            for c, x in cut.items():
+                text = text.replace(chr(c), x)
+    return text.encode().translate(_CUT).split()
+
+
+def run_hashes(ids: np.ndarray, length: int) -> np.ndarray:
+    """A hash of every run of ``length`` symbols, by its start."""
+    h = np.zeros(max(0, len(ids) - length + 1), np.uint64)
+    for j in range(length):
+        h = h * np.uint64(0x9E3779B97F4A7C15) + ids[j : j + len(h)].astype(np.uint64)
+        h ^= h >> np.uint64(29)
+    return h
 
 
 def _bit(symbol: np.ndarray, step, walk: int) -> np.ndarray:
@@ -130,6 +168,19 @@ class ItemIndex:
             rows += by_word.get(w, [])
         self.first[top] = len(rows)
         self.anchors = np.array(rows, np.int64).reshape(-1, 3)
+        # pieces by length: of limit + 1 pieces of an item one is unchanged in any stretch within the limit
+        found: dict[int, list[tuple[int, int, int]]] = {}
+        for k, w in enumerate(self.words):
+            many = self.limit[k] + 1
+            length = len(w) // many
+            h = run_hashes(w, length)
+            found.setdefault(length, []).extend((int(h[o]), k, o) for o in (j * len(w) // many for j in range(many)))
+        self.pieces = {}
+        for length, three in found.items():
+            three.sort()
+            keys, first = np.unique(np.array([x for x, _, _ in three], np.uint64), return_index=True)
+            self.pieces[length] = (keys, np.append(first, len(three)), np.array([x[1:] for x in three], np.int64))
+        self.bags = [Counter(w.tolist()) for w in self.words]
 
     def match(self, texts: list[str]) -> list[list[tuple[int, int]]]:
         """Per text, (item index, distance) of the items it contains."""
@@ -152,9 +203,50 @@ class ItemIndex:
         size = np.array([len(p) for p in parts], np.int64)
         start = np.concatenate([[0], np.cumsum(size)])
         ids = np.concatenate(parts) if parts else np.zeros(0, np.int64)
+        both = [self._by_walks(ids, start), self._by_pieces(ids, start)]
+        doc, item, window = np.unique(np.concatenate([np.stack(x) for x in both], axis=1), axis=1)
+        # overlapping windows of one document and item are one stretch
+        reach = np.array(self.limit, np.int64)[item]
+        same = (doc[1:] == doc[:-1]) & (item[1:] == item[:-1]) & (window[1:] - reach[1:] <= window[:-1] + self.size[item[:-1]] + reach[:-1])
+        heads = np.flatnonzero(np.append(True, ~same)[: len(doc)])
+        seen: dict[tuple[int, int], int] = {}
+        for k, end in zip(heads.tolist(), [*heads[1:].tolist(), len(doc)]):
+            d, i = int(doc[k]), int(item[k])
+            n, limit = int(self.size[i]), self.limit[i]
+            if seen.get((d, i)) == 0:
+                continue
+            lo, hi = max(int(start[d]), int(window[k]) - limit), min(int(start[d + 1]), int(window[end - 1]) + n + limit)
+            stretch = ids[lo:hi].tolist()
+            # a stretch within the limit shares all but that many words
+            if n - (self.bags[i] & Counter(stretch)).total() > limit:
+                continue
+            whole = any(start[d] <= w and w + n <= start[d + 1] and np.array_equal(ids[w : w + n], self.words[i]) for w in window[k:end])
+            dist = 0 if whole else best_distance(self.words[i].tolist(), stretch, limit)
+            if dist is not None and dist < seen.get((d, i), limit + 1):
+                seen[d, i] = dist
+        for (d, i), dist in sorted(seen.items()):
+            out[d].append((i, dist))
+
+    def _by_pieces(self, ids: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(document, item, window) wherever a piece of an item stands unchanged."""
+        found = [np.zeros((3, 0), np.int64)]
+        for length, (keys, first, rows) in self.pieces.items():
+            h = run_hashes(ids, length)
+            at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
+            place = np.flatnonzero(keys[at] == h)
+            doc = np.searchsorted(start, place, side="right") - 1
+            inside = place + length <= start[doc + 1]
+            place, doc = place[inside], doc[inside]
+            key = at[place]
+            many = first[key + 1] - first[key]
+            row = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + np.repeat(first[key], many)
+            item, offset = rows[row].T
+            found.append(np.stack([np.repeat(doc, many), item, np.repeat(place, many) - offset]))
+        return tuple(np.concatenate(found, axis=1))
+
+    def _by_walks(self, ids: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(document, item, window) of the anchored windows whose embedding agrees on some walk's samples."""
         hit = np.flatnonzero(self.first[ids + 1] > self.first[ids])
-        if not len(hit):
-            return
         many = self.first[ids[hit] + 1] - self.first[ids[hit]]
         at = np.repeat(hit, many)
         row = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + np.repeat(self.first[ids[hit]], many)
@@ -168,24 +260,7 @@ class ItemIndex:
                 break
             pos, want = self.positions[item[live], anchor[live], walk], self.symbols[item[live], anchor[live], walk]
             found[live] = self._walk(ids, window[live], start[doc[live]], start[doc[live] + 1], self.size[item[live]], pos, want, walk)
-        keep = np.flatnonzero(found)
-        seen: dict[tuple[int, int], int] = {}
-        tried = set()
-        for k in keep:
-            d, i, w = int(doc[k]), int(item[k]), int(window[k])
-            if seen.get((d, i)) == 0 or (d, i, w) in tried:
-                continue
-            tried.add((d, i, w))
-            n, limit = int(self.size[i]), self.limit[i]
-            lo, hi = max(int(start[d]), w - limit), min(int(start[d + 1]), w + n + limit)
-            if w >= start[d] and w + n <= start[d + 1] and np.array_equal(ids[w : w + n], self.words[i]):
-                dist: int | None = 0
-            else:
-                dist = best_distance(self.words[i].tolist(), ids[lo:hi].tolist(), limit)
-            if dist is not None and dist < seen.get((d, i), limit + 1):
-                seen[d, i] = dist
-        for (d, i), dist in sorted(seen.items()):
-            out[d].append((i, dist))
+        return doc[found], item[found], window[found]
 
     def _walk(self, ids, window, low, high, size, pos, want, walk) -> np.ndarray:
         """Whether the windows' embeddings have the wanted symbols at the sampled positions."""

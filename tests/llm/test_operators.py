@@ -114,6 +114,31 @@ def test_cgk_lsh_recall_and_precision(spark, empty):
     assert decontaminate.contaminated(empty, b).count() == 0 and decontaminate.contaminated(d, empty.withColumnRenamed("doc_id", "item_id")).count() == 0
 
 
+@pytest.mark.parametrize("n", [5, 9, 40, 60, 150, 400])
+@pytest.mark.parametrize("kind", ["delete", "insert", "substitute"])
+def test_one_sided_edits_at_the_limit_are_found(n, kind):
+    rnd = random.Random(n)
+    items = [(k, ["w%d" % rnd.randrange(5000) for _ in range(n)]) for k in range(30)]
+    index = decontaminate.ItemIndex([(k, " ".join(w)) for k, w in items])
+    texts = []
+    for _, words in items:
+        cut = set(rnd.sample(range(n), n // 5))
+        edit = {"delete": lambda w: [], "insert": lambda w: [w, "new%d" % rnd.randrange(99)], "substitute": lambda w: ["new%d" % rnd.randrange(99)]}[kind]
+        lead = ["x%d" % rnd.randrange(900) for _ in range(50)]
+        texts.append(" ".join([*lead, *(y for o, w in enumerate(words) for y in (edit(w) if o in cut else [w])), *lead]))
+    found = [{index.ids[i] for i, _ in x} for x in index.match(texts)]
+    assert sum(k in x for (k, _), x in zip(items, found)) >= 0.9 * len(items)
+    assert all(x <= {k} for (k, _), x in zip(items, found))
+
+
+def test_words_are_cut_at_marks_and_unspaced_characters():
+    words = lambda t: [w.decode() for w in decontaminate.normal_words(t)]
+    assert words("“Où”—là… café") == ["où", "là", "café"]
+    assert words("中文。ab") == ["中", "文", "ab"]
+    index = decontaminate.ItemIndex([(1, "我们今天去公园看花")])
+    assert index.match(["他说：“我们今天去公园看花”。", "没有"]) == [[(0, 0)], []]
+
+
 def test_edit_distance_brute_force():
     def plain(a, b):
         row = list(range(len(b) + 1))
