@@ -6,9 +6,8 @@ its decisions take effect:
 
 * ``language``: rows without a letter or text (``und``), or whose language no class
   claims with ``MIN_SCORE``, go. Labels for training come from the rows' own ``lang``.
-* ``near_duplicates``: of each SimHash component the row with the smallest doc_id
-  stays (of identical ids the one with the smallest text hash; exact repeats of a row
-  leave one; null ids come last).
+* ``near_duplicates``: of each SimHash component one row stays: the one with the smallest
+  doc_id (null ids come last; of identical ids the one with the smallest text hash).
 * ``repeated_bytes``: byte strings of 200 that occur elsewhere are cut out of ``text``.
 * ``decontaminate``: rows that contain a benchmark item go.
 * ``encode``: token ids and the decoded text of what is left.
@@ -40,13 +39,13 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     docs = docs.select(*COLUMNS)
-    classes = simhash.near_duplicates(docs)
-    # one row per component: its smallest document (the component of a row is that id)
-    leaders = classes.groupBy("component_id").agg(F.min("doc_id").alias("leader")).select("leader").distinct()
-    d = docs.join(leaders, docs.doc_id.eqNullSafe(leaders.leader), "left_semi")
-    # repeated rows of a leading id: one stays
-    first = F.min_by(F.struct(*[c for c in COLUMNS if c != "doc_id"]), F.xxhash64("text", "lang", "source", "n_chars"))
-    return d.groupBy("doc_id").agg(first.alias("r")).select("doc_id", "r.*").select(*COLUMNS)
+    classes = simhash.near_duplicates(docs).select("fp", "root").distinct()
+    # rows meet their component by fingerprint, so ids may be null or stand on several texts; copies fold first
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.xxhash64("text", "lang", "source", "n_chars").alias("h"))
+    first = F.min_by(F.struct(*COLUMNS), order).alias("r")
+    by_fp = simhash.with_fingerprints(docs).groupBy("fp").agg(first)
+    kept = by_fp.join(classes, "fp").select("root", "r.*").groupBy("root").agg(first)
+    return kept.select("r.*").select(*COLUMNS)
 
 
 def repeated_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -32,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from geotrail.llm.common import join_classes, materialize, select_docs, small_batches, text_column
 from geotrail.llm.graph import components
@@ -68,6 +69,18 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
     return select_docs(docs).mapInArrow(run, "doc_id long, fp long")
 
 
+def with_fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
+    """All columns of ``docs`` and ``fp``."""
+    small_batches(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fps = np.array([fingerprint(t or "", shingle) for t in text_column(batch).to_pylist()], np.uint64).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(fps)], names=[*batch.schema.names, "fp"])
+
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("fp", T.LongType())]))
+
+
 def parts_for(n: int, max_bits: int) -> int:
     """Parts so that a part value has about BUCKET_AIM fingerprints at most, in 1 .. max_bits + 1."""
     width = max(1.0, np.log2(max(2, n) / BUCKET_AIM))
@@ -208,7 +221,10 @@ def _sides(part, value, fp) -> pa.RecordBatch:
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
-    """``doc_id, fp, fingerprint, component_id``, one row per input row."""
+    """``doc_id, fp, fingerprint, component_id, root``, one row per input row.
+
+    ``root`` is the component's smallest fingerprint, never null, unlike its smallest id.
+    """
     by_doc = materialize(fingerprints(docs, shingle), "simhash-fp")
     # copies collapse before any join: one row per fingerprint, with its smallest document
     distinct = by_doc.groupBy("fp").agg(F.min("doc_id").alias("low"), F.count("*").alias("n_rows"))
@@ -218,10 +234,10 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> Dat
     linked = materialize(linked, "simhash-linked")
     low = linked.groupBy("root").agg(F.min("low").alias("component_id"), F.count("*").alias("n_rows"))
     moved = join_classes(linked.select("fp", "root"), materialize(low, "simhash-roots"), "root")
-    moved = moved.select(F.col("fp").alias("linked_fp"), "component_id")
+    moved = moved.select(F.col("fp").alias("linked_fp"), "component_id", "root")
     classes = distinct.join(moved, distinct.fp == moved.linked_fp, "left").select(
-        "fp", F.when(F.col("linked_fp").isNull(), F.col("low")).otherwise(F.col("component_id")).alias("component_id"), "n_rows"
+        "fp", F.when(F.col("linked_fp").isNull(), F.col("low")).otherwise(F.col("component_id")).alias("component_id"), F.coalesce("root", "fp").alias("root"), "n_rows"
     )
     hexed = F.lpad(F.lower(F.hex("fp")), 16, "0")
     out = join_classes(by_doc, materialize(classes, "simhash-classes"), "fp")
-    return out.select("doc_id", "fp", hexed.alias("fingerprint"), "component_id")
+    return out.select("doc_id", "fp", hexed.alias("fingerprint"), "component_id", "root")

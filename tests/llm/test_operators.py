@@ -474,3 +474,15 @@ def test_pipeline_stages(spark, docs, empty, tmp_path):
         assert step.columns == cp.COLUMNS
     for _, stage in cp.STAGES:
         assert stage(spark, empty, str(tmp_path)).count() == 0
+
+
+def test_pipeline_keeps_a_row_of_every_component(spark):
+    import corpus_pipeline as cp
+
+    rnd = random.Random(12)
+    text = lambda: " ".join("w%d" % rnd.randrange(9999) for _ in range(80))
+    a, b, c, d = text(), text(), text(), text()
+    rows = [(None, c), (None, d), (5, a), (5, b), (6, a), (7, a)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = cp.near_duplicates(spark, docs, "").collect()
+    assert sorted((r.doc_id or -1, r.text) for r in kept) == sorted([(-1, c), (-1, d), (5, a), (5, b)])
