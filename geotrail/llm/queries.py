@@ -1,4 +1,4 @@
-"""Registered queries of the ten operators, over the whole tables with production parameters.
+"""Registered queries of the thirteen operators, over the whole tables with production parameters.
 
 SQL can't express these results (hash majorities, tokenizer merges, learned models), so
 ``ORACLE_SQL`` is empty and tests/llm checks each query against brute force.
@@ -10,10 +10,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geotrail.llm import bpe, contextmix, decontaminate, htmltext, langid, planes, quality, rules, simhash, suffixdedup
+from geotrail.llm import bpe, contextmix, convrepair, decontaminate, htmltext, langid, planes, prefixtrie, quality, rules, simhash, suffixdedup, tokencount
 from geotrail.llm.common import fold_of, read_table
 
 TOKENIZER = "word_bpe_49k.json"
+PIECE_MODEL = "piece_bpe_32k.model"
+TOKEN_LIMIT = 4096
 END_ID = 2
 QUALITY_THRESHOLD = 0.3
 
@@ -72,11 +74,26 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode_digest(_docs(spark, sf_dir), public_tokenizers.path(TOKENIZER))
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = tokencount.count_tokens(_docs(spark, sf_dir), public_tokenizers.path(PIECE_MODEL))
+    over = (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit")
+    return counted.select(F.col("doc_id").cast("long").alias("doc_id"), "n_bytes", "n_tokens", over)
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return convrepair.repair(convrepair.damaged(read_table(spark, sf_dir, "conversations")))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixtrie.trie(prefixtrie.rebuilt(read_table(spark, sf_dir, "conversations")))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_token_files, op2_decontaminate, op3_quality, op4_language, op5_quality_rules,
         op6_main_text, op7_simhash, op8_context_mixing, op9_repeated_bytes, op10_bpe,
+        op11_token_counts, op12_conversation_repair, op13_prefix_trie,
     )
 }
 ORACLE_SQL: dict[str, str] = {}
