@@ -40,11 +40,17 @@ class Params:
     # rows of one vehicle are processed in time chunks of this width; the
     # cross-chunk context travels through a per-chunk summary (see operators.chunked)
     chunk_ms: int = DEFAULT_CHUNK_MS
+    # narrower widths of the few vehicles with very many fixes, as (vin, ms) pairs (see chunked.for_dense)
+    dense: tuple[tuple[str, int], ...] = ()
+    # accepted speeds that are folded together (see operators.pieces)
+    fold_block: int = 1024
 
     def __post_init__(self) -> None:
         if not math.isfinite(self.anomaly_speed_kph):
-            # the running mean is folded over an array that this limit bounds
+            # the running mean's grid of values is bounded by this limit
             raise ValueError("anomaly_speed_kph must be finite")
+        if self.fold_block < 1:
+            raise ValueError("fold_block must be at least 1")
 
     def with_(self, **kw) -> "Params":
         return replace(self, **kw)
@@ -57,7 +63,7 @@ class Params:
         the step (v - avg) / n is below 0.005 in magnitude once
         n > 200 * anomaly_speed_kph, and rounding to 2 decimals returns the old
         mean. Folding the readings up to this count is therefore exact. (A seed
-        mean above the limit widens the interval; see ``trips.trip_horizon``.)
+        mean above the limit widens the interval; see ``pieces.horizon``.)
         """
         return int(math.floor(200.0 * max(self.anomaly_speed_kph, 0.0))) + 1
 

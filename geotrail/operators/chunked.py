@@ -4,13 +4,11 @@ A plain ``Window.partitionBy("vin")`` sorts all rows of a vehicle in one task;
 one vehicle holding a third of the data would then be a third of the job on
 one core. Instead every row gets a time ``chunk`` (``ts`` floored to
 ``chunk_ms``) and all row-level windows are partitioned by ``(vin, chunk)``.
-What a row needs from outside its chunk -- the previous / next fix, the trip
-number, running counts -- is computed on a per-chunk summary (one row per
-non-empty ``(vin, chunk)``, so a vehicle contributes at most
-``time span / chunk_ms`` summary rows whatever its row count) and joined back
-on ``(vin, chunk)``. The rows are shuffled once, on ``(vin, chunk)``; the
-later windows, aggregates and joins reuse that partitioning and only the
-small summaries move (broadcast by AQE when their measured size allows).
+What a row needs from outside its chunk -- the previous and next fix, the state of its vehicle -- is computed
+on a per-chunk summary (one row per non-empty ``(vin, chunk)``, so a vehicle contributes at most
+``time span / chunk_ms`` summary rows whatever its row count) and reaches the rows as one more row of
+their chunk (:func:`with_halo`). The rows are shuffled once, on ``(vin, chunk)``, and never joined.
+Ordered counts over a vehicle (trip numbers, ranks) are left to :mod:`geotrail.operators.pieces`.
 
 Row contract: columns ``vin, ts, seq, lat, lon`` (``seq`` breaks timestamp
 ties, e.g. arrival order) plus anything else, which is carried along.
@@ -18,16 +16,18 @@ ties, e.g. arrival order) plus anything else, which is carried along.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from geotrail.config import Params
+
 KEY = "vin"
 ORDER = ("ts", "seq")
 UNB = Window.unboundedPreceding
 CUR = Window.currentRow
+CHUNK_ROWS = 1_000_000       # fixes that one chunk of a dense vehicle should hold
+DENSE_VEHICLES = 1024        # entries of Params.dense at most
 
 
 def point() -> Column:
@@ -35,15 +35,41 @@ def point() -> Column:
     return F.struct(F.col("ts"), F.col("seq"), F.col("lat"), F.col("lon"))
 
 
-def add_chunk(rows: DataFrame, chunk_ms: int) -> DataFrame:
-    """Add ``chunk``: the start (epoch ms) of the row's time chunk of ``chunk_ms``.
+def width(p: Params) -> Column:
+    """Chunk width (ms) of the row's vehicle."""
+    base = F.lit(int(p.chunk_ms)).cast("long")
+    if not p.dense:
+        return base
+    narrow = F.create_map(*[c for vin, ms in p.dense for c in (F.lit(vin), F.lit(int(ms)).cast("long"))])
+    return F.coalesce(F.try_element_at(narrow, F.col(KEY)), base)
+
+
+def add_chunk(rows: DataFrame, p: Params) -> DataFrame:
+    """Add ``chunk``: the start (epoch ms) of the row's time chunk.
 
     Fixes are unique per vehicle and millisecond once deduplicated, so the
     width alone bounds the rows of a vehicle-chunk.
     """
     if "chunk" in rows.columns:
         return rows
-    return rows.withColumn("chunk", (F.col("ts") - F.pmod(F.col("ts"), F.lit(int(chunk_ms)))).cast("long"))
+    return rows.withColumn("chunk", (F.col("ts") - F.pmod(F.col("ts"), width(p))).cast("long"))
+
+
+def for_dense(positions: DataFrame, p: Params, rows: int = CHUNK_ROWS) -> Params:
+    """``p`` with narrower chunks for dense vehicles, so that no chunk holds many more than ``rows`` fixes.
+
+    One counting pass over ``vin, timestamp`` that combines map-side. The list that reaches the driver and the plan holds
+    at most ``DENSE_VEHICLES`` entries, the vehicles with the most fixes; any other vehicle has less than
+    one in so many of all fixes.
+    """
+    per_vin = positions.where(F.col(KEY).isNotNull() & F.col("timestamp").isNotNull()).groupBy(KEY).agg(
+        F.count(F.lit(1)).alias("n"), (F.max("timestamp") - F.min("timestamp") + 1).alias("span")
+    )
+    # fixes per chunk if they were spread evenly over the time they cover
+    per_chunk = F.col("n") * F.least(F.lit(float(p.chunk_ms)) / F.col("span"), F.lit(1.0))
+    narrow = F.greatest(F.floor(F.least(F.lit(p.chunk_ms), F.col("span")) * rows / per_chunk), F.lit(1))
+    top = per_vin.where(per_chunk > rows).orderBy(F.col("n").desc(), KEY).limit(DENSE_VEHICLES)
+    return p.with_(dense=tuple((r.vin, r.width) for r in top.select(KEY, narrow.cast("long").alias("width")).collect()))
 
 
 def keyed(rows: DataFrame) -> DataFrame:
@@ -80,153 +106,52 @@ def pairs(rows: DataFrame) -> DataFrame:
     return inside.unionByName(entering(ends).select(*cols)).filter(F.col("prev").isNotNull())
 
 
-def link(
-    rows: DataFrame,
-    gap_ms: int | None = None,
-    key_max: Sequence[str] = (),
-    accept: Callable[[Column, Column, Column, Column], Column] | None = None,
-    seed_counts: DataFrame | None = None,
-    drop_before_bridge: bool = False,
-) -> DataFrame:
-    """Attach each row's neighbours across chunk boundaries, trip numbers and ranks.
-
-    Adds ``prev`` / ``next`` (struct ts, seq, lat, lon, or null at the ends of
-    the vehicle), ``key_rows`` (rows of the vehicle), ``trip_no`` (number of
-    breaks so far; a break is a row more than ``gap_ms`` after its
-    predecessor, never when ``gap_ms`` is None), ``is_break``, ``trip_in``
-    (trip number entering the chunk) and, for each name in ``key_max``, the
-    vehicle-wide maximum of that column as ``key_<name>``.
-
-    With ``accept(prev, ts, lat, lon)`` (a boolean verdict on the segment
-    from ``prev`` to the row) it also adds ``trip_rank``: for a row whose
-    incoming segment lies in its trip and is accepted, the number of such
-    rows of the trip up to it, plus the vehicle's ``seed_n`` from
-    ``seed_counts`` (vin, seed_n, seed_avg: readings and mean an open trip already had;
-    joined to the summary, one row per vehicle; ``seed_avg`` is handed to the rows). Segments inside a chunk are judged before the
-    join; each chunk's first segment is judged on the summary, where both of
-    its ends are known, so the running counts need no second pass.
-
-    With ``drop_before_bridge`` rows that sort before their vehicle's bridge
-    row (``is_bridge``) are left out: inside the bridge's chunk by a running
-    window, earlier chunks on the summary (their rows then find no match in
-    the join back). This is the late-data rule without a join against state.
+def with_halo(rows: DataFrame, state: DataFrame | None = None) -> DataFrame:
+    """Each row with its neighbours across chunk borders, after one shuffle of the rows and no join of them.
+
+    The ends of every chunk are found before the shuffle (minimum and maximum combine map-side); a window over
+    these per-chunk rows turns them into a *halo* row for each chunk: the vehicle's last fix before it, the first
+    after it, and what the run knows of the vehicle. Halo rows enter the shuffle of the rows and sort first in
+    their chunk, so a row reads its neighbours by ``lag`` / ``lead`` and, at the chunk's ends, from the halo.
+
+    Adds ``prev`` / ``next`` (struct ts, seq, lat, lon; null at the vehicle's ends), ``is_late``
+    (the fix lies at or before its vehicle's bridge row), ``gated_in`` (at least two rows of the vehicle are not late)
+    and the columns of ``state`` (one row per vehicle), which joins the per-chunk rows only.
+    A bridge row has no ``prev``; late rows' neighbours have no meaning.
     """
-    # Stated explicitly so both uses of ``r`` below (the summary and the rows it
-    # is joined back to) have identical plans and share one shuffle; the inner
-    # join would otherwise add this filter to one side only.
     rows = keyed(rows)
-    w = Window.partitionBy(KEY, "chunk").orderBy(*ORDER)
-    wrun = w.rowsBetween(UNB, CUR)
-    if drop_before_bridge:
-        b = F.col("is_bridge").cast("int")
-        rows = (
-            rows.withColumn("_seen_b", F.max(b).over(wrun))
-            .withColumn("_chunk_b", F.max(b).over(w.rowsBetween(UNB, Window.unboundedFollowing)))
-            .filter((F.col("_chunk_b") == 0) | (F.col("_seen_b") == 1))
-            .drop("_seen_b", "_chunk_b")
-        )
-    r = rows.withColumn("_pi", F.lag(point()).over(w)).withColumn("_ni", F.lead(point()).over(w))
-    if gap_ms is not None:
-        r = r.withColumn(
-            "_ib", (F.col("_pi").isNotNull() & (F.col("ts") - F.col("_pi.ts") > F.lit(gap_ms))).cast("int")
-        ).withColumn("_ibr", F.sum("_ib").over(wrun))
-    else:
-        r = r.withColumn("_ib", F.lit(0)).withColumn("_ibr", F.lit(0).cast("long"))
-    if accept is not None:
-        ok = F.coalesce(accept(F.col("_pi"), F.col("ts"), F.col("lat"), F.col("lon")), F.lit(False))
-        r = r.withColumn("_fi", F.when(F.col("_pi").isNotNull() & (F.col("_ib") == 0) & ok, 1).otherwise(0))
-        r = r.withColumn("_fr", F.sum("_fi").over(wrun))
-        # accepted count before the last break at or before the row (null: no break yet)
-        r = r.withColumn("_lbr", F.last(F.when(F.col("_ib") == 1, F.col("_fr") - F.col("_fi")), True).over(wrun))
-
-    aggs = [
-        F.min(point()).alias("_first"),
-        F.max(point()).alias("_last"),
-        F.count(F.lit(1)).alias("_n"),
-        F.sum("_ib").alias("_nib"),
-        *[F.max(c).alias(f"_km_{c}") for c in key_max],
-    ]
-    if drop_before_bridge:
-        aggs.append(F.max(F.col("is_bridge").cast("int")).alias("_has_b"))
-    if accept is not None:
-        aggs += [F.sum("_fi").alias("_tot"), F.max(F.when(F.col("_ib") == 1, F.col("_fr"))).alias("_fr_lb")]
-    summary = r.groupBy(KEY, "chunk").agg(*aggs)
-    wk = Window.partitionBy(KEY).orderBy("chunk")
-    wall = Window.partitionBy(KEY)
-    if drop_before_bridge:
-        bc = F.max(F.when(F.col("_has_b") == 1, F.col("chunk"))).over(wall)
-        summary = summary.withColumn("_bc", bc).filter(F.col("_bc").isNull() | (F.col("chunk") >= F.col("_bc")))
-    s = summary.withColumn("_prev_last", F.lag("_last").over(wk)).withColumn(
-        "_next_first", F.lead("_first").over(wk)
+    names = [c for c in (state.columns if state is not None else []) if c != KEY]
+    ends = rows.groupBy(KEY, "chunk").agg(
+        F.min(point()).alias("first"),
+        F.max(point()).alias("last"),
+        F.count(F.lit(1)).alias("n"),
+        F.max(F.when(F.col("is_bridge"), F.col("ts"))).alias("bridge"),
+    )
+    by_time, whole = Window.partitionBy(KEY).orderBy("chunk"), Window.partitionBy(KEY)
+    ends = ends.select(
+        KEY,
+        "chunk",
+        F.lag("last").over(by_time).alias("before"),
+        F.lead("first").over(by_time).alias("after"),
+        F.max("bridge").over(whole).alias("bridge"),
+        F.max(F.col("last")["ts"]).over(whole).alias("newest"),
+        F.sum("n").over(whole).alias("n_rows"),
     )
-    for c in key_max:
-        s = s.withColumn(f"key_{c}", F.max(f"_km_{c}").over(wall))
-    if gap_ms is not None:
-        bb = (F.col("_prev_last").isNotNull() & (F.col("_first.ts") - F.col("_prev_last.ts") > F.lit(gap_ms))).cast(
-            "int"
-        )
-    else:
-        bb = F.lit(0)
-    s = s.withColumn("_bb", bb)
-    s = s.withColumn(
-        "trip_in",
-        F.coalesce(F.sum(F.col("_bb") + F.col("_nib")).over(wk.rowsBetween(UNB, -1)), F.lit(0)).cast("long"),
-    ).withColumn("key_rows", F.sum("_n").over(wall))
-    ctx_cols = ["_prev_last", "_next_first", "_bb", "trip_in", "key_rows", *[f"key_{c}" for c in key_max]]
-    if accept is not None:
-        first = F.col("_first")
-        fb_ok = F.coalesce(accept(F.col("_prev_last"), first["ts"], first["lat"], first["lon"]), F.lit(False))
-        s = s.withColumn("_fb", F.when(F.col("_prev_last").isNotNull() & (F.col("_bb") == 0) & fb_ok, 1).otherwise(0))
-        s = s.withColumn("_T", F.col("_fb") + F.col("_tot"))
-        # accepted count of the chunk's last trip piece (used when the chunk holds a break)
-        s = s.withColumn(
-            "_tail",
-            F.when(F.col("_nib") > 0, F.col("_tot") - F.col("_fr_lb")).otherwise(F.col("_T")),
-        ).withColumn("_hb", (F.col("_bb") == 1) | (F.col("_nib") > 0))
-        s = s.withColumn("_pt", F.sum("_T").over(wk.rowsBetween(UNB, CUR)))
-        s = s.withColumn(
-            "_lb",
-            F.last(F.when(F.col("_hb"), F.struct(F.col("_pt").alias("pt"), F.col("_tail").alias("tail"))), True).over(
-                wk.rowsBetween(UNB, CUR)
-            ),
-        )
-        if seed_counts is not None:
-            s = s.join(seed_counts.select(KEY, F.col("seed_n").alias("_sn"), F.col("seed_avg").alias("_sa")), KEY, "left")
-            ctx_cols.append("_sa")
-            seed_col = F.coalesce(F.col("_sn"), F.lit(0)).cast("long")
-        else:
-            seed_col = F.lit(0).cast("long")
-        s = s.withColumn("_seed", seed_col).withColumn(
-            "_out",
-            F.when(F.col("_lb").isNotNull(), F.col("_lb.tail") + F.col("_pt") - F.col("_lb.pt")).otherwise(
-                F.col("_seed") + F.col("_pt")
-            ),
-        )
-        s = s.withColumn("_carry", F.coalesce(F.lag("_out").over(wk), F.col("_seed")))
-        ctx_cols += ["_fb", "_carry"]
-    ctx = s.select(KEY, "chunk", *ctx_cols)
-    out = r.join(ctx, [KEY, "chunk"], "inner")
-    prev = F.coalesce(F.col("_pi"), F.col("_prev_last"))
-    nxt = F.coalesce(F.col("_ni"), F.col("_next_first"))
-    brk = F.when(F.col("_pi").isNull(), F.col("_bb")).otherwise(F.col("_ib")) == 1
-    extra = []
-    if accept is not None:
-        flag = F.when(F.col("_pi").isNull(), F.col("_fb")).otherwise(F.col("_fi"))
-        rank = (
-            F.when(F.col("_lbr").isNotNull(), F.col("_fr") - F.col("_lbr"))
-            .when(F.col("_bb") == 1, F.col("_fr"))
-            .otherwise(F.col("_carry") + F.col("_fb") + F.col("_fr"))
-        )
-        seed_avg = F.col("_sa") if seed_counts is not None else F.lit(None).cast("double")
-        extra = [F.when(flag == 1, rank).cast("long").alias("trip_rank"), seed_avg.alias("trip_seed_avg")]
-    return out.select(
-        *[c for c in r.columns if not c.startswith("_")],
-        prev.alias("prev"),
-        nxt.alias("next"),
-        (F.col("trip_in") + F.col("_bb") + F.col("_ibr")).cast("long").alias("trip_no"),
-        brk.alias("is_break"),
-        "trip_in",
-        "key_rows",
-        *[f"key_{c}" for c in key_max],
-        *extra,
+    # beside a bridge one later fix is enough
+    gate = F.when(F.col("bridge").isNotNull(), F.col("newest") > F.col("bridge")).otherwise(F.col("n_rows") >= 2)
+    if state is not None:
+        ends = ends.join(state, KEY, "left")
+    halo = ends.select(KEY, "chunk", F.struct("before", "after", "bridge", gate.alias("gated_in"), *names).alias("halo"))
+    sent = rows.unionByName(halo, allowMissingColumns=True)
+    w = Window.partitionBy(KEY, "chunk").orderBy(F.col("halo").isNull(), *ORDER)
+    at = F.when(F.col("halo").isNull(), point())
+    d = sent.withColumns({"h": F.first("halo").over(w.rowsBetween(UNB, CUR)), "lag": F.lag(at).over(w), "lead": F.lead(at).over(w)})
+    h = F.col("h")
+    return d.where(F.col("halo").isNull()).select(
+        *rows.columns,
+        F.when(~F.col("is_bridge"), F.coalesce(F.col("lag"), h["before"])).alias("prev"),
+        F.coalesce(F.col("lead"), h["after"]).alias("next"),
+        (~F.col("is_bridge") & F.coalesce(F.col("ts") <= h["bridge"], F.lit(False))).alias("is_late"),
+        h["gated_in"].alias("gated_in"),
+        *[h[c].alias(c) for c in names],
     )

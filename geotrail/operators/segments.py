@@ -42,9 +42,7 @@ def bridge_rows(current_trips: DataFrame) -> DataFrame:
 def seed_table(current_trips: DataFrame) -> DataFrame:
     """The open trips' running totals, one row per vehicle, that seed the roll-up.
 
-    They join the per-chunk summary (reading count, for ranks) and the
-    per-trip result, never the rows: the rows stay narrow and identical in
-    every branch of the plan, so their shuffle is shared.
+    They join pieces, the per-chunk summary and the per-trip result, never the rows.
     """
     return current_trips.select(
         F.col("vin"),
@@ -58,18 +56,6 @@ def seed_table(current_trips: DataFrame) -> DataFrame:
     )
 
 
-def segment_verdict(p: Params):
-    """``accept(prev, ts, lat, lon)``: the segment from ``prev`` passes both rejection rules."""
-
-    def accept(prev: Column, ts: Column, lat: Column, lon: Column) -> Column:
-        dist = haversine_m(prev["lat"], prev["lon"], lat, lon, p.earth_radius_m)
-        kph = speed_kph(dist, prev["ts"], ts)
-        anomaly, jump = _rejections(dist, kph, dt_seconds(prev["ts"], ts), p)
-        return ~anomaly & ~jump
-
-    return accept
-
-
 def _rejections(dist: Column, kph: Column, dt: Column, p: Params) -> tuple[Column, Column]:
     anomaly = kph > F.lit(p.anomaly_speed_kph)  # NaN compares greater: rejected too
     jump = (~anomaly) & (dist > F.lit(p.jump_distance_m)) & (dt < F.lit(p.jump_window_s))
@@ -91,49 +77,26 @@ def measured(rows: DataFrame, p: Params, has_seg: Column | None = None) -> DataF
 
 def run_segments(rows: DataFrame, p: Params) -> DataFrame:
     """The segments of one run over all rows, one row each, without trip context."""
-    return measured(chunked.pairs(chunked.add_chunk(rows, p.chunk_ms)), p).withColumn("is_bridge", F.lit(False))
+    return measured(chunked.pairs(chunked.add_chunk(rows, p)), p).withColumn("is_bridge", F.lit(False))
 
 
-def with_segments(linked: DataFrame, p: Params) -> DataFrame:
-    """Measure the segment ending at each row (from ``prev``) and the one leaving it (to ``next``).
+def trip_segments(rows: DataFrame, p: Params, gap_ms: int) -> DataFrame:
+    """The segments inside trips: those that span no gap above ``gap_ms``."""
+    pairs = chunked.pairs(chunked.add_chunk(rows, p))
+    return measured(pairs.where(F.col("ts") - F.col("prev.ts") <= F.lit(gap_ms)), p).withColumn("is_bridge", F.lit(False))
 
-    Adds ``seg_m``, ``seg_dt_s``, ``seg_kph``, ``is_anomaly``, ``is_jump``,
-    ``has_segment`` (a predecessor exists in the same trip), ``accepted``
-    (0/1) and ``next_accepted`` (the segment to the next fix passes both
-    rejection rules; null at the vehicle's last fix).
-    """
-    d = measured(linked, p, F.col("prev").isNotNull() & ~F.col("is_break"))
+
+def next_accepted(p: Params) -> Column:
+    """The segment to the ``next`` fix passes both rejection rules (null without one)."""
     nxt = F.col("next")
-    nm = haversine_m("lat", "lon", nxt["lat"], nxt["lon"], p.earth_radius_m)
-    nkph = speed_kph(nm, F.col("ts"), nxt["ts"])
-    n_anom, n_jump = _rejections(nm, nkph, dt_seconds(F.col("ts"), nxt["ts"]), p)
-    return d.withColumn("next_accepted", F.when(nxt.isNotNull(), ~n_anom & ~n_jump))
-
-
-def linked_segments(
-    rows: DataFrame,
-    p: Params,
-    gap_ms: int | None = None,
-    seeds: DataFrame | None = None,
-    drop_late: bool = False,
-) -> DataFrame:
-    """Chunk, link and measure: one row per fix with its incoming segment and its
-    ``trip_rank`` among the trip's accepted segments (after the open trip's
-    readings, from ``seeds``)."""
-    linked = chunked.link(
-        chunked.add_chunk(rows, p.chunk_ms),
-        gap_ms=gap_ms,
-        accept=segment_verdict(p),
-        seed_counts=None if seeds is None else seeds.select("vin", "seed_n", "seed_avg"),
-        drop_before_bridge=drop_late,
-    )
-    return with_segments(linked, p)
+    m = haversine_m("lat", "lon", nxt["lat"], nxt["lon"], p.earth_radius_m)
+    kph = speed_kph(m, F.col("ts"), nxt["ts"])
+    anomaly, jump = _rejections(m, kph, dt_seconds(F.col("ts"), nxt["ts"]), p)
+    return F.when(nxt.isNotNull(), ~anomaly & ~jump)
 
 
 def alerts_from_segments(segs: DataFrame, p: Params) -> DataFrame:
     """Speed alerts: accepted segments faster than the limit, at the segment's end fix."""
-    # (bridge rows never end a segment; naming the column keeps the row columns
-    # of every plan branch identical, so one shuffle of the rows serves all)
     return segs.filter(
         (F.col("accepted") == 1) & (F.col("seg_kph") > F.lit(p.speed_limit_kph)) & ~F.col("is_bridge")
     ).select(

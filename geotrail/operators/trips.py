@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from geotrail.config import Params
-from geotrail.functions.fold import rounded_mean_fold
+from geotrail.functions.fold import rounded_mean_fold, through_maps
 from geotrail.functions.geo import duration_minutes, java_round2
-from geotrail.operators import chunked
-from geotrail.operators.segments import fix_rows, linked_segments, measured
+from geotrail.operators import chunked, pieces
+from geotrail.operators.segments import alerts_from_segments, fix_rows, trip_segments
 
 TRIP_COLUMNS = [
     "vin",
@@ -27,96 +27,6 @@ TRIP_COLUMNS = [
 ]
 
 
-def trip_horizon(p: Params) -> Column:
-    """Reading count after which the trip's rounded mean cannot move (see ``Params.fold_horizon``).
-
-    Speeds and mean lie below the larger of the anomaly limit and the seed's mean, which
-    exceeds the limit when that was lowered between runs.
-    """
-    top = F.greatest(F.lit(float(max(p.anomaly_speed_kph, 0.0))), F.coalesce(F.col("trip_seed_avg"), F.lit(0.0)))
-    return F.floor(top * 200.0) + 1
-
-
-def trip_aggregates(ranked: DataFrame, p: Params) -> DataFrame:
-    """One row per ``(vin, trip_no)``; every part combines map-side.
-
-    The running mean is the only order-dependent part. Its input is the
-    trip's accepted speeds with ``trip_rank`` up to the fold horizon (after
-    that many readings the rounded mean is provably fixed), so the collected
-    array per trip is bounded however long the trip is.
-    """
-    acc = F.col("accepted") == 1
-    cand = acc & (F.col("trip_rank") <= trip_horizon(p))
-    return ranked.groupBy("vin", "trip_no").agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.max(F.col("is_bridge").cast("int")).alias("has_bridge"),
-        F.min(chunked.point()).alias("first"),
-        F.max(F.when(acc, chunked.point())).alias("last_acc"),
-        F.sum(F.when(acc, F.col("seg_m"))).alias("acc_m"),
-        F.sum("accepted").cast("long").alias("acc_n"),
-        F.max(F.when(acc, F.col("seg_kph"))).alias("acc_max_kph"),
-        _ordered_speeds(cand).alias("speeds"),
-    )
-
-
-def _ordered_speeds(wanted: Column) -> Column:
-    """The group's speeds where ``wanted`` holds, in time order, as plain doubles."""
-    found = F.collect_list(F.when(wanted, F.struct(F.col("ts"), F.col("seq"), F.col("seg_kph").alias("v"))))
-    return F.transform(F.array_sort(found), lambda x: x["v"])
-
-
-def run_aggregates(rows: DataFrame, p: Params) -> DataFrame:
-    """``trip_aggregates`` of one run from empty state, with ``acc_kph`` (sum of accepted speeds).
-
-    The rows are shuffled and sorted once, on ``(vin, chunk)``, and reduced there to one
-    row per chunk. Only these move on, to ``vin``, where the segment that enters each
-    chunk is added; the rows are never joined to anything. Accepted speeds travel
-    as doubles in chunk order; chunks that begin after the fold horizon drop theirs.
-    """
-    acc = F.col("accepted") == 1
-    inside = measured(chunked.with_previous(chunked.add_chunk(rows, p.chunk_ms)), p)
-    s = inside.groupBy("vin", "chunk").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min(chunked.point()).alias("first"),
-        F.max(chunked.point()).alias("last"),
-        F.max(F.when(acc, chunked.point())).alias("in_last"),
-        F.sum(F.when(acc, F.col("seg_m"))).alias("in_m"),
-        F.sum("accepted").cast("long").alias("in_n"),
-        F.max(F.when(acc, F.col("seg_kph"))).alias("in_max"),
-        F.sum(F.when(acc, F.col("seg_kph"))).alias("in_kph"),
-        _ordered_speeds(acc).alias("in_speeds"),
-    )
-    e = measured(chunked.entering(s), p)
-    both = lambda inner, enter: F.coalesce(F.col(inner), F.lit(0.0)) + F.when(acc, F.col(enter)).otherwise(0.0)
-    c = e.select(
-        "vin",
-        "chunk",
-        "n",
-        "first",
-        F.coalesce(F.col("in_last"), F.when(acc, F.col("first"))).alias("last_acc"),
-        both("in_m", "seg_m").alias("m"),
-        both("in_kph", "seg_kph").alias("kph"),
-        (F.col("in_n") + F.col("accepted")).alias("acc_n"),
-        F.greatest(F.col("in_max"), F.when(acc, F.col("seg_kph"))).alias("top"),
-        F.when(acc, F.concat(F.array("seg_kph"), F.col("in_speeds"))).otherwise(F.col("in_speeds")).alias("v"),
-    )
-    earlier = Window.partitionBy("vin").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    c = c.withColumn("before", F.coalesce(F.sum("acc_n").over(earlier), F.lit(0)))
-    pieces = F.collect_list(F.when(F.col("before") < p.fold_horizon, F.struct("chunk", "v")))
-    return c.groupBy("vin").agg(
-        F.lit(0).cast("long").alias("trip_no"),
-        F.sum("n").alias("n_rows"),
-        F.lit(0).alias("has_bridge"),
-        F.min("first").alias("first"),
-        F.max("last_acc").alias("last_acc"),
-        F.sum("m").alias("acc_m"),
-        F.sum("acc_n").alias("acc_n"),
-        F.max("top").alias("acc_max_kph"),
-        F.sum("kph").alias("acc_kph"),
-        F.slice(F.flatten(F.transform(F.array_sort(pieces), lambda x: x["v"])), 1, p.fold_horizon).alias("speeds"),
-    )
-
-
 SEED_NAMES = [
     "seed_start_ts",
     "seed_start_lat",
@@ -156,7 +66,7 @@ def trip_columns(agg: DataFrame, seeds: DataFrame | None = None, keep: tuple[str
         (F.coalesce(F.col("seed_distance"), F.lit(0.0)) + F.coalesce(F.col("acc_m"), F.lit(0.0))).alias(
             "total_distance_meters"
         ),
-        rounded_mean_fold(F.col("speeds"), seed_n, seed_avg).alias("average_speed_kph"),
+        through_maps(rounded_mean_fold(F.col("speeds"), seed_n, seed_avg), F.col("maps")).alias("average_speed_kph"),
         F.greatest(
             F.coalesce(F.col("seed_max"), F.lit(0.0)), F.coalesce(java_round2(F.col("acc_max_kph")), F.lit(0.0))
         ).alias("max_speed_kph"),
@@ -165,10 +75,10 @@ def trip_columns(agg: DataFrame, seeds: DataFrame | None = None, keep: tuple[str
     )
 
 
-def rolled_trips(rows: DataFrame, p: Params, gap_ms: int | None) -> tuple[DataFrame, DataFrame]:
-    """(per-fix segments, per-trip roll-ups) for rows in the :mod:`chunked` contract."""
-    segs = linked_segments(rows, p, gap_ms=gap_ms)
-    return segs, trip_columns(trip_aggregates(segs, p))
+def trip_totals(positions: DataFrame, p: Params, gap_ms: int | None = None) -> DataFrame:
+    """Totals per trip of all fixes, from empty state (see :func:`pieces.trip_totals`)."""
+    rows = chunked.with_previous(chunked.add_chunk(fix_rows(positions), p))
+    return pieces.trip_totals(pieces.placed(pieces.chunk_pieces(rows, p, gap_ms), p, gap_ms), p)
 
 
 def trip_rollup(positions: DataFrame, p: Params) -> DataFrame:
@@ -176,13 +86,13 @@ def trip_rollup(positions: DataFrame, p: Params) -> DataFrame:
 
     Vehicles with fewer than two fixes yield no trip (the run gate).
     """
-    trips = trip_columns(run_aggregates(fix_rows(positions), p))
+    trips = trip_columns(trip_totals(positions, p))
     return trips.filter(F.col("n_rows") >= 2).select(*TRIP_COLUMNS)
 
 
 def running_average(positions: DataFrame, p: Params) -> DataFrame:
     """A9 beside the plain mean of the same speeds (null without an accepted segment)."""
-    agg = run_aggregates(fix_rows(positions), p).withColumn(
+    agg = trip_totals(positions, p).withColumn(
         "plain_average_kph", F.when(F.col("acc_n") > 0, F.col("acc_kph") / F.col("acc_n"))
     )
     trips = trip_columns(agg, keep=("plain_average_kph",)).filter(F.col("n_rows") >= 2)
@@ -195,16 +105,11 @@ def trip_segmentation(positions: DataFrame, p: Params, as_of_ms: int) -> DataFra
     Each trip is rolled up like one run; trips of a single fix yield no row.
     The vehicle's last trip is open while ``as_of_ms - last update <= timeout``.
     """
-    return history(positions, p, as_of_ms)[1]
-
-
-def history(positions: DataFrame, p: Params, as_of_ms: int) -> tuple[DataFrame, DataFrame]:
-    """(in-trip segments, trips) of the whole history from one linking pass."""
-    segs, trips = rolled_trips(fix_rows(positions), p, gap_ms=p.trip_timeout_ms)
+    trips = trip_columns(trip_totals(positions, p, gap_ms=p.trip_timeout_ms))
     last_trip = F.max("trip_no").over(Window.partitionBy("vin"))
     t = trips.withColumn("_last", F.col("trip_no") == last_trip).filter(F.col("n_rows") >= 2)
     is_open = F.col("_last") & (F.lit(as_of_ms) - F.col("last_update_timestamp") <= F.lit(p.trip_timeout_ms))
-    out = t.select(
+    return t.select(
         "vin",
         "trip_no",
         "trip_start_timestamp",
@@ -220,12 +125,13 @@ def history(positions: DataFrame, p: Params, as_of_ms: int) -> tuple[DataFrame,
         duration_minutes("trip_start_timestamp", "last_update_timestamp").alias("duration_minutes"),
         is_open.alias("is_open"),
     )
-    return segs, out
+
+
+def history(positions: DataFrame, p: Params, as_of_ms: int) -> tuple[DataFrame, DataFrame]:
+    """(alerts, trips) of the whole history; both read the one shuffle of the fixes."""
+    return history_alerts(positions, p), trip_segmentation(positions, p, as_of_ms)
 
 
 def history_alerts(positions: DataFrame, p: Params) -> DataFrame:
     """Speed alerts of the accepted in-trip segments of the whole history."""
-    from geotrail.operators.segments import alerts_from_segments
-
-    segs = linked_segments(fix_rows(positions), p, gap_ms=p.trip_timeout_ms)
-    return alerts_from_segments(segs, p)
+    return alerts_from_segments(trip_segments(fix_rows(positions), p, p.trip_timeout_ms), p)

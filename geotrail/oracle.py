@@ -415,7 +415,7 @@ cur AS (
 done AS (SELECT * EXCLUDE (is_open, trip_no) FROM trips WHERE NOT is_open),
 {alerts_cte('hs', 'halerts')},
 stats AS (SELECT vin, count(*) AS completed_trips_count, sum(total_distance_meters) AS total_distance_meters,
-                 avg(average_speed_kph) AS average_speed_kph
+                 CAST(sum(CAST(round(average_speed_kph * 1e6) AS BIGINT)) AS DOUBLE) / (count(average_speed_kph) * 1e6::DOUBLE) AS average_speed_kph
           FROM done GROUP BY vin),
 acounts AS (SELECT vin, count(*) AS speed_alerts_count FROM halerts GROUP BY vin)"""
 

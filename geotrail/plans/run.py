@@ -13,10 +13,9 @@ clock. Per vehicle it reproduces the reference's run:
   becomes processed when it starts an accepted segment or is the last (W2).
 
 All vehicles run in one plan: fixes and bridge rows are shuffled once on
-``(vin, time chunk)``; per-vehicle context travels through chunk summaries
-(see :mod:`geotrail.operators.chunked`), so no vehicle is confined to a task.
-Late fixes are those sorting before the vehicle's bridge row, so the late
-rule needs no join with the trip table either.
+``(vin, time chunk)``, together with one halo row per chunk that brings its neighbours, the bridge and the
+gate (:func:`geotrail.operators.chunked.with_halo`); no row is joined to anything and no vehicle is
+confined to a task. The roll-up reduces the same rows to pieces (:mod:`geotrail.operators.pieces`).
 """
 
 from __future__ import annotations
@@ -28,9 +27,9 @@ from pyspark.sql import functions as F
 
 from geotrail.config import DEFAULT, Params
 from geotrail.functions.geo import duration_minutes
-from geotrail.operators import chunked
-from geotrail.operators.segments import alerts_from_segments, bridge_rows, fix_rows, linked_segments, seed_table
-from geotrail.operators.trips import TRIP_COLUMNS, trip_aggregates, trip_columns
+from geotrail.operators import chunked, pieces
+from geotrail.operators.segments import alerts_from_segments, bridge_rows, fix_rows, measured, next_accepted, seed_table
+from geotrail.operators.trips import TRIP_COLUMNS, trip_columns
 from geotrail.schema import COMPLETED_TRIP_COLUMNS
 
 
@@ -44,40 +43,30 @@ class RunResult:
     trips: DataFrame             # per-vehicle outcome with its class
 
 
-def late_discard(positions: DataFrame, current_trips: DataFrame, p: Params = DEFAULT) -> DataFrame:
-    """F2 / J1 as a stand-alone query: unprocessed fixes plus bridge rows with ``is_late``.
+def run_rows(positions: DataFrame, current_trips: DataFrame, p: Params = DEFAULT) -> DataFrame:
+    """A run's rows: unprocessed fixes (F1) and bridges (W3), each with its neighbours, whether it is late (F2)
+    and whether its vehicle passes the gate (F6)."""
+    fixes = fix_rows(positions.filter(~F.col("processed")))
+    rows = chunked.add_chunk(fixes.unionByName(bridge_rows(current_trips)), p)
+    limit = pieces.horizon(p, F.col("average_speed_kph"))
+    return chunked.with_halo(rows, current_trips.select("vin", limit.alias("horizon"))).withColumn(
+        "horizon", F.coalesce(F.col("horizon"), pieces.horizon(p))
+    )
 
-    (``run_batch`` applies the same rule inside its scan, see above.)
 
-    The open trip's ``last_update_timestamp`` reaches the rows through the
-    distinct ``(vin, chunk)`` pairs of the fixes -- a join bounded per vehicle
-    by its time span, not its row count -- and then a join on
-    ``(vin, chunk)``, the key the rows are shuffled on for the scans anyway.
-    """
-    fixes = chunked.add_chunk(fix_rows(positions.filter(~F.col("processed"))), p.chunk_ms)
-    bridges = chunked.add_chunk(bridge_rows(current_trips), p.chunk_ms)
-    pairs = fixes.select("vin", "chunk").distinct()
-    lu = current_trips.select("vin", F.col("last_update_timestamp").alias("_lu"))
-    pair_lu = pairs.join(lu, "vin", "inner")
-    late = ~F.col("is_bridge") & F.coalesce(F.col("ts") <= F.col("_lu"), F.lit(False))
-    return (
-        fixes.unionByName(bridges)
-        .join(pair_lu, ["vin", "chunk"], "left")
-        .withColumn("is_late", late)
-        .drop("_lu")
-    )
+def late_discard(positions: DataFrame, current_trips: DataFrame, p: Params = DEFAULT) -> DataFrame:
+    """F2 / J1 as a stand-alone query: a run's rows with ``is_late``."""
+    return run_rows(positions, current_trips, p)
 
 
 def run_batch(
     positions: DataFrame, current_trips: DataFrame, as_of_ms: int, p: Params = DEFAULT
 ) -> RunResult:
-    fixes = fix_rows(positions.filter(~F.col("processed")))
-    rows = chunked.add_chunk(fixes.unionByName(bridge_rows(current_trips)), p.chunk_ms)
     seeds = seed_table(current_trips)
-    segs = linked_segments(rows, p, gap_ms=None, seeds=seeds, drop_late=True).withColumn(
-        "gated_in", F.col("key_rows") >= 2
-    )
-    t = trip_columns(trip_aggregates(segs, p), seeds)
+    rows = run_rows(positions, current_trips, p).filter(~F.col("is_late"))
+    segs = measured(rows, p)
+    parts = pieces.placed(pieces.chunk_pieces(rows, p), p, entered=True, seeds=seeds)
+    t = trip_columns(pieces.trip_totals(parts, p), seeds)
 
     gated_in = F.col("n_rows") >= 2
     timed_out = ~gated_in & F.col("has_bridge") & (
@@ -109,7 +98,7 @@ def run_batch(
     # a mark names one stored fix: (vin, timestamp) and its arrival (copies of a
     # key are told apart when the input was not deduplicated)
     marks = segs.filter(
-        ~F.col("is_bridge") & F.col("gated_in") & (F.col("next").isNull() | F.col("next_accepted"))
+        ~F.col("is_bridge") & F.col("gated_in") & (F.col("next").isNull() | next_accepted(p))
     ).select("vin", F.col("ts").alias("timestamp"), F.col("seq").alias("arrival_seq"))
     return RunResult(
         current_trips=current,

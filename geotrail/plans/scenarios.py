@@ -36,10 +36,8 @@ class Store:
 
 
 def history_store(spark: SparkSession, sf_dir: str, p: Params = EVENTS_PARAMS) -> Store:
-    from geotrail.operators.segments import alerts_from_segments
-
     pos = events.events_positions(spark, sf_dir)
-    segs, t = trips.history(pos, p, HISTORY_AS_OF_MS)
+    alerts, t = trips.history(pos, p, HISTORY_AS_OF_MS)
     current = t.filter(F.col("is_open")).select(
         "vin",
         "trip_start_timestamp",
@@ -54,7 +52,6 @@ def history_store(spark: SparkSession, sf_dir: str, p: Params = EVENTS_PARAMS) -
         "total_readings",
     )
     completed = t.filter(~F.col("is_open")).drop("is_open", "trip_no")
-    alerts = alerts_from_segments(segs, p)
     return Store(pos, current, completed, alerts, HISTORY_AS_OF_MS)
 
 

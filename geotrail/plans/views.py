@@ -64,11 +64,17 @@ def alert_counts(alerts: DataFrame) -> DataFrame:
 
 
 def trip_stats_by_vin(completed: DataFrame) -> DataFrame:
-    """A5: completed-trip count, distance sum and *unweighted* mean of trip means."""
+    """A5: completed-trip count, distance sum and *unweighted* mean of trip means.
+
+    Trip means have two decimals; they are added as whole millionths and divided once, so the
+    mean does not depend on the order of addition (plain sums of doubles do, and the third decimal of such a
+    mean is often a tie).
+    """
+    micro = F.sum(F.round(F.col("average_speed_kph") * 1e6).cast("decimal(28,0)")).cast("double")
     return completed.groupBy("vin").agg(
         F.count(F.lit(1)).alias("completed_trips_count"),
         F.sum("total_distance_meters").alias("total_distance_meters"),
-        F.avg("average_speed_kph").alias("average_speed_kph"),
+        (micro / (F.count("average_speed_kph") * F.lit(1e6))).alias("average_speed_kph"),
     )
 
 

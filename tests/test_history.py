@@ -4,10 +4,12 @@ import math
 import random
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from geotrail.config import EVENTS_PARAMS, HISTORY_AS_OF_MS, Params
-from geotrail.operators import trips
+from geotrail.operators import chunked, pieces, trips
+from geotrail.operators.segments import fix_rows, measured, run_segments
 from geotrail.plans.run import run_batch
 from geotrail.schema import CAR_POSITIONS, CURRENT_TRIPS, empty
 from geotrail.sources import events
@@ -96,13 +98,7 @@ def test_fold_horizon_is_exact(spark):
         t += 1000
         lat += rnd.uniform(0.0, 0.000004)  # up to ~1.6 kph
     pos = _positions(spark, fixes)
-    segs = (
-        trips.linked_segments(trips.fix_rows(pos), p, gap_ms=None)
-        .filter(F.col("accepted") == 1)
-        .orderBy("ts")
-        .select("seg_kph")
-        .collect()
-    )
+    segs = run_segments(fix_rows(pos), p).filter(F.col("accepted") == 1).orderBy("ts").select("seg_kph").collect()
     speeds = [r.seg_kph for r in segs]
     assert len(speeds) == 3000 and max(speeds) <= 2.0
     got = trips.trip_rollup(pos, p).collect()[0]
@@ -120,30 +116,42 @@ def test_fleet_helper_runs_are_deterministic(spark):
 
 
 @pytest.mark.parametrize("chunk_ms", [1, 3_600_000, 86_400_000, 86_400_000 * 400])
-def test_trip_rank_matches_brute_force(spark, chunk_ms):
-    """trip_rank (carried across chunks, reset at gap breaks) = running count per trip."""
-    from pyspark.sql import Window
-
+@pytest.mark.parametrize("block", [1, 3, 1024])
+def test_pieces_know_what_comes_before(spark, chunk_ms, block):
+    """Trip numbers, readings and sums before each piece = plain windows over the whole vehicle."""
     pos = events.events_positions(spark, SF)
-    p = Params(trip_timeout_ms=6 * 3_600_000, chunk_ms=chunk_ms)  # many breaks inside and between chunks
-    segs = trips.linked_segments(trips.fix_rows(pos), p, gap_ms=p.trip_timeout_ms)
-    w = Window.partitionBy("vin", "trip_no").orderBy("ts", "seq").rowsBetween(Window.unboundedPreceding, 0)
-    brute = segs.withColumn("b", F.sum("accepted").over(w))
-    bad = brute.filter((F.col("accepted") == 1) & ~F.col("trip_rank").eqNullSafe(F.col("b"))).count()
-    assert bad == 0
-    assert brute.filter((F.col("accepted") == 0) & F.col("trip_rank").isNotNull()).count() == 0
-    assert segs.select("trip_no").distinct().count() > 5
+    p = Params(trip_timeout_ms=6 * 3_600_000, chunk_ms=chunk_ms, fold_block=block)  # many breaks inside and between chunks
+    rows = chunked.with_previous(chunked.add_chunk(fix_rows(pos), p))
+    got = pieces.placed(pieces.chunk_pieces(rows, p, p.trip_timeout_ms), p, p.trip_timeout_ms)
+    got = got.select("vin", F.col("first.ts").alias("ts"), F.col("first.seq").alias("seq"), "trip_no", "n0", "acc_n", "kph0", F.size("v").alias("held"))
+    w = Window.partitionBy("vin").orderBy("ts", "seq")
+    plain = fix_rows(pos).withColumn("prev", F.lag(chunked.point()).over(w))
+    gap = F.coalesce(F.col("ts") - F.col("prev.ts") > p.trip_timeout_ms, F.lit(False))
+    plain = measured(plain.withColumn("gap", gap), p, F.col("prev").isNotNull() & ~gap)
+    plain = plain.withColumn("trip", F.sum(F.col("gap").cast("int")).over(w))
+    before = Window.partitionBy("vin", "trip").orderBy("ts", "seq").rowsBetween(Window.unboundedPreceding, -1)
+    plain = plain.select(
+        "vin", "ts", "seq", "trip", F.coalesce(F.sum("accepted").over(before), F.lit(0)).alias("n"),
+        F.coalesce(F.sum(F.when(F.col("accepted") == 1, F.col("seg_kph"))).over(before), F.lit(0.0)).alias("kph"),
+    )
+    both = got.join(plain, ["vin", "ts", "seq"]).collect()
+    assert len(both) == got.count()
+    for r in both:
+        # a piece that opens its chunk holds the reading of its own first row
+        assert (r.trip_no, r.n0) == (r.trip, r.n) and r.kph0 == pytest.approx(r.kph, rel=1e-9, abs=1e-9)
+        assert r.held == r.acc_n <= block + 1
+    assert len({r.trip_no for r in both}) > 5
 
 
 def test_one_vehicle_spreads_over_tasks(spark):
     """All rows of one vehicle (a hot key) land in many partitions after the row shuffle."""
     fixes = [k(i % 50, i * 60_000) for i in range(2000)]  # 2000 fixes over ~33 hours
     pos = _positions(spark, fixes)
-    segs = trips.linked_segments(trips.fix_rows(pos), Params(chunk_ms=3_600_000), gap_ms=None)
+    rows = chunked.with_halo(chunked.add_chunk(fix_rows(pos), Params(chunk_ms=3_600_000)))
     key = "spark.sql.adaptive.coalescePartitions.enabled"  # AQE would merge a tiny shuffle into one task
     spark.conf.set(key, "false")
     try:
-        parts = segs.select(F.spark_partition_id().alias("p")).distinct().count()
+        parts = rows.select(F.spark_partition_id().alias("p")).distinct().count()
     finally:
         spark.conf.set(key, "true")
     assert parts >= 4

@@ -1,9 +1,12 @@
 """Ingest (I1-I3), rejection thresholds, read views."""
 
 import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
 
 from geotrail.config import Params
-from geotrail.operators.segments import alerts_from_segments, fix_rows, linked_segments, run_segments, segment_table
+from geotrail.operators import chunked, trips
+from geotrail.operators.segments import alerts_from_segments, fix_rows, run_segments, segment_table
 from geotrail.plans import views
 from geotrail.schema import CAR_POSITIONS, COMPLETED_TRIPS, CURRENT_TRIPS, POSITIONS_RAW, SPEED_ALERTS, empty
 from geotrail.sources import ingest
@@ -50,7 +53,7 @@ def test_jump_rule_g13(spark):
     pos = spark.createDataFrame(
         [("V", 5000, 30.266, -97.73, 0.0, 0.0, 0.0, "", False, 1), ("V", 5000, 30.276, -97.73, 0.0, 0.0, 0.0, "", False, 2)],
         CAR_POSITIONS)
-    s = segment_table(linked_segments(fix_rows(pos), Params(), None)).collect()[0]
+    s = segment_table(run_segments(fix_rows(pos), Params())).collect()[0]
     assert s.distance_m == pytest.approx(1111.949, abs=1e-3) and s.speed_kph == 0.0
     assert (s.is_anomaly, s.is_jump, s.accepted) == (False, True, False)
 
@@ -71,7 +74,7 @@ def test_anomaly_threshold(spark, step_deg, accepted):
     pos = spark.createDataFrame(
         [("V", 0, 30.0, -97.0, 0.0, 0.0, 0.0, "", False, 1), ("V", 3600, 30.0 + step_deg, -97.0, 0.0, 0.0, 0.0, "", False, 2)],
         CAR_POSITIONS)
-    s = segment_table(linked_segments(fix_rows(pos), Params(), None)).collect()[0]
+    s = segment_table(run_segments(fix_rows(pos), Params())).collect()[0]
     assert (s.speed_kph <= 300.0) == accepted and s.accepted == accepted and s.is_anomaly == (not accepted)
 
 
@@ -125,11 +128,35 @@ def test_completed_trips_and_alerts_newest_first(spark):
 
 
 @pytest.mark.parametrize("chunk_ms", [1, 50, 10**9])
-def test_run_segments_equal_linked_segments(spark, chunk_ms):
-    """Pairs without the join back: ties, rows without a vehicle, single fixes, any chunk width."""
+def test_neighbours_equal_plain_windows(spark, chunk_ms):
+    """Pairs and halo rows find the neighbours a window over the whole vehicle finds: ties, rows without
+    a vehicle, single fixes, any chunk width."""
     rows = [(v, t, 30.0 + 0.001 * (t % 7), -97.0, 0.0, 0.0, 0.0, "", False, s)
             for v, n in (("A", 60), ("B", 1), ("C", 2), (None, 3)) for s, t in enumerate((x * 37) % 200 for x in range(n))]
-    pos = spark.createDataFrame(rows + [("A", 37, 31.0, -97.0, 0.0, 0.0, 0.0, "", False, 99)], CAR_POSITIONS)
+    pos = fix_rows(spark.createDataFrame(rows + [("A", 37, 31.0, -97.0, 0.0, 0.0, 0.0, "", False, 99)], CAR_POSITIONS))
     p = Params(chunk_ms=chunk_ms)
-    got, want = (sorted(map(tuple, segment_table(s).collect())) for s in (run_segments(fix_rows(pos), p), linked_segments(fix_rows(pos), p, None)))
-    assert got == want and len(got) == 61
+    w = Window.partitionBy("vin").orderBy("ts", "seq")
+    plain = pos.where("vin IS NOT NULL").withColumns({"prev": F.lag(chunked.point()).over(w), "next": F.lead(chunked.point()).over(w)})
+    found = chunked.with_halo(chunked.add_chunk(pos, p))
+    cols = ["vin", "ts", "seq", "prev", "next"]
+    by = lambda df: sorted(map(str, df.select(*cols).collect()))
+    assert by(found) == by(plain) and found.count() == 64
+    assert found.where("is_late").count() == 0 and {r.vin for r in found.where("gated_in").collect()} == {"A", "C"}
+    got = sorted((r.vin, r.from_ts, r.to_ts) for r in segment_table(run_segments(pos, p)).collect())
+    assert got == sorted((r.vin, r.prev.ts, r.ts) for r in plain.collect() if r.prev) and len(got) == 61
+
+
+def test_dense_vehicles_get_narrow_chunks(spark):
+    """The chunk of a vehicle with a third of all fixes shrinks; the others keep theirs; results stay."""
+    rows = [("HOT", 1000 * i, 30.0 + 0.0001 * (i % 9), -97.0, 0.0, 0.0, 0.0, "", False, i) for i in range(3000)]
+    rows += [(f"V{i % 100}", 60_000 * i, 30.0 + 0.0001 * (i % 9), -97.0, 0.0, 0.0, 0.0, "", False, i) for i in range(6000)]
+    pos = spark.createDataFrame(rows, CAR_POSITIONS)
+    base = Params(chunk_ms=10**10)
+    p = chunked.for_dense(pos, base, rows=100)
+    assert [v for v, _ in p.dense] == ["HOT"] and 90_000 <= p.dense[0][1] <= 110_000
+    chunks = chunked.add_chunk(fix_rows(pos), p).groupBy("vin", "chunk").count().collect()
+    assert max(r["count"] for r in chunks) <= 110 and len([r for r in chunks if r.vin == "V7"]) == 1
+    got, want = (sorted(trips.trip_rollup(pos, x).collect()) for x in (p, base))
+    for a, b in zip(got, want):
+        assert a[:-4] == b[:-4] and a[-3:] == b[-3:] and abs(a[-4] - b[-4]) < 1e-6
+    assert chunked.for_dense(pos.limit(0), base).dense == ()

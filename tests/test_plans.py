@@ -56,16 +56,31 @@ def test_rows_shuffled_once(spark, name):
     assert len(shuffles) == 1, shuffles
 
 
-def test_incremental_run_shares_row_shuffle(spark):
+def joins_of_rows(df) -> list[str]:
+    """Executed joins with whole fixes on a side (a latitude column beside the fix's own time)."""
+    import contextlib
+    import io
+
+    df.collect()
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("formatted")
+    blocks = buf.getvalue().split("\n\n")
+    return [b for b in blocks if re.match(r"\(\d+\) \w*Join", b) and re.search(r"\b(lat|latitude)#", b)]
+
+
+def test_incremental_run_moves_rows_once_and_joins_none(spark):
+    """Halo rows: one shuffle of the fixes for trips, alerts and marks, and no join of them, with open trips as seeds."""
     from geotrail.config import EVENTS_PARAMS
     from geotrail.plans.run import run_batch
-    from geotrail.plans.scenarios import RUN1_AS_OF_MS
-    from geotrail.schema import CURRENT_TRIPS, empty
-    from geotrail.sources import events
-
-    first, _ = events.events_run_split(spark, SF)
-    res = run_batch(first, empty(spark, CURRENT_TRIPS), RUN1_AS_OF_MS, EVENTS_PARAMS)
-    assert len(row_shuffles(res.current_trips)) == 1
+    from geotrail.plans.scenarios import RUN2_AS_OF_MS, run_chain
+
+    c = run_chain(spark, SF, EVENTS_PARAMS, upto=2)
+    fixes = spark.createDataFrame(c.positions2.collect(), c.positions2.schema)
+    res = run_batch(fixes, c.run1.current_trips, RUN2_AS_OF_MS, EVENTS_PARAMS)
+    for out in (res.current_trips, res.completed_trips, res.speed_alerts, res.processed):
+        assert len(row_shuffles(out)) == 1
+        assert not joins_of_rows(out)
 
 
 def test_scan_reads_only_needed_columns(spark):
