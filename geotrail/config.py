@@ -19,6 +19,8 @@ POSITIONS_PAGE_SIZE = 100        # default row count of the latest-positions rea
 RUN_INTERVAL_MS = 600_000        # default analytics cadence
 DUPLICATE_MESSAGE = "Duplicate position ignored"
 SAVED_MESSAGE = "Saved successfully"
+# not a value of the reference: the stream's answer to fixes older than a vehicle's memory
+TOO_OLD_MESSAGE = "Position older than the vehicle's memory"
 
 # Default width of the time chunks that split one vehicle's rows over tasks. It should
 # hold some thousand fixes: one hour for 1 Hz data, weeks for sparse data (a width

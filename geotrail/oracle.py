@@ -500,6 +500,8 @@ def statements() -> dict[str, str]:
         "trip_rollup": q_trip_rollup(),
         "stream_trip_rollup": q_trip_rollup(),
         "stream_ingest_rollup": q_trip_rollup(),
+        "stream_outcomes": q_ingest_outcomes(),
+        "stream_retry_trips": q_run_current_trips(),
         "haversine": q_haversine(),
         "segment_speed": q_segment_speed(),
         "segments": q_segments(),

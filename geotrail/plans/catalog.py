@@ -112,6 +112,36 @@ def stream_ingest_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r3(open_trips(spark.read.parquet(f"{root}/out")))
 
 
+def stream_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I3 from the stream: every message's outcome, first arrivals told from copies by keyed state."""
+    from geotrail.sources.store import scratch_path
+    from geotrail.streaming.stateful import trip_stream_from_raw
+
+    root = scratch_path(spark, "stream")
+    q = trip_stream_from_raw(events.events_raw_stream_with_resends(spark, sf_dir), f"{root}/out", f"{root}/ckpt", P, outcomes=True)
+    q.awaitTermination()
+    out = spark.read.parquet(f"{root}/out").where(F.col("kind") == "outcome")
+    return out.select("vin", "timestamp", "arrival_seq", F.col("saved").alias("success"), "message")
+
+
+def stream_retry_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 + F1 + W2 as a stream in retry mode: the fixes of run 1, then, after a restart, those that came late or
+    later; the open trips equal those of two batch runs that read their leftovers again."""
+    from geotrail.schema import CAR_POSITIONS
+    from geotrail.sources.store import scratch_path
+    from geotrail.streaming.stateful import open_trips, trip_stream, write_trip_stream
+
+    root = scratch_path(spark, "stream")
+    first, everything = events.events_run_split(spark, sf_dir)
+    rest = everything.join(first.select("vin", "timestamp", "arrival_seq"), ["vin", "timestamp", "arrival_seq"], "left_anti")
+    for fixes in (first, rest):
+        fixes.select(*CAR_POSITIONS.fieldNames()).write.mode("append").parquet(f"{root}/in")
+        # each start takes in what has come since as one micro-batch
+        source = spark.readStream.schema(CAR_POSITIONS).parquet(f"{root}/in")
+        write_trip_stream(trip_stream(source, P, retry=True), f"{root}/out", f"{root}/ckpt").awaitTermination()
+    return r3(open_trips(spark.read.parquet(f"{root}/out")))
+
+
 # ---- ingest -----------------------------------------------------------------------------------
 
 
@@ -284,6 +314,8 @@ QUERIES = {
         trip_rollup,
         stream_trip_rollup,
         stream_ingest_rollup,
+        stream_outcomes,
+        stream_retry_trips,
         haversine,
         segment_speed,
         segments,

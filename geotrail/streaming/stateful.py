@@ -10,12 +10,16 @@ skipped and accepted ones extend the trip. A state timer closes a trip once
 watermark in event-time mode (deterministic replays).
 
 Output rows are multiplexed by ``kind``: ``trip`` (the vehicle's open trip
-after the batch, an upsert), ``completed`` and ``alert`` (appends).
+after the batch, an upsert), ``completed`` and ``alert`` (appends), and on request ``outcome`` (one per message).
 
-Difference from the batch run: a stream consumes each fix once, so fixes
-left unprocessed by a rejected segment are not retried in the next batch
-(the batch run re-reads them, which can start "ghost" trips in the past).
-With no rejected or late fixes both forms agree.
+With ``dedupe`` a vehicle remembers the timestamps it has sent (:class:`geotrail.streaming.vehicle.Seen`), so a
+copy is refused after its trip has closed too. A micro-batch's fixes of one vehicle need not fit a task:
+they are sorted through keyed state (:mod:`geotrail.streaming.spill`) and folded array by array.
+
+By default a stream consumes each fix once: fixes left unprocessed by a rejected segment are not retried in the next
+batch (the batch run re-reads them, which can start "ghost" trips in the past). With ``retry`` they are kept
+per vehicle and read again by its next run, and a vehicle with leftovers runs in every
+micro-batch: the stream then equals the batch run, ghost trips included.
 """
 
 from __future__ import annotations
@@ -31,7 +35,9 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from geotrail.config import DEFAULT, Params
+from geotrail.config import DEFAULT, DUPLICATE_MESSAGE, SAVED_MESSAGE, TOO_OLD_MESSAGE, Params
+from geotrail.streaming.spill import BUFFER_ROWS, POINT, SEGMENT_ROWS, Segments, SegmentWriter, Sorter, merged
+from geotrail.streaming.vehicle import REMEMBER_MS, SAVED, Run, Seen
 
 TRIP_FIELDS = [
     ("trip_start_timestamp", T.LongType()),
@@ -69,13 +75,20 @@ OUTPUT_SCHEMA = T.StructType(
         T.StructField("longitude", T.DoubleType()),
         T.StructField("computed_speed_kph", T.DoubleType()),
         T.StructField("speed_limit_kph", T.DoubleType()),
+        T.StructField("arrival_seq", T.LongType()),
+        T.StructField("saved", T.BooleanType()),
+        T.StructField("message", T.StringType()),
     ]
 )
 OUT_NAMES = [f.name for f in OUTPUT_SCHEMA.fields]
 
 DEG_TO_RAD = 0.017453292519943295
-# one fix inside a task: time, arrival, latitude, longitude
-POINT = np.dtype([("t", "i8"), ("s", "i8"), ("la", "f8"), ("lo", "f8")])
+# what a vehicle's processor keeps beside the trip: where its leftovers lie, its newest timestamp, the oldest chunk it remembers
+NOTES_SCHEMA = T.StructType([T.StructField(n, T.LongType()) for n in ("left_series", "left_segments", "newest", "oldest_chunk")])
+SEGMENT_KEY = T.StructType([T.StructField("series", T.LongType()), T.StructField("number", T.LongType())])
+CHUNK_KEY = T.StructType([T.StructField("chunk", T.LongType())])
+BYTES = T.StructType([T.StructField("value", T.BinaryType())])
+MESSAGES = (SAVED_MESSAGE, DUPLICATE_MESSAGE, TOO_OLD_MESSAGE)
 
 
 def _r2(x: float) -> float:
@@ -103,15 +116,18 @@ def _points(batch: pd.DataFrame) -> np.ndarray:
 
 
 def _fold(vin: str, trip: dict, pts, p: Params) -> list[dict]:
-    """Fold consecutive points (``POINT`` records) into ``trip`` (in place); returns alert rows.
+    return fold_segments(vin, trip, np.asarray(pts, dtype=POINT), p)[0]
+
+
+def fold_segments(vin: str, trip: dict, pts: np.ndarray, p: Params) -> tuple[list[dict], np.ndarray]:
+    """Fold consecutive points (``POINT`` records) into ``trip`` (in place); returns alert rows and each segment's verdict.
 
     Distances, speeds and verdicts of all segments are computed as NumPy
     arrays; only the rounded running mean is a loop, and it stops at the
     fold horizon (after that many readings the mean cannot move).
     """
     if len(pts) < 2:
-        return []
-    pts = np.asarray(pts, dtype=POINT)
+        return [], np.zeros(0, bool)
     ts, la, lo = pts["t"], pts["la"], pts["lo"]
     la1, la2 = la[:-1], la[1:]
     lo1, lo2 = lo[:-1], lo[1:]
@@ -127,7 +143,7 @@ def _fold(vin: str, trip: dict, pts, p: Params) -> list[dict]:
     acc = ~anomaly & ~jump
     idx = np.flatnonzero(acc)
     if idx.size == 0:
-        return []
+        return [], acc
     n0 = trip["total_readings"]
     trip["total_distance_meters"] += float(m[idx].sum())
     trip["total_readings"] = n0 + int(idx.size)
@@ -144,11 +160,12 @@ def _fold(vin: str, trip: dict, pts, p: Params) -> list[dict]:
         avg = _r2((avg * (n - 1) + float(x)) / n)
     trip["average_speed_kph"] = avg
     fast = idx[v[idx] > p.speed_limit_kph]
-    return [
+    alerts = [
         _row("alert", vin, timestamp=int(ts[i + 1]), latitude=float(la[i + 1]), longitude=float(lo[i + 1]),
              computed_speed_kph=_r2(float(v[i])), speed_limit_kph=float(p.speed_limit_kph))
         for i in fast
     ]
+    return alerts, acc
 
 
 def _state_tuple(trip: dict | None, pending: tuple | None) -> tuple | None:
@@ -247,52 +264,123 @@ def _make_func(p: Params, event_time: bool, grace: int, dedupe: bool):
 
 
 class TripProcessor(StatefulProcessor):
-    """``transformWithStateInPandas`` form: one value state per vehicle and one timer.
+    """``transformWithStateInPandas`` form: a vehicle's trip, what it remembers, and one timer.
 
     The timer is due when the open trip may have timed out: at
     ``last update + timeout + 1`` on the watermark in event-time mode, and
     in processing-time mode at that instant or the next batch, whichever is
-    later (the clock and the event times are unrelated, as in the original).
+    later (the clock and the event times are unrelated, as in the original). With ``retry`` a vehicle with
+    leftovers is due in every batch.
     """
 
-    def __init__(self, p: Params, event_time: bool, grace: int, dedupe: bool):
+    def __init__(self, p: Params, event_time: bool, grace: int, dedupe: bool, retry: bool = False, outcomes: bool = False,
+                 remember_ms: int = REMEMBER_MS, buffer_rows: int = BUFFER_ROWS, segment_rows: int = SEGMENT_ROWS):
         self.p = p
         self.event_time = event_time
         self.grace = grace
         self.dedupe = dedupe
+        self.retry = retry
+        self.outcomes = outcomes
+        self.remember_ms = remember_ms
+        self.buffer_rows, self.segment_rows = buffer_rows, segment_rows
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.state = handle.getValueState("trip", STATE_SCHEMA)
+        self.notes = handle.getValueState("notes", NOTES_SCHEMA)
+        self.seen = handle.getMapState("seen", CHUNK_KEY, BYTES)
+        self.left = handle.getMapState("left", SEGMENT_KEY, BYTES)
+        self.spill = handle.getMapState("spill", SEGMENT_KEY, BYTES)
 
     def _now(self, tv) -> int:
         return int(tv.getCurrentWatermarkInMs() - self.grace if self.event_time else tv.getCurrentProcessingTimeInMs())
 
-    def _save(self, new, now: int) -> None:
+    def _save(self, new, now: int, left_segments: int) -> None:
         for t in list(self.handle.listTimers()):
             self.handle.deleteTimer(t)
         if new is None:
             self.state.clear()
-            return
-        self.state.update(new)
-        if new[0]:
+        else:
+            self.state.update(new)
+        due = None
+        if left_segments:
+            due = now + 1
+        elif new is not None and new[0]:
             lu = new[1 + TRIP_NAMES.index("last_update_timestamp")]
             due = max(lu + int(self.p.trip_timeout_ms) + 1, now + 1)
+        if due is not None:
             self.handle.registerTimer(due + (self.grace if self.event_time else 0))
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        now = self._now(timerValues)
-        st = self.state.get() if self.state.exists() else None
-        new, out = _step(key[0], st, pd.concat(list(rows), ignore_index=True), now, self.p, self.dedupe)
-        self._save(new, now)
+    def _fresh(self, points: Iterator[np.ndarray], notes: dict, out: list[dict], vin: str) -> Iterator[np.ndarray]:
+        """First arrivals among sorted fixes; message outcomes go to ``out``."""
+        seen = Seen(self.seen, self.p.chunk_ms, self.remember_ms)
+        before, newest = notes["newest"], notes["newest"]
+        for part in points:
+            found = seen.outcomes(part, before)
+            newest = int(part["t"][-1]) if newest is None else max(newest, int(part["t"][-1]))
+            if self.outcomes:
+                out += [
+                    _row("outcome", vin, timestamp=int(t), arrival_seq=int(s), saved=bool(f == SAVED), message=MESSAGES[f])
+                    for t, s, f in zip(part["t"], part["s"], found)
+                ]
+            yield part[found == SAVED]
+        if newest is not None:
+            notes["newest"], notes["oldest_chunk"] = newest, seen.forget(newest, notes["oldest_chunk"])
+
+    def _run(self, vin: str, fresh: Iterator[np.ndarray], notes: dict, out: list[dict], now: int) -> Iterator[pd.DataFrame]:
+        """One run of the vehicle: leftovers or the pending fix, and the new fixes, in one ordered stream."""
+        trip, pending = _from_state(self.state.get() if self.state.exists() else None)
+        segments, writer, old = Segments(self.left), None, iter(())
+        series, count = notes["left_series"], notes["left_segments"]
+        if self.retry:
+            old, writer = segments.read(series, count), SegmentWriter(segments, 1 - series, self.segment_rows)
+        elif pending is not None and trip is None:
+            old = iter([np.array([pending], POINT)])
+        run = Run(vin, trip, self.p, writer)
+        for points in merged([fresh, old]):
+            for at in range(0, len(points), self.segment_rows):
+                out += run.feed(points[at : at + self.segment_rows])
+                if len(out) >= self.segment_rows:
+                    yield pd.DataFrame(out, columns=OUT_NAMES)
+                    out.clear()
+        had_trip = trip is not None
+        trip, gated_in, lone = run.finish()
+        if gated_in:
+            out.append(_row("trip", vin, **trip))
+        elif had_trip and now - trip["last_update_timestamp"] > int(self.p.trip_timeout_ms):
+            out.append(_completed(vin, trip))
+            trip = None
+        if self.retry:
+            segments.drop(series, count)
+            notes["left_series"], notes["left_segments"] = 1 - series, writer.close()
+            lone = None
+        self._save(_state_tuple(trip, None if lone is None else lone[0].item()), now, notes["left_segments"])
+        self.notes.update(tuple(notes[f.name] for f in NOTES_SCHEMA))
         if out:
             yield pd.DataFrame(out, columns=OUT_NAMES)
 
+    def _read_notes(self) -> dict:
+        names = NOTES_SCHEMA.fieldNames()
+        return dict(zip(names, tuple(self.notes.get()))) if self.notes.exists() else dict(zip(names, (0, 0, None, None)))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        notes, out = self._read_notes(), []
+        sorter = Sorter(Segments(self.spill), self.buffer_rows, self.segment_rows)
+        for batch in rows:
+            sorter.add(_points(batch))
+        fresh = sorter.sorted()
+        if self.dedupe:
+            fresh = self._fresh(fresh, notes, out, key[0])
+        yield from self._run(key[0], fresh, notes, out, self._now(timerValues))
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         now = self._now(timerValues)
+        if self.retry:
+            yield from self._run(key[0], iter(()), self._read_notes(), [], now)
+            return
         st = self.state.get() if self.state.exists() else None
         new, out = _step(key[0], st, None, now, self.p)
-        self._save(new, now)
+        self._save(new, now, 0)
         if out:
             yield pd.DataFrame(out, columns=OUT_NAMES)
 
@@ -313,6 +401,7 @@ def trip_stream(
     watermark: str = "10 minutes",
     api: str = "transformWithState",
     dedupe: bool = False,
+    **options,
 ) -> DataFrame:
     """Streaming fixes in ``car_positions`` shape -> multiplexed trip outputs.
 
@@ -325,6 +414,10 @@ def trip_stream(
     clock of the timers and nothing else: Spark's own watermark trails so far behind
     (``MAX_LAG_DAYS``) that a vehicle whose clock or connection lags the
     fleet keeps all its fixes; late is only what lies at or before its own last update.
+
+    ``options`` of the ``transformWithState`` form: ``retry`` (leftovers are run again), ``outcomes`` (a row per message, with
+    ``dedupe``), ``remember_ms``, ``buffer_rows``. The older form keeps no memory of copies
+    beyond the open trip and holds a vehicle's rows of a micro-batch together; it takes none of them.
     """
     grace = int(pd.Timedelta(watermark).total_seconds() * 1000)
     cols = fixes.select("vin", "timestamp", "latitude", "longitude", F.coalesce(F.col("arrival_seq"), F.lit(0)).alias("arrival_seq"))
@@ -333,11 +426,13 @@ def trip_stream(
         cols = cols.withColumn("_et", F.timestamp_millis(F.col("timestamp") + F.lit(MAX_LAG_MS))).withWatermark("_et", f"{MAX_LAG_DAYS} days")
     if api == "transformWithState":
         return cols.groupBy("vin").transformWithStateInPandas(
-            statefulProcessor=TripProcessor(p, event_time, grace, dedupe),
+            statefulProcessor=TripProcessor(p, event_time, grace, dedupe, **options),
             outputStructType=OUTPUT_SCHEMA,
             outputMode="Append",
             timeMode="EventTime" if event_time else "ProcessingTime",
         )
+    if options:
+        raise ValueError(f"{sorted(options)} need transformWithState")
     conf = GroupStateTimeout.EventTimeTimeout if event_time else GroupStateTimeout.ProcessingTimeTimeout
     return cols.groupBy("vin").applyInPandasWithState(_make_func(p, event_time, grace, dedupe), OUTPUT_SCHEMA, STATE_SCHEMA, "append", conf)
 
@@ -398,8 +493,8 @@ def trip_stream_from_raw(raw: DataFrame, root: str, checkpoint: str, p: Params =
     """Inbound messages -> normalise (I1) -> keyed first-arrival dedupe and trip fold
     -> multiplexed sink. Returns the started query.
 
-    There is no fleet-wide watermark on the data: copies are told apart per vehicle, within a
-    micro-batch by timestamp and arrival, later by the vehicle's own last update.
+    There is no fleet-wide watermark on the data: copies are told apart per vehicle, by the timestamps it
+    remembers, whether its trip is open or closed. ``options`` go to :func:`trip_stream`.
     """
     from geotrail.sources.ingest import normalize
 
