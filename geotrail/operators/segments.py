@@ -95,11 +95,14 @@ def next_accepted(p: Params) -> Column:
     return F.when(nxt.isNotNull(), ~anomaly & ~jump)
 
 
+def is_alert(p: Params) -> Column:
+    """An accepted segment faster than the limit (a bridge row ends none)."""
+    return (F.col("accepted") == 1) & (F.col("seg_kph") > F.lit(p.speed_limit_kph)) & ~F.col("is_bridge")
+
+
 def alerts_from_segments(segs: DataFrame, p: Params) -> DataFrame:
     """Speed alerts: accepted segments faster than the limit, at the segment's end fix."""
-    return segs.filter(
-        (F.col("accepted") == 1) & (F.col("seg_kph") > F.lit(p.speed_limit_kph)) & ~F.col("is_bridge")
-    ).select(
+    return segs.filter(is_alert(p)).select(
         "vin",
         F.col("ts").alias("timestamp"),
         F.col("lat").alias("latitude"),

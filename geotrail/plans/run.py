@@ -22,13 +22,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from geotrail.config import DEFAULT, Params
-from geotrail.functions.geo import duration_minutes
+from geotrail.functions.geo import duration_minutes, java_round2
 from geotrail.operators import chunked, pieces
-from geotrail.operators.segments import alerts_from_segments, bridge_rows, fix_rows, measured, next_accepted, seed_table
+from geotrail.operators.segments import alerts_from_segments, bridge_rows, fix_rows, is_alert, measured, next_accepted, seed_table
 from geotrail.operators.trips import TRIP_COLUMNS, trip_columns
 from geotrail.schema import COMPLETED_TRIP_COLUMNS
 
@@ -41,6 +41,8 @@ class RunResult:
     processed: DataFrame         # (vin, timestamp, arrival_seq) of fixes this run marks processed
     rows: DataFrame              # per-row diagnostics: late discard, gate, segments
     trips: DataFrame             # per-vehicle outcome with its class
+    row_outputs: DataFrame       # alerts and marks from one pass over the rows, told apart by ``kind``
+    trip_outputs: DataFrame      # open and completed trips from one pass over the trips
 
 
 def run_rows(positions: DataFrame, current_trips: DataFrame, p: Params = DEFAULT) -> DataFrame:
@@ -80,33 +82,50 @@ def run_batch(
         .otherwise(F.lit("waiting"))
     )
     t = t.withColumn("status", status)
+    is_done = F.col("status") == "completed"
     current = t.filter(F.col("status").isin("updated", "started", "open")).select(*TRIP_COLUMNS)
-    completed = t.filter(F.col("status") == "completed").select(
-        "vin",
-        "trip_start_timestamp",
-        F.col("last_update_timestamp").alias("trip_end_timestamp"),
-        "start_lat",
-        "start_lon",
-        F.col("last_lat").alias("end_lat"),
-        F.col("last_lon").alias("end_lon"),
-        "total_distance_meters",
-        "average_speed_kph",
-        "max_speed_kph",
-        "total_readings",
-        duration_minutes("trip_start_timestamp", "last_update_timestamp").alias("duration_minutes"),
-    ).select(*COMPLETED_TRIP_COLUMNS)
+    ends = {
+        "trip_end_timestamp": "last_update_timestamp",
+        "end_lat": "last_lat",
+        "end_lon": "last_lon",
+    }
+    minutes = duration_minutes("trip_start_timestamp", "last_update_timestamp")
+    completed = t.filter(is_done).select("*", *[F.col(c).alias(n) for n, c in ends.items()], minutes.alias("duration_minutes"))
     # a mark names one stored fix: (vin, timestamp) and its arrival (copies of a
     # key are told apart when the input was not deduplicated)
-    marks = segs.filter(
-        ~F.col("is_bridge") & F.col("gated_in") & (F.col("next").isNull() | next_accepted(p))
-    ).select("vin", F.col("ts").alias("timestamp"), F.col("seq").alias("arrival_seq"))
+    is_mark = ~F.col("is_bridge") & F.col("gated_in") & (F.col("next").isNull() | next_accepted(p))
+    marks = segs.filter(is_mark).select("vin", F.col("ts").alias("timestamp"), F.col("seq").alias("arrival_seq"))
     return RunResult(
         current_trips=current,
-        completed_trips=completed,
+        completed_trips=completed.select(*COMPLETED_TRIP_COLUMNS),
         speed_alerts=alerts_from_segments(segs, p),
         processed=marks,
         rows=segs,
         trips=t,
+        row_outputs=_row_outputs(segs, is_mark, p),
+        trip_outputs=t.filter(F.col("status") != "waiting").select(
+            F.when(is_done, F.lit("completed_trips")).otherwise(F.lit("current_trips")).alias("kind"),
+            *TRIP_COLUMNS,
+            *[F.when(is_done, F.col(c)).alias(n) for n, c in ends.items()],
+            F.when(is_done, minutes).alias("duration_minutes"),
+        ),
+    )
+
+
+def _row_outputs(segs: DataFrame, is_mark: Column, p: Params) -> DataFrame:
+    """Each row's alert and mark, if any, exploded from one evaluation of the segments."""
+    kinds = F.array_compact(F.array(F.when(is_alert(p), F.lit("speed_alerts")), F.when(is_mark, F.lit("processed"))))
+    found = segs.withColumn("kind", F.explode(kinds))
+    alert = F.col("kind") == "speed_alerts"
+    return found.select(
+        "kind",
+        "vin",
+        F.col("ts").alias("timestamp"),
+        F.when(~alert, F.col("seq")).alias("arrival_seq"),
+        F.when(alert, F.col("lat")).alias("latitude"),
+        F.when(alert, F.col("lon")).alias("longitude"),
+        F.when(alert, java_round2(F.col("seg_kph"))).alias("computed_speed_kph"),
+        F.when(alert, F.lit(float(p.speed_limit_kph))).alias("speed_limit_kph"),
     )
 
 
@@ -122,30 +141,18 @@ def _frames(result: RunResult) -> dict[str, DataFrame]:
     }
 
 
-def multiplexed(result: RunResult, extra: dict[str, DataFrame] | None = None) -> DataFrame:
-    """All outputs of a run (plus ``extra`` frames) as one frame with a ``kind`` column.
+def multiplexed(result: RunResult) -> DataFrame:
+    """All outputs of a run as one frame with a ``kind`` column.
 
     Writing this once lands every output of the run in the same job, so a
-    run is committed whole or not at all.
+    run is committed whole or not at all; rows and trips are evaluated once each.
     """
-    frames = {**_frames(result), **(extra or {})}
-    fields: dict[str, object] = {}
-    for df in frames.values():
-        for f in df.schema.fields:
-            fields.setdefault(f.name, f.dataType)
-    out = None
-    for kind, df in frames.items():
-        cols = [F.col(n) if n in df.columns else F.lit(None).cast(t).alias(n) for n, t in fields.items()]
-        part = df.select(*cols, F.lit(kind).alias("kind"))
-        out = part if out is None else out.unionByName(part)
-    return out
-
-
-def split_multiplexed(
-    df: DataFrame, like: RunResult, extra: dict[str, DataFrame] | None = None
-) -> dict[str, DataFrame]:
+    return result.row_outputs.unionByName(result.trip_outputs, allowMissingColumns=True)
+
+
+def split_multiplexed(df: DataFrame, like: RunResult) -> dict[str, DataFrame]:
     """Inverse of :func:`multiplexed` (reads each kind with its own columns)."""
-    src = {**_frames(like), **(extra or {})}
+    src = _frames(like)
     return {k: df.filter(F.col("kind") == k).select(*src[k].columns) for k in src}
 
 

@@ -111,14 +111,19 @@ def vehicle_summary(
     joins are one-to-one. A vehicle without completed trips gets distance
     0.0, mean NULL and count 0 (the reference fails there).
     """
-    v = vehicles(_only(positions, vins))
-    cur = _only(current_trips, vins).select("vin", _trip_struct().alias("current_trip"))
     stats = trip_stats_by_vin(_only(completed, vins))
-    ac = alert_counts(_only(alerts, vins))
+    totals = stats.join(alert_counts(_only(alerts, vins)), "vin", "full")
+    return summary_of_vehicles(vehicles(positions), current_trips, totals, last_computed_at, vins)
+
+
+def summary_of_vehicles(
+    known: DataFrame, current_trips: DataFrame, totals: DataFrame, last_computed_at: int | None, vins: Iterable[str] | None = None
+) -> DataFrame:
+    """J2 from one row per vehicle on each side: the vehicles, their open trips, and their totals."""
+    cur = _only(current_trips, vins).select("vin", _trip_struct().alias("current_trip"))
     return (
-        v.join(cur, "vin", "left")
-        .join(stats, "vin", "left")
-        .join(ac, "vin", "left")
+        _only(known, vins).join(cur, "vin", "left")
+        .join(_only(totals, vins), "vin", "left")
         .select(
             "vin",
             "current_trip",
@@ -126,11 +131,23 @@ def vehicle_summary(
             F.coalesce(F.col("total_distance_meters"), F.lit(0.0)).alias("total_distance_meters"),
             F.col("average_speed_kph"),
             F.coalesce(F.col("speed_alerts_count"), F.lit(0)).cast("long").alias("speed_alerts_count"),
-            F.lit(int(last_computed_at)).cast("long").alias("last_computed_at"),
+            F.lit(last_computed_at).cast("long").alias("last_computed_at"),
         )
     )
 
 
+def newest_dates(days: DataFrame, n: int) -> DataFrame:
+    """``vin, event_date`` of the dates that hold each vehicle's latest ``n`` fixes, from counts per vehicle and date.
+
+    A date is needed if the later dates together hold fewer than ``n``.
+    """
+    if n < 1:
+        raise ValueError("page size must be at least 1")
+    per_day = days.groupBy("vin", "event_date").agg(F.sum("n").alias("n"))  # a date may come in several appends
+    later = Window.partitionBy("vin").orderBy(F.col("event_date").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    return per_day.withColumn("later", F.coalesce(F.sum("n").over(later), F.lit(0))).where(F.col("later") < n).select("vin", "event_date")
+
+
 def fleet_summary(
     positions: DataFrame,
     current_trips: DataFrame,

@@ -5,8 +5,8 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from geotrail.config import Params
-from geotrail.plans.run import run_batch
-from geotrail.schema import CAR_POSITIONS, CURRENT_TRIPS
+from geotrail.plans.run import multiplexed, run_batch
+from geotrail.schema import CAR_POSITIONS, COMPLETED_TRIPS, CURRENT_TRIPS, SPEED_ALERTS
 
 STEP = 0.0001
 LAT0, LON0 = 30.266, -97.73
@@ -48,13 +48,15 @@ class Fleet:
         pos = sp.createDataFrame([tuple(r[f.name] for f in CAR_POSITIONS) for r in self.positions], CAR_POSITIONS)
         cur = sp.createDataFrame([tuple(r[f.name] for f in CURRENT_TRIPS) for r in self.trips], CURRENT_TRIPS)
         res = run_batch(pos, cur, as_of, self.params)
-        marks = {(r.vin, r.timestamp, r.arrival_seq) for r in res.processed.collect()}
+        rows = multiplexed(res).collect()  # all outputs in one job
+        of = lambda kind, schema: [{f.name: r[f.name] for f in schema} for r in rows if r.kind == kind]
+        marks = {(r.vin, r.timestamp, r.arrival_seq) for r in rows if r.kind == "processed"}
         for r in self.positions:
             if (r["vin"], r["timestamp"], r["arrival_seq"]) in marks:
                 r["processed"] = True
-        self.trips = [r.asDict() for r in res.current_trips.collect()]
-        done = [r.asDict() for r in res.completed_trips.collect()]
-        al = [r.asDict() for r in res.speed_alerts.collect()]
+        self.trips = of("current_trips", CURRENT_TRIPS)
+        done = of("completed_trips", COMPLETED_TRIPS)
+        al = of("speed_alerts", SPEED_ALERTS)
         self.completed += done
         self.alerts += al
         return dict(done=done, alerts=al, marks=marks)

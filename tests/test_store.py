@@ -1,6 +1,7 @@
 """Table store: ingest appends with dedupe (I2, I4), committed runs (I5-I7), reads."""
 
-import os
+import random
+import re
 import tempfile
 
 import pytest
@@ -102,15 +103,139 @@ def test_runs_are_ordered_by_commit_and_ids_are_refused(spark):
     assert one.positions.count() == 2 and store.processed_marks().count() == 3
 
 
-def test_half_written_marker_is_not_a_commit(spark):
+def test_killed_run_is_retried_once(spark, monkeypatch):
+    """A run killed after its outputs were written, and retried over more fixes, leaves each output once."""
     root = tempfile.mkdtemp(prefix="geotrail-store-", dir="/tmp")
     store = TripStore(spark, root)
     store.append_positions(_raw(spark, [k(0, 1000), k(1, 2000)]))
-    os.makedirs(f"{root}/_runs")
-    open(f"{root}/_runs/.000000000001-abc", "w").close()     # a crash before the rename
-    assert store.last_run() is None and store.unprocessed().count() == 2
     store.run(3000, Params())
-    assert store.last_run().number == 1 and store.current_trips().count() == 1
+
+    class Killed(Exception):
+        pass
+
+    def kill(*args, **kw):
+        raise Killed
+
+    with monkeypatch.context() as m:
+        m.setattr(TripStore, "_commit", kill)
+        with pytest.raises(Killed):
+            store.run(400_000, Params())            # would close the trip
+        with pytest.raises(Killed):
+            store.append_positions(_raw(spark, [k(5, 2500), k(6, 2600)], seq0=10))
+    again = TripStore(spark, root)
+    assert again.last_run().number == 1 and again.completed_trips().count() == 0 and again.current_trips().count() == 1
+    assert again.positions().count() == 2 and [r.total_vehicles for r in again.fleet_summary().collect()] == [1]
+    # the retry sees other fixes: the trip goes on, and the killed attempt's closed trip is gone
+    again.append_positions(_raw(spark, [k(2, 3000), k(8, 4000)], seq0=20))
+    again.run(400_000, Params())
+    assert again.last_run().number == 2 and again.completed_trips().count() == 0
+    assert [r.total_readings for r in again.current_trips().collect()] == [3]
+    assert again.speed_alerts().count() == 1 and again.positions().count() == 4
+    assert {r.kind for r in spark.read.parquet(f"{root}/runs").where("run = 2").select("kind").distinct().collect()} >= {"current_trips", "speed_alerts"}
+    assert spark.read.parquet(f"{root}/runs").where("run = 2 and kind = 'completed_trips'").count() == 0
+
+
+def test_store_uses_no_file_system_calls():
+    import inspect
+
+    from geotrail.sources import store
+
+    text = inspect.getsource(store)
+    assert "_jvm" not in text and "hadoop" not in text and not hasattr(store, "Folder")
+
+
+def _random_runs(spark, seed, n_runs=4):
+    rnd = random.Random(seed)
+    store = TripStore(spark, tempfile.mkdtemp(prefix="geotrail-store-", dir="/tmp"))
+    seq, now = 0, 0
+    for _ in range(n_runs):
+        for _ in range(rnd.randint(0, 2)):
+            rows = []
+            for _ in range(rnd.randint(1, 25)):
+                now += rnd.choice([0, 500, 1000, 400_000, 90_000_000])
+                seq += 1
+                t = now if rnd.random() < 0.8 else rnd.randint(0, now)
+                rows.append((f"V{rnd.randint(0, 4)}", t, (30 + rnd.randint(0, 40) * 1e-4, -97.73), 0.0, 0.0, 0.0, "", seq))
+            store.append_positions(spark.createDataFrame(rows, POSITIONS_RAW))
+        now += rnd.choice([1, 400_000])
+        store.run(now, Params())
+    return store, now
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_maintained_summaries_equal_full_queries(spark, seed):
+    store, now = _random_runs(spark, seed)
+    s = store.snapshot()
+    assert s.last_computed_at == now
+    want = views.fleet_summary(store.positions(), s.current_trips, s.completed_trips, s.speed_alerts, now).collect()
+    assert store.fleet_summary().collect() == want
+    full = views.vehicle_summary(store.positions(), s.current_trips, s.completed_trips, s.speed_alerts, now).orderBy("vin").collect()
+    got = store.vehicle_summary().orderBy("vin").collect()
+    assert [r.vin for r in got] == [r.vin for r in full] and len(got) > 2
+    for a, b in zip(got, full):
+        a, b = a.asDict(), b.asDict()
+        assert a.pop("total_distance_meters") == pytest.approx(b.pop("total_distance_meters"), rel=1e-12)
+        assert a == b
+    assert sorted(r.vin for r in store.vehicles().collect()) == sorted(r.vin for r in views.vehicles(store.positions()).collect())
+
+
+def test_summaries_read_no_fixes(spark):
+    store, _ = _random_runs(spark, 1, 2)
+    for frame in (store.fleet_summary(), store.vehicle_summary(), store.vehicles()):
+        frame.collect()
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "/positions" not in plan
+        assert not re.search(r"kind#\d+ = (speed_alerts|completed_trips|processed)", plan)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_recent_positions_from_newest_dates(spark, seed):
+    store, _ = _random_runs(spark, seed + 10)
+    cols = ["vin", "timestamp", "latitude", "longitude", "arrival_seq", "rank"]
+    for n in (1, 3, 100):
+        want = views.recent_positions(store.positions(), n).select(*cols).orderBy("vin", "rank").collect()
+        assert store.recent_positions(n).select(*cols).orderBy("vin", "rank").collect() == want
+    some = store.recent_positions(2, ["V1"]).select(*cols).orderBy("rank").collect()
+    assert some == views.recent_positions(store.positions(), 2, ["V1"]).select(*cols).orderBy("rank").collect()
+    with pytest.raises(ValueError):
+        store.recent_positions(0)
+
+
+def test_recent_positions_read_few_of_a_thousand_dates(spark):
+    """One vehicle reports on 1 000 dates, another fell silent on the third: two dates are read for both."""
+    store = TripStore(spark, tempfile.mkdtemp(prefix="geotrail-store-", dir="/tmp"))
+    day = 86_400_000
+    rows = [("A", d * day + i, (30.0, -97.0), 0.0, 0.0, 0.0, "", 10 * d + i) for d in range(1000) for i in range(5)]
+    rows += [("B", 2 * day + i, (30.0, -97.0), 0.0, 0.0, 0.0, "", 50_000 + i) for i in range(4)]
+    store.append_positions(spark.createDataFrame(rows, POSITIONS_RAW).coalesce(2))
+    got = store.recent_positions(4)
+    assert sorted((r.vin, r.timestamp // day) for r in got.collect()) == [("A", 999)] * 4 + [("B", 2)] * 4
+    read = store.newest_fixes(4)
+    assert read.count() == 9
+    found = [m for m in _scan_metrics(read) if m.get("numPartitions")]
+    assert found and max(m["numPartitions"] for m in found) == 2, found
+
+
+def _scan_metrics(frame):
+    """Metrics of the executed scans (numPartitions: partitions left after pruning while the query ran)."""
+    frame.collect()
+    out, todo = [], [frame._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+            continue
+        if name.endswith("QueryStageExec"):
+            todo.append(node.plan())
+            continue
+        if name == "FileSourceScanExec":
+            metrics = node.metrics()
+            keys = metrics.keysIterator()
+            out.append({key: metrics.apply(key).value() for key in iter(lambda: keys.next() if keys.hasNext() else None, None)})
+        kids = node.children()
+        todo += [kids.apply(i) for i in range(kids.size())]
+    return out
 
 
 def test_messages_without_arrival_numbers(spark):
