@@ -129,7 +129,8 @@ def stream_retry_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     later; the open trips equal those of two batch runs that read their leftovers again."""
     from geotrail.schema import CAR_POSITIONS
     from geotrail.sources.store import scratch_path
-    from geotrail.streaming.stateful import open_trips, trip_stream, write_trip_stream
+    from geotrail.streaming.snapshot import OpenTrips
+    from geotrail.streaming.stateful import trip_stream, write_trip_stream
 
     root = scratch_path(spark, "stream")
     first, everything = events.events_run_split(spark, sf_dir)
@@ -139,7 +140,7 @@ def stream_retry_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         # each start takes in what has come since as one micro-batch
         source = spark.readStream.schema(CAR_POSITIONS).parquet(f"{root}/in")
         write_trip_stream(trip_stream(source, P, retry=True), f"{root}/out", f"{root}/ckpt").awaitTermination()
-    return r3(open_trips(spark.read.parquet(f"{root}/out")))
+    return r3(OpenTrips(spark, f"{root}/out").read())
 
 
 # ---- ingest -----------------------------------------------------------------------------------

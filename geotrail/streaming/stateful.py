@@ -438,25 +438,26 @@ def trip_stream(
 
 
 def write_trip_stream(out: DataFrame, root: str, checkpoint: str, trigger: dict | None = None):
-    """Sink: each micro-batch appended under ``kind=`` folders with its batch id.
+    """Sink: each micro-batch appended under ``kind=`` folders with its batch id, and the open trips kept beside it.
 
     ``trip`` rows are versions; the open-trip table is the latest version per
-    vehicle not followed by a ``completed`` row. Appends are idempotent per
-    batch id (a replayed batch overwrites its own folder). A new checkpoint counts
+    vehicle not followed by a ``completed`` row (:class:`geotrail.streaming.snapshot.OpenTrips` holds it up to date).
+    Appends are idempotent per batch id (a replayed batch overwrites its own folder). A new checkpoint counts
     batches from zero again, so it needs an output root of its own.
     """
-    from geotrail.sources.store import Folder
+    from geotrail.streaming.snapshot import OpenTrips
 
-    if Folder(out.sparkSession, root).names() and not Folder(out.sparkSession, checkpoint).exists("offsets"):
+    open_now = OpenTrips(out.sparkSession, root)
+    if open_now.origin() not in (None, checkpoint):
         raise ValueError(f"{root} holds the output of another checkpoint")
 
     def sink(batch: DataFrame, batch_id: int):
-        (
-            batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
-            .write.mode("overwrite")
-            .partitionBy("kind")
-            .parquet(f"{root}/batch_id={batch_id}")
-        )
+        path = f"{root}/batch_id={batch_id}"
+        batch.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite").partitionBy("kind").parquet(path)
+        # from what was written: the stateful operator runs once per batch
+        schema = T.StructType([*OUTPUT_SCHEMA.fields, T.StructField("batch_id", T.LongType())])
+        written = batch.sparkSession.read.schema(schema).parquet(path)
+        open_now.merge(written, batch_id, checkpoint)
 
     trig = trigger or {"availableNow": True}
     w = out.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(**trig)

@@ -355,3 +355,83 @@ def test_leftovers_survive_in_segments():
     assert [(r["kind"], r["trip_start_timestamp"], r["total_readings"]) for r in out] == [("trip", 0, 9)]
     assert not handle.made["left"].data
     assert copy.copy(handle.timers)
+
+
+# ---- the open trips beside the outputs
+
+
+def _outputs(spark, batch_id, rows):
+    from geotrail.streaming.stateful import OUTPUT_SCHEMA, _row
+
+    trip = dict(trip_start_timestamp=1, start_lat=0.0, start_lon=0.0, last_lat=0.0, last_lon=0.0, total_distance_meters=0.0,
+                average_speed_kph=0.0, max_speed_kph=0.0)
+    data = [_row(kind, vin, last_update_timestamp=t, total_readings=n, **trip) for kind, vin, t, n in rows]
+    return spark.createDataFrame([tuple(r[f.name] for f in OUTPUT_SCHEMA) for r in data], OUTPUT_SCHEMA)
+
+
+def test_open_trips_are_kept_by_bucket(spark):
+    """Random updates and completions: the snapshot equals the latest version of all outputs; replays change nothing;
+    a read opens one batch per bucket however many there were."""
+    from geotrail.streaming.snapshot import OpenTrips
+
+    rnd = random.Random(4)
+    base = tempfile.mkdtemp(prefix="geotrail-stream-", dir="/tmp")
+    table = OpenTrips(spark, f"{base}/out", n_buckets=4)
+    assert table.read().count() == 0 and table.origin() is None
+    want, sizes = {}, []
+    for b in range(8):
+        rows = []
+        for vin in rnd.sample([f"V{i}" for i in range(12)], 0 if b == 3 else rnd.randint(1, 5)):
+            kind = rnd.choice(["trip", "trip", "completed"])
+            rows.append((kind, vin, 100 * b, b))
+            want.pop(vin, None)
+            if kind == "trip":
+                want[vin] = (100 * b, b)
+        for _ in range(2 if b in (2, 5) else 1):  # a replayed batch
+            table.merge(_outputs(spark, b, rows), b, "ckpt")
+        got = {r.vin: (r.last_update_timestamp, r.total_readings) for r in table.read().collect()}
+        assert got == want, b
+        sizes.append(table._versions().where("bucket >= 0").select("version").distinct().count())
+    assert max(sizes) <= 4 and table.origin() == "ckpt"
+    # a batch that died before its version table has not happened
+    table.merge(_outputs(spark, 8, [("trip", "V0", 9999, 9)]), 8, "ckpt")
+    import shutil
+
+    shutil.rmtree(f"{base}/out_open/versions/batch_id=8")
+    spark.catalog.clearCache()
+    assert {r.vin: (r.last_update_timestamp, r.total_readings) for r in OpenTrips(spark, f"{base}/out", 4).read().collect()} == want
+
+
+def test_snapshot_of_a_stream_and_foreign_checkpoint(spark):
+    from geotrail.streaming.snapshot import OpenTrips
+
+    src, root, ckpt = _folders()
+    for i, fixes in enumerate(([k(0, 1000), k(1, 2000)], [k(2, 3000)], [k(0, 1000), k(1, 1500)])):
+        _raw(spark, src, fixes, vin="VIN000002" if i == 2 else "VIN000001", seq0=10 * i)
+    raw = spark.readStream.schema(POSITIONS_RAW).option("maxFilesPerTrigger", 1).parquet(src)
+    assert trip_stream_from_raw(raw, root, ckpt, Params(trip_timeout_ms=10**15)).awaitTermination(240)
+    assert sorted(map(tuple, OpenTrips(spark, root).read().collect())) == sorted(map(tuple, open_trips(spark.read.parquet(root)).collect()))
+    with pytest.raises(ValueError):
+        trip_stream_from_raw(raw, root, ckpt + "2", Params())
+
+
+def test_runs_at_a_cadence(spark):
+    """A processing-time trigger runs the stream again and again; fixes that come meanwhile enter the next run."""
+    import time
+
+    src, root, ckpt = _folders()
+    _raw(spark, src, [k(0, 1000), k(1, 2000)])
+    raw = spark.readStream.schema(POSITIONS_RAW).parquet(src)
+    q = trip_stream_from_raw(raw, root, ckpt, Params(trip_timeout_ms=10**15), trigger={"processingTime": "1 seconds"})
+    try:
+        end = time.time() + 120
+        while (q.lastProgress or {}).get("batchId", -1) < 0 and time.time() < end:
+            time.sleep(0.2)
+        _raw(spark, src, [k(2, 3000)], seq0=10)
+        while spark.read.parquet(root).where("kind = 'trip' and total_readings = 2").count() == 0 and time.time() < end:
+            time.sleep(0.5)
+    finally:
+        q.stop()
+    out = spark.read.parquet(root)
+    assert [r.total_readings for r in out.where("kind = 'trip'").orderBy("batch_id").collect()][-1] == 2
+    assert out.select("batch_id").distinct().count() >= 2
