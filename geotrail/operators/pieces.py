@@ -157,6 +157,7 @@ def trip_totals(placed_pieces: DataFrame, p: Params) -> DataFrame:
         F.sum("n").alias("n_rows"),
         F.max("has_bridge").alias("has_bridge"),
         F.min("first").alias("first"),
+        F.max("last").alias("last"),
         F.max("last_acc").alias("last_acc"),
         F.sum("m").alias("acc_m"),
         F.sum("acc_n").alias("acc_n"),

@@ -489,6 +489,31 @@ SELECT (SELECT count(DISTINCT vin) FROM pos)::BIGINT AS total_vehicles,
        {HISTORY_AS_OF_MS}::BIGINT AS last_computed_at"""
 
 
+STORE_DONE = "sdone AS (SELECT * FROM r1_done UNION ALL SELECT * FROM r2_done UNION ALL SELECT * FROM r3_done)"
+STORE_ALERTS = "salerts AS (SELECT * FROM r1_alerts UNION ALL SELECT * FROM r2_alerts UNION ALL SELECT * FROM r3_alerts)"
+
+
+def q_store_fleet_summary() -> str:
+    return f"""{chain(3)}, {STORE_DONE}, {STORE_ALERTS}
+SELECT (SELECT count(DISTINCT vin) FROM pall)::BIGINT AS total_vehicles,
+       (SELECT count(*) FROM r3_cur)::BIGINT AS active_trips,
+       (SELECT count(*) FROM sdone)::BIGINT AS completed_trips,
+       (SELECT count(*) FROM salerts)::BIGINT AS total_speed_alerts,
+       {RUN3_AS_OF_MS}::BIGINT AS last_computed_at"""
+
+
+def q_store_vehicle_summary() -> str:
+    return f"""{chain(3)}, {STORE_DONE}, {STORE_ALERTS},
+st AS (SELECT vin, count(*) AS n, sum(total_distance_meters) AS m,
+              CAST(sum(CAST(round(average_speed_kph * 1e6) AS BIGINT)) AS DOUBLE) / (count(average_speed_kph) * 1e6::DOUBLE) AS v
+       FROM sdone GROUP BY vin),
+ac AS (SELECT vin, count(*) AS n FROM salerts GROUP BY vin),
+sv AS (SELECT v.vin, coalesce(st.n, 0)::BIGINT AS completed_trips_count, coalesce(st.m, 0.0) AS total_distance_meters,
+              st.v AS average_speed_kph, coalesce(ac.n, 0)::BIGINT AS speed_alerts_count, {RUN3_AS_OF_MS}::BIGINT AS last_computed_at
+       FROM (SELECT DISTINCT vin FROM pall) v LEFT JOIN st ON v.vin = st.vin LEFT JOIN ac ON v.vin = ac.vin)
+{final('sv', ['vin', 'completed_trips_count', 'total_distance_meters', 'average_speed_kph', 'speed_alerts_count', 'last_computed_at'], ['total_distance_meters', 'average_speed_kph'])}"""
+
+
 def q_unknown_vins() -> str:
     return f"""WITH {POS}
 SELECT DISTINCT printf('VIN%06d', c_custkey) AS vin FROM customer
@@ -531,5 +556,9 @@ def statements() -> dict[str, str]:
         "trip_stats_by_vin": q_trip_stats_by_vin(),
         "vehicle_summary": q_vehicle_summary(),
         "fleet_summary": q_fleet_summary(),
+        "store_fleet_summary": q_store_fleet_summary(),
+        "store_vehicle_summary": q_store_vehicle_summary(),
+        "store_recent_positions": q_recent_positions(),
+        "store_history": q_trip_segmentation(),
         "unknown_vins": q_unknown_vins(),
     }

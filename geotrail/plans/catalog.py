@@ -301,6 +301,53 @@ def fleet_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.fleet_summary(s.positions, s.current_trips, s.completed_trips, s.speed_alerts, s.last_computed_at)
 
 
+# ---- the same reads from a store that is kept up to date --------------------------------------------
+
+
+def _filled_store(spark, sf_dir, runs=True):
+    """A store that takes the fixes of run 1, then all that came late or later, with the three runs in between."""
+    from geotrail.sources.store import TripStore, scratch_path
+
+    store = TripStore(spark, scratch_path(spark, "store"))
+    first, everything = events.events_run_split(spark, sf_dir)
+    for fixes, as_of in ((first, scenarios.RUN1_AS_OF_MS), (everything, scenarios.RUN2_AS_OF_MS)):
+        store.append_positions(fixes)  # what is stored already is ignored (I2)
+        if runs:
+            store.run(as_of, P)
+    if runs:
+        store.run(RUN3_AS_OF_MS, P)
+    return store
+
+
+def store_fleet_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J3 + A2 + A3 from what each append and run has counted."""
+    return _filled_store(spark, sf_dir).fleet_summary()
+
+
+def store_vehicle_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J2 + A4 + A5 from the runs' own totals (after run 3 no trip is open)."""
+    return r3(_filled_store(spark, sf_dir).vehicle_summary().drop("current_trip"))
+
+
+def store_recent_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T1 over stored fixes: only the dates that hold a vehicle's latest fixes are read."""
+    p = _filled_store(spark, sf_dir, runs=False).recent_positions(RECENT_N)
+    return r3(p.select("vin", "timestamp", "latitude", "longitude", "rank"))
+
+
+def store_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S6 kept up to date over two appends, the second with late fixes between the first one's."""
+    from geotrail.sources.history import TripHistory
+    from geotrail.sources.store import TripStore, scratch_path
+
+    store = TripStore(spark, scratch_path(spark, "store"))
+    history = TripHistory(store, P)
+    for fixes in events.events_run_split(spark, sf_dir):
+        store.append_positions(fixes)
+        history.extend()
+    return r3(history.read(scenarios.HISTORY_AS_OF_MS))
+
+
 def unknown_vins(spark: SparkSession, sf_dir: str) -> DataFrame:
     """vehicles of the customer registry (VIN of each customer key) without fixes."""
     reg = spark.read.parquet(f"{sf_dir}/customer.parquet").select(
@@ -346,6 +393,10 @@ QUERIES = {
         trip_stats_by_vin,
         vehicle_summary,
         fleet_summary,
+        store_fleet_summary,
+        store_vehicle_summary,
+        store_recent_positions,
+        store_history,
         unknown_vins,
     ]
 }
