@@ -87,6 +87,8 @@ def session_conf() -> dict[str, str]:
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # call sites of every column expression: half the time of building a long plan
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
 
 
