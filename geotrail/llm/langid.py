@@ -12,8 +12,9 @@ A landmark's kernel value is linear in the presence vector, so the whole chain
 (landmark products, Nystroem map, regression) folds into one matrix of slots x
 languages: a batch of texts is scored by one product of its presence matrix.
 
-The classifier is fitted on at most ``max_rows`` labelled rows, taken by hash
-order of id and text (a documented bound); prediction covers every row and whole texts.
+The classifier is fitted on about ``max_rows`` labelled rows (a documented bound), taken by hash
+order of id and text per language: by share, with a floor that keeps every language however rare
+(:func:`quotas`). Prediction covers every row and whole texts.
 
 Edge cases: null text or text without a letter: ``und`` with score 0; no
 labelled row at all: everything is ``und``; ties go to the first language in
@@ -22,6 +23,7 @@ order; repeated rows get equal results; an empty table gives no rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -95,15 +97,38 @@ class LanguageModel:
         return labels, scores
 
 
-def _sampled(docs: DataFrame, max_rows: int) -> DataFrame:
-    """Labelled rows ``text, lang``, at most about ``max_rows``, by hash of id and text."""
-    slots = 1 << 20
-    n = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).count()
-    keep = slots if n <= max_rows else int(slots * max_rows / n)
-    pick = F.pmod(F.xxhash64("doc_id", "text", F.lit(11)), F.lit(slots)) < keep
-    return docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & pick).select(
-        "text", "lang", F.xxhash64("text", "doc_id", F.lit(13)).alias("place")
-    )
+def quotas(counts: dict[str, int], max_rows: int) -> dict[str, int]:
+    """Rows to learn from per language: all, if they are few enough; else by share, with a floor for rare languages.
+
+    A quarter of the sample is set aside for the floors, so a language keeps rows whatever its share.
+    """
+    if sum(counts.values()) <= max_rows:
+        return dict(counts)
+    total = sum(counts.values())
+    floor = max(1, max_rows // (4 * len(counts)))
+    return {x: min(n, max(floor, int(max_rows * 0.75 * n / total))) for x, n in counts.items()}
+
+
+def _sampled(docs: DataFrame, max_rows: int, counts: dict[str, int] | None = None) -> DataFrame:
+    """Labelled rows ``text, lang``, about ``max_rows`` and some of every language, by hash of id and text.
+
+    A hash share somewhat above each language's quota is taken first, so ranking the rest by hash never meets a whole language.
+    """
+    labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
+    if counts is None:
+        counts = {r.lang: r["count"] for r in labelled.groupBy("lang").count().collect()}   # as many as languages
+    slots = float(1 << 53)
+    rows = []
+    for lang, quota in quotas(counts, max_rows).items():
+        wanted = quota + 6 * math.sqrt(quota) + 30   # a hash share of this size falls short of the quota almost never
+        rows.append((lang, quota, int(slots * min(1.0, wanted / max(counts[lang], 1)))))
+    if not rows:
+        return labelled.limit(0).select("text", "lang", F.lit(0).cast("long").alias("place"))
+    shares = F.broadcast(docs.sparkSession.createDataFrame(rows, "lang string, quota long, keep long"))   # one row per language
+    draw = F.pmod(F.xxhash64("doc_id", "text", F.lit(11)), F.lit(1 << 53))
+    picked = labelled.join(shares, "lang").withColumn("draw", draw).where(F.col("draw") < F.col("keep"))
+    picked = picked.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("draw", "text")))
+    return picked.where(F.col("k") <= F.col("quota")).select("text", "lang", F.xxhash64("text", "doc_id", F.lit(13)).alias("place"))
 
 
 def fit(

@@ -35,8 +35,9 @@ POSITION_BITS = 20
 BINS = 32
 MAX_RULES = 8
 MAX_CONDITIONS = 3
-MIN_COVER = 8           # label-0 rows a rule must cover among those that prune it
+MIN_COVER = 2           # label-0 rows a rule must cover at least among those that prune it
 MIN_PRECISION = 0.6     # share of label 0 among them
+MAX_CHANCE = 0.01       # probability that as many label-0 rows among the covered ones are chance: holds at every table size
 BASE_WORDS = 50
 # statistics the rules may test, over the base columns (ratios keep them comparable across lengths)
 STATISTICS = {
@@ -208,20 +209,35 @@ def _best_condition(table, names, cuts, min_cover):
     return best
 
 
+def by_chance(p: int, n: int, share: float) -> float:
+    """Probability of at least ``p`` label-0 rows among ``p + n`` drawn where they have this share."""
+    total = p + n
+    if p <= 0 or share >= 1.0:
+        return 1.0
+    if share <= 0.0:
+        return 0.0
+    if total > 1000:  # normal tail
+        return 0.5 * math.erfc((p - 0.5 - total * share) / math.sqrt(2 * total * share * (1 - share)))
+    log = [math.lgamma(total + 1) - math.lgamma(k + 1) - math.lgamma(total - k + 1) + k * math.log(share) + (total - k) * math.log1p(-share) for k in range(p, total + 1)]
+    return min(1.0, sum(map(math.exp, log)))
+
+
 def _pruned(free: DataFrame, rule: list[tuple], min_precision: float, min_cover: int) -> list[tuple]:
     """The best prefix of the rule on the rows that did not grow it; empty when none is precise enough."""
     if not rule:
         return []
-    sums = []
+    sums = [F.sum(F.col("bad").cast("long")).alias("p0"), F.count(F.lit(1)).alias("all")]
     for k in range(1, len(rule) + 1):
         hit = _holds(rule[:k])
         sums += [F.sum((hit & F.col("bad")).cast("long")).alias(f"p{k}"), F.sum((hit & ~F.col("bad")).cast("long")).alias(f"n{k}")]
     r = free.where(~F.col("grows")).agg(*sums).first()
     best, most = [], -2.0
+    share = (r.p0 or 0) / max(r["all"], 1)
     for k in range(1, len(rule) + 1):
         p, n = r[f"p{k}"] or 0, r[f"n{k}"] or 0
         worth = (p - n) / (p + n) if p + n else -2.0
-        if p >= min_cover and p >= min_precision * (p + n) and worth > most + 1e-9:
+        sure = p >= min_cover and p >= min_precision * (p + n) and by_chance(p, n, share) <= MAX_CHANCE
+        if sure and worth > most + 1e-9:
             best, most = rule[:k], worth
     return best
 

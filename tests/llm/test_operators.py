@@ -486,3 +486,53 @@ def test_pipeline_keeps_a_row_of_every_component(spark):
     docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
     kept = cp.near_duplicates(spark, docs, "").collect()
     assert sorted((r.doc_id or -1, r.text) for r in kept) == sorted([(-1, c), (-1, d), (5, a), (5, b)])
+
+
+def test_every_language_keeps_rows_at_any_size():
+    for scale in (1, 10**3, 10**9):
+        counts = {"en": 12 * scale, "de": 7 * scale, "fr": scale, "rare": 3, "once": 1}
+        got = langid.quotas(counts, 12_000)
+        assert set(got) == set(counts) and all(1 <= got[x] <= n for x, n in counts.items())
+        assert got["rare"] == 3 and got["once"] == 1
+        assert sum(got.values()) <= max(12_000, sum(counts.values()) if scale == 1 else 12_000)
+    many = langid.quotas({f"l{i}": 10**6 for i in range(100)}, 12_000)
+    assert min(many.values()) >= 30 and sum(many.values()) <= 12_000
+
+
+def test_sample_of_a_huge_corpus_is_not_empty(spark, docs):
+    # the counts of 20 thousand million rows: the shares stay above zero
+    labelled = docs.where("lang is not null and text is not null")
+    seen = {r.lang: r["count"] for r in labelled.groupBy("lang").count().collect()}
+    rows = langid._sampled(docs.select("doc_id", "text", "lang"), 20, seen).groupBy("lang").count().collect()
+    assert {r.lang for r in rows} == set(seen) and all(r["count"] <= max(seen.values()) for r in rows)
+    huge = {x: n * 10**9 for x, n in seen.items()}
+    assert min(langid.quotas(huge, 12_000).values()) > 0 and sum(langid.quotas(huge, 12_000).values()) <= 12_000
+
+
+def test_language_of_one_in_a_thousand_rows_is_learned(spark):
+    rnd = random.Random(11)
+    say = lambda words: " ".join(rnd.choice(words) for _ in range(30))
+    fi = "talo koira kissa vanha mies lauloi koko illan heille ja olivat hyvin iloisia siella".split()
+    rows = [(k, say(EN if k % 2 else DE), "en" if k % 2 else "de") for k in range(6000)] + [(9000 + k, say(fi), "fi") for k in range(6)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(table, max_rows=300)
+    assert model.langs == ["de", "en", "fi"]
+    new = spark.createDataFrame([(1, say(fi)), (2, say(EN)), (3, say(DE))], "doc_id long, text string")
+    assert {r.doc_id: r.lang_pred for r in langid.predict(new, model).collect()} == {1: "fi", 2: "en", 3: "de"}
+
+
+def test_rules_by_chance():
+    assert rules.by_chance(2, 0, 0.05) == pytest.approx(0.0025) and rules.by_chance(0, 5, 0.5) == 1.0
+    brute = sum(math.comb(20, k) * 0.3**k * 0.7 ** (20 - k) for k in range(9, 21))
+    assert rules.by_chance(9, 11, 0.3) == pytest.approx(brute)
+    assert rules.by_chance(700, 700, 0.5) == pytest.approx(0.5, abs=0.02) and rules.by_chance(800, 600, 0.5) < 1e-6
+
+
+def test_decision_list_is_learned_on_the_small_tables(spark):
+    from geotrail.llm import queries
+
+    for sf in ("sf0.001", "sf0.01"):
+        d = f"/root/testdata/{sf}"
+        out = queries.op5_quality_rules(spark, d).join(spark.read.parquet(f"{d}/labels.parquet"), "doc_id").where("not base_failed").collect()
+        bad, good = [r for r in out if r.quality == 0], [r for r in out if r.quality == 1]
+        assert sum(not r.kept for r in bad) >= 0.9 * len(bad) > 0 and sum(r.kept for r in good) >= 0.95 * len(good)
