@@ -20,6 +20,10 @@ space, per-character lower case, then the split pattern); long texts are fed in
 pieces, cut at white space or before a character that normalisation cannot join
 to its left neighbour.
 
+On Spark a document enters ``DocumentEncoder`` in pieces of ``PIECE_CHARS``. Runs that white space has closed are
+answered by a memo of words (two generations, bounded); an open one waits, or streams through the transducer once it
+is long. The ids go on to the decoder and the digests piece by piece.
+
 Decoding. ``StreamDecoder`` maps ids to bytes and bytes to text through an
 incremental UTF-8 state machine. A vocabulary without a decoder (this one)
 joins its token strings with single spaces, as the library does; with
@@ -47,7 +51,9 @@ from geotrail.llm.common import select_docs, small_batches, text_column
 
 END = "</w>"
 PIECE_CHARS = 1 << 16
-MEMO_RUNS = 200_000     # words remembered per generation and worker process
+MEMO_RUNS = 300_000     # words remembered per generation and worker process
+OPEN_BYTES = 4096       # an open word longer than this is encoded as it comes
+WHITE = [bytes([b]) for b in b" \n\t\x0b\x0c\r"]
 # white space of the vocabulary's \s class (fixed values: the code points with Unicode White_Space)
 SPACE_POINTS = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 SPACES = regex.compile("[" + "".join(map(chr, SPACE_POINTS)) + "]+")
@@ -331,64 +337,162 @@ def decode_ids(ids, table: MergeTable, byte_level: bool = False) -> str:
     return dec.feed(ids) + dec.finish()
 
 
+def encode_closed(run: bytes, table: MergeTable) -> list[int]:
+    """Ids of a run whose end is known; longer ones go through the transducer."""
+    if len(run) <= 2 * 8 * table.lookahead:
+        by_byte = table.by_byte
+        symbols = [by_byte[b] for b in run]
+        symbols[-1] = table.by_last_byte[run[-1]]
+        return table.merge(symbols)
+    t = RunTransducer(table)
+    return t.feed(run) + t.finish()
+
+
 def _memo(path: str) -> wordcache.WordMemo:
+    """Ids of closed words, per worker process: what the encoder is asked again and again."""
     if ("transducer", path) not in wordcache._MEMOS:
         table = merge_table(path)
-        runs: dict[str, list[int]] = {}
+        # runs of letters or marks inside words, in two generations like the words
+        runs: list[dict] = [{}, {}]
 
-        def encode_run(run: str) -> list[int]:
-            ids = runs.get(run)
+        def encode_run(run: str) -> bytes:
+            ids = runs[0].get(run)
             if ids is None:
-                t = RunTransducer(table)
-                ids = t.feed(run.encode()) + t.finish()
-                if len(runs) >= MEMO_RUNS:
-                    runs.clear()
-                runs[run] = ids
+                ids = runs[1].get(run)
+                if ids is None:
+                    ids = array("I", encode_closed(run.encode(), table)).tobytes()
+                if len(runs[0]) >= MEMO_RUNS:
+                    runs[:] = [{}, runs[0]]
+                runs[0][run] = ids
             return ids
 
-        def encode_new(words: list[bytes]) -> list[tuple[bytes, bytes]]:
+        def encode_new(words: list[bytes]) -> list[bytes]:
             out = []
             for w in words:
                 if len(w) > wordcache.MAX_WORD_BYTES or b"<|" in w:
-                    ids = encode_text(w.decode(), table)
+                    out.append(array("I", encode_text(w.decode(), table)).tobytes())
+                elif w.isalpha():   # ASCII letters: one run, met once per generation of the word memo
+                    out.append(array("I", encode_closed(w.lower(), table)).tobytes())
                 else:
                     text = w.decode()
                     text = text.lower() if w.isascii() else _lower(SPACES.sub(" ", unicodedata.normalize("NFC", text)))
-                    ids = [i for run in table.pattern.findall(text) for i in encode_run(run)]
-                out.append((array("I", ids).tobytes(), decode_ids(ids, table).encode()))
+                    found = table.pattern.findall(text)
+                    if len(found) == 1:
+                        out.append(array("I", encode_closed(found[0].encode(), table)).tobytes())
+                    else:
+                        out.append(b"".join([encode_run(run) for run in found]))
             return out
 
         wordcache._MEMOS["transducer", path] = wordcache.WordMemo(encode_new, MEMO_RUNS)
     return wordcache._MEMOS["transducer", path]
 
 
+class DocumentEncoder:
+    """Text pieces in, packed ids out, in memory bounded by a piece.
+
+    White space closes a run: closed runs are answered by the memo. The word still open at the end of a
+    piece waits for the next one; if it grows beyond ``OPEN_BYTES`` it is fed to a
+    :class:`StreamEncoder` as it comes, which emits what its lookahead makes stable.
+    """
+
+    def __init__(self, table: MergeTable, memo: wordcache.WordMemo):
+        self.table, self.memo = table, memo
+        self.carry = b""
+        self.stream: StreamEncoder | None = None
+
+    def feed(self, piece: str) -> bytes:
+        raw = piece.encode()
+        out = b""
+        if self.stream is not None:
+            end = _first_white(raw)
+            out = self._packed(self.stream.feed(raw[:end].decode()))
+            if end == len(raw):
+                return out
+            out += self._packed(self.stream.finish())
+            self.stream, raw = None, raw[end:]
+        raw = self.carry + raw
+        cut = max(map(raw.rfind, WHITE)) + 1
+        self.carry = raw[cut:]
+        out += self._words(raw[:cut])
+        if len(self.carry) > OPEN_BYTES:
+            self.stream = StreamEncoder(self.table)
+            out += self._packed(self.stream.feed(self.carry.decode()))
+            self.carry = b""
+        return out
+
+    def finish(self) -> bytes:
+        out = self._packed(self.stream.finish()) if self.stream is not None else self._words(self.carry)
+        self.carry, self.stream = b"", None
+        return out
+
+    def _words(self, raw: bytes) -> bytes:
+        words = wordcache.folded(raw).split()
+        return b"".join(map(self.memo.lookup(set(words)).__getitem__, words)) if words else b""
+
+    @staticmethod
+    def _packed(ids: list[int]) -> bytes:
+        return array("I", ids).tobytes()
+
+
+def _first_white(raw: bytes) -> int:
+    found = [k for k in map(raw.find, WHITE) if k >= 0]
+    return min(found, default=len(raw))
+
+
+def text_pieces(text: str) -> Iterator[str]:
+    for lo in range(0, len(text), PIECE_CHARS):
+        yield text[lo : lo + PIECE_CHARS]
+
+
 def encode_decode(docs: DataFrame, tokenizer_path: str) -> DataFrame:
-    """Per document ``doc_id, ids (packed uint32), decoded``: the operator's real outputs."""
-    return _mapped(docs, tokenizer_path, "doc_id long, ids binary, decoded string", lambda i, d: (i, d.decode()))
+    """Per document the operator's real outputs, ``ids`` (packed uint32) and ``decoded``, with their digests."""
+
+    def whole(table: MergeTable, parts: Iterator[bytes]) -> tuple:
+        decoder, ids, text = StreamDecoder(table), [], []
+        for part in parts:
+            ids.append(part)
+            text.append(decoder.feed(memoryview(part).cast("I")))
+        text.append(decoder.finish())
+        packed, decoded = b"".join(ids), "".join(text)
+        return len(packed) // 4, hashlib.sha256(packed).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest(), packed, decoded
+
+    return _mapped(docs, tokenizer_path, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, ids binary, decoded string", whole)
 
 
 def encode_decode_digest(docs: DataFrame, tokenizer_path: str) -> DataFrame:
-    """Per document ``doc_id, n_tokens, ids_sha256, decoded_sha256`` without shipping ids or texts back."""
-    digest = lambda i, d: (len(i) // 4, hashlib.sha256(i).hexdigest(), hashlib.sha256(d).hexdigest())
+    """Per document ``doc_id, n_tokens, ids_sha256, decoded_sha256``; neither ids nor text are ever held whole."""
+
+    def digest(table: MergeTable, parts: Iterator[bytes]) -> tuple:
+        decoder, ids, text, n = StreamDecoder(table), hashlib.sha256(), hashlib.sha256(), 0
+        for part in parts:
+            n += len(part) // 4
+            ids.update(part)
+            text.update(decoder.feed(memoryview(part).cast("I")).encode())
+        text.update(decoder.finish().encode())
+        return n, ids.hexdigest(), text.hexdigest()
+
     return _mapped(docs, tokenizer_path, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", digest)
 
 
+def encoded(text: str, table: MergeTable, memo: wordcache.WordMemo) -> Iterator[bytes]:
+    """Packed ids of one text, part by part."""
+    encoder = DocumentEncoder(table, memo)
+    for piece in text_pieces(text):
+        yield encoder.feed(piece)
+    yield encoder.finish()
+
+
 def _mapped(docs: DataFrame, path: str, schema: str, row) -> DataFrame:
     small_batches(docs.sparkSession)
     kinds = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
     fields = [(f.split()[0], kinds[f.split()[1]]) for f in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = _memo(path)
+        table, memo = merge_table(path), _memo(path)
         for batch in batches:
-            split = [t.encode().split() for t in text_column(batch).to_pylist()]
-            known = memo.lookup(set().union(*split)) if split else {}
-            rows = []
-            for words in split:
-                found = [v for v in map(known.__getitem__, words) if v[0]]
-                rows.append(row(b"".join([v[0] for v in found]), b" ".join([v[1] for v in found])))
-            cols = [batch.column("doc_id"), *(pa.array(list(c), t) for c, (_, t) in zip(zip(*rows), fields[1:]))]
+            rows = [row(table, encoded(t, table, memo)) for t in text_column(batch).to_pylist()]
             if rows:
+                cols = [batch.column("doc_id"), *(pa.array(list(c), t) for c, (_, t) in zip(zip(*rows), fields[1:]))]
                 yield pa.RecordBatch.from_arrays(cols, names=[n for n, _ in fields])
 
     return select_docs(docs).mapInArrow(run, schema)

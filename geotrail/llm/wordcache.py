@@ -15,21 +15,27 @@ import numpy as np
 
 MAX_WORDS = 350_000     # per generation and worker process
 MAX_WORD_BYTES = 64     # longer runs are encoded, not kept
+TAILS = b".,"            # marks that form a run of their own behind a letter
 SEPARATOR = "<|startoftext|>"   # a special token of the vocabulary: cuts the joined runs apart
 _MEMOS: dict = {}
 
 
 class WordMemo:
-    """Two dictionaries: when the young one is full it becomes the old one (bounded memory)."""
+    """Packed ids per word; two dictionaries: when the young one is full it becomes the old one (bounded memory).
 
-    def __init__(self, encode_new: Callable[[list[bytes]], list], max_words: int = MAX_WORDS):
+    A word that ends in an ASCII letter and one mark of ``TAILS`` is two runs for the vocabulary's pattern: its ids are
+    those of the word without the mark, then the mark's.
+    """
+
+    def __init__(self, encode_new: Callable[[list[bytes]], list[bytes]], max_words: int = MAX_WORDS):
         self.encode_new, self.max_words = encode_new, max_words
         self.young: dict = {}
         self.old: dict = {}
+        self.tails: dict = {}
 
-    def lookup(self, words: set) -> dict:
-        """A value for every word of the batch."""
-        found, new = {}, []
+    def _known(self, words, found: dict) -> list[bytes]:
+        """Fill ``found`` from the memo; returns the words it doesn't hold."""
+        new = []
         young, old = self.young, self.old
         for w in words:
             v = young.get(w)
@@ -40,13 +46,36 @@ class WordMemo:
                     continue
                 young[w] = v
             found[w] = v
-        for w, v in zip(new, self.encode_new(new) if new else ()):
+        return new
+
+    def lookup(self, words: set) -> dict:
+        """The ids of every word of the batch."""
+        found: dict = {}
+        new = self._known(words, found)
+        if new:
+            tailed = [w for w in new if len(w) > 1 and w[-1] in TAILS and 97 <= w[-2] <= 122]
+            whole = [w for w in new if not (len(w) > 1 and w[-1] in TAILS and 97 <= w[-2] <= 122)]
+            cores = {w[:-1] for w in tailed}.difference(found, whole)
+            whole += self._known(cores, found)
+            self._keep(zip(whole, self.encode_new(whole)), found)
+            if not self.tails:
+                self.tails = dict(zip(TAILS, self.encode_new([bytes([t]) for t in TAILS])))
+            self._keep([(w, found[w[:-1]] + self.tails[w[-1]]) for w in tailed], found)
+        if len(self.young) >= self.max_words:
+            self.old, self.young = self.young, {}
+        return found
+
+    def _keep(self, values, found: dict) -> None:
+        young = self.young
+        for w, v in values:
             found[w] = v
             if len(w) <= MAX_WORD_BYTES:
                 young[w] = v
-        if len(young) >= self.max_words:
-            self.old, self.young = young, {}
-        return found
+
+
+def folded(text: bytes) -> bytes:
+    """A-Z to lower case, as the vocabulary does; special tokens are told by their exact spelling."""
+    return text if b"<|" in text else text.lower()
 
 
 def library_encoder(path: str) -> Callable[[list[str]], list[bytes]]:
@@ -81,7 +110,7 @@ def library_encoder(path: str) -> Callable[[list[str]], list[bytes]]:
 
 
 def encode_texts(texts: list[str], memo: WordMemo) -> list[bytes]:
-    split = [t.encode().split() for t in texts]
+    split = [folded(t.encode()).split() for t in texts]
     known = memo.lookup(set().union(*split)) if split else {}
     get = known.__getitem__
     return [b"".join(map(get, words)) for words in split]

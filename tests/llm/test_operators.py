@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from geotrail.llm import bpe, common, contextmix, decontaminate, graph, htmltext, langid, planes, quality, rules, simhash, suffixdedup
+from geotrail.llm import bpe, common, contextmix, decontaminate, graph, htmltext, langid, planes, quality, rules, simhash, suffixdedup, wordcache
 from geotrail.llm.common import fold_of
 from geotrail.llm.runindex import RunLengthIndex
 
@@ -536,3 +536,49 @@ def test_decision_list_is_learned_on_the_small_tables(spark):
         out = queries.op5_quality_rules(spark, d).join(spark.read.parquet(f"{d}/labels.parquet"), "doc_id").where("not base_failed").collect()
         bad, good = [r for r in out if r.quality == 0], [r for r in out if r.quality == 1]
         assert sum(not r.kept for r in bad) >= 0.9 * len(bad) > 0 and sum(r.kept for r in good) >= 0.95 * len(good)
+
+
+def test_document_encoder_in_pieces_equals_library(monkeypatch):
+    """Any piece size, open words that stream, special tokens cut apart, upper case, marks behind words."""
+    tok, table = _encoder(), bpe.merge_table(PATH)
+    memo = bpe._memo(PATH)
+    rnd = random.Random(2)
+    parts = list("abcdeXYZ  \n\t.,'éßΣ12中文<|>") + ["<|startoftext|>", "<|STARTOFTEXT|>", "Vi.", "vi.,", "it's.", " don't,", "é.", "a..", "x" * 90, "́", "\u3000"]
+    for _ in range(2500):
+        text = "".join(rnd.choice(parts) for _ in range(rnd.randint(0, 40)))
+        want = tok.encode(text, add_special_tokens=False).ids
+        monkeypatch.setattr(bpe, "PIECE_CHARS", rnd.choice([1, 3, 7, 1 << 16]))
+        monkeypatch.setattr(bpe, "OPEN_BYTES", rnd.choice([2, 10, 4096]))
+        got = b"".join(bpe.encoded(text, table, memo))
+        assert np.frombuffer(got, "<u4").tolist() == want, text
+        assert bpe.decode_ids(np.frombuffer(got, "<u4").tolist(), table) == tok.decode(want, skip_special_tokens=False)
+
+
+def test_document_encoder_memory_is_constant():
+    """A text of one word and one of many words: neither the encoder nor what it emits at once grows with the text."""
+    table = bpe.merge_table(PATH)
+    for unit in ("abcdefgh", "some words, in a row. "):
+        encoder, most, held = bpe.DocumentEncoder(table, bpe._memo(PATH)), 0, 0
+        for _ in range(40):
+            piece = (unit * (bpe.PIECE_CHARS // len(unit)))[: bpe.PIECE_CHARS]
+            most = max(most, len(encoder.feed(piece)))
+            stream = encoder.stream
+            held = max(held, len(encoder.carry) + (len(stream.raw) + len(stream.text) if stream else 0))
+        assert encoder.finish() is not None and most <= 8 * bpe.PIECE_CHARS and held <= 2 * bpe.PIECE_CHARS
+
+
+def test_word_memo_composes_and_stays_bounded():
+    asked = []
+
+    def encode_new(words):
+        asked.extend(words)
+        return [w + b"|" for w in words]
+
+    memo = wordcache.WordMemo(encode_new, max_words=50)
+    got = memo.lookup({b"word.", b"word", b"x,", b"9.", b"a.."})
+    assert got.items() >= {b"word.": b"word|.|", b"word": b"word|", b"x,": b"x|,|", b"9.": b"9.|", b"a..": b"a..|"}.items()
+    assert sorted(asked) == sorted([b"word", b"x", b"9.", b"a..", b".", b","])
+    for k in range(500):
+        memo.lookup({b"w%d" % k})
+    assert len(memo.young) + len(memo.old) <= 2 * 50 + 2
+    assert wordcache.folded(b"AbC <|X|>") == b"AbC <|X|>" and wordcache.folded(b"AbC") == b"abc"
