@@ -10,7 +10,7 @@ its decisions take effect:
   doc_id (null ids come last; of identical ids the one with the smallest text hash).
 * ``repeated_bytes``: byte strings of 200 that occur elsewhere are cut out of ``text``.
 * ``decontaminate``: rows that contain a benchmark item go.
-* ``encode``: token ids and the decoded text of what is left.
+* ``encode``: token ids (packed, 4 bytes each) and the decoded text of what is left, with their digests.
 
 Empty tables pass through every stage as empty tables.
 """
@@ -57,7 +57,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return bpe.encode_decode_digest(docs.select(*COLUMNS), public_tokenizers.path(TOKENIZER))
+    return bpe.encode_decode(docs.select(*COLUMNS), public_tokenizers.path(TOKENIZER))
 
 
 STAGES = [
