@@ -1,7 +1,7 @@
 """Registered queries of the thirteen operators, over the whole tables with production parameters.
 
-SQL can't express these results (hash majorities, tokenizer merges, learned models), so
-``ORACLE_SQL`` is empty and tests/llm checks each query against brute force.
+SQL expresses operators 12 and 13 (``oracles.py``). It can't express the others (hash majorities, tokenizer merges, learned
+models); tests/llm checks those against brute force, the libraries or labels.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from geotrail.llm import bpe, contextmix, convrepair, decontaminate, htmltext, langid, planes, prefixtrie, quality, rules, simhash, suffixdedup, tokencount
 from geotrail.llm.common import fold_of, read_table
+from geotrail.llm.oracles import ORACLE_SQL  # noqa: F401  (read by __spark_entry__.py)
 
 TOKENIZER = "word_bpe_49k.json"
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -96,4 +97,3 @@ QUERIES = {
         op11_token_counts, op12_conversation_repair, op13_prefix_trie,
     )
 }
-ORACLE_SQL: dict[str, str] = {}

@@ -14,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from geotrail.llm import convrepair, prefixtrie, queries, tokencount
+from geotrail.llm import convrepair, oracles, prefixtrie, queries, tokencount
 
 SF = "/root/testdata/sf0.001"
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -341,3 +341,32 @@ def test_op13_query(spark):
     rows = duckdb.sql(f"select conv_id, turn, role, text from '{SF}/conversations.parquet'").fetchall()
     got = collections.Counter(tuple(r) for r in queries.op13_prefix_trie(spark, SF).collect())
     assert got == _trie(_rebuilt(rows))
+
+
+# ---- the SQL statements
+
+
+def _duck(rows):
+    con = duckdb.connect()
+    con.execute("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
+    con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", rows)
+    return con
+
+
+def test_sql_equals_brute_force():
+    rows = [r for r in _random_conversations() if r[0] != 911]
+    got = _duck(rows).sql(oracles.OP12).fetchall()
+    assert {r[0]: r[1:] for r in got} == _repair(rows)
+    rows = [r for r in _trie_rows() if r[0] != 501]
+    assert collections.Counter(_duck(rows).sql(oracles.OP13).fetchall()) == _trie(_rebuilt(rows))
+
+
+@pytest.mark.parametrize("name", ["op12_conversation_repair", "op13_prefix_trie"])
+def test_query_equals_sql(spark, name):
+    sf = "/root/testdata/sf0.01"
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{sf}/conversations.parquet'")
+    want = con.sql(queries.ORACLE_SQL[name])
+    got = queries.QUERIES[name](spark, sf)
+    assert got.columns == want.columns
+    assert collections.Counter(map(tuple, got.collect())) == collections.Counter(want.fetchall())
