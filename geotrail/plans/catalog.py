@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from geotrail.config import EVENTS_PARAMS as P
 from geotrail.functions.geo import round_half_up
 from geotrail.operators import trips
+from geotrail.operators.chunked import for_dense
 from geotrail.operators.segments import BRIDGE_SEQ, fix_rows, run_segments, segment_table
 from geotrail.plans import scenarios, views
 from geotrail.plans.scenarios import RUN3_AS_OF_MS
@@ -77,12 +78,14 @@ def speed_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def trip_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A11 (flagship): one run over every vehicle's fixes -> its trip."""
-    return r3(trips.trip_rollup(events.events_positions(spark, sf_dir), P))
+    pos = events.events_positions(spark, sf_dir)
+    return r3(trips.trip_rollup(pos, for_dense(pos, P)))
 
 
 def running_average(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rounded running mean next to the plain mean of the same speeds."""
-    return r3(trips.running_average(events.events_positions(spark, sf_dir), P))
+    pos = events.events_positions(spark, sf_dir)
+    return r3(trips.running_average(pos, for_dense(pos, P)))
 
 
 def stream_trip_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -244,7 +247,7 @@ def run_completed_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 def trip_segmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole history split into trips at gaps above the timeout."""
     pos = events.events_positions(spark, sf_dir)
-    return r3(trips.trip_segmentation(pos, P, scenarios.HISTORY_AS_OF_MS))
+    return r3(trips.trip_segmentation(pos, for_dense(pos, P), scenarios.HISTORY_AS_OF_MS))
 
 
 def _store(spark, sf_dir):

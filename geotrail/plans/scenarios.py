@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from geotrail.config import EVENTS_AS_OF_MS, EVENTS_PARAMS, HISTORY_AS_OF_MS, Params
 from geotrail.operators import trips
+from geotrail.operators.chunked import for_dense
 from geotrail.plans.run import RunResult, apply_processed, multiplexed, run_batch, split_multiplexed
 from geotrail.schema import CURRENT_TRIPS, empty
 from geotrail.sources import events
@@ -83,6 +84,7 @@ def run_chain(spark: SparkSession, sf_dir: str, p: Params = EVENTS_PARAMS, upto:
     the store; the last run stays lazy."""
     base = scratch_path(spark, "chain")
     first, everything = events.events_run_split(spark, sf_dir)
+    p = for_dense(everything, p)
     r1 = run_batch(first, empty(spark, CURRENT_TRIPS), RUN1_AS_OF_MS, p)
     r2 = r3 = pos3 = None
     if upto >= 2:
