@@ -4,8 +4,8 @@ The page is cut into blocks at block-level tags; inline tags stay inside a
 block, scripts, styles and other non-text elements are skipped. The first pass labels a
 block from its length, its share of stop words, its share of linked
 characters and the element it sits in (menus, headers, footers, sidebars,
-notices, adverts, forms, comments are boilerplate; an explicit article or main
-element speaks for text). Short blocks that these rules leave open inherit in
+notices, adverts, forms, comments are boilerplate, by element or by name; an explicit article or main
+element speaks for text, and names and forms that only lay out the page around it end there). Short blocks that these rules leave open inherit in
 the second pass: the label of the nearest decided neighbours, where both
 sides agree or one is nearer; at equal distance the preceding one decides.
 
@@ -53,6 +53,14 @@ HINTS = frozenset(
     promoted promotion related recommended respond share sharing sidebar signup social sponsor sponsored subscribe toolbar widget
     complementary search""".split()
 )
+# Of these, names that keep their meaning around an article element (a reader's comment may be an article of its own);
+# the others name the layout of a page when an article or main element lies inside, and end there.
+LASTING = frozenset(
+    """ad ads advert adverts advertisement advertising comment comments disqus promo promoted promotion related recommended respond
+    sponsor sponsored""".split()
+)
+# First words of class names that state a fact about the page, not what the element is.
+FLAGS = frozenset("has no with without is not hide hidden show".split())
 TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z) | <[!?][^>]*> | <(?P<end>/?)(?P<name>[A-Za-z][^\s/>]*+)(?P<attrs>(?:[^>"']++|"[^"]*"|'[^']*')*+)> | <(?P<end2>/?)(?P<name2>[A-Za-z][^\s/>]*+)(?P<attrs2>[^>]*)>""",
     re.S | re.X,
@@ -60,6 +68,17 @@ TOKEN = re.compile(
 NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 HINT_WORDS = re.compile(r"[a-z]+")
 
+
+def hints_of(attrs: str) -> set[str]:
+    """Boilerplate words among the class, id and role names; names that only state a fact (``has-sidebar``) don't count."""
+    out: set[str] = set()
+    for name in " ".join(filter(None, sum(NAMED.findall(attrs), ()))).lower().split():
+        words = HINT_WORDS.findall(name)
+        if words and words[0] not in FLAGS:
+            out.update(HINTS.intersection(words))
+    return out
+
+
 GOOD, BAD, OPEN = 1, 0, -1
 
 
@@ -81,7 +100,9 @@ class Block:
 
 
 def blocks_of(page: str) -> Iterator[Block]:
-    scopes: list[tuple[str, bool, bool]] = []       # (element, boilerplate, text region), cumulative
+    # (element, boilerplate for good, boilerplate up to an article or main element, text region), cumulative
+    scopes: list[tuple[str, bool, bool, bool]] = []
+    endless: set[str] = set()                       # skipped elements that have no end tag any more
     parts: list[str] = []
     linked = link_depth = at = 0
 
@@ -90,8 +111,8 @@ def blocks_of(page: str) -> Iterator[Block]:
         text = " ".join("".join(parts).split())
         out = None
         if text:
-            top = scopes[-1] if scopes else ("", False, False)
-            out = Block(text, linked, top[1], top[2])
+            top = scopes[-1] if scopes else ("", False, False, False)
+            out = Block(text, linked, top[1] or top[2], top[3])
         parts, linked = [], 0
         return out
 
@@ -114,8 +135,13 @@ def blocks_of(page: str) -> Iterator[Block]:
         if not name:
             continue
         closing = bool(m["end"] or m["end2"])
+        attrs = m["attrs"] or m["attrs2"] or ""
         if name in SKIPPED and not closing:
-            end = re.compile(rf"</{re.escape(name)}\b[^>]*>?", re.I).search(page, at)
+            if attrs.endswith("/") and name not in ("script", "style", "textarea", "title"):
+                continue    # an empty element
+            end = None if name in endless else re.compile(rf"</{re.escape(name)}\b[^>]*>?", re.I).search(page, at)
+            if end is None:
+                endless.add(name)
             if name in ("script", "style", "textarea", "title", "noscript", "iframe") or end:
                 at = end.end() if end else len(page)
             if name in BLOCKS or name == "head":
@@ -140,11 +166,16 @@ def blocks_of(page: str) -> Iterator[Block]:
                     if scopes[k][0] == name:
                         del scopes[k:]
                         break
-            elif not (m["attrs"] or m["attrs2"] or "").endswith("/"):
-                up = scopes[-1] if scopes else ("", False, False)
-                named = " ".join(filter(None, sum(NAMED.findall(m["attrs"] or m["attrs2"] or ""), ())))
-                hinted = bool(HINTS.intersection(HINT_WORDS.findall(named.lower()))) and name not in TEXT_REGIONS
-                scopes.append((name, up[1] or hinted or name in BOILERPLATE, up[2] or name in TEXT_REGIONS))
+            elif not attrs.endswith("/"):
+                _, lasting, layout, region = scopes[-1] if scopes else ("", False, False, False)
+                hints = hints_of(attrs)
+                if name in TEXT_REGIONS:
+                    layout, region = False, True
+                else:
+                    # a form may be wrapped around a whole page
+                    layout = layout or name == "form" or bool(hints - LASTING)
+                    lasting = lasting or (name in BOILERPLATE and name != "form") or bool(hints & LASTING)
+                scopes.append((name, lasting, layout, region))
     if b := block():
         yield b
 

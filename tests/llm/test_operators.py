@@ -582,3 +582,44 @@ def test_word_memo_composes_and_stays_bounded():
         memo.lookup({b"w%d" % k})
     assert len(memo.young) + len(memo.old) <= 2 * 50 + 2
     assert wordcache.folded(b"AbC <|X|>") == b"AbC <|X|>" and wordcache.folded(b"AbC") == b"abc"
+
+
+STORY = "<article><h1>A title</h1><p>The story of the old man and the sea that he was on for days.</p><svg/><p>It was the end of it.</p></article>"
+TOLD = "A title\nThe story of the old man and the sea that he was on for days.\nIt was the end of it."
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<body class='no-sidebar'>{STORY}</body>",
+        f"<div class='site has-sidebar'><nav>Home</nav>{STORY}</div>",
+        f"<div class='search-results'>{STORY}<div class='sidebar'>Side things</div></div>",
+        f"<form action='/'><input name=q>{STORY}</form>",
+        f"<svg/>{STORY}<svg><text>drawn</text></svg>",
+        f"<object data=x>{STORY}",
+        f"{STORY}<section class='comments'><article><p>I was the first to say that it is not so, and that is what it is.</p></article></section>",
+        f"<div class='related'><article><p>Another story of the sea that you may like to read as well as this.</p></article></div>{STORY}",
+    ],
+)
+def test_layout_names_end_at_the_article(page):
+    assert htmltext.extract(page) == TOLD
+
+
+def test_pages_without_an_article_element():
+    """Density and link rules, then neighbours, decide every block."""
+    text = "It was in the days of the old king that the people of the land came to the city, and with them all that they had. " * 3
+    link = "<a href='/x'>Some other page</a> "
+    page = f"<ul><li>{link * 3}</li></ul><div>{text}</div><div>So it was.</div><div>{text}</div><div>{link * 8}</div><div>Imprint</div>"
+    found = list(htmltext.blocks_of(page))
+    rules_ = htmltext.BlockRules()
+    first = [htmltext.first_pass(b, rules_, False) for b in found]
+    assert first == [htmltext.BAD, htmltext.GOOD, htmltext.OPEN, htmltext.GOOD, htmltext.BAD, htmltext.OPEN]
+    assert htmltext.extract(page) == "\n".join([text.strip(), "So it was.", text.strip()])
+
+
+def test_missing_end_tags_are_looked_for_once():
+    import time
+
+    start = time.process_time()
+    assert htmltext.extract("<object>" * 60_000 + "<p>x</p>") in ("", "x")
+    assert time.process_time() - start < 3
