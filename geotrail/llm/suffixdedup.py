@@ -21,7 +21,7 @@ the windows (all ``length``-byte strings) are dealt to tasks by content:
 5. The repeated ranges are gathered per document and cut out of its bytes.
 
 A document is known by its id and the hash of its text. Identical rows
-share both: their contexts count twice and their ranges apply to each of them.
+share both: their contexts count twice and their ranges, kept once, apply to each of them.
 
 Edge cases: null or empty text and texts under ``length`` bytes lose nothing; null ids
 work like any other value; a text repeated as a whole loses all its bytes if it is long
@@ -315,7 +315,8 @@ def cut_ranges(raw: bytes, ranges: list[tuple[int, int]]) -> tuple[bytes, int]:
 def _with_ranges(docs: DataFrame, length: int) -> DataFrame:
     """``docs`` (with ``doc_id, text_hash, text``) and its list of ranges."""
     found = repeated_ranges(docs, length)
-    lists = found.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("lo", "hi")).alias("_ranges"))
+    # a set: identical rows bring the same ranges once each, and every one of them gets the list
+    lists = found.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("lo", "hi")).alias("_ranges"))
     d, s = docs.withColumn("text_hash", F.xxhash64(F.coalesce("text", F.lit("")))).alias("d"), lists.alias("s")
     same = F.col("d.doc_id").cast("long").eqNullSafe(F.col("s.doc_id")) & (F.col("d.text_hash") == F.col("s.text_hash"))
     return d.join(s, same, "left").select(*[F.col(f"d.`{c}`").alias(c) for c in docs.columns], F.col("s._ranges").alias("_ranges"))

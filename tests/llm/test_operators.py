@@ -623,3 +623,18 @@ def test_missing_end_tags_are_looked_for_once():
     start = time.process_time()
     assert htmltext.extract("<object>" * 60_000 + "<p>x</p>") in ("", "x")
     assert time.process_time() - start < 3
+
+
+def test_identical_rows_share_one_list_of_ranges(spark):
+    """Any number of rows equal in id and text: each gets the ranges that one pair of them has."""
+    rnd = random.Random(12)
+    text = " ".join("".join(rnd.choice("abcdefghij") for _ in range(6)) for _ in range(400))
+    sizes = {}
+    for n in (2, 300):
+        rows = spark.createDataFrame([(None, text)] * n + [(1, "short")], "doc_id long, text string")
+        lists = [len(r._ranges or ()) for r in suffixdedup._with_ranges(rows, 200).collect()]
+        assert len(lists) == n + 1 and len(set(lists)) == 2 and min(lists) == 0
+        sizes[n] = max(lists)
+        out = suffixdedup.dedup_digest(rows).where("doc_id is null").collect()
+        assert len(out) == n and all((r.n_removed, r.n_spans) == (len(text), 1) for r in out)
+    assert sizes[300] == sizes[2]
