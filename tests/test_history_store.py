@@ -27,7 +27,7 @@ def _equal(got, want):
             assert a[c] == b[c] or a[c] == pytest.approx(b[c], rel=1e-12), (c, a, b)
 
 
-@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("seed", range(2))
 def test_appends_equal_full_rebuild(spark, seed):
     """Late fixes extend, join and fill trips of earlier appends; lone fixes wait for neighbours."""
     rnd = random.Random(seed)
