@@ -426,8 +426,7 @@ class DocumentEncoder:
         return out
 
     def _words(self, raw: bytes) -> bytes:
-        words = wordcache.folded(raw).split()
-        return b"".join(map(self.memo.lookup(set(words)).__getitem__, words)) if words else b""
+        return self.memo.joined([wordcache.folded(raw).split()])[0]
 
     @staticmethod
     def _packed(ids: list[int]) -> bytes:

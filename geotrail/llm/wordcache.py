@@ -15,7 +15,7 @@ import numpy as np
 
 MAX_WORDS = 350_000     # per generation and worker process
 MAX_WORD_BYTES = 64     # longer runs are encoded, not kept
-TAILS = b".,"            # marks that form a run of their own behind a letter
+TAILS = b".,!?;:"        # marks that form a run of their own behind a letter
 SEPARATOR = "<|startoftext|>"   # a special token of the vocabulary: cuts the joined runs apart
 _MEMOS: dict = {}
 
@@ -65,6 +65,21 @@ class WordMemo:
             self.old, self.young = self.young, {}
         return found
 
+    def joined(self, texts: list[list[bytes]]) -> list[bytes]:
+        """The packed ids of each text, given as its words. Only words that the young generation lacks are looked up apart."""
+        get = self.young.get
+        found = [list(map(get, words)) for words in texts]
+        missing: set = set()
+        for words, ids in zip(texts, found):
+            if None in ids:
+                missing.update([w for w, v in zip(words, ids) if v is None])
+        if missing:
+            new = self.lookup(missing)
+            for k, (words, ids) in enumerate(zip(texts, found)):
+                if None in ids:
+                    found[k] = [new[w] if v is None else v for w, v in zip(words, ids)]
+        return [b"".join(ids) for ids in found]
+
     def _keep(self, values, found: dict) -> None:
         young = self.young
         for w, v in values:
@@ -92,17 +107,34 @@ def library_encoder(path: str) -> Callable[[list[str]], list[bytes]]:
         def ids(texts: list[str]) -> list[np.ndarray]:
             return [np.array(e.ids, "<u4") for e in tok.encode_batch_fast(texts, add_special_tokens=False)]
 
+        # tokens that end a run of the vocabulary's pattern
+        ends = np.zeros(max(tok.get_vocab().values()) + 1, bool)
+        ends[[i for t, i in tok.get_vocab().items() if t.endswith("</w>")]] = True
+
+        def cut_at(groups: list[list[int]], texts: list[str], stops: Callable[[np.ndarray], np.ndarray], drop: int, out: list) -> None:
+            """Encode one text per group of words; its ids fall apart behind the ``stops`` (``drop`` of them belong to no word)."""
+            for group, x in zip(groups, ids(texts)):
+                at = np.flatnonzero(stops(x))
+                packed = x.tobytes()
+                lo = 0
+                for i, hi in zip(group, (at + 1 - drop).tolist() + [len(x)]):
+                    out[i] = packed[4 * lo : 4 * hi]
+                    lo = hi + drop
+
         def encode_new(words: list[bytes]) -> list[bytes]:
             out: list = [None] * len(words)
-            alone = [i for i, w in enumerate(words) if b"<|" in w or len(w) > MAX_WORD_BYTES]
-            for i, x in zip(alone, ids([words[i].decode() for i in alone])):
+            text = [w.decode() for w in words]
+            special = [b"<|" in w or len(w) > MAX_WORD_BYTES for w in words]
+            for i, x in zip(alone := [i for i, s in enumerate(special) if s], ids([text[i] for i in alone])):
                 out[i] = x.tobytes()
-            rest = [i for i in range(len(words)) if out[i] is None]
+            # letters up to U+00FF are one run, which one token ends: white space is separator enough
+            plain = [i for i, t in enumerate(text) if not special[i] and t.isalpha() and max(t) < "\u0100"]
+            known = set(plain)
+            rest = [i for i, s in enumerate(special) if not s and i not in known]
+            groups = [plain[k : k + 64] for k in range(0, len(plain), 64)]
+            cut_at(groups, [" ".join([text[i] for i in g]) for g in groups], lambda x: ends[x], 0, out)
             groups = [rest[k : k + 64] for k in range(0, len(rest), 64)]
-            for group, x in zip(groups, ids([SEPARATOR.join(words[i].decode() for i in g) for g in groups])):
-                at = np.flatnonzero(x == cut)
-                for i, lo, hi in zip(group, np.append(0, at + 1), np.append(at, len(x))):
-                    out[i] = x[lo:hi].tobytes()
+            cut_at(groups, [SEPARATOR.join([text[i] for i in g]) for g in groups], lambda x: x == cut, 1, out)
             return out
 
         _MEMOS["library", path] = WordMemo(encode_new)
@@ -110,7 +142,4 @@ def library_encoder(path: str) -> Callable[[list[str]], list[bytes]]:
 
 
 def encode_texts(texts: list[str], memo: WordMemo) -> list[bytes]:
-    split = [folded(t.encode()).split() for t in texts]
-    known = memo.lookup(set().union(*split)) if split else {}
-    get = known.__getitem__
-    return [b"".join(map(get, words)) for words in split]
+    return memo.joined([folded(t.encode()).split() for t in texts])
