@@ -13,7 +13,7 @@ from collections.abc import Callable
 
 import numpy as np
 
-MAX_WORDS = 350_000     # per generation and worker process
+MAX_WORDS = 550_000     # per generation and worker process
 MAX_WORD_BYTES = 64     # longer runs are encoded, not kept
 TAILS = b".,!?;:"        # marks that form a run of their own behind a letter
 SEPARATOR = "<|startoftext|>"   # a special token of the vocabulary: cuts the joined runs apart
