@@ -81,6 +81,13 @@ OUTPUT_SCHEMA = T.StructType(
     ]
 )
 OUT_NAMES = [f.name for f in OUTPUT_SCHEMA.fields]
+# output rows on their way out of Python: few wide columns, because a frame per vehicle costs by its columns
+PACKED_LONGS = [f.name for f in OUTPUT_SCHEMA if isinstance(f.dataType, (T.LongType, T.IntegerType, T.BooleanType))]
+PACKED_DOUBLES = [f.name for f in OUTPUT_SCHEMA if isinstance(f.dataType, T.DoubleType)]
+PACKED_SCHEMA = T.StructType(
+    [T.StructField(n, T.StringType()) for n in ("kind", "vin", "message")]
+    + [T.StructField("longs", T.ArrayType(T.LongType())), T.StructField("doubles", T.ArrayType(T.DoubleType()))]
+)
 
 DEG_TO_RAD = 0.017453292519943295
 # what a vehicle's processor keeps beside the trip: where its leftovers lie, its newest timestamp, the oldest chunk it remembers
@@ -103,6 +110,23 @@ def _row(kind: str, vin: str, **kw) -> dict:
     return r
 
 
+def packed_frame(rows: list[dict]) -> pd.DataFrame:
+    """Output rows in ``PACKED_SCHEMA``; a NaN is a null, as in a pandas column."""
+    return pd.DataFrame(
+        {
+            **{n: [r[n] for r in rows] for n in ("kind", "vin", "message")},
+            "longs": [[None if r[n] is None else int(r[n]) for n in PACKED_LONGS] for r in rows],
+            "doubles": [[None if r[n] is None or r[n] != r[n] else float(r[n]) for n in PACKED_DOUBLES] for r in rows],
+        }
+    )
+
+
+def unpacked(out: DataFrame) -> DataFrame:
+    """``PACKED_SCHEMA`` -> ``OUTPUT_SCHEMA``."""
+    places = {n: F.col(column)[k] for column, names in (("longs", PACKED_LONGS), ("doubles", PACKED_DOUBLES)) for k, n in enumerate(names)}
+    return out.select(*[places[f.name].cast(f.dataType).alias(f.name) if f.name in places else f.name for f in OUTPUT_SCHEMA])
+
+
 def _completed(vin: str, trip: dict) -> dict:
     d = trip["last_update_timestamp"] - trip["trip_start_timestamp"]
     return _row("completed", vin, **{n: trip[n] for n in TRIP_NAMES}, duration_minutes=int(d / 60000))
@@ -292,12 +316,16 @@ class TripProcessor(StatefulProcessor):
         self.left = handle.getMapState("left", SEGMENT_KEY, BYTES)
         self.spill = handle.getMapState("spill", SEGMENT_KEY, BYTES)
 
+    def _frame(self, out: list[dict]) -> pd.DataFrame:
+        return pd.DataFrame(out, columns=OUT_NAMES)
+
     def _now(self, tv) -> int:
         return int(tv.getCurrentWatermarkInMs() - self.grace if self.event_time else tv.getCurrentProcessingTimeInMs())
 
-    def _save(self, new, now: int, left_segments: int) -> None:
-        for t in list(self.handle.listTimers()):
-            self.handle.deleteTimer(t)
+    def _save(self, new, now: int, left_segments: int, is_first: bool = False) -> None:
+        if not is_first:    # a vehicle's first batch finds no timer
+            for t in list(self.handle.listTimers()):
+                self.handle.deleteTimer(t)
         if new is None:
             self.state.clear()
         else:
@@ -341,7 +369,7 @@ class TripProcessor(StatefulProcessor):
             for at in range(0, len(points), self.segment_rows):
                 out += run.feed(points[at : at + self.segment_rows])
                 if len(out) >= self.segment_rows:
-                    yield pd.DataFrame(out, columns=OUT_NAMES)
+                    yield self._frame(out)
                     out.clear()
         had_trip = trip is not None
         trip, gated_in, lone = run.finish()
@@ -354,14 +382,15 @@ class TripProcessor(StatefulProcessor):
             segments.drop(series, count)
             notes["left_series"], notes["left_segments"] = 1 - series, writer.close()
             lone = None
-        self._save(_state_tuple(trip, None if lone is None else lone[0].item()), now, notes["left_segments"])
+        self._save(_state_tuple(trip, None if lone is None else lone[0].item()), now, notes["left_segments"], notes["is_first"])
         self.notes.update(tuple(notes[f.name] for f in NOTES_SCHEMA))
         if out:
-            yield pd.DataFrame(out, columns=OUT_NAMES)
+            yield self._frame(out)
 
     def _read_notes(self) -> dict:
         names = NOTES_SCHEMA.fieldNames()
-        return dict(zip(names, tuple(self.notes.get()))) if self.notes.exists() else dict(zip(names, (0, 0, None, None)))
+        is_first = not self.notes.exists()
+        return {**dict(zip(names, (0, 0, None, None) if is_first else tuple(self.notes.get()))), "is_first": is_first}
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         notes, out = self._read_notes(), []
@@ -382,12 +411,19 @@ class TripProcessor(StatefulProcessor):
         new, out = _step(key[0], st, None, now, self.p)
         self._save(new, now, 0)
         if out:
-            yield pd.DataFrame(out, columns=OUT_NAMES)
+            yield self._frame(out)
 
     def close(self) -> None:
         pass
 
 
+class PackedTripProcessor(TripProcessor):
+    """The same, with its output rows packed (:func:`unpacked` gives ``OUTPUT_SCHEMA``)."""
+
+    def _frame(self, out: list[dict]) -> pd.DataFrame:
+        return packed_frame(out)
+
+
 # how far a vehicle's event time may lie behind the fleet's: ten years
 MAX_LAG_DAYS = 3650
 MAX_LAG_MS = MAX_LAG_DAYS * 86_400_000
@@ -425,12 +461,13 @@ def trip_stream(
         # shifted ahead by the same delay, so the watermark's value is the newest event time
         cols = cols.withColumn("_et", F.timestamp_millis(F.col("timestamp") + F.lit(MAX_LAG_MS))).withWatermark("_et", f"{MAX_LAG_DAYS} days")
     if api == "transformWithState":
-        return cols.groupBy("vin").transformWithStateInPandas(
-            statefulProcessor=TripProcessor(p, event_time, grace, dedupe, **options),
-            outputStructType=OUTPUT_SCHEMA,
+        out = cols.groupBy("vin").transformWithStateInPandas(
+            statefulProcessor=PackedTripProcessor(p, event_time, grace, dedupe, **options),
+            outputStructType=PACKED_SCHEMA,
             outputMode="Append",
             timeMode="EventTime" if event_time else "ProcessingTime",
         )
+        return unpacked(out)
     if options:
         raise ValueError(f"{sorted(options)} need transformWithState")
     conf = GroupStateTimeout.EventTimeTimeout if event_time else GroupStateTimeout.ProcessingTimeTimeout

@@ -435,3 +435,30 @@ def test_runs_at_a_cadence(spark):
     out = spark.read.parquet(root)
     assert [r.total_readings for r in out.where("kind = 'trip'").orderBy("batch_id").collect()][-1] == 2
     assert out.select("batch_id").distinct().count() >= 2
+
+
+def test_packed_rows_are_output_rows(spark):
+    """Every kind of output row passes the packed form unchanged (a NaN as a null, as before)."""
+    from geotrail.streaming.stateful import OUTPUT_SCHEMA, PACKED_SCHEMA, TRIP_NAMES, _row, packed_frame, unpacked
+
+    trip = {n: 2 if n in ("trip_start_timestamp", "last_update_timestamp", "total_readings") else 0.5 for n in TRIP_NAMES}
+    rows = [
+        _row("trip", "A", **trip), _row("completed", "A", **trip, duration_minutes=3),
+        _row("alert", "B", timestamp=1, latitude=float("nan"), longitude=2.0, computed_speed_kph=3.0, speed_limit_kph=4.0),
+        _row("outcome", "B", timestamp=1, arrival_seq=(1 << 60) + 1, saved=False, message="m"),
+    ]
+    data = [(r.kind, r.vin, r.message, r.longs, r.doubles) for r in packed_frame(rows).itertuples()]
+    got = unpacked(spark.createDataFrame(data, PACKED_SCHEMA))
+    assert [(f.name, f.dataType) for f in got.schema] == [(f.name, f.dataType) for f in OUTPUT_SCHEMA]
+    rows[2]["latitude"] = None
+    assert [r.asDict() for r in got.collect()] == rows
+
+
+def test_one_frame_per_vehicle_has_few_columns():
+    handle = FakeHandle()
+    from geotrail.streaming.stateful import PackedTripProcessor
+
+    proc = PackedTripProcessor(Params(), False, 0, False, retry=True)
+    proc.init(handle)
+    out = list(proc.handleInputRows(("A",), iter([_frame([(0, 0, 30.0, -97.0), (10_000, 1, 30.001, -97.0)])]), Clock(20_000)))
+    assert len(out) == 1 and len(out[0].columns) == 5 and out[0].kind.tolist() == ["trip"]
