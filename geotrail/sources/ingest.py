@@ -5,7 +5,7 @@ Works on batch and streaming DataFrames alike where the operation allows it.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from geotrail.config import DUPLICATE_MESSAGE, SAVED_MESSAGE
@@ -107,12 +107,37 @@ def ingest_outcomes(positions: DataFrame, stored: DataFrame | None = None) -> Da
         ok = F.col("_first") & F.col("_known").isNull()
     else:
         ok = F.col("_first")
-    return marked.select(
-        *KEY,
-        "arrival_seq",
-        ok.alias("success"),
-        F.when(ok, F.lit(SAVED_MESSAGE)).otherwise(F.lit(DUPLICATE_MESSAGE)).alias("message"),
+    return outcome_columns(marked, ok)
+
+
+def judged(batch: DataFrame, stored: DataFrame | None = None) -> DataFrame:
+    """Rows of a numbered batch (``_row``, unique) with ``success`` and ``is_new``, from one join.
+
+    ``success`` is the outcome of :func:`ingest_outcomes`; ``is_new`` holds for the one row per key that
+    :func:`dedupe` keeps (several arrivals may share a number). What the join needs of a key are two numbers, found by a
+    hash aggregate that combines map-side; whole rows meet it once. Rows without a key are left out.
+    """
+    first = batch.groupBy(*KEY).agg(
+        F.min("arrival_seq").alias("_first_seq"),
+        F.coalesce(F.min_by("_row", "arrival_seq"), F.min("_row")).alias("_first_row"),
     )
+    known = F.lit(False)
+    if stored is not None:
+        # of the stored fixes only the keys on dates that the batch touches (dynamic pruning); they meet keys, not rows
+        dates = with_event_date(batch.select("timestamp")).select("event_date").distinct()
+        old = stored.join(dates, "event_date", "left_semi").select(*KEY).distinct()
+        first = first.join(old.withColumn("_known", F.lit(True)), KEY, "left")
+        known = F.col("_known").isNotNull()
+    return batch.join(first, KEY).select(
+        *batch.columns,
+        ((F.col("arrival_seq") == F.col("_first_seq")) & ~known).alias("success"),
+        ((F.col("_row") == F.col("_first_row")) & ~known).alias("is_new"),
+    )
+
+
+def outcome_columns(marked: DataFrame, success: Column) -> DataFrame:
+    message = F.when(success, F.lit(SAVED_MESSAGE)).otherwise(F.lit(DUPLICATE_MESSAGE))
+    return marked.select(*KEY, "arrival_seq", success.alias("success"), message.alias("message"))
 
 
 def with_event_date(positions: DataFrame) -> DataFrame:
