@@ -21,7 +21,8 @@ from pyspark.sql import Window
 
 from geotrail.config import DEFAULT, Params
 from geotrail.functions.geo import duration_minutes
-from geotrail.operators import trips
+from geotrail.operators import chunked, trips
+from geotrail.operators.segments import fix_rows
 from geotrail.sources.store import TripStore, persist, scratch_path
 
 SPAN = T.StructType([T.StructField("vin", T.StringType()), T.StructField("first_ts", T.LongType()), T.StructField("last_ts", T.LongType())])
@@ -84,7 +85,7 @@ class TripHistory:
             return done
         new = store._fixes(after=done, upto=last)
         old = self._rows(done).select(*SPAN.fieldNames()).join(new.select("vin").distinct(), "vin", "left_semi")
-        touched, ranges = merged_spans(old, self._spans(trips.trip_totals(new, self.p, gap)), gap)
+        touched, ranges = merged_spans(old, self._spans(new), gap)
         # as many rows as the append has trips; the fixes' scan is pruned by them
         ranges = persist(ranges, scratch_path(self.spark, "ranges"))
         again = self._fixes_in(ranges, done)
@@ -98,8 +99,17 @@ class TripHistory:
         store._commit("history", last)
         return last
 
-    def _spans(self, totals: DataFrame) -> DataFrame:
-        return totals.select("vin", F.col("first.ts").alias("first_ts"), F.col("last.ts").alias("last_ts"))
+    def _spans(self, positions: DataFrame) -> DataFrame:
+        """Spans of fixes that follow each other within the timeout, cut at chunk borders (:func:`merged_spans` joins them).
+
+        Only times are read and shuffled; no segment is measured.
+        """
+        rows = chunked.keyed(chunked.add_chunk(fix_rows(positions), self.p)).select("vin", "chunk", "ts")
+        w = Window.partitionBy("vin", "chunk").orderBy("ts")
+        opens = (F.col("ts") - F.lag("ts").over(w) > F.lit(self.p.trip_timeout_ms)).cast("int")
+        parts = rows.withColumn("opens", opens).withColumn("part", F.coalesce(F.sum("opens").over(w), F.lit(0)))
+        spans = parts.groupBy("vin", "chunk", "part").agg(F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
+        return spans.select(*SPAN.fieldNames())
 
     def _fixes_in(self, ranges: DataFrame, upto: int) -> DataFrame:
         """Stored fixes inside the ranges, found by vehicle and date."""

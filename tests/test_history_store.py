@@ -95,3 +95,17 @@ def test_merged_spans(spark):
     assert sorted(map(tuple, ranges.collect())) == [("A", 0, 60), ("A", 200, 900), ("C", 5, 5)]
     # one more than the gap apart: not reached
     assert merged_spans(old, spark.createDataFrame([("A", 21, 22)], schema), 7)[0].count() == 0
+
+
+def test_spans_need_no_measured_segment(spark):
+    """What an append reaches follows from times alone, joined across chunk borders."""
+    store = TripStore(spark, tempfile.mkdtemp(prefix="geotrail-history-", dir="/tmp"))
+    rows = [("A", t, 30.0, k) for k, t in enumerate([0, 150_000, 250_000, 450_000, 1_000_000])] + [("B", 7, 30.0, 9)]
+    _append(spark, store, rows)
+    spans = TripHistory(store, P)._spans(store._fixes())
+    plan = spans._jdf.queryExecution().executedPlan().toString()
+    read = plan[plan.index("ReadSchema:"):]
+    assert "timestamp" in read and "latitude" not in read and plan.count("Exchange hashpartitioning") == 1
+    none = spark.createDataFrame([], "vin string, first_ts long, last_ts long")
+    got = merged_spans(none, spans, P.trip_timeout_ms)[1].collect()
+    assert sorted(tuple(r) for r in got) == [("A", 0, 450_000), ("A", 1_000_000, 1_000_000), ("B", 7, 7)]
