@@ -348,6 +348,53 @@ def test_mix_predicts_every_core_by_occurrence(spark, monkeypatch):
     assert total.sum() == 7 * contextmix.CONTEXTS * sum(model.code.size[b] for b in b"the ")
 
 
+def test_contexts_cross_words_and_predict_ends_and_repeats(spark):
+    train = [(k, "pa ko mo tu " * 8, "en") for k in range(30)] + [(k, "ha ha lo re " * 8, "en") for k in range(30, 60)]
+    held = ["pa ko mo tu pa ko mo tu", "pa mo ko tu pa mo ko tu", "ha ha lo re", "ha lo re re", "pa ko mo", "pa ko mo tu"]
+    rows = spark.createDataFrame(train + [(1000 + k, t, None) for k, t in enumerate(held)], "doc_id long, text string, lang string")
+    got = {r.doc_id - 1000: r for r in contextmix.score_documents(rows, F.col("doc_id") >= 1000).collect()}
+    # the same words in another order; a repeat of a word that repeats; an end where texts end: words alone don't tell these apart
+    assert abs(got[0].base_score - got[1].base_score) < 1e-9 and got[0].score > got[1].score + 3
+    assert got[2].score > got[3].score + 2
+    assert got[5].score > got[4].score
+
+
+def test_text_scorer_equals_every_symbol_under_every_class(monkeypatch):
+    rnd = random.Random(8)
+    words = [b"w" + "".join(rnd.choice("abcd") for _ in range(rnd.randint(0, 7))).encode() + rnd.choice([b"", b"", b".", b"#!"]) for _ in range(200)]
+    texts = [" ".join(rnd.choice(words).decode() for _ in range(rnd.randint(0, 30))) for _ in range(60)] + ["", "waa waa waa \u00e9t\u00e9 WAA"]
+    counter = contextmix.CorpusCounter(3)
+    counter.add(texts, [k % 3 for k in range(len(texts))])
+    blocks = [b for batch in counter.batches() for b in contextmix._core_blocks(batch) if b[0] != [b""]]
+    code = contextmix.ByteCode(np.arange(256))
+    total = np.zeros((2, contextmix.CONTEXTS, 1 << 16), np.float32)
+    for block in blocks:
+        contextmix.gather_contexts(code, *block, total, 16, contextmix.SEAM)
+    model = contextmix.MixModel(["a", "b", "c"], np.log([0.5, 0.3, 0.2]), contextmix.packed(total[0]), contextmix.packed(total[1]), code, 16)
+    model.refine = contextmix.refinement(sum(contextmix.cell_counts(model, *b, contextmix.SEAM) for b in blocks))
+    want = []
+    for t in texts:
+        each, prev = np.zeros(3), b""
+        for w in [*t.encode().lower().split(), b""]:
+            lead = prev[-contextmix.LEAD :] + b" "
+            cost = model.spelled([lead + (contextmix.seam_of(w) if w else contextmix.END)])[0].astype(float)
+            if len(w) >= contextmix.SEAM:
+                cost += model.spelled([w], contextmix.SEAM)[0]
+            if w and w == prev:
+                cost = np.logaddexp(cost, model.spelled([lead + contextmix.AGAIN])[0])
+            each, prev = each + cost, w
+        want.append(np.logaddexp.reduce(each + model.prior))
+    for class_words, memo in ((20_000, 300_000), (3, 300_000), (0, 0)):
+        monkeypatch.setattr(contextmix, "CLASS_WORDS", class_words)
+        monkeypatch.setattr(contextmix, "MEMO_WORDS", memo)
+        monkeypatch.setattr(contextmix, "MEMO_SEAMS", memo)
+        scorer, got = contextmix.TextScorer(model, words[:40], np.zeros(40)), []
+        for lo in range(0, len(texts), 7):
+            scorer.load(texts[lo : lo + 7])
+            got += scorer.log_probabilities().tolist()
+        assert np.allclose(got, want, rtol=1e-5, atol=1e-4)
+
+
 def test_byte_code_is_a_prefix_code():
     code = contextmix.ByteCode(np.arange(256))
     assert abs(sum(2.0 ** -int(n) for n in code.size) - 1) < 1e-9
