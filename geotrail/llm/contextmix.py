@@ -1,16 +1,16 @@
 """Operator 8: language-model scoring by online logistic context mixing.
 
-A text is its lower-cased words, each closed by a space, and one end symbol; a word that repeats the one before it may
-also be one repeat symbol. All of it is spelled in bytes, every byte a path of bits in a prefix code (frequent bytes
+A text is its lower-cased words and one end symbol; a word is its core, closed by a space, and its trailing marks behind
+a symbol; a word that repeats the one before it may also be one repeat symbol. All of it is spelled in bytes, every byte a path of bits in a prefix code (frequent bytes
 have short paths), marks, ends and repeats included. For every bit, predictors look up counts of zeros and ones under
 hashed contexts (the last 1, 2, 3 and 5 bytes and the whole word so far with the text's class, the last 4 bytes without
 it; classes are the languages of the training documents). The contexts of a word's first ``SEAM`` bytes reach into the
-word before it, as far as its last ``LEAD`` bytes. Their log-odds are mixed by weights
+word before it, as far as its last ``LEAD`` bytes, those of its marks into the marks of the words before. Their log-odds are mixed by weights
 that a gate chooses from how much evidence two of the contexts have; the weights are learned
 by online gradient steps, and an adaptive map refines the mixed probability.
 
-Seams. No context of a later byte reaches across the space, so a word's cost falls in two: its seam (the bytes it sees
-of the word before, its own first ``SEAM`` bytes), and the rest, which depends on the word alone. Distinct seams and
+Seams. No context of a later byte reaches across the space, so a word's cost falls apart: its seam (the bytes it sees
+of the word before, its own first ``SEAM`` bytes), its marks behind their state, and the rest, which depends on the word alone. Distinct seams and
 words are spelled once per worker, as long as its memory holds them.
 
 Texts. Which class's predictions to trust is refined online, symbol by symbol: the weight
@@ -39,6 +39,7 @@ from __future__ import annotations
 import heapq
 import math
 import uuid
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -70,11 +71,40 @@ BATCH = 2048                # bits per online step
 TRAIN_CORES = 400_000       # distinct words and seams per task that counts contexts or learns the mix
 SEAM = 4                    # first bytes of a word whose contexts reach across the space before it
 LEAD = 2                    # last bytes of the word before that they reach
-END, AGAIN = b"\xff", b"\xfe"     # symbols that no UTF-8 text contains
+MARKS = bytes(b for b in range(33, 127) if not chr(b).isalnum())
+END, AGAIN, GLUE = b"\xff", b"\xfe", b"\xfd"     # symbols that no UTF-8 text contains: end, repeat, marks behind a core
+TAIL = 1 << 62              # flag of a tail's key
 WORDS, SEAMS = 0, 3         # kinds of counted rows
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xBF58476D1CE4E5B9)]  # odd mixers (fixed values)
 
 
+def split_word(word: bytes) -> tuple[bytes, bytes]:
+    """(core, its trailing marks); a word of marks alone is a core."""
+    core = word.rstrip(MARKS) or word
+    return core, word[len(core) :]
+
+
+def mark_kind(core: bytes, tail: bytes) -> int:
+    """What the contexts of the next word's marks see of this word."""
+    if not tail:
+        return 6 if core and not core.rstrip(MARKS) else 0
+    return {b".": 1, b",": 2, b"!": 3}.get(tail[:1], 4 if tail[:1] in (b"#", b"$", b"%", b"&", b"*") else 5)
+
+
+def states_before(kind: np.ndarray, prev: np.ndarray) -> np.ndarray:
+    """State before each word: kind of the word before, 7 at a text's start, 8 after letters behind a word of marks."""
+    state = np.where(prev == 0, 7, kind[prev])
+    earlier = np.zeros_like(prev)
+    earlier[1:] = prev[:-1]
+    state[(state == 0) & (kind[earlier] == 6)] = 8
+    return state
+
+
+def tail_seam(state: int, tail: bytes) -> bytes:
+    """A word's marks, or that there are none, as a seam behind the state."""
+    return bytes([1 + state]) + b" " + GLUE + tail + b" "
+
+
 class ByteCode:
     """A prefix code over bytes: frequent bytes have short paths through its binary tree."""
 
@@ -103,12 +133,12 @@ class ByteCode:
     def contexts(self, items: list[bytes], skip: int = 0) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(context hash of each byte for the last 1, 2, 3, 5 bytes, the word so far, the last 4; byte of each bit; node hash; bits; item of each byte).
 
-        An item is a whole word, closed by a space, of which the first ``skip`` bytes are only context; or a seam,
-        told by its space: the last bytes of the word before, the space, the first bytes of the word.
+        An item is a whole word, whose core is spelled, closed by a space, the first ``skip`` bytes being only context; or a
+        seam, told by its space: what is seen of the words before, the space, the first bytes of the word or its marks.
         """
         space = np.fromiter((w.find(b" ") for w in items), np.int64, len(items))
         whole = space < 0
-        raws = [w if x else b" " + w + b" " for w, x in zip(items, (~whole).tolist())]
+        raws = [w if x else b" " + split_word(w)[0] + b" " for w, x in zip(items, (~whole).tolist())]
         size = np.fromiter(map(len, raws), np.int64, len(raws))
         lead = np.where(whole, 0, space) + 1
         data = np.frombuffer(b"".join(raws), np.uint8)
@@ -319,6 +349,7 @@ class TextScorer:
         self.words: list[bytes] = []
         # per word: its last bytes, its first ones, its base; per class and word: cost of the bytes behind the seam, whether it is worked out
         self.lead, self.first, self.base = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        self.tails, self.tail, self.kind = WordIndex(), np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.rest, self.known = np.zeros((n, 0), np.float32), np.zeros((n, 0), bool)
         self.again = self.firsts[AGAIN]
         self._forget_seams()
@@ -329,7 +360,9 @@ class TextScorer:
         self.kept = len(self.words)
 
     def _forget_seams(self) -> None:
-        self.seams = WordIndex()        # of lead << 32 | first
+        self.seams = WordIndex()        # of lead << 32 | first, or TAIL | state << 32 | tail; -1: nothing, which costs nothing
+        self.seams[-1]
+        self.seams.new.clear()
         self.seam = np.zeros((len(self.model.classes), 1024), np.float32)
 
     def _forget(self) -> None:
@@ -340,7 +373,7 @@ class TextScorer:
         for w in self.words[self.kept :]:
             del self.index[w]
         del self.words[self.kept :]
-        for name in ("lead", "first", "base", "rest", "known"):
+        for name in ("lead", "first", "tail", "kind", "base", "rest", "known"):
             setattr(self, name, getattr(self, name)[..., : self.kept].copy())
 
     def _grow(self) -> None:
@@ -352,11 +385,13 @@ class TextScorer:
         n = len(self.words)
         if n > len(self.lead):      # in steps, not per batch
             size = n + n // 8 if n > len(new) else n
-            for name, empty in (("lead", 0), ("first", 0), ("base", np.nan), ("rest", 0), ("known", False)):
+            for name, empty in (("lead", 0), ("first", 0), ("tail", 0), ("kind", 0), ("base", np.nan), ("rest", 0), ("known", False)):
                 setattr(self, name, _widened(getattr(self, name), size, empty))
-        lo = n - len(new)
+        lo, split = n - len(new), list(map(split_word, new))
         self.lead[lo:n] = self.leads.numbers([w[-LEAD:] for w in new])
-        self.first[lo:n] = self.firsts.numbers([seam_of(w) if w else END for w in new])
+        self.first[lo:n] = self.firsts.numbers([seam_of(c) if c else END for c, _ in split])
+        self.tail[lo:n] = self.tails.numbers([t for _, t in split])
+        self.kind[lo:n] = [mark_kind(c, t) for c, t in split]
 
     def _spell(self, ids: np.ndarray, classes) -> None:
         """Work out what lies behind the seam of these words under these classes."""
@@ -379,8 +414,9 @@ class TextScorer:
         rows = self.seams.numbers(distinct.tolist())
         new, self.seams.new = self.seams.new, []
         if new:
-            leads, firsts = list(self.leads), list(self.firsts)
-            costs = self.model.spelled([leads[k >> 32] + b" " + firsts[k & 0xFFFFFFFF] for k in new])
+            leads, firsts, tails = list(self.leads), list(self.firsts), list(self.tails)
+            parts = [(k, k >> 32 & 0x3FFFFFFF, k & 0xFFFFFFFF) for k in new]
+            costs = self.model.spelled([tail_seam(a, tails[b]) if k & TAIL else leads[a] + b" " + firsts[b] for k, a, b in parts])
             n = len(self.seams)
             if n > self.seam.shape[1]:
                 self.seam = _widened(self.seam, 2 * n, 0)
@@ -392,10 +428,11 @@ class TextScorer:
         ids, start = self.ids, self.start
         prev, same = before_each(ids)
         lead = self.lead[prev] << 32
-        rows = self._seam_rows(np.concatenate([lead | self.first[ids], lead[same] | self.again]))
+        tail = np.where(ids == 0, -1, TAIL | states_before(self.kind, prev) << 32 | self.tail[ids])
+        rows = self._seam_rows(np.concatenate([lead | self.first[ids], tail, lead[same] | self.again]))
         again = np.zeros(len(ids), np.int64)
-        again[same] = rows[len(ids) :]
-        rows = rows[: len(ids)]
+        again[same] = rows[2 * len(ids) :]
+        rows, tail = rows[: len(ids)], rows[len(ids) : 2 * len(ids)]
         size = np.diff(np.append(start, len(ids)))
 
         def total(z: int, texts: np.ndarray | None = None) -> np.ndarray:
@@ -403,6 +440,7 @@ class TextScorer:
             own = slice(None) if texts is None else np.repeat(texts, size)
             cost = self.rest[z].take(ids[own])
             cost += self.seam[z].take(rows[own])
+            cost += self.seam[z].take(tail[own])
             twice = np.flatnonzero(same[own])
             if len(twice):      # spelled, or the repeat symbol
                 cost[twice] = np.logaddexp(cost[twice], self.seam[z].take(again[own][twice]))
@@ -448,7 +486,9 @@ class CorpusCounter:
         self.index, self.leads, self.firsts = WordIndex(), WordIndex(), WordIndex()
         self.words: list[bytes] = []
         self.lead, self.first = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.tails, self.tail, self.kind = WordIndex(), np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.by_class = np.zeros((classes, 0), np.int64)
+        self.marks: Counter = Counter()     # of class << 40 | state << 32 | tail
         self.seams: list[tuple[np.ndarray, np.ndarray]] = []     # (class << 60 | lead << 30 | first, count)
         self.held = 0
         self.again = self.firsts[AGAIN]
@@ -458,8 +498,11 @@ class CorpusCounter:
         ids, start = numbered_words(texts, self.index)
         new, self.index.new = self.index.new, []
         self.words += new
+        split = list(map(split_word, new))
         self.lead = np.append(self.lead, self.leads.numbers([w[-LEAD:] for w in new]))
-        self.first = np.append(self.first, self.firsts.numbers([seam_of(w) if w else END for w in new]))
+        self.first = np.append(self.first, self.firsts.numbers([seam_of(c) if c else END for c, _ in split]))
+        self.tail = np.append(self.tail, self.tails.numbers([t for _, t in split]))
+        self.kind = np.append(self.kind, np.array([mark_kind(c, t) for c, t in split], np.int64))
         if len(self.words) > self.by_class.shape[1]:    # grown in doubling steps
             grown = np.zeros((len(self.by_class), 2 * len(self.words)), np.int64)
             grown[:, : self.by_class.shape[1]] = self.by_class
@@ -471,6 +514,9 @@ class CorpusCounter:
         prev, same = before_each(ids)
         keys = cls << 60 | self.lead[prev] << 30 | np.where(same, self.again, self.first[ids])
         self.seams.append(np.unique(keys, return_counts=True))
+        marks = (cls << 40 | states_before(self.kind, prev) << 32 | self.tail[ids])[(ids != 0) & ~same]
+        for key, n in zip(*(x.tolist() for x in np.unique(marks, return_counts=True))):
+            self.marks[key] += n
         self.held += len(self.seams[-1][0])
         if self.held > 4 * MEMO_SEAMS:
             self._merge_seams()
@@ -493,7 +539,10 @@ class CorpusCounter:
                 some = at[lo : lo + size]
                 yield self._rows(WORDS, np.full(len(some), z), words.take(pa.array(some)), row[some])
         self._merge_seams()
-        leads, firsts = list(self.leads), list(self.firsts)
+        leads, firsts, tails = list(self.leads), list(self.firsts), list(self.tails)
+        if self.marks:
+            items = pa.array([tail_seam(k >> 32 & 255, tails[k & 0xFFFFFFFF]) for k in self.marks], pa.binary())
+            yield self._rows(SEAMS, np.array([k >> 40 for k in self.marks]), items, np.array(list(self.marks.values())))
         for keys, counts in self.seams:
             for lo in range(0, len(keys), size):
                 some, ones = keys[lo : lo + size], (1 << 30) - 1
@@ -535,7 +584,7 @@ def _core_blocks(batch: pa.RecordBatch, rows: int = 2000) -> Iterator[tuple[list
 
 def byte_counts(items: list[bytes], c: np.ndarray, skip: int = 0) -> np.ndarray:
     """Spelled bytes of the items: by occurrences, then once per item."""
-    parts = [w[w.index(b" ") + 1 :] if b" " in w else w[skip:] + b" " for w in items]
+    parts = [w[w.index(b" ") + 1 :] if b" " in w else (split_word(w)[0] + b" ")[skip:] for w in items]
     data = np.frombuffer(b"".join(parts), np.uint8)
     each = np.repeat(c, [len(p) for p in parts])
     return np.stack([np.bincount(data, each, 256), np.bincount(data, minlength=256)])

@@ -361,7 +361,7 @@ def test_contexts_cross_words_and_predict_ends_and_repeats(spark):
 
 def test_text_scorer_equals_every_symbol_under_every_class(monkeypatch):
     rnd = random.Random(8)
-    words = [b"w" + "".join(rnd.choice("abcd") for _ in range(rnd.randint(0, 7))).encode() + rnd.choice([b"", b"", b".", b"#!"]) for _ in range(200)]
+    words = [b"w" + "".join(rnd.choice("abcd") for _ in range(rnd.randint(0, 7))).encode() + rnd.choice([b"", b"", b".", b"#!"]) for _ in range(200)] + [b"||"] * 30
     texts = [" ".join(rnd.choice(words).decode() for _ in range(rnd.randint(0, 30))) for _ in range(60)] + ["", "waa waa waa \u00e9t\u00e9 WAA"]
     counter = contextmix.CorpusCounter(3)
     counter.add(texts, [k % 3 for k in range(len(texts))])
@@ -374,15 +374,19 @@ def test_text_scorer_equals_every_symbol_under_every_class(monkeypatch):
     model.refine = contextmix.refinement(sum(contextmix.cell_counts(model, *b, contextmix.SEAM) for b in blocks))
     want = []
     for t in texts:
-        each, prev = np.zeros(3), b""
+        each, prev, earlier = np.zeros(3), b"", b""
         for w in [*t.encode().lower().split(), b""]:
-            lead = prev[-contextmix.LEAD :] + b" "
-            cost = model.spelled([lead + (contextmix.seam_of(w) if w else contextmix.END)])[0].astype(float)
+            lead, (core, tail) = prev[-contextmix.LEAD :] + b" ", contextmix.split_word(w)
+            cost = model.spelled([lead + (contextmix.seam_of(core) if w else contextmix.END)])[0].astype(float)
+            if w:
+                kinds = [contextmix.mark_kind(*contextmix.split_word(x)) for x in (prev, earlier)]
+                state = 7 if not prev else 8 if kinds == [0, 6] else kinds[0]
+                cost += model.spelled([contextmix.tail_seam(state, tail)])[0]
             if len(w) >= contextmix.SEAM:
                 cost += model.spelled([w], contextmix.SEAM)[0]
             if w and w == prev:
                 cost = np.logaddexp(cost, model.spelled([lead + contextmix.AGAIN])[0])
-            each, prev = each + cost, w
+            each, prev, earlier = each + cost, w, prev
         want.append(np.logaddexp.reduce(each + model.prior))
     for class_words, memo in ((20_000, 300_000), (3, 300_000), (0, 0)):
         monkeypatch.setattr(contextmix, "CLASS_WORDS", class_words)
