@@ -49,6 +49,7 @@ from geotrail.sources.store import scratch_path
 MAGIC = b"IDPLANE1"
 BLOCK_IDS = 1 << 16
 LEVEL = 3
+BLOCK_BYTES = 8_000_000   # texts encoded at once: a word that many of them hold is looked up once
 
 
 def to_planes(ids: np.ndarray, kind: str) -> list[bytes]:
@@ -86,20 +87,26 @@ class PlaneWriter:
         self.sink, self.block_ids, self.kind = sink, block_ids, planes
         self.zstd = zstandard.ZstdCompressor(level=level)
         self.index: list[list[int]] = []
-        self.docs: list[tuple[int, int, int]] = []
+        self.docs: list[np.ndarray] = []
         self.parts: list[np.ndarray] = []
-        self.held = self.n_ids = 0
+        self.held = self.n_ids = self.n_docs = 0
         self.sink.write(MAGIC)
         self.at = len(MAGIC)
 
-    def add(self, doc_id: int | None, ids: np.ndarray) -> None:
-        self.docs.append((int(doc_id is not None), doc_id or 0, len(ids)))
+    def add(self, ids: np.ndarray) -> None:
+        """The next ids of the documents, as many as there are at hand."""
         self.n_ids += len(ids)
         self.parts.append(ids)
         self.held += len(ids)
         if self.held >= self.block_ids:
             self._flush(False)
 
+    def add_docs(self, doc_ids: pa.Array, sizes: np.ndarray) -> None:
+        """The documents the ids belong to, in the same order."""
+        has = doc_ids.is_valid().to_numpy(zero_copy_only=False)
+        self.docs.append(np.stack([has, doc_ids.fill_null(0).to_numpy(), sizes], axis=1).astype("<i8"))
+        self.n_docs += len(sizes)
+
     def _flush(self, last: bool) -> None:
         ids = np.concatenate(self.parts) if self.parts else np.zeros(0, np.uint32)
         end = len(ids) if last else len(ids) - len(ids) % self.block_ids
@@ -116,10 +123,10 @@ class PlaneWriter:
         self._flush(True)
         n_planes = 4 if self.kind == "byte" else 32
         index = self.zstd.compress(np.array(self.index, "<u8").reshape(-1, 2 + n_planes).tobytes())
-        docs = self.zstd.compress(np.array(self.docs, "<i8").reshape(-1, 3).tobytes())
+        docs = self.zstd.compress(np.concatenate([np.zeros((0, 3), "<i8"), *self.docs]).tobytes())
         self.sink.write(index)
         self.sink.write(docs)
-        tail = (n_planes, self.block_ids, self.n_ids, len(self.docs), len(self.index), self.at, self.at + len(index), len(docs))
+        tail = (n_planes, self.block_ids, self.n_ids, self.n_docs, len(self.index), self.at, self.at + len(index), len(docs))
         self.sink.write(struct.pack("<8Q", *tail) + MAGIC)
 
 
@@ -169,6 +176,20 @@ class PlaneReader:
             yield (int(doc_id) if has else None), int(n), pieces(int(n))
 
 
+def doc_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, pa.Array]]:
+    """(doc_id, text) columns of some batches at a time, joined while their texts stay under ``BLOCK_BYTES``."""
+    held, size = [], 0
+    for batch in batches:
+        texts = text_column(batch)
+        if held and size + texts.nbytes > BLOCK_BYTES:
+            yield tuple(map(pa.concat_arrays, zip(*held)))
+            held, size = [], 0
+        held.append((batch.column("doc_id"), texts))
+        size += texts.nbytes
+    if held:
+        yield tuple(map(pa.concat_arrays, zip(*held)))
+
+
 def write_token_files(
     docs: DataFrame, folder: str, tokenizer_path: str, end_id: int, block_ids: int = BLOCK_IDS, planes: str = "byte"
 ) -> DataFrame:
@@ -176,30 +197,32 @@ def write_token_files(
 
     Manifest: ``shard, path, n_ids, n_docs, n_bytes`` -- one row per file, shards in ``doc_id`` order.
     """
-    from geotrail.llm.wordcache import library_encoder
+    from geotrail.llm.wordtable import encode_column, library_table
 
     small_batches(docs.sparkSession)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().partitionId()
         sink = writer = None
-        for batch in batches:
+        for doc_ids, texts in doc_blocks(batches):
             if writer is None:
-                encode = library_encoder(tokenizer_path)
+                table = library_table(tokenizer_path)
                 system, at = _file_system(f"{folder}/shard-{shard:06d}-{uuid.uuid4().hex}.idp")
                 system.create_dir(at.rsplit("/", 1)[0], recursive=True)
                 sink = system.open_output_stream(at + ".tmp")
                 writer = PlaneWriter(sink, block_ids, planes)
-            texts = text_column(batch).to_pylist()
-            for doc_id, packed in zip(batch.column("doc_id").to_pylist(), encode(texts)):
-                writer.add(doc_id, np.append(np.frombuffer(packed, "<u4"), np.uint32(end_id)))
+            sizes = [np.zeros(0, np.int64)]
+            for ids, ended in encode_column(texts, table, end_id):
+                writer.add(ids)
+                sizes.append(ended)
+            writer.add_docs(doc_ids, np.concatenate(sizes))
         if writer is not None:
             writer.close()
             sink.close()
             size = system.get_file_info(at + ".tmp").size
             system.move(at + ".tmp", at)
             yield pa.RecordBatch.from_pydict(
-                {"shard": [shard], "path": [at], "n_ids": [writer.n_ids], "n_docs": [len(writer.docs)], "n_bytes": [size]}
+                {"shard": [shard], "path": [at], "n_ids": [writer.n_ids], "n_docs": [writer.n_docs], "n_bytes": [size]}
             )
 
     ordered = docs.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"))

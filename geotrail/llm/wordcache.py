@@ -8,15 +8,11 @@ UTF-8 bytes to its packed ids; only runs not met before reach the encoder.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
-import numpy as np
-
 MAX_WORDS = 550_000     # per generation and worker process
 MAX_WORD_BYTES = 64     # longer runs are encoded, not kept
 TAILS = b".,!?;:"        # marks that form a run of their own behind a letter
-SEPARATOR = "<|startoftext|>"   # a special token of the vocabulary: cuts the joined runs apart
 _MEMOS: dict = {}
 
 
@@ -91,55 +87,3 @@ class WordMemo:
 def folded(text: bytes) -> bytes:
     """A-Z to lower case, as the vocabulary does; special tokens are told by their exact spelling."""
     return text if b"<|" in text else text.lower()
-
-
-def library_encoder(path: str) -> Callable[[list[str]], list[bytes]]:
-    """texts -> packed uint32 ids by the tokenizers library, special tokens not added."""
-    if ("library", path) not in _MEMOS:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        tok = Tokenizer.from_file(path)
-        tok.no_truncation()
-        tok.no_padding()
-        cut = tok.token_to_id(SEPARATOR)
-
-        def ids(texts: list[str]) -> list[np.ndarray]:
-            return [np.array(e.ids, "<u4") for e in tok.encode_batch_fast(texts, add_special_tokens=False)]
-
-        # tokens that end a run of the vocabulary's pattern
-        ends = np.zeros(max(tok.get_vocab().values()) + 1, bool)
-        ends[[i for t, i in tok.get_vocab().items() if t.endswith("</w>")]] = True
-
-        def cut_at(groups: list[list[int]], texts: list[str], stops: Callable[[np.ndarray], np.ndarray], drop: int, out: list) -> None:
-            """Encode one text per group of words; its ids fall apart behind the ``stops`` (``drop`` of them belong to no word)."""
-            for group, x in zip(groups, ids(texts)):
-                at = np.flatnonzero(stops(x))
-                packed = x.tobytes()
-                lo = 0
-                for i, hi in zip(group, (at + 1 - drop).tolist() + [len(x)]):
-                    out[i] = packed[4 * lo : 4 * hi]
-                    lo = hi + drop
-
-        def encode_new(words: list[bytes]) -> list[bytes]:
-            out: list = [None] * len(words)
-            text = [w.decode() for w in words]
-            special = [b"<|" in w or len(w) > MAX_WORD_BYTES for w in words]
-            for i, x in zip(alone := [i for i, s in enumerate(special) if s], ids([text[i] for i in alone])):
-                out[i] = x.tobytes()
-            # letters up to U+00FF are one run, which one token ends: white space is separator enough
-            plain = [i for i, t in enumerate(text) if not special[i] and t.isalpha() and max(t) < "\u0100"]
-            known = set(plain)
-            rest = [i for i, s in enumerate(special) if not s and i not in known]
-            groups = [plain[k : k + 64] for k in range(0, len(plain), 64)]
-            cut_at(groups, [" ".join([text[i] for i in g]) for g in groups], lambda x: ends[x], 0, out)
-            groups = [rest[k : k + 64] for k in range(0, len(rest), 64)]
-            cut_at(groups, [SEPARATOR.join([text[i] for i in g]) for g in groups], lambda x: x == cut, 1, out)
-            return out
-
-        _MEMOS["library", path] = WordMemo(encode_new)
-    return lambda texts: encode_texts(texts, _MEMOS["library", path])
-
-
-def encode_texts(texts: list[str], memo: WordMemo) -> list[bytes]:
-    return memo.joined([folded(t.encode()).split() for t in texts])

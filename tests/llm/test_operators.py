@@ -9,6 +9,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -635,6 +636,60 @@ def test_word_memo_composes_and_stays_bounded():
     assert wordcache.folded(b"AbC <|X|>") == b"AbC <|X|>" and wordcache.folded(b"AbC") == b"abc"
 
 
+def test_word_table_asks_once_for_each_part_and_stays_bounded():
+    """Op 1's cost is in the words asked of the library: marks behind letters are not asked with every word, nor is a word twice."""
+    from geotrail.llm import wordtable
+
+    asked = []
+
+    def encode_new(words):
+        asked.extend(words.to_pylist())
+        return wordtable.ragged([np.frombuffer(w.encode(), np.uint8).astype("<u4").tobytes() for w in words.to_pylist()])
+
+    table = wordtable.WordTable(encode_new, max_words=50)
+    text = "word word. WORD, wörd### x9. a.b. it's ### . end."
+    for _ in range(3):
+        (got, sizes), = wordtable.encode_column(pa.array([text, "", " word. "]), table, 2)
+        want = [[*b"".join(t.encode().lower().split()), 2] for t in (text, "", "word.")]
+        assert got.tolist() == sum(want, []) and sizes.tolist() == list(map(len, want))
+    assert sorted(asked) == sorted(["word", ".", ",", "wörd", "###", "x9.", "a.b.", "it's", "end"])
+    for k in range(0, 500, 20):
+        ids, _ = wordtable.encode_words(pa.array([f"w{i}" for i in range(k, k + 20)] + ["y" * 65]), table)
+        assert ids.tolist() == list("".join(f"w{i}" for i in range(k, k + 20)).encode() + b"y" * 65)
+        assert len(table.words) <= 50 and len(table.used) == len(table.ragged[1]) - 1 == len(table.words)
+    assert "y" * 65 not in table.words.to_pylist() and table.words[0].as_py() == ""
+
+
+def test_word_table_equals_the_library(monkeypatch):
+    from geotrail.llm import wordtable
+
+    rnd = random.Random(11)
+    parts = [*"abcZ  \t\n.,!?'#<|>-_0129\x00\x1c\x85\xa0éÉßªºµ×²½ñ", "\u0301", "ı", "Σ", "日本", "😀", "\u200b", "<|endoftext|>", "<|", "|>", "'ll", "word", "Wörd", "###"]
+    texts = ["".join(rnd.choices(parts, k=rnd.choice([0, 1, 3, 8, 30, 200]))) for _ in range(1500)]
+    texts += ["x" * 300, "é." * 50, " ".join(f"w{i} word{i}." for i in range(700)), "", " \n"]
+    tok = _encoder()
+    want = [[*tok.encode(t, add_special_tokens=False).ids, 2] for t in texts]
+    table = wordtable.library_table(PATH)
+    for step_bytes, step_words, max_words in ((300, 7, 40), (20, 99, 40), (8_000_000, 2_000_000, 550_000)):
+        monkeypatch.setattr(wordtable, "STEP_BYTES", step_bytes)
+        monkeypatch.setattr(wordtable, "STEP_WORDS", step_words)
+        monkeypatch.setattr(table, "max_words", max_words)
+        pieces = list(wordtable.encode_column(pa.array(["cut off", *texts]).slice(1), table, 2))
+        sizes = np.concatenate([n for _, n in pieces])
+        assert sizes.tolist() == list(map(len, want))
+        assert np.concatenate([x for x, _ in pieces]).tolist() == sum(want, [])
+
+
+def test_doc_blocks_join_small_batches(monkeypatch):
+    rows = [(i or None, "t" * (i % 7)) for i in range(40)]
+    batches = [pa.RecordBatch.from_pydict({"doc_id": [r[0] for r in rows[k : k + 3]], "text": [r[1] for r in rows[k : k + 3]]}) for k in range(0, 40, 3)]
+    monkeypatch.setattr(planes, "BLOCK_BYTES", 100)
+    blocks = list(planes.doc_blocks(iter(batches)))
+    assert 1 < len(blocks) < len(batches)
+    assert [r for ids, texts in blocks for r in zip(ids.to_pylist(), texts.to_pylist())] == rows
+    assert not list(planes.doc_blocks(iter([])))
+
+
 STORY = "<article><h1>A title</h1><p>The story of the old man and the sea that he was on for days.</p><svg/><p>It was the end of it.</p></article>"
 TOLD = "A title\nThe story of the old man and the sea that he was on for days.\nIt was the end of it."
 
